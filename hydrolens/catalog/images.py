@@ -1 +1,257 @@
-"""Placeholder."""
+"""Scored images: the vectors are 8x8 logit maps, the truth is the sign of the following vector."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hydrolens.catalog.registry import register
+from hydrolens.functions import pixels as px
+from hydrolens.operators import imaging, scoring
+from hydrolens.plans import scoring as s
+from hydrolens.sources import fixtures as fx
+from hydrolens.sources.images import attach_truth
+
+# 8x8 pictures from the vectors: grey level by value, blue brighter and red darker.
+PICTURE_SQL = """
+, level AS (SELECT key, i, CAST(least(greatest(floor(CAST(x AS DOUBLE) * 400) + 128, 0), 255) AS BIGINT) AS v FROM pixels)
+"""
+
+
+def _level(v):
+    return F.least(F.greatest(F.floor(v.cast("double") * 400) + 128, F.lit(0)), F.lit(255))
+
+
+def _pictures(spark, sf):
+    """Images in the layout of Spark's image source (BGR)."""
+    hexes = F.transform("logits", lambda v: F.lpad(F.hex(_level(v)), 2, "0"))
+    bright = F.transform("logits", lambda v: F.lpad(F.hex(F.least(_level(v) + 20, F.lit(255))), 2, "0"))
+    dark = F.transform("logits", lambda v: F.lpad(F.hex(F.greatest(_level(v) - 20, F.lit(0))), 2, "0"))
+    join = lambda a, b: F.concat(a, b)
+    triples = F.zip_with(F.zip_with(bright, hexes, join), dark, join)
+    image = F.struct(
+        F.concat(F.lit("mem/img_"), F.col("key").cast("string")).alias("origin"),
+        F.lit(8).alias("height"),
+        F.lit(8).alias("width"),
+        F.lit(3).alias("nChannels"),
+        F.lit(16).alias("mode"),
+        F.unhex(F.array_join(triples, "")).alias("data"),
+    )
+    return fx.logit_maps(spark, sf).select("key", "height", "width", "logits", image.alias("image"))
+
+
+def _scored(spark, sf):
+    return scoring.with_probabilities(fx.logit_maps(spark, sf))
+
+
+def _with_truth(spark, sf):
+    truth = fx.truth_maps(spark, sf).select("key", px.binarise(F.col("truth")).alias("truth_mask"))
+    return _scored(spark, sf).join(truth, "key", "left")
+
+
+def _stats_sql(threshold):
+    return f"""SELECT key, round(sum(CASE WHEN p > 0.5 THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE) * 100, 6) AS water_coverage,
+  round(sum(p) / count(*), 6) AS avg_confidence,
+  sum(CASE WHEN p > 0.5 THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE) * 100 > {threshold} AS overflow_detected
+FROM scored GROUP BY key"""
+
+
+STATS = ("key", "water_coverage", "avg_confidence", "overflow_detected")
+
+
+@register("prediction_statistics", _stats_sql(80), ("pixels",))
+def _(spark, sf):
+    return s.prediction_stats(_scored(spark, sf)).select(*STATS)
+
+
+@register("prediction_statistics_60", _stats_sql(60), ("pixels",))
+def _(spark, sf):
+    return s.prediction_stats(_scored(spark, sf), threshold=60).select(*STATS)
+
+
+@register("scored_by_plugin", _stats_sql(80), ("pixels",))
+def _(spark, sf):
+    scored = scoring.score(fx.logit_maps(spark, sf), scoring.stored_logits, "logits", [64], "stored", batch=64)
+    return s.prediction_stats(scored).select(*STATS)
+
+
+OVERLAP = """
+, sides AS (
+  SELECT a.key, CASE WHEN a.p > 0.5 THEN 1 ELSE 0 END AS m, CASE WHEN b.x > 0 THEN 1 ELSE 0 END AS t, b.key IS NOT NULL AS known
+  FROM scored a LEFT JOIN pixels b ON b.key = a.key + 1 AND b.i = a.i),
+sums AS (
+  SELECT key, bool_and(known) AS known, CAST(sum(m * t) AS BIGINT) AS inter, CAST(sum(m) AS BIGINT) AS pm, CAST(sum(t) AS BIGINT) AS tm,
+    CAST(sum(CASE WHEN m = t THEN 1 ELSE 0 END) AS BIGINT) AS eq, count(*) AS px
+  FROM sides GROUP BY key),
+evaluated AS (
+  SELECT key, known AS has_ground_truth,
+    CASE WHEN known THEN CAST(2 * inter AS DOUBLE) / (CAST(pm + tm AS DOUBLE) + CAST(1e-8 AS DOUBLE)) END AS dice_score,
+    CASE WHEN known THEN CAST(inter AS DOUBLE) / (CAST(pm + tm - inter AS DOUBLE) + CAST(1e-8 AS DOUBLE)) END AS iou_score
+  FROM sums)
+"""
+
+
+@register(
+    "evaluate_images",
+    OVERLAP + "SELECT key, has_ground_truth, round(dice_score, 6) AS dice_score, round(iou_score, 6) AS iou_score FROM evaluated",
+    ("pixels",),
+)
+def _(spark, sf):
+    return s.evaluate_images(_with_truth(spark, sf)).select("key", "has_ground_truth", "dice_score", "iou_score")
+
+
+@register(
+    "evaluation_summary",
+    OVERLAP
+    + """SELECT count(*) AS images, count(CASE WHEN has_ground_truth THEN 1 END) AS images_with_truth,
+  round(avg(dice_score), 6) AS avg_dice, round(avg(iou_score), 6) AS avg_iou FROM evaluated""",
+    ("pixels",),
+)
+def _(spark, sf):
+    return s.evaluation_summary(s.evaluate_images(_with_truth(spark, sf)))
+
+
+@register(
+    "report_entries",
+    OVERLAP
+    + """, st AS (
+  SELECT key, sum(CASE WHEN p > 0.5 THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE) * 100 AS cover, sum(p) / count(*) AS conf FROM scored GROUP BY key)
+SELECT concat('img_', CAST(key AS VARCHAR)) AS image,
+  concat('Image: img_', CAST(key AS VARCHAR), chr(10), 'Water Coverage: ', printf('%.1f', cover), '%', chr(10), 'Avg Confidence: ', printf('%.3f', conf),
+    CASE WHEN has_ground_truth THEN concat(chr(10), 'Dice Score: ', printf('%.3f', dice_score), chr(10), 'IoU Score: ', printf('%.3f', iou_score)) ELSE '' END,
+    chr(10), repeat('-', 30)) AS text
+FROM evaluated JOIN st USING (key)""",
+    ("pixels",),
+)
+def _(spark, sf):
+    scored = s.prediction_stats(_with_truth(spark, sf))
+    image = F.concat(F.lit("img_"), F.col("key").cast("string"))
+    return s.report_rows(s.evaluate_images(scored).withColumn("image", image))
+
+
+@register(
+    "evaluate_batches",
+    OVERLAP
+    + """, batches AS (
+  SELECT (row_number() OVER (ORDER BY key) - 1) // 32 AS b, inter, pm, tm, eq, px FROM sums WHERE known),
+pooled AS (SELECT b, sum(inter) AS inter, sum(pm + tm) AS both_sides, sum(eq) AS eq, sum(px) AS px FROM batches GROUP BY b)
+SELECT CAST(sum(eq) AS BIGINT) AS correct, CAST(sum(px) AS BIGINT) AS pixels,
+  round(CAST(sum(eq) AS DOUBLE) / CAST(sum(px) AS DOUBLE) * 100, 6) AS accuracy_pct,
+  round(avg(CAST(2 * inter AS DOUBLE) / (CAST(both_sides AS DOUBLE) + CAST(1e-8 AS DOUBLE))), 6) AS dice FROM pooled""",
+    ("pixels",),
+)
+def _(spark, sf):
+    return s.evaluate_batches(_with_truth(spark, sf), "key")
+
+
+@register(
+    "binarised_masks",
+    """, grey AS (SELECT vec_id AS key, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x FROM embeddings)
+SELECT key, CAST(sum(CASE WHEN least(greatest(floor(CAST(x AS DOUBLE) * 400) + 128, 0), 255) > 127 THEN 1 ELSE 0 END) AS BIGINT) AS above_127,
+  CAST(sum(CASE WHEN least(greatest(floor(CAST(x AS DOUBLE) * 400) + 128, 0), 255) = 255 THEN 1 ELSE 0 END) AS BIGINT) AS equals_255
+FROM grey GROUP BY key""",
+    ("pixels",),
+)
+def _(spark, sf):
+    grey = F.transform("logits", _level)
+    return fx.logit_maps(spark, sf).select(
+        "key", *[px.ones(px.binarise(grey, rule)).alias(rule) for rule in ("above_127", "equals_255")]
+    )
+
+
+def _split(spark, sf):
+    return s.split_dataset(fx.table(spark, sf, "embeddings").select("vec_id"), "vec_id")
+
+
+@register(
+    "split_sizes",
+    """WITH n AS (SELECT count(*) AS n FROM embeddings),
+held AS (SELECT n, CAST(ceil(CAST(0.30000000000000004 AS DOUBLE) * n) AS BIGINT) AS h FROM n),
+cut AS (SELECT n, h, CAST(ceil(CAST(0.14 AS DOUBLE) / CAST(0.30000000000000004 AS DOUBLE) * h) AS BIGINT) AS t FROM held)
+SELECT 'train' AS part, n - h AS count FROM cut UNION ALL SELECT 'validation', h - t FROM cut UNION ALL SELECT 'test', t FROM cut""",
+)
+def _(spark, sf):
+    return _split(spark, sf).groupBy("part").agg(F.count("*").alias("count"))
+
+
+@register("split_members")
+def _(spark, sf):
+    return _split(spark, sf)
+
+
+@register(
+    "preprocessed_pixels",
+    PICTURE_SQL
+    + """, channels AS (
+  SELECT key, (i - 1) * 3 AS pos, greatest(v - 20, 0) AS c, CAST(0.485 AS DOUBLE) AS mean, CAST(0.229 AS DOUBLE) AS std FROM level
+  UNION ALL SELECT key, (i - 1) * 3 + 1, v, CAST(0.456 AS DOUBLE), CAST(0.224 AS DOUBLE) FROM level
+  UNION ALL SELECT key, (i - 1) * 3 + 2, least(v + 20, 255), CAST(0.406 AS DOUBLE), CAST(0.225 AS DOUBLE) FROM level)
+SELECT key, CAST(pos AS INT) AS pos, round((c / CAST(255 AS DOUBLE) - mean) / std, 4) AS value FROM channels""",
+    ("pixels",),
+)
+def _(spark, sf):
+    tensors = imaging.preprocess(_pictures(spark, sf), size=(8, 8))
+    return tensors.select("key", F.posexplode("tensor").alias("pos", "value")).withColumn(
+        "value", F.round(F.col("value").cast("double"), 4)
+    )
+
+
+@register(
+    "attached_truth",
+    """SELECT a.vec_id AS key, concat('img_', CAST(a.vec_id AS VARCHAR)) AS base,
+  CASE WHEN a.vec_id % 4 = 0 THEN concat('truth/img_', CAST(a.vec_id AS VARCHAR), '.png')
+       WHEN a.vec_id % 3 = 0 THEN concat('truth/img_', CAST(a.vec_id AS VARCHAR), '.bmp') END AS truth_path FROM embeddings a""",
+)
+def _(spark, sf):
+    """Every second image has a .png mask (every other one broken), every third a .bmp mask."""
+    base = F.concat(F.lit("img_"), F.col("key").cast("string"))
+    images = _pictures(spark, sf).select("key", base.alias("base"), "image")
+
+    def masks(step, ext, broken):
+        height = F.when(F.lit(broken) & (F.col("key") % 4 != 0), -1).otherwise(8)
+        return images.where(F.col("key") % step == 0).select(
+            F.concat(F.lit("truth/"), "base", F.lit(ext)).alias("path"),
+            "base",
+            F.col("image").withField("height", height).alias("image"),
+        )
+
+    both = masks(2, ".png", True).unionByName(masks(3, ".bmp", False))
+    return attach_truth(images, both).select("key", "base", "truth_path")
+
+
+@register("resized_back")
+def _(spark, sf):
+    """Probabilities of 4x4 maps brought back to the size of the 8x8 pictures, with statistics."""
+    small = _pictures(spark, sf).withColumns(
+        {"logits": F.slice("logits", 1, 16), "height": F.lit(4), "width": F.lit(4)}
+    )
+    back = imaging.resize_back(scoring.with_probabilities(small))
+    return s.prediction_stats(back).select(*STATS, "height", "width")
+
+
+@register("artefact_objects")
+def _(spark, sf):
+    scored = scoring.with_probabilities(_pictures(spark, sf))
+    named = scored.withColumn("filename", F.concat(F.lit("img_"), F.col("key").cast("string"), F.lit(".png")))
+    return imaging.artefacts(named, size=(8, 8)).select("key", "content_type", F.sha2("content", 256).alias("digest"))
+
+
+def _pairs(spark, sf):
+    truth = fx.truth_maps(spark, sf).select("key", px.binarise(F.col("truth")).alias("truth_mask"))
+    return scoring.with_probabilities(_pictures(spark, sf)).join(truth, "key", "left")
+
+
+@register("comparison_pictures")
+def _(spark, sf):
+    return imaging.composite(_pairs(spark, sf)).select("key", F.sha2("composite", 256).alias("digest"))
+
+
+@register("augmented_pictures")
+def _(spark, sf):
+    varied = imaging.augment(_pairs(spark, sf).where("truth_mask IS NOT NULL"), "key", copies=2)
+    return varied.select("key", "copy", F.xxhash64("pixels").alias("pixels"), F.xxhash64("truth_mask").alias("mask"))
+
+
+@register("denormalised_pixels")
+def _(spark, sf):
+    shown = imaging.denormalise(imaging.preprocess(_pictures(spark, sf), size=(8, 8)))
+    return shown.select("key", F.posexplode("pixels").alias("pos", "value"))

@@ -1 +1,105 @@
-"""Placeholder."""
+"""Chunks, rollup refresh, retention, and a stream of closed buckets."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from hydrolens.catalog.registry import register
+from hydrolens.functions.time import latest
+from hydrolens.plans import maintenance as mt
+from hydrolens.plans.prices import monthly_rollup
+from hydrolens.session import shared_dir, stage
+from hydrolens.sources import fixtures as fx
+from hydrolens.streaming import jobs
+
+OHLC = "round(CAST(close AS DOUBLE), 6) AS close, round(CAST(high AS DOUBLE), 6) AS high, round(CAST(low AS DOUBLE), 6) AS low, round(CAST(open AS DOUBLE), 6) AS open"
+MONTH = "CAST(date_trunc('month', date) AS DATE)"
+FIRST, LAST = "CAST(arg_min(close, date) AS DOUBLE)", "CAST(arg_max(close, date) AS DOUBLE)"
+
+
+def _fresh_path(spark, label):
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@register(
+    "refreshed_rollup",
+    f"""
+, r AS (SELECT {MONTH} AS month, count(*) AS trading_days, round(avg(close), 6) AS avg_close_price, round(CAST(max(high) AS DOUBLE), 6) AS month_high,
+  round(CAST(min(low) AS DOUBLE), 6) AS month_low, CAST(sum(volume) AS BIGINT) AS total_volume,
+  round(({LAST} - {FIRST}) / nullif({FIRST}, 0) * 100, 6) AS monthly_return_pct FROM stock GROUP BY 1),
+w AS (SELECT CAST(max(date) - INTERVAL '3 months' AS DATE) AS lo, CAST(max(date) - INTERVAL '1 day' AS DATE) AS hi FROM stock)
+SELECT month, trading_days, avg_close_price, month_high, month_low,
+  CASE WHEN month >= lo AND month + INTERVAL '1 month' <= hi THEN total_volume ELSE -total_volume END AS total_volume, monthly_return_pct
+FROM r, w""",
+    ("stock",),
+)
+def _(spark, sf):
+    """A stale rollup (volumes negated) whose months inside the refresh window become right again."""
+    base = stage(fx.stock(spark, sf), "prices")
+    stale = monthly_rollup(base).withColumn("total_volume", -F.col("total_volume"))
+    return mt.refreshed_rollup(stale, base, latest(base, "date"))
+
+
+@register(
+    "retained_prices",
+    f"""SELECT date, {OHLC}, volume FROM stock
+WHERE {MONTH} + INTERVAL '1 month' > (SELECT max(date) + INTERVAL '2 years' FROM stock) - INTERVAL '7 years'""",
+    ("stock",),
+)
+def _(spark, sf):
+    prices = fx.stock(spark, sf)
+    return mt.retained(prices, latest(prices, "date", plus="2 years"))
+
+
+@register(
+    "chunked_prices",
+    f"SELECT date, {OHLC}, volume FROM stock WHERE date BETWEEN DATE '1996-02-10' AND DATE '2001-03-20'",
+    ("stock",),
+)
+def _(spark, sf):
+    path = _fresh_path(spark, "chunks")
+    mt.write_chunked(fx.stock(spark, sf), path)
+    return mt.read_chunked(spark, path, ("1996-02-10", "2001-03-20"))
+
+
+@register(
+    "upserted_chunks",
+    f"""
+, fresh AS (SELECT date + 90 AS date, close, high, low, open, volume * 3 AS volume FROM stock)
+SELECT date, {OHLC}, volume
+FROM (SELECT * FROM stock WHERE date NOT IN (SELECT date FROM fresh) UNION ALL SELECT * FROM fresh)""",
+    ("stock",),
+)
+def _(spark, sf):
+    path = _fresh_path(spark, "chunks")
+    mt.write_chunked(fx.stock(spark, sf), path)
+    moved = mt.read_chunked(spark, path).withColumn("date", F.date_add("date", 90))
+    seq = spark.range(2, 4).withColumnRenamed("id", "seq")
+    updates = moved.crossJoin(seq).withColumn("volume", F.col("volume") * F.col("seq"))
+    mt.upsert_table(spark, path, updates, ["date"], ["seq"])
+    return mt.read_chunked(spark, path)
+
+
+@register(
+    "stream_closed_buckets",
+    """
+, edge AS (SELECT max(timestamp) - INTERVAL '10 minutes' AS mark FROM preds)
+SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS time, count(*) AS images,
+  round(avg(water_coverage_percent), 6) AS avg_water_coverage, round(max(water_coverage_percent), 6) AS max_water_coverage,
+  round(min(water_coverage_percent), 6) AS min_water_coverage, round(avg(confidence_score), 6) AS avg_confidence
+FROM preds, edge GROUP BY 1, mark HAVING time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' <= mark""",
+    ("preds",),
+)
+def _(spark, sf):
+    """The whole events table as a stream; buckets the watermark has passed, each written once."""
+    out, log = _fresh_path(spark, "buckets"), _fresh_path(spark, "bucket-log")
+    events = jobs.event_stream(spark, sf)
+    buckets = jobs.stream_buckets(events, "5 minutes", "10 minutes")
+    jobs.append_stream(buckets, out, log).awaitTermination()
+    return (
+        spark.read.parquet(out)
+        .select("time", "images", "avg_water_coverage", "max_water_coverage", "min_water_coverage", "avg_confidence")
+        .withColumn("time", F.col("time").cast("timestamp_ntz"))
+    )

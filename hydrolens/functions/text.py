@@ -85,6 +85,11 @@ def ipv4_number(ip: Column) -> Column:
     return F.when(F.rlike(ip, F.lit(rf"^{byte}(\.{byte}){{3}}$")), number)
 
 
+def fixed(value: Column, places: int) -> Column:
+    """A number as text with fixed places; exact ties go to the even digit, without separators."""
+    return F.replace(F.format_number(value.cast("double"), places), F.lit(","), F.lit(""))
+
+
 def size_text(size: Column) -> Column:
     """Bytes as short text, rounded half up; a unit is used below 10,240 of it."""
     out = F.when(size < 10240, F.concat(size.cast("string"), F.lit(" bytes")))

@@ -9,6 +9,7 @@ from hydrolens.functions.text import (
     client_ip,
     epoch_ms,
     extension,
+    fixed,
     ipv4_number,
     is_local_ip,
     iso_text,
@@ -97,7 +98,7 @@ def recent_uploads(log: DataFrame, sequence: str, n: int = 5) -> DataFrame:
             "filename",
             "success",
             F.date_format("timestamp", "HH:mm:ss").alias("timestamp"),
-            F.format_string("%.2f MB", F.col("file_size") / MB).alias("size"),
+            F.concat(fixed(F.col("file_size") / MB, 2), F.lit(" MB")).alias("size"),
             "file_size",
             "error",
         )

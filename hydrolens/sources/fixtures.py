@@ -14,7 +14,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").select(
+    return predictions_from(table(spark, folder, "events"))
+
+
+def predictions_from(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("ts").alias("timestamp"),
         F.col("event_id").alias("image_id"),
         F.concat(F.lit("overlay/img_"), F.col("event_id").cast("string"), F.lit(".png")).alias("image_url"),
