@@ -21,7 +21,10 @@ def _key(root: str):
 
 
 def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
-    """(key, size, last_modified) of all objects under a prefix. Contents are not read."""
+    """(key, size, last_modified) of all objects under a prefix. Contents are not read.
+
+    Spark's file listing leaves out empty objects and names that start with '_' or '.'.
+    """
     folder, _, rest = prefix.rpartition("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{_root(root)}/{folder}")
     listing = files.select(_key(root).alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"))
