@@ -4,31 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-HOT_SHARE = 0.02
+HOT_KEYS = 50
 HOT_ROWS = 1_000_000
 IP_BLOCK = 65536
 
 
-def lookup_join(
-    left: DataFrame, right: DataFrame, on: str, how: str = "left", hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "left", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left or inner join on one key, where `right` holds each key at most once.
 
-    Keys with more than `hot_share` of the left rows are found first; there are fewer than
-    1/hot_share of them, so their right rows are broadcast and their left rows never shuffle.
-    All other keys take the ordinary join. Rows without a key cannot match and stay in place too.
+    The most frequent left keys are found first: at most HOT_KEYS of them, each with `hot_rows`
+    rows or more. Their right rows, one per key, are broadcast and their left rows never shuffle.
+    Every other key holds less than 1/HOT_KEYS of the rows, or less than `hot_rows`, and takes the
+    ordinary join. Rows without a key cannot match and stay in place too.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"not a lookup join: {how}")
     counts = left.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n"))
-    heavy = (
-        counts.where((F.col("_n") >= hot_rows) & (F.col("_n") > counts.agg(F.sum("_n") * F.lit(hot_share)).scalar()))
-        .select(on)
-        .collect()
-    )
-    if not heavy:
+    top = counts.where(F.col("_n") >= hot_rows).orderBy(F.desc("_n")).limit(HOT_KEYS)
+    hot_keys = [row[0] for row in top.select(on).collect()]
+    if not hot_keys:
         return left.join(right, on, how)
-    hot_keys = [row[0] for row in heavy]
     hot = F.col(on).isNull() | F.col(on).isin(hot_keys)
     few = right.where(F.col(on).isin(hot_keys))  # at most one row per hot key
     return (
@@ -39,28 +34,28 @@ def lookup_join(
 
 
 def locate_numbers(points: DataFrame, ranges: DataFrame, number: str, payload: list[str]) -> DataFrame:
-    """Give each distinct 32-bit number the payload of the range [ip_from, ip_to] that holds it.
+    """Add `found` and the payload of the range [ip_from, ip_to] that holds each 32-bit number.
 
-    `ranges` must not overlap. Both sides are cut into blocks of 65,536 numbers, and inside a block
-    the last range that starts at or before a number is carried forward in order: one sort per
-    block, no pairing of points with ranges. A block cannot hold more than 65,536 distinct points
-    and as many ranges, whatever the traffic.
+    `points` are distinct and `ranges` do not overlap. Both sides are cut into blocks of 65,536
+    numbers, and inside a block the last range that starts at or before a number is carried forward
+    in order: one sort per block, no pairing of points with ranges. So a block holds no more than
+    65,536 numbers and as many ranges, whatever the traffic; points without a number are spread.
     """
-    start, end = F.col("ip_from"), F.col("ip_to")
-    block = F.floor(F.col(number) / IP_BLOCK)
-    numbers = points.select(number).where(F.col(number).isNotNull()).distinct()
+    start, end, at = F.col("ip_from"), F.col("ip_to"), F.col(number)
+    loose = -1 - F.pmod(F.xxhash64(*points.columns), F.lit(4096))
+    block = F.when(at.isNull(), loose).otherwise(F.floor(at / IP_BLOCK))
     pieces = ranges.select(
         F.struct(F.col("ip_to"), *payload).alias("_range"),
         start,
         F.explode(F.sequence(F.floor(start / IP_BLOCK), F.floor(end / IP_BLOCK))).alias("_block"),
     ).select("_block", F.greatest(start, F.col("_block") * IP_BLOCK).alias(number), "_range", F.lit(0).alias("_is_point"))
-    both = pieces.unionByName(
-        numbers.select(block.alias("_block"), number, F.lit(1).alias("_is_point")), allowMissingColumns=True
-    )
+    both = points.select("*", block.alias("_block"), F.lit(1).alias("_is_point")).unionByName(pieces, allowMissingColumns=True)
     order = Window.partitionBy("_block").orderBy(number, "_is_point").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("_range", F.last("_range", ignorenulls=True).over(order)).where("_is_point = 1")
-    inside = F.col(number) <= F.col("_range.ip_to")
-    return found.where(inside).select(number, *[F.col(f"_range.{c}").alias(c) for c in payload])
+    carried = both.withColumn("_range", F.last("_range", ignorenulls=True).over(order)).where("_is_point = 1")
+    inside = F.coalesce(at <= F.col("_range.ip_to"), F.lit(False))
+    return carried.select(
+        *points.columns, inside.alias("found"), *[F.when(inside, F.col(f"_range.{c}")).alias(c) for c in payload]
+    )
 
 
 def pair_by_name(left: DataFrame, right: DataFrame, on: str, on_missing: str = "fail") -> DataFrame:

@@ -1,12 +1,13 @@
 """Windows over one global order, without moving the table into one task.
 
 The dashboards use `OVER (ORDER BY ts)` with no partition key. Spark runs that in a single task.
-Here the order is cut into blocks at sampled boundaries; each block also receives the few slices
-that precede it, which hold at least `lookback` rows, so every frame that looks back at most
-`lookback` rows is complete inside its block. The received rows are dropped after the window.
+Here the order is cut into slices, whose sizes are counted, and runs of slices form blocks; each
+block also receives the few slices that precede it, which hold at least `lookback` rows, so every
+frame that looks back at most `lookback` rows is complete inside its block. The received rows are
+dropped after the window.
 
-Row placement is a pure function of the row's order key and of literals, so a recomputed task
-gives the same rows after an executor loss. Boundaries only steer balance, never results.
+Row placement is a pure function of the row's order key and of constants, so a recomputed task
+gives the same rows after an executor loss. Where the cuts lie steers balance, never results.
 """
 
 from __future__ import annotations
@@ -16,12 +17,14 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from hydrolens.session import parallelism, stage as stage_rows
 
 SLICES_PER_BLOCK = 16
 MAX_BLOCKS = 4096
+MIN_CELLS = 4096
+MIN_SLICE_ROWS = 64
 SAMPLES_PER_SLICE = 20
 _JSON = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -42,6 +45,11 @@ class Layout:
         return len(self.offsets)
 
 
+def _literal(values: list, kind: str) -> Column:
+    """A list as one constant, whatever its length."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
 def _order_key(order: list[str]) -> Column:
     """Comparable struct with NULLs last, in the sort order used below."""
     parts = []
@@ -54,25 +62,42 @@ def _sort(order: list[str]) -> list[Column]:
     return [F.asc_nulls_last(name) for name in order]
 
 
-def _boundaries(keys: DataFrame, rows: int, slices: int) -> Column:
-    """Sampled slice boundaries as a literal array; at most a few per slice reach the driver."""
+def _position(df: DataFrame, name: str) -> Column | None:
+    """A number that never falls as the column rises, for types that have a cheap one."""
+    kind, col = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.IntegralType):
+        return col.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        # By its fields, so that no time zone comes into it.
+        return (F.unix_date(col.cast("date")) * 24 + F.hour(col)) * 3600.0 + F.minute(col) * 60 + F.second(col)
+    return None
+
+
+def _boundaries(keys: DataFrame, rows: int, slices: int) -> tuple[Column, int]:
+    """Sampled slice boundaries as a constant array; at most a few per slice reach the driver."""
     wanted = slices * SAMPLES_PER_SLICE
     sample = keys if rows <= wanted else keys.sample(wanted / rows, seed=17)
     step = max(1, min(rows, wanted) // slices)
     picked = F.filter(F.sort_array(F.collect_list("key")), lambda _, i: i % step == step - 1)
-    text = sample.agg(F.to_json(F.array_distinct(picked), _JSON).alias("b")).first().b
-    return F.from_json(F.lit(text), f"array<{keys.schema['key'].dataType.simpleString()}>", _JSON)
+    row = sample.agg(F.array_distinct(picked).alias("b")).select(F.to_json("b", _JSON).alias("text"), F.size("b").alias("n")).first()
+    return F.from_json(F.lit(row.text), f"array<{keys.schema['key'].dataType.simpleString()}>", _JSON), row.n
 
 
-def _slice_id(key: Column, bounds: Column, slices: int) -> Column:
+def _rank(key: Column, bounds: Column, size: int) -> Column:
     """Number of boundaries at or below the key, by binary search."""
-    top = max(1, (4 * slices).bit_length())
-    steps = F.array(*[F.lit(1 << p) for p in reversed(range(top))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, jump: F.when(F.get(bounds, at + jump - 1) <= key, at + jump).otherwise(at),
-    )
+    steps = F.array(*[F.lit(1 << p) for p in reversed(range(max(1, size.bit_length())))])
+
+    def search(k: Column) -> Column:
+        return F.aggregate(
+            steps, F.lit(0), lambda at, jump: F.when(F.get(bounds, at + jump - 1) <= k, at + jump).otherwise(at)
+        )
+
+    # Through a one-element array, so that the key is built once and not at every step.
+    return F.get(F.transform(F.array(key), search), 0)
 
 
 def assign_targets(counts: dict[int, int], blocks: int, lookback: int) -> tuple[list[list[int]], list[int]]:
@@ -103,17 +128,58 @@ def assign_targets(counts: dict[int, int], blocks: int, lookback: int) -> tuple[
     return targets, offsets
 
 
+def _counts(df: DataFrame, *keys: Column) -> dict[tuple, int]:
+    named = [k.alias(f"k{i}") for i, k in enumerate(keys)]
+    return {tuple(r[:-1]): r.n for r in df.groupBy(*named).agg(F.count("*").alias("n")).collect()}
+
+
 def _layout(df: DataFrame, order: list[str], lookback: int, block_rows: int) -> Layout:
-    rows = df.select(*order).count()
-    blocks = min(MAX_BLOCKS, max(parallelism(df.sparkSession), -(-rows // block_rows)))
-    slices = blocks * SLICES_PER_BLOCK
-    keys = df.select(_order_key(order).alias("key"))
+    """Cut the order into slices of known size and the slices into blocks.
+
+    The first order column is laid on an even grid, which costs a little arithmetic per row. Grid
+    cells that hold too many rows (a busy hour, a third of the rows at one moment) are cut further
+    at boundaries sampled from the whole key.
+    """
+    position = _position(df, order[0])
+    ends = [F.min(position), F.max(position)] if position is not None else [F.lit(None), F.lit(None)]
+    rows, low, high = df.agg(F.count("*"), *ends).first()
     if rows == 0:
         return Layout(F.lit(0), [[0]], [0])
-    slice_id = _slice_id(_order_key(order), _boundaries(keys, rows, slices), slices)
-    counts = {r.s: r.n for r in df.groupBy(slice_id.alias("s")).agg(F.count("*").alias("n")).collect()}
-    targets, offsets = assign_targets(counts, blocks, lookback)
-    return Layout(slice_id, targets, offsets)
+    blocks = min(MAX_BLOCKS, max(parallelism(df.sparkSession), -(-rows // block_rows)))
+    cells = max(MIN_CELLS, blocks * SLICES_PER_BLOCK) if low is not None else 1
+    if low is None:
+        cell, counts = F.lit(0), {0: rows}
+    else:
+        width = (high - low) / cells or 1.0
+        cell = F.least(F.floor((position - low) / width), F.lit(cells - 1)).cast("int")
+        cell = F.when(F.col(order[0]).isNull(), cells).otherwise(cell)
+        counts = {k[0]: n for k, n in _counts(df, cell).items()}
+
+    limit = max(MIN_SLICE_ROWS, rows // (blocks * SLICES_PER_BLOCK // 2))
+    hot = sorted(c for c, n in counts.items() if n > limit)
+    if not hot:
+        return Layout(cell, *assign_targets(counts, blocks, lookback))
+
+    hot_rows = sum(counts[c] for c in hot)
+    is_hot = F.get(_literal([c in set(hot) for c in range(cells + 1)], "array<boolean>"), cell)
+    key, crowded = _order_key(order), df.where(is_hot)
+    bounds, size = _boundaries(crowded.select(key.alias("key")), hot_rows, max(2, 2 * hot_rows // limit))
+    rank = _rank(key, bounds, size)
+    # Ranks rise with the key, so those of one cell are a run of numbers, and the runs do not cross.
+    parts = _counts(crowded, cell, rank)
+    runs: dict[int, tuple[int, int]] = {}
+    for c, r in sorted(parts):
+        runs[c] = (runs.get(c, (r, r))[0], r)
+    starts, sizes, at = [], {}, 0
+    for c in range(cells + 1):
+        first, last = runs.get(c, (0, 0))
+        starts.append(at - first)
+        for r in range(first, last + 1):
+            sizes[at] = parts.get((c, r), 0) if c in runs else counts.get(c, 0)
+            at += 1
+    start = F.get(_literal(starts, "array<int>"), cell)
+    slice_id = start + F.when(is_hot, rank).otherwise(0)
+    return Layout(slice_id, *assign_targets(sizes, blocks, lookback))
 
 
 def ordered_window(
@@ -136,7 +202,7 @@ def ordered_window(
     df = stage_rows(df, "ordered") if staged else df
     full = [*(series or []), *order]
     plan = _layout(df, full, lookback, block_rows)
-    targets = F.from_json(F.lit(json.dumps(plan.targets)), "array<array<int>>")
+    targets = _literal(plan.targets, "array<array<int>>")
     placed = (
         df.withColumn("_slice", plan.slice_id)
         .select("*", F.posexplode(F.get(targets, F.col("_slice"))).alias("_copy", "_block"))
@@ -158,8 +224,8 @@ def dense_index(
     """Add a gap-free 0-based position in the global order."""
     df = stage_rows(df, "indexed") if staged else df
     plan = _layout(df, order, 0, block_rows)
-    own = F.from_json(F.lit(json.dumps([t[0] for t in plan.targets])), "array<int>")
-    offsets = F.from_json(F.lit(json.dumps(plan.offsets)), "array<bigint>")
+    own = _literal([t[0] for t in plan.targets], "array<int>")
+    offsets = _literal(plan.offsets, "array<bigint>")
     spec = Window.partitionBy("_block").orderBy(*_sort(order))
     return (
         df.withColumn("_block", F.get(own, plan.slice_id))

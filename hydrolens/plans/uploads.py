@@ -59,23 +59,25 @@ def build_messages(uploads: DataFrame) -> DataFrame:
 def enrich_location(uploads: DataFrame, ranges: DataFrame) -> DataFrame:
     """Add ip, country, region, city, lat, lon from the client's address.
 
-    Distinct addresses are located once; the result is joined back as a lookup, so an address
+    Distinct addresses are resolved once; the result is joined back as a lookup, so an address
     with a large share of the traffic costs no more than any other.
     """
-    fields = list(UNKNOWN)
-    rows = uploads.withColumn("_ip", client_ip(F.col("x_forwarded_for"), F.col("client_host")))
-    local = is_local_ip(F.col("_ip"))
-    rows = rows.withColumn("_number", F.when(~local, ipv4_number(F.col("_ip"))))
-    hits = locate_numbers(rows, ranges, "_number", fields).withColumn("_hit", F.lit(True))
-    hits = hits.withColumnsRenamed({c: f"_{c}" for c in fields})
-    joined = lookup_join(rows, hits, "_number")
+    rows = uploads.withColumn("_address", client_ip(F.col("x_forwarded_for"), F.col("client_host")))
+    found = resolve_addresses(rows.select("_address").distinct(), ranges, "_address")
+    return lookup_join(rows, found, "_address").select(*uploads.columns, "ip", *UNKNOWN)
+
+
+def resolve_addresses(addresses: DataFrame, ranges: DataFrame, address: str) -> DataFrame:
+    """One location record per distinct address: local, found in the ranges, or unknown."""
+    local = is_local_ip(F.col(address))
+    numbered = addresses.select(address, local.alias("_local"), F.when(~local, ipv4_number(F.col(address))).alias("_number"))
+    located = locate_numbers(numbered, ranges, "_number", list(UNKNOWN))
 
     def pick(name: str) -> Column:
-        found = F.coalesce(F.col(f"_{name}"), F.lit(UNKNOWN[name]))
-        return F.when(local, F.lit(LOCAL[name])).when(F.col("_hit"), found).otherwise(F.lit(UNKNOWN[name])).alias(name)
+        return F.when(F.col("_local"), F.lit(LOCAL[name])).otherwise(F.coalesce(name, F.lit(UNKNOWN[name]))).alias(name)
 
-    ip = F.when(local | F.col("_hit"), F.col("_ip")).otherwise(UNKNOWN_IP).alias("ip")
-    return joined.select(*uploads.columns, ip, *[pick(c) for c in fields])
+    ip = F.when(F.col("_local") | F.col("found"), F.col(address)).otherwise(UNKNOWN_IP).alias("ip")
+    return located.select(address, ip, *[pick(c) for c in UNKNOWN])
 
 
 def upload_statistics(log: DataFrame) -> DataFrame:

@@ -112,9 +112,9 @@ def test_locations_against_brute_force(spark):
     cuts = sorted(rng.sample(range(1 << 32), 120) + [0, 65535, 65536, (1 << 32) - 1])
     ranges = [(a, b - 1, f"r{i}") for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if i % 3]
     points = [rng.randrange(1 << 32) for _ in range(400)] + [a for a, _, _ in ranges] + [b for _, b, _ in ranges]
-    df = spark.createDataFrame([(x,) for x in points + [None]], "n bigint")
-    got = {r.n: r.name for r in locate_numbers(df, spark.createDataFrame(ranges, "ip_from bigint, ip_to bigint, name string"), "n", ["name"]).collect()}
-    want = {x: name for x in points for a, b, name in ranges if a <= x <= b}
+    df = spark.createDataFrame([(x,) for x in {*points, None}], "n bigint")
+    got = {r.n: (r.name, r.found) for r in locate_numbers(df, spark.createDataFrame(ranges, "ip_from bigint, ip_to bigint, name string"), "n", ["name"]).collect()}
+    want = {x: next(((name, True) for a, b, name in ranges if x is not None and a <= x <= b), (None, False)) for x in [*points, None]}
     assert got == want
 
 
