@@ -232,7 +232,7 @@ def _(spark, sf):
 def _(spark, sf):
     scored = scoring.with_probabilities(_pictures(spark, sf))
     named = scored.withColumn("filename", F.concat(F.lit("img_"), F.col("key").cast("string"), F.lit(".png")))
-    return imaging.artefacts(named, size=(8, 8)).select("key", "content_type", F.sha2("content", 256).alias("digest"))
+    return imaging.artefact_objects(imaging.draw_artefacts(named, (8, 8))).select("key", "content_type", F.sha2("content", 256).alias("digest"))
 
 
 def _pairs(spark, sf):

@@ -80,13 +80,17 @@ def resize_back(scored: DataFrame, rethreshold: bool = False) -> DataFrame:
     )
 
 
-def artefacts(scored: DataFrame, name: str = "filename", size=LIVE_SIZE) -> DataFrame:
-    """Four PNG objects per image: (key, content, content_type).
+# The folders of the four artefacts.
+ARTEFACTS = ("originals", "predictions", "confidence_maps", "overlay")
 
-    originals/ the image at model size, predictions/ the mask, confidence_maps/ the probabilities,
-    overlay/ 40 % green over the water. Mask and probabilities have that size.
+
+def draw_artefacts(scored: DataFrame, size=LIVE_SIZE, name: str = "png") -> DataFrame:
+    """Add the four PNG pictures of an image as one struct.
+
+    originals: the image at model size; predictions: the mask; confidence_maps: the probabilities;
+    overlay: 40 % green over the water. Mask and probabilities have that size.
     """
-    kinds = T.StructType([T.StructField(k, T.BinaryType()) for k in ("originals", "predictions", "confidence_maps", "overlay")])
+    kinds = T.StructType([T.StructField(k, T.BinaryType()) for k in ARTEFACTS])
 
     @F.pandas_udf(kinds)
     def draw(image: pd.DataFrame, p: pd.Series, m: pd.Series) -> pd.DataFrame:
@@ -105,8 +109,12 @@ def artefacts(scored: DataFrame, name: str = "filename", size=LIVE_SIZE) -> Data
             )
         return pd.DataFrame(rows, columns=kinds.names)
 
-    drawn = scored.withColumn("_png", draw("image", "probabilities", "mask"))
-    items = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"_png.{k}").alias("content")) for k in kinds.names])
+    return scored.withColumn(name, draw("image", "probabilities", "mask"))
+
+
+def artefact_objects(drawn: DataFrame, name: str = "filename", png: str = "png") -> DataFrame:
+    """One object per picture: (key, content, content_type), the key made of folder and file name."""
+    items = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{png}.{k}").alias("content")) for k in ARTEFACTS])
     return (
         drawn.select(F.col(name).alias("_name"), F.explode(items).alias("_item"))
         .where("_item.content IS NOT NULL")
@@ -158,6 +166,34 @@ def composite(df: DataFrame, style: str = "comparison", name: str = "composite")
     return df.withColumn(name, draw("image", "mask", truth))
 
 
+def result_pictures(df: DataFrame, base: str = "base") -> DataFrame:
+    """Objects of the batch path: {base}_mask.png, {base}_confidence.png, and {base}_comparison.png
+    for an image with truth or {base}_overlay.png for one without."""
+    kinds = T.StructType([T.StructField(k, T.BinaryType()) for k in ("mask", "confidence")])
+
+    @F.pandas_udf(kinds)
+    def draw(p: pd.Series, m: pd.Series, h: pd.Series, w: pd.Series) -> pd.DataFrame:
+        rows = [
+            (
+                raster.png(_grid(bits, height, width, np.uint8) * 255),
+                raster.png((_grid(probs, height, width, np.float32) * 255).astype(np.uint8)),
+            )
+            for probs, bits, height, width in zip(p, m, h, w)
+        ]
+        return pd.DataFrame(rows, columns=kinds.names)
+
+    known = F.col("truth_mask").isNotNull() if "truth_mask" in df.columns else F.lit(False)
+    drawn = composite(df.withColumn("_png", draw("probabilities", "mask", "height", "width")))
+    items = F.array(
+        F.struct(F.lit("_mask.png").alias("kind"), F.col("_png.mask").alias("content")),
+        F.struct(F.lit("_confidence.png").alias("kind"), F.col("_png.confidence").alias("content")),
+        F.struct(F.when(known, "_comparison.png").otherwise("_overlay.png").alias("kind"), F.col("composite").alias("content")),
+    )
+    return drawn.select(F.col(base).alias("_base"), F.explode(items).alias("_item")).select(
+        F.concat("_base", "_item.kind").alias("key"), F.col("_item.content").alias("content")
+    )
+
+
 def truth_mask(df: DataFrame, rule: str = "above_127", name: str = "truth_mask") -> DataFrame:
     """Add the 0/1 mask of `truth`, resized to `image`; NULL without truth."""
 

@@ -14,7 +14,7 @@ from hydrolens.functions.text import size_text
 from hydrolens.functions.time import Moment, Range, ago, in_range, moment
 from hydrolens.operators.upsert import upsert_rows
 from hydrolens.plans.prices import monthly_rollup
-from hydrolens.session import stage
+from hydrolens.session import delete_path, staging
 
 MONTH = "month"
 
@@ -57,19 +57,21 @@ def chunks(spark: SparkSession, path: str) -> list[date]:
 
 def _replace_chunks(df: DataFrame, path: str) -> None:
     """Overwrite just the chunks that occur in `df` (already staged, so not read from `path`)."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+    writer.partitionBy(MONTH).parquet(path)
 
 
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: list[str], time: str = "date") -> list[date]:
     """Upsert into a chunked table, rewriting only the months the updates touch."""
     if time not in keys:
         raise ValueError("the key must contain the time column, which decides the chunk")
-    fresh = stage(updates.withColumn(MONTH, _month(time)), "updates")
-    months = sorted(r[MONTH] for r in fresh.select(MONTH).distinct().collect())
-    table = _chunk_schema(spark, path)
-    touched = table.where(F.col(MONTH).isin(months)) if months else table.limit(0)
-    merged = stage(upsert_rows(touched, fresh, [*keys, MONTH], sequence), "merged")
-    _replace_chunks(_by_chunk(merged, F.col(time)), path)
+    with staging(spark) as keep:
+        fresh = keep(updates.withColumn(MONTH, _month(time)), "updates")
+        months = sorted(r[MONTH] for r in fresh.select(MONTH).distinct().collect())
+        if months:
+            touched = _chunk_schema(spark, path).where(F.col(MONTH).isin(months))
+            merged = keep(upsert_rows(touched, fresh, [*keys, MONTH], sequence), "merged")
+            _replace_chunks(_by_chunk(merged, F.col(time)), path)
     return months
 
 
@@ -97,7 +99,9 @@ def refreshed_rollup(rollup: DataFrame, base: DataFrame, as_of: Moment, start: s
 
 def refresh_rollup(spark: SparkSession, base: DataFrame, path: str, as_of: Moment, start: str = "3 months", end: str = "1 day") -> None:
     """Refresh the stored rollup. It has one row per month, so it is rewritten as one small file."""
-    stage(refreshed_rollup(spark.read.parquet(path), base, as_of, start, end), "rollup").coalesce(1).write.mode("overwrite").parquet(path)
+    with staging(spark) as keep:
+        fresh = keep(refreshed_rollup(spark.read.parquet(path), base, as_of, start, end), "rollup")
+        fresh.coalesce(1).write.mode("overwrite").parquet(path)
 
 
 # --- retention, compaction ---------------------------------------------------------------------
@@ -120,12 +124,9 @@ def _old_chunks(spark: SparkSession, path: str, as_of: Moment, age: str) -> list
 
 def retain(spark: SparkSession, path: str, as_of: Moment, age: str = "7 years") -> list[date]:
     """Drop chunks that lie wholly before `as_of - age`; returns their months."""
-    from hydrolens.sources.objects import open_root
-
     old = _old_chunks(spark, path, as_of, age)
-    store, base = open_root(path)
     for month in old:
-        store.delete_dir(f"{base}/{MONTH}={month.isoformat()}")
+        delete_path(spark, f"{path}/{MONTH}={month.isoformat()}")
     spark.catalog.refreshByPath(path)
     return old
 
@@ -139,10 +140,9 @@ def compact(
     """
     months = [m for m in _old_chunks(spark, path, as_of, age) if m not in set(done)]
     if months:
-        rows = stage(_by_chunk(_chunk_schema(spark, path).where(F.col(MONTH).isin(months)), F.desc(time)), "compacted")
-        # Gather once more on the way back: reading the copy may have split or joined its files.
-        writer = _by_chunk(rows, F.desc(time)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.option("compression", "zstd").partitionBy(MONTH).parquet(path)
+        with staging(spark) as keep:
+            rows = keep(_chunk_schema(spark, path).where(F.col(MONTH).isin(months)), "compacted")
+            _replace_chunks(_by_chunk(rows, F.desc(time)), path)
         spark.catalog.refreshByPath(path)
     return months
 

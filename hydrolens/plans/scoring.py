@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hydrolens.functions import pixels as px
 from hydrolens.functions.bands import overflow
 from hydrolens.functions.text import fixed
+from hydrolens.operators.imaging import BATCH_SIZE, preprocess, resize_back, result_pictures, truth_mask
 from hydrolens.operators.ordered import dense_index
+from hydrolens.operators.scoring import Factory, score
+from hydrolens.session import staging
+from hydrolens.sources.images import attach_truth, read_images
+from hydrolens.sources.objects import write_objects
 
 
 def prediction_stats(scored: DataFrame, threshold: float = 80) -> DataFrame:
@@ -136,3 +141,37 @@ def write_report(results: DataFrame, path: str) -> None:
     evaluation_summary(stored).write.mode("overwrite").parquet(f"{path}/summary")
     entries = report_rows(stored).select("text", "image").unionByName(report_head(stored).withColumn("image", F.lit(None)))
     entries.orderBy(F.asc_nulls_first("image")).select("text").write.mode("overwrite").text(f"{path}/report")
+
+
+def score_folder(
+    spark: SparkSession,
+    folder: str,
+    output: str,
+    factory: Factory,
+    masks: str | None = None,
+    size: tuple[int, int] = BATCH_SIZE,
+    model: str = "model",
+) -> DataFrame:
+    """Batch scoring: pictures and a report for every readable image of a folder.
+
+    Results are brought back to each image's own size before the statistics. Truth, where a mask of
+    the same base name exists, adds Dice and IoU. Pictures go to `output`, the report below
+    `output`/summary. Returns the per-image results.
+    """
+    height, width = size
+    tensors = preprocess(read_images(spark, folder, valid_only=True), size)
+    scored = score(tensors, factory, "tensor", [height, width, 3], model).drop("tensor", "logits")
+    back = resize_back(scored.withColumns({"height": F.lit(height), "width": F.lit(width)}))
+    if masks:
+        back = truth_mask(attach_truth(back, read_images(spark, masks)))
+    else:
+        back = back.withColumn("truth_mask", F.lit(None).cast("array<tinyint>"))
+    with staging(spark) as keep:
+        # The model runs once; pictures and metrics both read the stored result.
+        ready = keep(prediction_stats(back), "scored")
+        write_objects(result_pictures(ready), output)
+        results = evaluate_images(ready).select(
+            F.col("base").alias("image"), "water_coverage", "avg_confidence", "dice_score", "iou_score", "has_ground_truth"
+        )
+        write_report(results, f"{output}/summary")
+    return spark.read.parquet(f"{output}/summary/results")

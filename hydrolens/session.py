@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,17 +45,42 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     Used where several passes need the same derived rows: lineage is cut, an executor loss costs
-    a re-read instead of a recompute, and the passes still prune columns.
+    a re-read instead of a recompute, and the passes still prune columns. The copy stays, since
+    the returned frame is lazy; jobs that know their end use `staging`.
     """
-    path = os.path.join(shared_dir(df.sparkSession), f"{label}-{uuid.uuid4().hex}")
+    path = path or stage_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_path(spark: SparkSession, label: str) -> str:
+    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """`stage` for the length of a job: the copies go when it has succeeded, and stay when it failed."""
+    paths: list[str] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        paths.append(stage_path(spark, label))
+        return stage(df, path=paths[-1])
+
+    yield keep
+    for path in paths:
+        delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lives."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Tasks to aim for: the cores of the cluster or the shuffle setting, whichever is smaller."""
     return max(1, min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))

@@ -12,13 +12,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hydrolens.functions.shapes import as_shape
-from hydrolens.operators.imaging import LIVE_SIZE, artefacts, preprocess
+from hydrolens.operators.imaging import LIVE_SIZE, artefact_objects, draw_artefacts, preprocess
 from hydrolens.operators.lookup import lookup_join
 from hydrolens.operators.scoring import Factory, score
 from hydrolens.operators.upsert import latest_per_key
 from hydrolens.plans.scoring import prediction_stats
 from hydrolens.schemas import PREDICTIONS
-from hydrolens.session import stage
+from hydrolens.session import staging
 from hydrolens.sources import fixtures
 from hydrolens.sources.images import read_images
 from hydrolens.sources.messages import normalise_messages
@@ -72,11 +72,11 @@ def run_raw_sink(messages: DataFrame, root: str, passed_on: str, checkpoint: str
     """Store inline images as objects `images/{filename}` and pass every message on."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        rows = stage(normalise_messages(batch), "raw")
-        inline = rows.where("error IS NULL AND content IS NOT NULL")
-        newest = _newest_per_file(inline)
-        write_objects(newest.select(F.concat_ws("/", F.lit(prefix), "filename").alias("key"), "content"), root)
-        idempotent_append(rows.drop("content"), passed_on, batch_id)
+        with staging(batch.sparkSession) as keep:
+            rows = keep(normalise_messages(batch), "raw")
+            newest = _newest_per_file(rows.where("error IS NULL AND content IS NOT NULL"))
+            write_objects(newest.select(F.concat_ws("/", F.lit(prefix), "filename").alias("key"), "content"), root)
+            idempotent_append(rows.drop("content"), passed_on, batch_id)
 
     return each_batch(messages, work, checkpoint, trigger)
 
@@ -107,83 +107,85 @@ def run_scoring(messages: DataFrame, conf: Scoring, checkpoint: str):
 def score_batch(batch: DataFrame, batch_id: int, conf: Scoring) -> None:
     """One micro-batch. Artefacts are written first, result rows last; both can be repeated.
 
-    An image is read and scored once however many messages point at it. Records that cannot be
-    used go to the error table and never stop the stream.
+    An image is read, scored and drawn once however many messages point at it. Records that cannot
+    be used go to the error table and never stop the stream.
     """
-    spark = batch.sparkSession
-    rows = stage(normalise_messages(batch), "messages")
-    good, bad = split_errors(rows)
-
-    # Inline images become objects, so that both forms go on by key.
-    inline = F.concat_ws("/", F.lit(conf.images_prefix), "filename")
-    newest = _newest_per_file(good.where("content IS NOT NULL"))
-    write_objects(newest.select(inline.alias("key"), "content"), conf.root)
-    linked = good.withColumn("key", F.when(F.col("content").isNotNull(), inline).otherwise(F.col("image_link"))).drop("content")
-
-    scored = stage(score_objects(spark, linked, conf), "scored")
-    drawn = scored.where("error IS NULL")
-    # Artefacts are named after the file; of several images with one name the last key wins.
-    named = latest_per_key(
-        linked.join(drawn.select("key"), "key").select("filename", "key", "event_time", "source_id"),
-        ["filename"],
-        ["event_time", "source_id"],
-    )
-    write_objects(artefacts(named.select("filename", "key").join(drawn, "key"), size=conf.size), conf.root)
-
-    stats = scored.select("key", "water_coverage", "avg_confidence", "overflow_detected", "model_name", F.col("error").alias("_error"))
-    joined = lookup_join(linked, stats, "key")
-    failed = joined.where("_error IS NOT NULL").select(*linked.columns, F.col("_error").alias("error"))
-    idempotent_append(
-        bad.drop("content").unionByName(failed.drop("key")).select("source_id", "filename", "image_link", "date", "error"),
-        conf.errors,
-        batch_id,
-    )
-    done = joined.where("_error IS NULL").withColumn("timestamp", F.col("event_time").cast("timestamp_ntz"))
-    canonical = done.select(
+    with staging(batch.sparkSession) as keep:
+        rows = keep(normalise_messages(batch), "messages")
+        good, bad = split_errors(rows)
+
+        # Inline images become objects, so that both forms go on by key.
+        inline = F.concat_ws("/", F.lit(conf.images_prefix), "filename")
+        newest = _newest_per_file(good.where("content IS NOT NULL"))
+        write_objects(newest.select(inline.alias("key"), "content"), conf.root)
+        key = F.when(F.col("content").isNotNull(), inline).otherwise(F.col("image_link"))
+        linked = good.withColumn("key", key).drop("content")
+
+        known = keep(existing_objects(linked, conf.root), "objects")
+        scored = keep(score_objects(known, conf), "scored")
+        stats = scored.drop("png")
+
+        # Artefacts are named after the file; of several images with one name the newest wins.
+        drawn = scored.where("error IS NULL").select("key", "png")
+        named = lookup_join(linked, drawn.select("key"), "key", "inner")
+        named = latest_per_key(
+            named.select("filename", "key", "event_time", "source_id"), ["filename"], ["event_time", "source_id"]
+        )
+        write_objects(artefact_objects(lookup_join(named, drawn, "key", "inner")), conf.root)
+
+        joined = keep(lookup_join(linked, stats.withColumnRenamed("error", "_error"), "key"), "joined")
+        failed = joined.where("_error IS NOT NULL").withColumn("error", F.col("_error"))
+        told = ["source_id", "filename", "image_link", "date", "error"]
+        idempotent_append(bad.select(*told).unionByName(failed.select(*told)), conf.errors, batch_id)
+        idempotent_append(_result_rows(joined.where("_error IS NULL")), conf.results, batch_id)
+
+
+def _result_rows(done: DataFrame) -> DataFrame:
+    """Canonical prediction rows with the identity of their message."""
+    rows = done.withColumn("timestamp", F.col("event_time").cast("timestamp_ntz"))
+    return rows.select(
         "source_id",
-        *[F.col(f.name).cast(f.dataType) if f.name in done.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in PREDICTIONS.fields],
+        *[
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in PREDICTIONS.fields
+        ],
     )
-    idempotent_append(canonical, conf.results, batch_id)
 
 
-def score_objects(spark: SparkSession, linked: DataFrame, conf: Scoring) -> DataFrame:
-    """Score each distinct object: key, image, probabilities, mask, statistics, error.
+SCORED = (
+    "key string, model_name string, water_coverage double, avg_confidence double, overflow_detected boolean, "
+    "png struct<originals binary, predictions binary, confidence_maps binary, overlay binary>, error string"
+)
+
+
+def score_objects(known: DataFrame, conf: Scoring) -> DataFrame:
+    """Score and draw each object of `known` (key, found): the columns of SCORED, one row per key.
 
     Only the paths of this batch are read. They pass the driver as text, at most one per message
     of the batch, which the trigger bounds (maxOffsetsPerTrigger, maxFilesPerTrigger); image bytes
     stay on the executors.
     """
-    known = stage(existing_objects(linked, conf.root), "objects")
-    root = conf.root.rstrip("/")
-    paths = [f"{root}/{r.key}" for r in known.where("found").select("key").collect()]
+    spark, root = known.sparkSession, conf.root.rstrip("/")
+    nothing = spark.createDataFrame([], SCORED)
     lost = known.where("NOT found").select("key", F.lit("missing object").alias("error"))
+    paths = [f"{root}/{r.key}" for r in known.where("found").select("key").collect()]
     if not paths:
-        empty = "key string, image struct<origin string, height int, width int, nChannels int, mode int, data binary>, " + (
-            "probabilities array<double>, mask array<tinyint>, model_name string, water_coverage double, "
-            "avg_confidence double, overflow_detected boolean, error string"
-        )
-        return spark.createDataFrame([], empty).unionByName(lost, allowMissingColumns=True)
+        return nothing.unionByName(lost, allowMissingColumns=True)
     bare = root.split("://")[-1]
     images = read_images(spark, paths, types=["*"], case="lower").select(
         F.substr("path", F.instr("path", bare) + F.lit(len(bare) + 1)).alias("key"), "image"
     )
-    valid = images.where("image.height > 0")
-    height, width = conf.size
-    scored = prediction_stats(
-        score(preprocess(valid, conf.size), conf.factory, "tensor", [height, width, 3], conf.model), conf.threshold
-    )
+    tensors = preprocess(images.where("image.height > 0"), conf.size)
+    scored = prediction_stats(score(tensors, conf.factory, "tensor", [*conf.size, 3], conf.model), conf.threshold)
+    drawn = draw_artefacts(scored, conf.size).withColumn("error", F.lit(None).cast("string"))
     broken = images.where("image.height <= 0").select("key", F.lit("undecodable image").alias("error"))
-    return (
-        scored.drop("tensor", "logits")
-        .withColumn("error", F.lit(None).cast("string"))
-        .unionByName(broken.unionByName(lost), allowMissingColumns=True)
-    )
+    return drawn.select(*nothing.columns).unionByName(broken.unionByName(lost), allowMissingColumns=True)
 
 
 def linked_contents(messages: DataFrame, root: str) -> DataFrame:
-    """Messages with the bytes of their object, for jobs that need the raw file."""
-    found = fetch_objects(messages, root, "image_link").withColumnsRenamed({"key": "image_link", "content": "object"})
-    return messages.join(found, "image_link", "left")
+    """Messages with the bytes of their object, or why there are none, for jobs that need the raw file."""
+    found = fetch_objects(messages, root, "image_link")
+    return messages.join(found.withColumnsRenamed({"key": "image_link", "content": "object", "error": "object_error"}), "image_link", "left")
 
 
 def live_rows(results: DataFrame) -> DataFrame:

@@ -143,7 +143,7 @@ def test_resize_back(spark, folder):
 def test_artefacts(spark, folder):
     df = scored_frame(spark, folder, (6, 8)).where("name = 'one.png'")
     row = df.first()
-    out = {r.key: (decode(bytes(r.content)), r.content_type) for r in imaging.artefacts(df, "name", size=(6, 8)).collect()}
+    out = {r.key: (decode(bytes(r.content)), r.content_type) for r in imaging.artefact_objects(imaging.draw_artefacts(df, (6, 8)), "name").collect()}
     assert set(out) == {f"{k}/one.png" for k in ("originals", "predictions", "confidence_maps", "overlay")}
     image, mask = picture(6, 8, 1), np.array(row["mask"]).reshape(6, 8)
     assert np.array_equal(out["originals/one.png"][0], image)
@@ -311,3 +311,25 @@ def test_report(spark, tmp_path):
     s.write_report(df.where("NOT has_ground_truth"), str(tmp_path / "q"))
     text = "".join(open(p).read() for p in sorted(map(str, (tmp_path / "q" / "report").glob("*.txt"))))
     assert "Overall" not in text
+
+
+def test_folder_scoring(spark, tmp_path):
+    dark, half = np.full((6, 4, 3), 2, np.uint8), np.full((4, 4, 3), 2, np.uint8)
+    half[:, 2:] = 250
+    write_png(f"{tmp_path}/in/dark.png", dark)
+    write_png(f"{tmp_path}/in/half.PNG", half)
+    with open(f"{tmp_path}/in/broken.bmp", "wb") as out:
+        out.write(b"broken")
+    write_png(f"{tmp_path}/masks/half.bmp", (half[:, :, 0] > 100).astype(np.uint8) * 255)
+    results = s.score_folder(
+        spark, f"{tmp_path}/in", f"{tmp_path}/out", scoring.pixel_scorer([1.0, 1.0, 1.0], 0.0), f"{tmp_path}/masks", size=(4, 4)
+    )
+    got = {r.image: r for r in results.collect()}
+    assert set(got) == {"dark", "half"}
+    assert got["dark"].water_coverage == 0 and not got["dark"].has_ground_truth
+    assert got["half"].water_coverage == 50 and abs(got["half"].dice_score - 1) < 1e-8 and abs(got["half"].iou_score - 1) < 1e-8
+    names = {f for f in os.listdir(tmp_path / "out") if f.endswith(".png")}
+    assert names == {"dark_mask.png", "dark_confidence.png", "dark_overlay.png", "half_mask.png", "half_confidence.png", "half_comparison.png"}
+    assert decode((tmp_path / "out" / "dark_mask.png").read_bytes()).shape == (6, 4)
+    mask = decode((tmp_path / "out" / "half_mask.png").read_bytes())
+    assert np.array_equal(mask, (half[:, :, 0] > 100) * 255)

@@ -104,6 +104,28 @@ def test_replayed_batch_changes_nothing(spark, tmp_path, conf):
     assert spark.read.parquet(conf.errors).count() == 1
 
 
+def test_many_files_of_one_object_and_contents(spark, tmp_path, conf):
+    write_png(f"{conf.root}/uploads/1_x.png", image(250))
+    put_lines(str(tmp_path / "in"), "a.json", [linked(f"f{i}.png", "uploads/1_x.png") for i in range(20)] + [linked("g", "uploads/gone")])
+    results, errors = run(spark, tmp_path, conf)
+    assert results.count() == 20 and len(os.listdir(f"{conf.root}/overlay")) == 20 and errors.count() == 1
+    from hydrolens.sources.messages import parse_messages
+
+    messages = normalise_messages(parse_messages(spark.read.text(str(tmp_path / "in"))))
+    found = jobs.linked_contents(messages, conf.root).collect()
+    assert sum(r.object is not None for r in found) == 20 and sum(r.object_error is not None for r in found) == 1
+
+
+def test_nothing_staged_is_left(spark, tmp_path, conf):
+    from hydrolens.session import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    put_lines(str(tmp_path / "in"), "a.json", [inline("x.png", 250)])
+    run(spark, tmp_path, conf)
+    assert set(os.listdir(folder)) == before
+
+
 def test_batch_without_any_image(spark, tmp_path, conf):
     put_lines(str(tmp_path / "in"), "a.json", [linked("lost.png", "uploads/none.png"), "junk"])
     results, errors = run(spark, tmp_path, conf)
