@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from hydrolens.catalog.registry import register
-from hydrolens.functions import pixels as px
+from hydrolens.functions import pixels as px, raster
 from hydrolens.operators import imaging, scoring
 from hydrolens.plans import scoring as s
+from hydrolens.session import stage_path
 from hydrolens.sources import fixtures as fx
 from hydrolens.sources.images import attach_truth
+from hydrolens.sources.messages import read_messages
+from hydrolens.sources.objects import write_objects
+from hydrolens.streaming import jobs
 
 # 8x8 pictures from the vectors: grey level by value, blue brighter and red darker.
 PICTURE_SQL = """
@@ -218,14 +223,33 @@ def _(spark, sf):
     return attach_truth(images, both).select("key", "base", "truth_path")
 
 
-@register("resized_back")
+@register(
+    "resized_back",
+    """, taps AS (
+  SELECT t, CAST(floor(c) AS INT) AS lo, least(CAST(floor(c) AS INT) + 1, 3) AS hi, c - floor(c) AS w
+  FROM (SELECT t, greatest(least((t + CAST(0.5 AS DOUBLE)) / 2 - CAST(0.5 AS DOUBLE), 3), 0) AS c FROM generate_series(0, 7) AS g(t))),
+small AS (SELECT key, (i - 1) // 4 AS y, (i - 1) % 4 AS x, p, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS m FROM scored WHERE i <= 16),
+wide AS (
+  SELECT s.key, s.y, t.t AS tx, sum(CASE WHEN s.x = t.lo THEN p * (1 - w) ELSE 0 END + CASE WHEN s.x = t.hi THEN p * w ELSE 0 END) AS p,
+    sum(CASE WHEN s.x = t.lo THEN m * (1 - w) ELSE 0 END + CASE WHEN s.x = t.hi THEN m * w ELSE 0 END) AS m
+  FROM small s JOIN taps t ON s.x = t.lo OR s.x = t.hi GROUP BY ALL),
+tall AS (
+  SELECT s.key, s.tx, t.t AS ty, sum(CASE WHEN s.y = t.lo THEN p * (1 - w) ELSE 0 END + CASE WHEN s.y = t.hi THEN p * w ELSE 0 END) AS p,
+    floor(sum(CASE WHEN s.y = t.lo THEN m * (1 - w) ELSE 0 END + CASE WHEN s.y = t.hi THEN m * w ELSE 0 END) + 0.5) AS m
+  FROM wide s JOIN taps t ON s.y = t.lo OR s.y = t.hi GROUP BY ALL)
+SELECT key, round(sum(m) / CAST(64 AS DOUBLE) * 100, 4) AS water_coverage, round(avg(p), 4) AS avg_confidence,
+  sum(m) / CAST(64 AS DOUBLE) * 100 > 80 AS overflow_detected, CAST(8 AS INT) AS height, CAST(8 AS INT) AS width
+FROM tall GROUP BY key""",
+    ("pixels",),
+)
 def _(spark, sf):
     """Probabilities of 4x4 maps brought back to the size of the 8x8 pictures, with statistics."""
     small = _pictures(spark, sf).withColumns(
         {"logits": F.slice("logits", 1, 16), "height": F.lit(4), "width": F.lit(4)}
     )
     back = imaging.resize_back(scoring.with_probabilities(small))
-    return s.prediction_stats(back).select(*STATS, "height", "width")
+    stats = s.prediction_stats(back).select(*STATS, "height", "width")
+    return stats.withColumns({c: F.round(c, 4) for c in ("water_coverage", "avg_confidence")})
 
 
 @register("artefact_objects")
@@ -255,3 +279,118 @@ def _(spark, sf):
 def _(spark, sf):
     shown = imaging.denormalise(imaging.preprocess(_pictures(spark, sf), size=(8, 8)))
     return shown.select("key", F.posexplode("pixels").alias("pos", "value"))
+
+
+# --- whole jobs over picture files -------------------------------------------------------------
+
+# A linear model over normalised RGB; its weights are arbitrary fixed values.
+WEIGHTS, BIAS = [0.8, 0.5, -0.9], 0.1
+
+MODEL_SQL = (
+    PICTURE_SQL
+    + """, tensor AS (
+  SELECT key, i, (greatest(v - 20, 0) / CAST(255 AS DOUBLE) - CAST(0.485 AS DOUBLE)) / CAST(0.229 AS DOUBLE) AS r,
+    (v / CAST(255 AS DOUBLE) - CAST(0.456 AS DOUBLE)) / CAST(0.224 AS DOUBLE) AS g,
+    (least(v + 20, 255) / CAST(255 AS DOUBLE) - CAST(0.406 AS DOUBLE)) / CAST(0.225 AS DOUBLE) AS b FROM level),
+prob AS (SELECT key, i, CAST(1 AS DOUBLE) / (CAST(1 AS DOUBLE) + exp(-(r * CAST(0.8 AS DOUBLE) + g * CAST(0.5 AS DOUBLE) - b * CAST(0.9 AS DOUBLE) + CAST(0.1 AS DOUBLE)))) AS q FROM tensor),
+model AS (SELECT key, sum(CASE WHEN q > 0.5 THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE) * 100 AS cover, sum(q) / count(*) AS conf FROM prob GROUP BY key)
+"""
+)
+
+
+def _png(spark, sf):
+    """key and PNG bytes of every picture."""
+
+    @F.pandas_udf("binary")
+    def encode(image: pd.DataFrame) -> pd.Series:
+        rows = zip(image["data"], image["height"], image["width"])
+        return pd.Series([raster.png(raster.from_spark(d, h, w, 3)) for d, h, w in rows], dtype=object)
+
+    return _pictures(spark, sf).select("key", encode("image").alias("png"))
+
+
+def _file(column="key"):
+    return F.concat(F.lit("img_"), F.col(column).cast("string"), F.lit(".png"))
+
+
+@register(
+    "stream_scoring",
+    MODEL_SQL
+    + """SELECT concat('img_', CAST(key AS VARCHAR), '.png') AS filename, round(cover, 4) AS water_coverage, round(conf, 4) AS avg_confidence,
+  cover > 80 AS overflow_detected, 'unknown' AS location, 'linear' AS model_name FROM model""",
+    ("pixels",),
+)
+def _(spark, sf):
+    """All pictures through the scoring stream: odd ones inline, even ones as stored objects."""
+    root = stage_path(spark, "scoring")
+    pictures = _png(spark, sf)
+    link = F.concat(F.lit("uploads/"), _file())
+    write_objects(pictures.where("key % 2 = 0").select(link.alias("key"), F.col("png").alias("content")), f"{root}/store")
+    odd = F.col("key") % 2 == 1
+    message = F.struct(
+        _file().alias("filename"),
+        F.when(odd, F.regexp_replace(F.base64("png"), r"\s", "")).alias("image"),
+        F.when(~odd, link).alias("image_link"),
+        F.lit("2024-01-01T00:00:00").alias("date"),
+    )
+    pictures.select(F.to_json(message)).write.text(f"{root}/messages")
+    conf = jobs.Scoring(
+        root=f"{root}/store",
+        results=f"{root}/results",
+        errors=f"{root}/errors",
+        factory=scoring.pixel_scorer(WEIGHTS, BIAS),
+        model="linear",
+        size=(8, 8),
+    )
+    stream = read_messages(spark, {"format": "text", "path": f"{root}/messages"})
+    jobs.run_scoring(stream, conf, f"{root}/checkpoint").awaitTermination()
+    rows = spark.read.parquet(f"{root}/results")
+    return rows.select(
+        "filename",
+        F.round("water_coverage", 4).alias("water_coverage"),
+        F.round("avg_confidence", 4).alias("avg_confidence"),
+        "overflow_detected",
+        "location",
+        "model_name",
+    )
+
+
+@register(
+    "folder_scoring",
+    MODEL_SQL
+    + """, sums AS (
+  SELECT a.key, count(b.key) > 0 AS known, sum(CASE WHEN a.q > 0.5 AND b.x > 0 THEN 1 ELSE 0 END) AS inter,
+    sum(CASE WHEN a.q > 0.5 THEN 1 ELSE 0 END) AS pm, sum(CASE WHEN b.x > 0 THEN 1 ELSE 0 END) AS tm
+  FROM prob a LEFT JOIN pixels b ON b.key = a.key + 1 AND b.i = a.i GROUP BY a.key)
+SELECT concat('img_', CAST(key AS VARCHAR)) AS image, round(cover, 4) AS water_coverage, round(conf, 4) AS avg_confidence,
+  CASE WHEN known THEN round(CAST(2 * inter AS DOUBLE) / (CAST(pm + tm AS DOUBLE) + CAST(1e-8 AS DOUBLE)), 6) END AS dice_score,
+  CASE WHEN known THEN round(CAST(inter AS DOUBLE) / (CAST(pm + tm - inter AS DOUBLE) + CAST(1e-8 AS DOUBLE)), 6) END AS iou_score,
+  known AS has_ground_truth
+FROM sums JOIN model USING (key)""",
+    ("pixels",),
+)
+def _(spark, sf):
+    """All pictures as files with mask files, through the batch job."""
+    root = stage_path(spark, "folder")
+    write_objects(_png(spark, sf).select(_file().alias("key"), F.col("png").alias("content")), f"{root}/in")
+
+    @F.pandas_udf("binary")
+    def encode(grey: pd.Series) -> pd.Series:
+        return pd.Series([raster.png(imaging._grid(g, 8, 8, "uint8")) for g in grey], dtype=object)
+
+    truth = fx.truth_maps(spark, sf).where("key >= 0").select(_file().alias("key"), encode("truth").alias("content"))
+    write_objects(truth, f"{root}/masks")
+    results = s.score_folder(
+        spark, f"{root}/in", f"{root}/out", scoring.pixel_scorer(WEIGHTS, BIAS), f"{root}/masks", size=(8, 8)
+    )
+    return results.withColumns({c: F.round(c, 4) for c in ("water_coverage", "avg_confidence")})
+
+
+@register("fitted_scorer")
+def _(spark, sf):
+    """A pixel model fitted on the training part, chosen by Dice on the validation part."""
+    pairs = imaging.preprocess(_pairs(spark, sf).where("truth_mask IS NOT NULL"), size=(8, 8))
+    parts = s.split_dataset(pairs.select("key", "tensor", "truth_mask"), "key")
+    best = scoring.fit_pixel_scorer(parts.where("part = 'train'"), parts.where("part = 'validation'"), "key", [0.0, 0.1])
+    tested = scoring.score_pixels(parts.where("part = 'test'"), best["weights"], best["bias"])
+    return s.evaluation_summary(s.evaluate_images(tested)).withColumn("reg", F.lit(best["reg"]))

@@ -103,3 +103,33 @@ def _(spark, sf):
         .select("time", "images", "avg_water_coverage", "max_water_coverage", "min_water_coverage", "avg_confidence")
         .withColumn("time", F.col("time").cast("timestamp_ntz"))
     )
+
+
+@register(
+    "stream_critical_alerts",
+    """SELECT 'critical_level' AS rule, timestamp AS time, round(water_coverage_percent, 6) AS value FROM preds WHERE water_coverage_percent > 80""",
+    ("preds",),
+)
+def _(spark, sf):
+    return _alerts(spark, jobs.critical_alerts(jobs.event_stream(spark, sf)))
+
+
+@register(
+    "stream_degradation_alerts",
+    """
+, edge AS (SELECT max(timestamp) - INTERVAL '10 minutes' AS mark FROM preds),
+slid AS (
+  SELECT time_bucket(INTERVAL '5 minutes', timestamp) + k * INTERVAL '5 minutes' + INTERVAL '5 minutes' AS time, confidence_score
+  FROM preds, generate_series(0, 5) AS g(k))
+SELECT 'degradation' AS rule, time, round(avg(confidence_score), 6) AS value FROM slid, edge
+GROUP BY time, mark HAVING time <= mark AND round(avg(confidence_score), 9) < 0.7""",
+    ("preds",),
+)
+def _(spark, sf):
+    return _alerts(spark, jobs.degradation_alerts(jobs.event_stream(spark, sf)))
+
+
+def _alerts(spark, alerts):
+    out = _fresh_path(spark, "alerts")
+    jobs.append_stream(alerts, out, _fresh_path(spark, "alert-log")).awaitTermination()
+    return spark.read.parquet(out).withColumn("time", F.col("time").cast("timestamp_ntz"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from hydrolens.catalog.registry import ALL, ALL_TS, register
 from hydrolens.functions.time import in_range, latest, since
+from hydrolens.operators.ordered import dense_index, ordered_window
 from hydrolens.plans import monitoring as m
 from hydrolens.sources.fixtures import predictions
 
@@ -257,7 +258,7 @@ WHERE {COVER} > 80 AND timestamp > {NOW} - INTERVAL '5 minutes' ORDER BY timesta
 alert(
     "degradation_alert",
     f"""SELECT round(avg({CONF}), 6) AS avg_confidence FROM preds
-WHERE timestamp > {NOW} - INTERVAL '30 minutes' HAVING avg({CONF}) < 0.7""",
+WHERE timestamp > {NOW} - INTERVAL '30 minutes' HAVING round(avg({CONF}), 9) < 0.7""",
     m.degradation_alert,
 )
 # The pipeline falls silent after the newest row.
@@ -266,3 +267,29 @@ q(
     """SELECT count(*) AS recent_predictions FROM preds
 WHERE timestamp > (SELECT max(timestamp) + INTERVAL '590 seconds' FROM preds) - INTERVAL '10 minutes' HAVING count(*) < 5""",
 )(lambda p: m.health_alert(p, latest(p, "timestamp", plus="590 seconds")))
+
+# --- global order ------------------------------------------------------------------------------
+
+q(
+    "row_positions",
+    "SELECT timestamp, image_id, row_number() OVER (ORDER BY timestamp, image_id) - 1 AS row_index FROM preds",
+)(lambda p: dense_index(p.select("timestamp", "image_id"), ["timestamp", "image_id"]))
+
+q(
+    "change_rate_by_location",
+    f"""SELECT location, image_id,
+  round({COVER} - lag({COVER}) OVER w, 6) AS coverage_change,
+  round(avg({COVER}) OVER (PARTITION BY location ORDER BY timestamp, image_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS trailing_mean
+FROM preds WINDOW w AS (PARTITION BY location ORDER BY timestamp, image_id)""",
+)(
+    lambda p: ordered_window(
+        p.select("location", "timestamp", "image_id", COVER),
+        ["timestamp", "image_id"],
+        {
+            "coverage_change": lambda w: F.col(COVER) - F.lag(COVER).over(w),
+            "trailing_mean": lambda w: F.avg(COVER).over(w.rowsBetween(-29, 0)),
+        },
+        lookback=29,
+        series=["location"],
+    ).select("location", "image_id", "coverage_change", "trailing_mean")
+)

@@ -22,9 +22,10 @@ BATCH_SIZE = (384, 384)
 
 
 def _rgb(image: pd.DataFrame) -> list[np.ndarray | None]:
-    """Decoded rows as RGB arrays, None for a row that did not decode."""
+    """Decoded rows as RGB arrays, None for a missing row or one that did not decode."""
+    # A batch with missing rows has its sizes as floats.
     columns = zip(image["data"], image["height"], image["width"], image["nChannels"])
-    return [raster.from_spark(d, h, w, c) if d is not None and h > 0 else None for d, h, w, c in columns]
+    return [raster.from_spark(d, int(h), int(w), int(c)) if d is not None and h > 0 else None for d, h, w, c in columns]
 
 
 def _grid(flat, height: int, width: int, dtype) -> np.ndarray:

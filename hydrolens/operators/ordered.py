@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, t
 from hydrolens.session import parallelism, stage as stage_rows
 
 SLICES_PER_BLOCK = 16
-MAX_BLOCKS = 4096
+MAX_BLOCKS = 16384
 MIN_CELLS = 4096
 MIN_SLICE_ROWS = 64
 SAMPLES_PER_SLICE = 20
@@ -198,6 +198,9 @@ def ordered_window(
     `order` must identify rows uniquely (add an id as the last column). `staged=True` writes a
     derived input once instead of recomputing it for each pass. Long series are cut like any
     other part of the order, so one series may hold most of the rows.
+
+    Blocks are partitions in order and sorted inside, so the result comes out in the global order
+    and needs no sort of its own.
     """
     df = stage_rows(df, "ordered") if staged else df
     full = [*(series or []), *order]

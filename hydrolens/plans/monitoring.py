@@ -176,14 +176,10 @@ def trend(preds: DataFrame, rng: Range = None) -> DataFrame:
 
 
 def change_rate(preds: DataFrame, rng: Range = None) -> DataFrame:
-    """Coverage and its change from the row before."""
+    """Coverage and its change from the row before, in time order."""
     rows = in_range(preds, TS, rng).select(TS, "image_id", COVER)
-    return (
-        ordered_window(rows, [TS, "image_id"], {"_prev": lambda w: F.lag(COVER).over(w)}, lookback=1)
-        .select(TS, COVER, (F.col(COVER) - F.col("_prev")).alias("coverage_change"), "image_id")
-        .orderBy(F.asc_nulls_last(TS), "image_id")
-        .drop("image_id")
-    )
+    lagged = ordered_window(rows, [TS, "image_id"], {"_prev": lambda w: F.lag(COVER).over(w)}, lookback=1)
+    return lagged.select(TS, COVER, (F.col(COVER) - F.col("_prev")).alias("coverage_change"))
 
 
 # --- distributions -----------------------------------------------------------------------------
@@ -285,10 +281,12 @@ def critical_alert(preds: DataFrame, as_of: Moment = None) -> DataFrame:
 
 
 def degradation_alert(preds: DataFrame, as_of: Moment = None, limit: float = 0.7) -> DataFrame:
-    """Mean confidence of the last half hour, only when it is below the limit."""
-    return (
-        since(preds, TS, as_of, "30 minutes").agg(F.avg(CONF).alias("avg_confidence")).where(F.col("avg_confidence") < limit)
-    )
+    """Mean confidence of the last half hour, only when it is below the limit.
+
+    Compared at nine places, so that the order in which partial sums meet does not decide a tie.
+    """
+    mean = since(preds, TS, as_of, "30 minutes").agg(F.avg(CONF).alias("avg_confidence"))
+    return mean.where(F.round("avg_confidence", 9) < limit)
 
 
 def health_alert(preds: DataFrame, as_of: Moment = None, floor: int = 5) -> DataFrame:

@@ -87,15 +87,11 @@ def close_recent(stock: DataFrame, as_of: Moment = None, interval: str = "1 mont
 
 def price_movement(stock: DataFrame, rng: Range = None, staged: bool = False) -> DataFrame:
     rows = in_range(stock, "date", rng).select("date", "close")
-    return (
-        _with_previous(rows, staged)
-        .select(
-            F.col("date").alias("time"),
-            "close",
-            (F.col("close") - F.col("prev_close")).cast("double").alias("daily_change"),
-            _change_pct().alias("daily_change_pct"),
-        )
-        .orderBy("time")
+    return _with_previous(rows, staged).select(
+        F.col("date").alias("time"),
+        "close",
+        (F.col("close") - F.col("prev_close")).cast("double").alias("daily_change"),
+        _change_pct().alias("daily_change_pct"),
     )
 
 
@@ -107,11 +103,7 @@ def moving_averages(stock: DataFrame, rng: Range = None, staged: bool = False) -
         name: (lambda w, back=n - 1: F.avg("close").over(w.rowsBetween(-back, 0)).cast("double"))
         for name, n in spans.items()
     }
-    return (
-        ordered_window(rows, ["date"], exprs, lookback=49, staged=staged)
-        .withColumnRenamed("date", "time")
-        .orderBy("time")
-    )
+    return ordered_window(rows, ["date"], exprs, lookback=49, staged=staged).withColumnRenamed("date", "time")
 
 
 # --- buckets -----------------------------------------------------------------------------------

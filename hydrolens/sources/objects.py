@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hydrolens.functions.text import media_type
+from hydrolens.session import parallelism
 
 
 def _root(root: str) -> str:
@@ -37,6 +38,15 @@ def open_root(root: str):
     return fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
 
 
+def _spread(keys: DataFrame, key: str) -> DataFrame:
+    """Distinct keys over a fixed number of tasks.
+
+    Keys are small and the work behind each is not, so the number is not left to sizes.
+    """
+    distinct = keys.select(F.col(key).alias("key")).where("key IS NOT NULL").distinct()
+    return distinct.repartition(4 * parallelism(keys.sparkSession), "key")
+
+
 def fetch_objects(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
     """(key, content, error) once per distinct key; a missing object has an error and no content.
 
@@ -54,8 +64,7 @@ def fetch_objects(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
                 except OSError as problem:
                     yield pd.DataFrame({"key": [name], "content": [None], "error": [type(problem).__name__]})
 
-    distinct = keys.select(F.col(key).alias("key")).where("key IS NOT NULL").distinct()
-    return distinct.mapInPandas(read, "key string, content binary, error string")
+    return _spread(keys, key).mapInPandas(read, "key string, content binary, error string")
 
 
 def existing_objects(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
@@ -70,8 +79,7 @@ def existing_objects(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
             infos = store.get_file_info([f"{base}/{name}" for name in batch["key"]])
             yield pd.DataFrame({"key": batch["key"], "found": [i.type == fs.FileType.File for i in infos]})
 
-    distinct = keys.select(F.col(key).alias("key")).where("key IS NOT NULL").distinct()
-    return distinct.mapInPandas(look, "key string, found boolean")
+    return _spread(keys, key).mapInPandas(look, "key string, found boolean")
 
 
 def write_objects(blobs: DataFrame, root: str) -> int:

@@ -6,7 +6,8 @@ is idempotent: objects go to fixed keys, result rows to a folder named by their
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,7 +19,7 @@ from hydrolens.operators.scoring import Factory, score
 from hydrolens.operators.upsert import latest_per_key
 from hydrolens.plans.scoring import prediction_stats
 from hydrolens.schemas import PREDICTIONS
-from hydrolens.session import staging
+from hydrolens.session import parallelism, staging
 from hydrolens.sources import fixtures
 from hydrolens.sources.images import read_images
 from hydrolens.sources.messages import normalise_messages
@@ -92,7 +93,7 @@ class Scoring:
     results: str
     errors: str
     factory: Factory
-    model: str = "RiverSegmentationModel"
+    model: str = "model"
     size: tuple[int, int] = LIVE_SIZE
     threshold: float = 80
     images_prefix: str = "images"
@@ -152,6 +153,18 @@ def _result_rows(done: DataFrame) -> DataFrame:
     )
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Let a task look up many paths; by default each path of a long list is a task of its own."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(4 * parallelism(spark)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 SCORED = (
     "key string, model_name string, water_coverage double, avg_confidence double, overflow_detected boolean, "
     "png struct<originals binary, predictions binary, confidence_maps binary, overlay binary>, error string"
@@ -172,7 +185,9 @@ def score_objects(known: DataFrame, conf: Scoring) -> DataFrame:
     if not paths:
         return nothing.unionByName(lost, allowMissingColumns=True)
     bare = root.split("://")[-1]
-    images = read_images(spark, paths, types=["*"], case="lower").select(
+    with few_listing_tasks(spark):
+        found = read_images(spark, paths, types=["*"], case="lower")
+    images = found.select(
         F.substr("path", F.instr("path", bare) + F.lit(len(bare) + 1)).alias("key"), "image"
     )
     tensors = preprocess(images.where("image.height > 0"), conf.size)
@@ -233,7 +248,7 @@ def stream_buckets(preds: DataFrame, width: str = "5 minutes", lateness: str = "
 def critical_alerts(preds: DataFrame, limit: float = 80) -> DataFrame:
     """Each row above the critical level, as it arrives."""
     return preds.where(F.col("water_coverage_percent") > limit).select(
-        F.lit("critical_level").alias("rule"), F.col("timestamp").alias("at"), F.col("water_coverage_percent").alias("value")
+        F.lit("critical_level").alias("rule"), F.col("timestamp").alias("time"), F.col("water_coverage_percent").alias("value")
     )
 
 
@@ -243,8 +258,8 @@ def degradation_alerts(preds: DataFrame, limit: float = 0.7, span: str = "30 min
         preds.withWatermark("timestamp", lateness)
         .groupBy(F.window("timestamp", span, step))
         .agg(F.avg("confidence_score").alias("value"))
-        .where(F.col("value") < limit)
-        .select(F.lit("degradation").alias("rule"), F.col("window.end").alias("at"), "value")
+        .where(F.round("value", 9) < limit)
+        .select(F.lit("degradation").alias("rule"), F.col("window.end").alias("time"), "value")
     )
 
 

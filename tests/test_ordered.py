@@ -116,6 +116,15 @@ def test_no_single_task_exchange(spark):
     assert text.count("Exchange") == text.count("shufflepartitionidpassthrough") == 1
 
 
+def test_result_is_in_order(spark):
+    df = rows(spark, 3000, hot=0.3, nulls=5)
+    got = [r.id for r in ordered_window(df, ["ts", "id"], EXPRS, 49, block_rows=100).collect()]
+    assert got == [r.id for r in df.orderBy(F.asc_nulls_last("ts"), "id").collect()]
+    many = rows(spark, 2000, series=5)
+    got = [r.id for r in ordered_window(many, ["ts", "id"], EXPRS, 49, series=["s"], block_rows=100).collect()]
+    assert got == [r.id for r in many.orderBy("s", "ts", "id").collect()]
+
+
 def test_lookback_prefix(spark):
     df = spark.range(100).withColumn("d", F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")))
     low = F.lit("2024-02-10").cast("date")
