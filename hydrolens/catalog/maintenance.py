@@ -14,7 +14,7 @@ from hydrolens.session import shared_dir, stage
 from hydrolens.sources import fixtures as fx
 from hydrolens.streaming import jobs
 
-OHLC = "round(CAST(close AS DOUBLE), 6) AS close, round(CAST(high AS DOUBLE), 6) AS high, round(CAST(low AS DOUBLE), 6) AS low, round(CAST(open AS DOUBLE), 6) AS open"
+OHLC = "round(CAST(close AS DOUBLE), 8) AS close, round(CAST(high AS DOUBLE), 8) AS high, round(CAST(low AS DOUBLE), 8) AS low, round(CAST(open AS DOUBLE), 8) AS open"
 MONTH = "CAST(date_trunc('month', date) AS DATE)"
 FIRST, LAST = "CAST(arg_min(close, date) AS DOUBLE)", "CAST(arg_max(close, date) AS DOUBLE)"
 
@@ -26,9 +26,9 @@ def _fresh_path(spark, label):
 @register(
     "refreshed_rollup",
     f"""
-, r AS (SELECT {MONTH} AS month, count(*) AS trading_days, round(avg(close), 6) AS avg_close_price, round(CAST(max(high) AS DOUBLE), 6) AS month_high,
-  round(CAST(min(low) AS DOUBLE), 6) AS month_low, CAST(sum(volume) AS BIGINT) AS total_volume,
-  round(({LAST} - {FIRST}) / nullif({FIRST}, 0) * 100, 6) AS monthly_return_pct FROM stock GROUP BY 1),
+, r AS (SELECT {MONTH} AS month, count(*) AS trading_days, round(avg(close), 8) AS avg_close_price, round(CAST(max(high) AS DOUBLE), 8) AS month_high,
+  round(CAST(min(low) AS DOUBLE), 8) AS month_low, CAST(sum(volume) AS BIGINT) AS total_volume,
+  round(({LAST} - {FIRST}) / nullif({FIRST}, 0) * 100, 8) AS monthly_return_pct FROM stock GROUP BY 1),
 w AS (SELECT CAST(max(date) - INTERVAL '3 months' AS DATE) AS lo, CAST(max(date) - INTERVAL '1 day' AS DATE) AS hi FROM stock)
 SELECT month, trading_days, avg_close_price, month_high, month_low,
   CASE WHEN month >= lo AND month + INTERVAL '1 month' <= hi THEN total_volume ELSE -total_volume END AS total_volume, monthly_return_pct
@@ -87,8 +87,8 @@ def _(spark, sf):
     """
 , edge AS (SELECT max(timestamp) - INTERVAL '10 minutes' AS mark FROM preds)
 SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS time, count(*) AS images,
-  round(avg(water_coverage_percent), 6) AS avg_water_coverage, round(max(water_coverage_percent), 6) AS max_water_coverage,
-  round(min(water_coverage_percent), 6) AS min_water_coverage, round(avg(confidence_score), 6) AS avg_confidence
+  round(avg(water_coverage_percent), 8) AS avg_water_coverage, round(max(water_coverage_percent), 8) AS max_water_coverage,
+  round(min(water_coverage_percent), 8) AS min_water_coverage, round(avg(confidence_score), 8) AS avg_confidence
 FROM preds, edge GROUP BY 1, mark HAVING time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' <= mark""",
     ("preds",),
 )
@@ -107,7 +107,7 @@ def _(spark, sf):
 
 @register(
     "stream_critical_alerts",
-    """SELECT 'critical_level' AS rule, timestamp AS time, round(water_coverage_percent, 6) AS value FROM preds WHERE water_coverage_percent > 80""",
+    """SELECT 'critical_level' AS rule, timestamp AS time, round(water_coverage_percent, 8) AS value FROM preds WHERE water_coverage_percent > 80""",
     ("preds",),
 )
 def _(spark, sf):
@@ -121,7 +121,7 @@ def _(spark, sf):
 slid AS (
   SELECT time_bucket(INTERVAL '5 minutes', timestamp) + k * INTERVAL '5 minutes' + INTERVAL '5 minutes' AS time, confidence_score
   FROM preds, generate_series(0, 5) AS g(k))
-SELECT 'degradation' AS rule, time, round(avg(confidence_score), 6) AS value FROM slid, edge
+SELECT 'degradation' AS rule, time, round(avg(confidence_score), 8) AS value FROM slid, edge
 GROUP BY time, mark HAVING time <= mark AND round(avg(confidence_score), 9) < 0.7""",
     ("preds",),
 )

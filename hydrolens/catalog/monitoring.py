@@ -42,9 +42,9 @@ series(
     m.coverage_series,
     "5m",
     {
-        "avg_water_coverage": f"round(avg({COVER}), 6)",
-        "max_water_coverage": f"round(max({COVER}), 6)",
-        "min_water_coverage": f"round(min({COVER}), 6)",
+        "avg_water_coverage": f"round(avg({COVER}), 8)",
+        "max_water_coverage": f"round(max({COVER}), 8)",
+        "min_water_coverage": f"round(min({COVER}), 8)",
     },
 )
 series(
@@ -52,9 +52,9 @@ series(
     m.confidence_series,
     "5m",
     {
-        "avg_confidence": f"round(avg({CONF}), 6)",
-        "min_confidence": f"round(min({CONF}), 6)",
-        "max_confidence": f"round(max({CONF}), 6)",
+        "avg_confidence": f"round(avg({CONF}), 8)",
+        "min_confidence": f"round(min({CONF}), 8)",
+        "max_confidence": f"round(max({CONF}), 8)",
     },
 )
 series(
@@ -62,7 +62,7 @@ series(
     m.latency_series,
     "5m",
     {
-        "avg_processing_time": "round(avg(processing_time_ms), 6)",
+        "avg_processing_time": "round(avg(processing_time_ms), 8)",
         "max_processing_time": "max(processing_time_ms)",
     },
 )
@@ -77,17 +77,17 @@ series(
     "error_rate",
     m.error_rate,
     "1h",
-    {"error_rate": f"round(count(CASE WHEN {CONF} < 0.5 THEN 1 END) * CAST(100 AS DOUBLE) / count(*), 6)"},
+    {"error_rate": f"round(count(CASE WHEN {CONF} < 0.5 THEN 1 END) * CAST(100 AS DOUBLE) / count(*), 8)"},
 )
 series(
     "daily_summary",
     m.daily_summary,
     "1d",
     {
-        "avg_daily_coverage": f"round(avg({COVER}), 6)",
-        "max_daily_coverage": f"round(max({COVER}), 6)",
-        "min_daily_coverage": f"round(min({COVER}), 6)",
-        "coverage_stddev": f"round(stddev_samp({COVER}), 6)",
+        "avg_daily_coverage": f"round(avg({COVER}), 8)",
+        "max_daily_coverage": f"round(max({COVER}), 8)",
+        "min_daily_coverage": f"round(min({COVER}), 8)",
+        "coverage_stddev": f"round(stddev_samp({COVER}), 8)",
     },
 )
 series(
@@ -95,9 +95,9 @@ series(
     m.weekly_trend,
     "1w",
     {
-        "avg_weekly_coverage": f"round(avg({COVER}), 6)",
+        "avg_weekly_coverage": f"round(avg({COVER}), 8)",
         "total_predictions": "count(*)",
-        "avg_weekly_confidence": f"round(avg({CONF}), 6)",
+        "avg_weekly_confidence": f"round(avg({CONF}), 8)",
     },
 )
 series(
@@ -105,7 +105,7 @@ series(
     m.correlation_series,
     "1h",
     {
-        "coverage_confidence_correlation": f"round(covar_pop({COVER}, {CONF}) / nullif(stddev_pop({COVER}) * stddev_pop({CONF}), 0), 6)"
+        "coverage_confidence_correlation": f"round(covar_pop({COVER}, {CONF}) / nullif(stddev_pop({COVER}) * stddev_pop({CONF}), 0), 8)"
     },
 )
 
@@ -120,26 +120,26 @@ FROM grid LEFT JOIN seen ON grid.time = seen.time""",
 
 q(
     "hour_of_day",
-    f"SELECT CAST(hour(timestamp) AS INT) AS hour_of_day, round(avg({COVER}), 6) AS avg_water_coverage FROM preds WHERE {ALL_TS} GROUP BY 1",
+    f"SELECT CAST(hour(timestamp) AS INT) AS hour_of_day, round(avg({COVER}), 8) AS avg_water_coverage FROM preds WHERE {ALL_TS} GROUP BY 1",
 )(lambda p: m.hour_of_day(p, ALL))
 
 q(
     "monthly_coverage_statistics",
-    f"""SELECT {BUCKET["1mon"]} AS month, count(*) AS total_predictions, round(avg({COVER}), 6) AS avg_water_coverage,
-  round(max({COVER}), 6) AS max_water_coverage, round(min({COVER}), 6) AS min_water_coverage,
-  round(avg({CONF}), 6) AS avg_confidence, count(CASE WHEN {COVER} > 80 THEN 1 END) AS critical_events
+    f"""SELECT {BUCKET["1mon"]} AS month, count(*) AS total_predictions, round(avg({COVER}), 8) AS avg_water_coverage,
+  round(max({COVER}), 8) AS max_water_coverage, round(min({COVER}), 8) AS min_water_coverage,
+  round(avg({CONF}), 8) AS avg_confidence, count(CASE WHEN {COVER} > 80 THEN 1 END) AS critical_events
 FROM preds WHERE {ALL_TS} GROUP BY 1""",
 )(lambda p: m.monthly_statistics(p, ALL))
 
 q(
     "trend",
-    f"SELECT timestamp AS time, round({COVER}, 6) AS value FROM preds WHERE {ALL_TS}",
+    f"SELECT timestamp AS time, round({COVER}, 8) AS value FROM preds WHERE {ALL_TS}",
 )(lambda p: m.trend(p, ALL))
 
 q(
     "change_rate",
-    f"""SELECT timestamp, round({COVER}, 6) AS {COVER},
-  round({COVER} - lag({COVER}) OVER (ORDER BY timestamp, image_id), 6) AS coverage_change
+    f"""SELECT timestamp, round({COVER}, 8) AS {COVER},
+  round({COVER} - lag({COVER}) OVER (ORDER BY timestamp, image_id), 8) AS coverage_change
 FROM preds WHERE {ALL_TS}""",
 )(lambda p: m.change_rate(p, ALL))
 
@@ -162,43 +162,43 @@ q(
     "outliers",
     f"""
 , stats AS (SELECT avg({COVER}) AS mean, stddev_samp({COVER}) AS sd FROM preds WHERE {ALL_TS})
-SELECT timestamp, image_id, round({COVER}, 6) AS {COVER}, round({CONF}, 6) AS {CONF},
-  round(abs({COVER} - mean) / nullif(sd, 0), 6) AS z_score
+SELECT timestamp, image_id, round({COVER}, 8) AS {COVER}, round({CONF}, 8) AS {CONF},
+  round(abs({COVER} - mean) / nullif(sd, 0), 8) AS z_score
 FROM preds, stats WHERE {ALL_TS} AND abs({COVER} - mean) / nullif(sd, 0) > 2
 ORDER BY abs({COVER} - mean) / nullif(sd, 0) DESC, timestamp DESC, image_id DESC LIMIT 20""",
 )(lambda p: m.outliers(p, ALL))
 
 q(
     "current_coverage",
-    f"""SELECT round({COVER}, 6) AS "Current Water Coverage %" FROM preds ORDER BY timestamp DESC, image_id DESC LIMIT 1""",
+    f"""SELECT round({COVER}, 8) AS "Current Water Coverage %" FROM preds ORDER BY timestamp DESC, image_id DESC LIMIT 1""",
 )(m.current_coverage)
 
 q(
     "latest_predictions",
-    f"""SELECT timestamp, image_id, image_url, round({COVER}, 6) AS {COVER}, round({CONF}, 6) AS {CONF},
+    f"""SELECT timestamp, image_id, image_url, round({COVER}, 8) AS {COVER}, round({CONF}, 8) AS {CONF},
   processing_time_ms, model_version FROM preds ORDER BY timestamp DESC, image_id DESC LIMIT 20""",
 )(m.latest_predictions)
 
 q(
     "low_confidence",
-    f"""SELECT timestamp, image_id, round({COVER}, 6) AS {COVER}, round({CONF}, 6) AS {CONF}, processing_time_ms
+    f"""SELECT timestamp, image_id, round({COVER}, 8) AS {COVER}, round({CONF}, 8) AS {CONF}, processing_time_ms
 FROM preds WHERE {CONF} < 0.7 AND {ALL_TS} ORDER BY timestamp DESC, image_id DESC LIMIT 50""",
 )(lambda p: m.low_confidence(p, ALL))
 
 q(
     "high_water",
-    f"""SELECT timestamp, image_id, round({COVER}, 6) AS {COVER}, round({CONF}, 6) AS {CONF}, image_url
+    f"""SELECT timestamp, image_id, round({COVER}, 8) AS {COVER}, round({CONF}, 8) AS {CONF}, image_url
 FROM preds WHERE {COVER} > 70 AND {ALL_TS} ORDER BY timestamp DESC, image_id DESC LIMIT 10""",
 )(lambda p: m.high_water(p, ALL))
 
 q(
     "above_threshold",
-    f"SELECT timestamp, image_id, round({COVER}, 6) AS {COVER} FROM preds WHERE {COVER} > 75",
+    f"SELECT timestamp, image_id, round({COVER}, 8) AS {COVER} FROM preds WHERE {COVER} > 75",
 )(lambda p: m.above(p, 75).select("timestamp", "image_id", COVER))
 
 q(
     "warning_band",
-    f"SELECT timestamp, image_id, round({COVER}, 6) AS {COVER} FROM preds WHERE {COVER} BETWEEN 60 AND 80",
+    f"SELECT timestamp, image_id, round({COVER}, 8) AS {COVER} FROM preds WHERE {COVER} BETWEEN 60 AND 80",
 )(lambda p: m.between(p, 60, 80).select("timestamp", "image_id", COVER))
 
 q(
@@ -245,19 +245,19 @@ FROM preds WHERE timestamp > {NOW} - INTERVAL '24 hours'""",
 alert(
     "processing_rate",
     f"""SELECT round(count(*) * CAST(60 AS DOUBLE) /
-  nullif((epoch_us(max(timestamp)) - epoch_us(min(timestamp))) / CAST(1000000 AS DOUBLE), 0), 6) AS images_per_minute
+  nullif((epoch_us(max(timestamp)) - epoch_us(min(timestamp))) / CAST(1000000 AS DOUBLE), 0), 8) AS images_per_minute
 FROM preds WHERE timestamp > {NOW} - INTERVAL '10 minutes'""",
     m.processing_rate,
 )
 alert(
     "critical_alert",
-    f"""SELECT timestamp, round({COVER}, 6) AS {COVER} FROM preds
+    f"""SELECT timestamp, round({COVER}, 8) AS {COVER} FROM preds
 WHERE {COVER} > 80 AND timestamp > {NOW} - INTERVAL '5 minutes' ORDER BY timestamp DESC, image_id DESC LIMIT 1""",
     m.critical_alert,
 )
 alert(
     "degradation_alert",
-    f"""SELECT round(avg({CONF}), 6) AS avg_confidence FROM preds
+    f"""SELECT round(avg({CONF}), 8) AS avg_confidence FROM preds
 WHERE timestamp > {NOW} - INTERVAL '30 minutes' HAVING round(avg({CONF}), 9) < 0.7""",
     m.degradation_alert,
 )
@@ -278,8 +278,8 @@ q(
 q(
     "change_rate_by_location",
     f"""SELECT location, image_id,
-  round({COVER} - lag({COVER}) OVER w, 6) AS coverage_change,
-  round(avg({COVER}) OVER (PARTITION BY location ORDER BY timestamp, image_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS trailing_mean
+  round({COVER} - lag({COVER}) OVER w, 8) AS coverage_change,
+  round(avg({COVER}) OVER (PARTITION BY location ORDER BY timestamp, image_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 8) AS trailing_mean
 FROM preds WINDOW w AS (PARTITION BY location ORDER BY timestamp, image_id)""",
 )(
     lambda p: ordered_window(

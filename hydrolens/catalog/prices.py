@@ -31,7 +31,7 @@ def q(name, sql):
 
 
 def dbl(col, label=None):
-    return f"round(CAST({col} AS DOUBLE), 6) AS {label or col}"
+    return f"round(CAST({col} AS DOUBLE), 8) AS {label or col}"
 
 
 q(
@@ -59,31 +59,31 @@ q(
 q(
     "price_movement",
     LAGGED
-    + """ SELECT date AS time, round(c, 6) AS close, round(CAST(close - lag(close) OVER (ORDER BY date) AS DOUBLE), 6) AS daily_change,
-  round((c - prev) / nullif(prev, 0) * 100, 6) AS daily_change_pct FROM lagged""",
+    + """ SELECT date AS time, round(c, 8) AS close, round(CAST(close - lag(close) OVER (ORDER BY date) AS DOUBLE), 8) AS daily_change,
+  round((c - prev) / nullif(prev, 0) * 100, 8) AS daily_change_pct FROM lagged""",
 )(lambda s: p.price_movement(s, ALL, staged=True))
 q(
     "moving_averages",
     f"""SELECT date AS time, {dbl("close")},
-  round(avg(close) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS "7-day MA",
-  round(avg(close) OVER (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS "30-day MA",
-  round(avg(close) OVER (ORDER BY date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 6) AS "50-day MA"
+  round(avg(close) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 8) AS "7-day MA",
+  round(avg(close) OVER (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 8) AS "30-day MA",
+  round(avg(close) OVER (ORDER BY date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 8) AS "50-day MA"
 FROM stock WHERE {ALL_DATE}""",
 )(lambda s: p.moving_averages(s, ALL, staged=True))
 q(
     "monthly_performance",
-    f"""SELECT {MONTH} AS time, round(avg(close), 6) AS avg_monthly_price, {dbl("max(high)", "monthly_high")},
+    f"""SELECT {MONTH} AS time, round(avg(close), 8) AS avg_monthly_price, {dbl("max(high)", "monthly_high")},
   {dbl("min(low)", "monthly_low")}, CAST(sum(volume) AS BIGINT) AS total_monthly_volume
 FROM stock WHERE {ALL_DATE} GROUP BY 1""",
 )(lambda s: p.monthly_performance(s, ALL))
 q(
     "weekly_returns",
-    f"SELECT {WEEK} AS time, round({RETURN}, 6) AS weekly_return_pct FROM stock WHERE {ALL_DATE} GROUP BY 1",
+    f"SELECT {WEEK} AS time, round({RETURN}, 8) AS weekly_return_pct FROM stock WHERE {ALL_DATE} GROUP BY 1",
 )(lambda s: p.weekly_returns(s, ALL))
 q(
     "volatility",
-    f"""SELECT {WEEK} AS time, round(stddev_samp(CAST(close AS DOUBLE)), 6) AS price_volatility,
-  round(CAST(max(high) - min(low) AS DOUBLE) / avg(close) * 100, 6) AS weekly_range_pct
+    f"""SELECT {WEEK} AS time, round(stddev_samp(CAST(close AS DOUBLE)), 8) AS price_volatility,
+  round(CAST(max(high) - min(low) AS DOUBLE) / avg(close) * 100, 8) AS weekly_range_pct
 FROM stock WHERE {ALL_DATE} GROUP BY 1""",
 )(lambda s: p.volatility(s, ALL))
 q(
@@ -95,9 +95,9 @@ FROM stock WHERE {ALL_DATE} GROUP BY 1""",
 )(lambda s: p.monthly_statistics(s, ALL))
 q(
     "monthly_rollup",
-    f"""SELECT {MONTH} AS month, count(*) AS trading_days, round(avg(close), 6) AS avg_close_price,
+    f"""SELECT {MONTH} AS month, count(*) AS trading_days, round(avg(close), 8) AS avg_close_price,
   {dbl("max(high)", "month_high")}, {dbl("min(low)", "month_low")}, CAST(sum(volume) AS BIGINT) AS total_volume,
-  round({RETURN}, 6) AS monthly_return_pct FROM stock GROUP BY 1""",
+  round({RETURN}, 8) AS monthly_return_pct FROM stock GROUP BY 1""",
 )(p.monthly_rollup)
 q(
     "price_histogram",
@@ -112,23 +112,23 @@ FROM stock WHERE date > (SELECT max(date) FROM stock) - INTERVAL '2 months' GROU
 )(lambda s: p.monthly_first_last(s, latest(s, "date")))
 q(
     "monthly_averages",
-    f"SELECT {MONTH} AS month, round(avg(close), 6) AS close_avg, round(avg(volume), 6) AS volume_avg FROM stock GROUP BY 1",
+    f"SELECT {MONTH} AS month, round(avg(close), 8) AS close_avg, round(avg(volume), 8) AS volume_avg FROM stock GROUP BY 1",
 )(p.monthly_averages)
 q("current_price", f"SELECT {dbl('close', '"Current Price"')} FROM stock ORDER BY date DESC LIMIT 1")(p.current_price)
 q(
     "daily_change",
     LAGGED
-    + """ SELECT round(CAST(close - lag(close) OVER (ORDER BY date) AS DOUBLE), 6) AS price_change,
-  round((c - prev) / nullif(prev, 0) * 100, 6) AS price_change_pct FROM lagged ORDER BY date DESC LIMIT 1""",
+    + """ SELECT round(CAST(close - lag(close) OVER (ORDER BY date) AS DOUBLE), 8) AS price_change,
+  round((c - prev) / nullif(prev, 0) * 100, 8) AS price_change_pct FROM lagged ORDER BY date DESC LIMIT 1""",
 )(p.daily_change)
 q(
     "support_resistance",
-    f"""SELECT {dbl("max(high)", '"52-Week High"')}, {dbl("min(low)", '"52-Week Low"')}, round(avg(close), 6) AS "52-Week Average"
+    f"""SELECT {dbl("max(high)", '"52-Week High"')}, {dbl("min(low)", '"52-Week Low"')}, round(avg(close), 8) AS "52-Week Average"
 FROM stock WHERE date > (SELECT max(date) FROM stock) - INTERVAL '364 days'""",
 )(lambda s: p.support_resistance(s, latest(s, "date")))
 q(
     "average_close",
-    "SELECT round(avg(close), 6) AS avg FROM stock WHERE date > (SELECT max(date) FROM stock) - INTERVAL '1 month'",
+    "SELECT round(avg(close), 8) AS avg FROM stock WHERE date > (SELECT max(date) FROM stock) - INTERVAL '1 month'",
 )(lambda s: p.average_close(s, latest(s, "date")))
 q(
     "first_last_close",
@@ -137,13 +137,13 @@ FROM stock WHERE date > (SELECT max(date) FROM stock) - INTERVAL '2 months'""",
 )(lambda s: p.first_last_close(s, latest(s, "date")))
 q(
     "ytd_return",
-    f"SELECT round({RETURN}, 6) AS ytd_return FROM stock WHERE year(date) = (SELECT year(max(date)) FROM stock)",
+    f"SELECT round({RETURN}, 8) AS ytd_return FROM stock WHERE year(date) = (SELECT year(max(date)) FROM stock)",
 )(lambda s: p.ytd_return(s, latest(s, "date")))
 q(
     "extreme_days",
     LAGGED
-    + """ SELECT round(max((c - prev) / nullif(prev, 0) * 100), 6) AS best_day_return,
-  round(min((c - prev) / nullif(prev, 0) * 100), 6) AS worst_day_return FROM lagged""",
+    + """ SELECT round(max((c - prev) / nullif(prev, 0) * 100), 8) AS best_day_return,
+  round(min((c - prev) / nullif(prev, 0) * 100), 8) AS worst_day_return FROM lagged""",
 )(lambda s: p.extreme_days(s, ALL, staged=True))
 q(
     "volume_categories",
@@ -153,8 +153,8 @@ FROM stock WHERE {ALL_DATE} ORDER BY date DESC LIMIT 30""",
 q(
     "top_volume_days",
     LAGGED
-    + """ SELECT date, round(c, 6) AS "Close Price", volume AS "Trading Volume",
-  round((c - prev) / nullif(prev, 0) * 100, 6) AS "Daily Change %" FROM lagged ORDER BY volume DESC, date DESC LIMIT 20""",
+    + """ SELECT date, round(c, 8) AS "Close Price", volume AS "Trading Volume",
+  round((c - prev) / nullif(prev, 0) * 100, 8) AS "Daily Change %" FROM lagged ORDER BY volume DESC, date DESC LIMIT 20""",
 )(lambda s: p.top_volume_days(s, ALL, staged=True))
 q("top_volumes", "SELECT date, volume FROM stock ORDER BY volume DESC, date DESC LIMIT 10")(p.top_volumes)
 q(
@@ -165,8 +165,8 @@ ORDER BY date DESC LIMIT 5""",
 q(
     "gaps",
     LAGGED
-    + """ SELECT date, round(o, 6) AS open, round(prev, 6) AS prev_close,
-  round(CAST(open - CAST(prev AS DECIMAL(20,8)) AS DOUBLE), 6) AS gap, round((o - prev) / nullif(prev, 0) * 100, 6) AS gap_pct
+    + """ SELECT date, round(o, 8) AS open, round(prev, 8) AS prev_close,
+  round(CAST(open - CAST(prev AS DECIMAL(20,8)) AS DOUBLE), 8) AS gap, round((o - prev) / nullif(prev, 0) * 100, 8) AS gap_pct
 FROM lagged WHERE abs((o - prev) / nullif(prev, 0) * 100) > 2
 ORDER BY abs((o - prev) / nullif(prev, 0) * 100) DESC, date DESC LIMIT 20""",
 )(lambda s: p.gaps(s, ALL, staged=True))
@@ -175,14 +175,14 @@ ORDER BY abs((o - prev) / nullif(prev, 0) * 100) DESC, date DESC LIMIT 20""",
 # mean volume, so that there is something to see.
 AVERAGED = """
 , averaged AS (SELECT date, volume, avg(volume) OVER (ORDER BY date ROWS BETWEEN 29 PRECEDING AND 1 PRECEDING) AS a FROM stock)
-SELECT date, volume, round(a, 6) AS avg_volume_30d FROM averaged
+SELECT date, volume, round(a, 8) AS avg_volume_30d FROM averaged
 WHERE date = (SELECT arg_max(date, (volume / a, date)) FROM averaged WHERE a IS NOT NULL) AND volume > a * {}"""
 
 
 @q(
     "price_drop_alert",
     LAGGED
-    + """ SELECT date, round(c, 6) AS close, round((c - prev) / nullif(prev, 0) * 100, 6) AS daily_change_pct
+    + """ SELECT date, round(c, 8) AS close, round((c - prev) / nullif(prev, 0) * 100, 8) AS daily_change_pct
 FROM lagged WHERE date = (SELECT arg_min(date, ((c - prev) / nullif(prev, 0), date)) FROM lagged WHERE prev IS NOT NULL)
   AND (c - prev) / nullif(prev, 0) * 100 < -5""",
 )

@@ -66,7 +66,7 @@ scored AS (
 
 
 def register(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Callable[[Run], Run]:
-    """Add a query. Doubles are shown with six places, decimals as doubles, on both sides."""
+    """Add a query. Doubles are shown with eight places, decimals as doubles, on both sides."""
 
     def add(run: Run) -> Run:
         if name in _RUNS:
@@ -87,7 +87,7 @@ def presentable(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         col = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
-            col = F.round(col.cast("double"), 6).alias(field.name)
+            col = F.round(col.cast("double"), 8).alias(field.name)
         shown.append(col)
     return df.select(*shown)
 

@@ -42,8 +42,8 @@ def _(spark, sf):
     "upload_statistics",
     """SELECT count(*) AS total_uploads, count(CASE WHEN success THEN 1 END) AS successful,
   count(CASE WHEN NOT success THEN 1 END) AS failed,
-  round(count(CASE WHEN success THEN 1 END) / CAST(count(*) AS DOUBLE) * 100, 6) AS success_pct,
-  round(CAST(sum(file_size) AS DOUBLE) / 1048576, 6) AS total_mb FROM upload_log""",
+  round(count(CASE WHEN success THEN 1 END) / CAST(count(*) AS DOUBLE) * 100, 8) AS success_pct,
+  round(CAST(sum(file_size) AS DOUBLE) / 1048576, 8) AS total_mb FROM upload_log""",
     ("upload_log",),
 )
 def _(spark, sf):
@@ -191,7 +191,7 @@ def _(spark, sf):
 @register(
     "unified_messages",
     MESSAGE_ROWS
-    + """SELECT filename, image_link, date, file_size, round(lat, 6) AS lat, round(lon, 6) AS lon, 'unknown' AS location,
+    + """SELECT filename, image_link, date, file_size, round(lat, 8) AS lat, round(lon, 8) AS lon, 'unknown' AS location,
   CAST(NULL AS VARCHAR) AS payload FROM messages
 UNION ALL
 SELECT concat('doc_', CAST(doc_id AS VARCHAR)), NULL, '2024-01-01T00:00:00', CAST(octet_length(encode(text)) AS BIGINT),
@@ -277,8 +277,8 @@ def _pairs(spark, sf):
     "upserted_prices",
     """
 , fresh AS (SELECT date + 365 AS date, close, high, low, open, volume * 3 AS volume FROM stock)
-SELECT date, round(CAST(close AS DOUBLE), 6) AS close, round(CAST(high AS DOUBLE), 6) AS high,
-  round(CAST(low AS DOUBLE), 6) AS low, round(CAST(open AS DOUBLE), 6) AS open, volume
+SELECT date, round(CAST(close AS DOUBLE), 8) AS close, round(CAST(high AS DOUBLE), 8) AS high,
+  round(CAST(low AS DOUBLE), 8) AS low, round(CAST(open AS DOUBLE), 8) AS open, volume
 FROM (SELECT * FROM stock WHERE date NOT IN (SELECT date FROM fresh) UNION ALL SELECT * FROM fresh)""",
     ("stock",),
 )
@@ -292,10 +292,10 @@ def _(spark, sf):
 
 
 SHAPE_SQL = {
-    "A": "SELECT timestamp, image_id, image_url, round(water_coverage_percent, 6) AS water_coverage_percent, round(confidence_score, 6) AS confidence_score, processing_time_ms, model_version FROM preds",
-    "B": "SELECT timestamp, CAST(NULL AS VARCHAR) AS model_name, CAST(NULL AS VARCHAR) AS filename, round(water_coverage_percent, 6) AS water_coverage, round(confidence_score, 6) AS avg_confidence, CAST(NULL AS BOOLEAN) AS overflow_detected, location FROM preds",
-    "C": "SELECT timestamp, CAST(NULL AS VARCHAR) AS image_name, round(water_coverage_percent, 6) AS water_coverage_pct, round(confidence_score, 6) AS avg_confidence, CAST(0 AS DOUBLE) AS iou_score, CAST(0 AS DOUBLE) AS dice_score, false AS overflow_detected, processing_time_ms, model_version, location FROM preds",
-    "D": "SELECT timestamp, CAST(NULL AS VARCHAR) AS image_name, round(water_coverage_percent, 6) AS water_coverage_pct, round(confidence_score, 6) AS avg_confidence, CAST(NULL AS BOOLEAN) AS overflow_detected, processing_time_ms, model_version, location FROM preds",
+    "A": "SELECT timestamp, image_id, image_url, round(water_coverage_percent, 8) AS water_coverage_percent, round(confidence_score, 8) AS confidence_score, processing_time_ms, model_version FROM preds",
+    "B": "SELECT timestamp, CAST(NULL AS VARCHAR) AS model_name, CAST(NULL AS VARCHAR) AS filename, round(water_coverage_percent, 8) AS water_coverage, round(confidence_score, 8) AS avg_confidence, CAST(NULL AS BOOLEAN) AS overflow_detected, location FROM preds",
+    "C": "SELECT timestamp, CAST(NULL AS VARCHAR) AS image_name, round(water_coverage_percent, 8) AS water_coverage_pct, round(confidence_score, 8) AS avg_confidence, CAST(0 AS DOUBLE) AS iou_score, CAST(0 AS DOUBLE) AS dice_score, false AS overflow_detected, processing_time_ms, model_version, location FROM preds",
+    "D": "SELECT timestamp, CAST(NULL AS VARCHAR) AS image_name, round(water_coverage_percent, 8) AS water_coverage_pct, round(confidence_score, 8) AS avg_confidence, CAST(NULL AS BOOLEAN) AS overflow_detected, processing_time_ms, model_version, location FROM preds",
 }
 for _shape, _sql in SHAPE_SQL.items():
     register(f"layout_{_shape.lower()}", _sql, ("preds",))(
