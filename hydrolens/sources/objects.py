@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,9 +34,12 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
 
 
 def open_root(root: str):
+    """File system and base path of a root, as pyarrow knows them."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+    if root.startswith("file:") or ":" not in root:
+        return fs.LocalFileSystem(), re.sub("^file:/+", "/", root)
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", root))
 
 
 def _spread(keys: DataFrame, key: str) -> DataFrame:

@@ -26,6 +26,7 @@ from hydrolens.sources.messages import normalise_messages
 from hydrolens.sources.objects import existing_objects, fetch_objects, write_objects
 
 ONCE = {"availableNow": True}
+DEDUP_LANES = 32
 
 
 # --- sinks -------------------------------------------------------------------------------------
@@ -48,11 +49,15 @@ def each_batch(df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint
 
 
 def without_repeats(messages: DataFrame, horizon: str = "1 hour") -> DataFrame:
-    """Drop messages the producer sent again: same file name and date within the horizon.
+    """Drop messages the producer sent again: same file name, date and link within the horizon.
 
-    Messages without a readable date pass; they have no event time to bound the state.
+    In two steps, so that one message sent very often is thinned out in many tasks before its last
+    copies meet in one.
     """
-    return messages.withWatermark("event_time", horizon).dropDuplicatesWithinWatermark(["filename", "date", "image_link"])
+    same = ["filename", "date", "image_link"]
+    spread = messages.withColumn("_lane", F.pmod(F.xxhash64("source_id"), F.lit(DEDUP_LANES)))
+    once_per_lane = spread.withWatermark("event_time", horizon).dropDuplicatesWithinWatermark([*same, "_lane"])
+    return once_per_lane.dropDuplicatesWithinWatermark(same).drop("_lane")
 
 
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:

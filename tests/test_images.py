@@ -77,7 +77,9 @@ def test_objects(spark, tmp_path):
     assert ob.write_objects(blobs.where("key = 'other/x'"), root) == 1  # the same key again
     assert {(r.key, r.size) for r in ob.list_objects(spark, root).collect()} == {("uploads/1_a b.png", 2), ("uploads/2_c.png", 1), ("other/x", 1)}
     assert {r.key for r in ob.list_objects(spark, root, "uploads/1").collect()} == {"uploads/1_a b.png"}
+    assert ob.list_objects(spark, "file://" + root).count() == ob.list_objects(spark, "file:" + root, "uploads/").count() + 1 == 3
     keys = spark.createDataFrame([("other/x",), ("other/x",), ("gone",), (None,)], "key string")
+    assert ob.existing_objects(keys, "file:" + root).where("found").count() == 1
     got = {r.key: (r.content, r.error) for r in ob.fetch_objects(keys, root).collect()}
     assert got == {"other/x": (bytearray(b"z"), None), "gone": (None, "FileNotFoundError")}
     assert {r.key: r.found for r in ob.existing_objects(keys, root).collect()} == {"other/x": True, "gone": False}

@@ -147,10 +147,12 @@ def test_raw_sink(spark, tmp_path):
 def test_repeated_messages_are_dropped(spark, tmp_path):
     folder = str(tmp_path / "in")
     put_lines(folder, "a.json", [linked("a", "k"), linked("a", "k"), linked("a", "k", "2024-01-01T00:00:01")])
-    put_lines(folder, "b.json", [linked("a", "k"), linked("b", "k")])
+    put_lines(folder, "b.json", [linked("a", "k"), linked("b", "k"), {"filename": "c", "image_link": "k"}, linked("d", "k", "some day")])
+    put_lines(folder, "c.json", [{"filename": "e", "image_link": "k"}])
     unique = jobs.without_repeats(normalise_messages(read_messages(spark, source(folder))))
     jobs.append_stream(unique.select("filename", "date"), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    names = sorted(r.filename for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert names == ["a", "a", "b", "c", "d", "e"]
 
 
 def test_published_stream(spark, tmp_path):
