@@ -7,7 +7,7 @@ clock. Reports never read the clock by themselves, so a run can be repeated.
 from __future__ import annotations
 
 import re
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -56,9 +56,15 @@ def bucketed(df: DataFrame, width: str, name: str) -> Column:
 
 
 def moment(value: Moment, dtype: T.DataType) -> Column:
-    """A bound as a Column of the time column's type; None is the wall clock."""
+    """A bound as a Column of the time column's type; None is the wall clock, read once here.
+
+    A report may run several jobs over one input, which must all see the same bound. A datetime
+    without a zone is taken as it reads, whatever the zone of the Python process.
+    """
     if value is None:
-        value = F.current_timestamp()
+        value = datetime.now(timezone.utc)
+    if isinstance(value, datetime) and value.tzinfo is None:
+        value = value.isoformat(sep=" ")
     return (value if isinstance(value, Column) else F.lit(value)).cast(dtype)
 
 

@@ -151,7 +151,7 @@ def _layout(df: DataFrame, order: list[str], lookback: int, block_rows: int) ->
         cell, counts = F.lit(0), {0: rows}
     else:
         width = (high - low) / cells or 1.0
-        cell = F.least(F.floor((position - low) / width), F.lit(cells - 1)).cast("int")
+        cell = F.greatest(F.least(F.floor((position - low) / width), F.lit(cells - 1)), F.lit(0)).cast("int")
         cell = F.when(F.col(order[0]).isNull(), cells).otherwise(cell)
         counts = {k[0]: n for k, n in _counts(df, cell).items()}
 

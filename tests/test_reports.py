@@ -166,3 +166,13 @@ def test_top_rows_need_no_sort_of_everything(spark):
 
     text = plan_text(m.latest_predictions(predictions(spark, "/root/testdata/sf0.001")))
     assert "TakeOrderedAndProject" in text and "Exchange" not in text
+
+
+def test_clock_literals_reach_the_scan(spark):
+    from hydrolens.sources.fixtures import predictions
+
+    df = predictions(spark, "/root/testdata/sf0.001")
+    for now in (at("2024-01-20T00:00:00"), "2024-01-20 00:00:00", dt.datetime(2024, 1, 20, tzinfo=dt.timezone.utc)):
+        text = plan_text(m.alert_counts(df, now))
+        assert "GreaterThan(ts,2024-01-19T00:00)" in text
+    assert m.health_alert(df).first().recent_predictions == 0  # the wall clock is past the data
