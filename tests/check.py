@@ -59,14 +59,19 @@ def compare(spark, con, run, sql, folder: str = FOLDER) -> str | None:
     for a, b in zip(got, want):
         if a != b or [type(x) for x in a] != [type(x) for x in b]:
             return f"{a} / {b}"
-    return f"EMPTY" if not got else None
+    return "EMPTY" if not got else None
 
 
 def main(names):
     from hydrolens import catalog
     from hydrolens.session import get_session
 
-    spark = get_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    if os.environ.get("CHECK_PLAIN"):  # a session without any of our settings
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = get_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = duck(), catalog.oracle(), 0
     for name, run in catalog.queries().items():
