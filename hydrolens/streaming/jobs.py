@@ -216,10 +216,11 @@ def live_rows(results: DataFrame) -> DataFrame:
 # --- buckets and alerts ------------------------------------------------------------------------
 
 
-def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parquet", options: dict | None = None) -> DataFrame:
-    """Event files of a folder as a stream of prediction rows with an event time."""
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", pattern).options(**(options or {})).parquet(folder)
+def event_stream(spark: SparkSession, folder: str, options: dict | None = None) -> DataFrame:
+    """The events table as a stream of prediction rows with an event time."""
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    # As a pattern the path may be a file or a folder of files.
+    raw = spark.readStream.schema(schema).options(**(options or {})).parquet(f"{folder}/events.parque[t]")
     return fixtures.predictions_from(raw).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
 

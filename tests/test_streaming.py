@@ -221,3 +221,11 @@ def test_alert_streams(spark, tmp_path):
 def test_silence(spark, tmp_path):
     predictions(spark, "/root/testdata/sf0.001").write.parquet(str(tmp_path / "r"))
     assert jobs.silence_alert(spark, str(tmp_path / "r")).first().recent_predictions == 0
+
+
+def test_events_as_a_folder_of_files(spark, tmp_path):
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    alerts = jobs.critical_alerts(jobs.event_stream(spark, str(tmp_path)))
+    jobs.append_stream(alerts, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    want = predictions(spark, "/root/testdata/sf0.001").where("water_coverage_percent > 80").count()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == want
