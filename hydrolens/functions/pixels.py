@@ -1,20 +1,10 @@
-"""Array columns of pixels: probabilities, masks, overlap counts. All JVM-side."""
+"""Column expressions on masks and on their overlap counts."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
 EPSILON = 1e-8
-WATER = 0.5
-
-
-def sigmoid(logits: Column) -> Column:
-    return F.transform(logits, lambda x: 1.0 / (1.0 + F.exp(-x.cast("double"))))
-
-
-def mask(probabilities: Column) -> Column:
-    """1 where the probability is strictly above one half."""
-    return F.transform(probabilities, lambda p: F.when(p > WATER, 1).otherwise(0).cast("tinyint"))
 
 
 def binarise(grey: Column, rule: str = "above_127") -> Column:
@@ -25,22 +15,10 @@ def binarise(grey: Column, rule: str = "above_127") -> Column:
     return F.transform(grey, lambda g: F.when(hit(g), 1).otherwise(0).cast("tinyint"))
 
 
-def total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-
-
 def ones(bits: Column) -> Column:
     return F.size(F.filter(bits, lambda b: b == 1)).cast("bigint")
 
 
-def both(a: Column, b: Column) -> Column:
-    return ones(F.zip_with(a, b, lambda x, y: x * y))
-
-
-def equal(a: Column, b: Column) -> Column:
-    return ones(F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0)))
-
-
 def dice(inter: Column, a: Column, b: Column) -> Column:
     return (inter * 2).cast("double") / ((a + b).cast("double") + EPSILON)
 

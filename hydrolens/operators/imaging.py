@@ -46,25 +46,27 @@ def preprocess(images: DataFrame, size=BATCH_SIZE, mean=raster.MEAN, std=raster.
 
 
 def resize_back(scored: DataFrame, rethreshold: bool = False) -> DataFrame:
-    """Bring `probabilities` and `mask` (height x width) to the size of `image`.
+    """Bring `probabilities` and `mask` (height x width) to the size of `image`, with new totals.
 
     The mask is resized as whole numbers. With `rethreshold` it is cut at one half again, as the
     single-image path does; the batch path does not.
     """
-    out = T.StructType([T.StructField("p", FLOATS), T.StructField("m", T.ArrayType(T.ByteType()))])
+    totals = [T.StructField("water", T.LongType()), T.StructField("mean", T.DoubleType())]
+    out = T.StructType([T.StructField("p", FLOATS), T.StructField("m", T.ArrayType(T.ByteType())), *totals])
 
     @F.pandas_udf(out)
     def back(p: pd.Series, m: pd.Series, h: pd.Series, w: pd.Series, th: pd.Series, tw: pd.Series) -> pd.DataFrame:
         rows = []
         for probs, bits, height, width, to_h, to_w in zip(p, m, h, w, th, tw):
-            if to_h <= 0:
-                rows.append((None, None))
+            if probs is None or not to_h > 0:
+                rows.append((None,) * 4)
                 continue
+            height, width, to_h, to_w = int(height), int(width), int(to_h), int(to_w)
             probs = raster.resize(_grid(probs, height, width, np.float32), to_h, to_w)
             bits = raster.resize(_grid(bits, height, width, np.uint8), to_h, to_w)
             bits = (bits > 0.5).astype(np.uint8) if rethreshold else bits
-            rows.append((probs.ravel(), bits.astype(np.int8).ravel()))
-        return pd.DataFrame(rows, columns=["p", "m"])
+            rows.append((probs.ravel(), bits.astype(np.int8).ravel(), int(bits.sum()), float(probs.mean(dtype=np.float64))))
+        return pd.DataFrame(rows, columns=out.names)
 
     both = back("probabilities", "mask", "height", "width", "image.height", "image.width")
     return (
@@ -73,6 +75,8 @@ def resize_back(scored: DataFrame, rethreshold: bool = False) -> DataFrame:
             {
                 "probabilities": F.col("_both.p"),
                 "mask": F.col("_both.m"),
+                "water_pixels": F.col("_both.water"),
+                "mean_probability": F.col("_both.mean"),
                 "height": F.col("image.height"),
                 "width": F.col("image.width"),
             }

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hydrolens.functions import pixels as px
 from hydrolens.functions.bands import overflow
@@ -19,31 +21,37 @@ from hydrolens.sources.objects import write_objects
 
 def prediction_stats(scored: DataFrame, threshold: float = 80) -> DataFrame:
     """Add water_coverage (%), avg_confidence (mean probability of all pixels) and overflow_detected."""
-    count = F.size("probabilities")
-    coverage = F.try_divide(px.total(F.col("mask")), count) * 100
+    coverage = F.try_divide(F.col("water_pixels"), F.size("mask")) * 100
     return scored.withColumns(
         {
             "water_coverage": coverage,
-            "avg_confidence": F.try_divide(px.total(F.col("probabilities")), count),
+            "avg_confidence": F.col("mean_probability"),
             "overflow_detected": overflow(coverage, threshold),
         }
     )
 
 
+COUNTS = ["_inter", "_pred", "_true", "_equal", "_pixels"]
+ARRAYS = {"mask", "truth_mask", "probabilities", "logits", "tensor", "image", "truth"}
+
+
 def _overlap(scored: DataFrame) -> DataFrame:
     """Replace the pixel arrays by their counts, so that later shuffles carry numbers only."""
-    m, t = F.col("mask"), F.col("truth_mask")
-    arrays = {"mask", "truth_mask", "probabilities", "logits", "tensor", "image", "truth"}
-    kept = [c for c in scored.columns if c not in arrays]
-    return scored.select(
-        *kept,
-        px.both(m, t).alias("_inter"),
-        px.ones(m).alias("_pred"),
-        px.ones(t).alias("_true"),
-        px.equal(m, t).alias("_equal"),
-        F.size("mask").cast("bigint").alias("_pixels"),
-        t.isNotNull().alias("has_ground_truth"),
-    )
+
+    @F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
+    def count(mask: pd.Series, truth: pd.Series) -> pd.DataFrame:
+        rows = []
+        for m, t in zip(mask, truth):
+            if m is None or t is None:
+                rows.append([None] * len(COUNTS))
+                continue
+            m, t = np.asarray(m) == 1, np.asarray(t) == 1
+            rows.append([int((m & t).sum()), int(m.sum()), int(t.sum()), int((m == t).sum()), m.size])
+        return pd.DataFrame(rows, columns=COUNTS, dtype="Int64")
+
+    kept = [c for c in scored.columns if c not in ARRAYS]
+    known = F.col("truth_mask").isNotNull().alias("has_ground_truth")
+    return scored.select(*kept, known, count("mask", "truth_mask").alias("_n")).select(*kept, "has_ground_truth", "_n.*")
 
 
 def evaluate_images(scored: DataFrame) -> DataFrame:
@@ -53,7 +61,7 @@ def evaluate_images(scored: DataFrame) -> DataFrame:
     truth = F.col("has_ground_truth")
     return counted.withColumns(
         {"dice_score": F.when(truth, px.dice(*sides)), "iou_score": F.when(truth, px.iou(*sides))}
-    ).drop("_inter", "_pred", "_true", "_equal", "_pixels")
+    ).drop(*COUNTS)
 
 
 def evaluation_summary(evaluated: DataFrame) -> DataFrame:
@@ -71,11 +79,11 @@ def evaluate_batches(scored: DataFrame, key: str, batch_size: int = 32) -> DataF
 
     The batch Dice pools the pixels of a batch, so it differs from the mean over images.
     """
-    counted = _overlap(scored.where("truth_mask IS NOT NULL")).select(key, "_inter", "_pred", "_true", "_equal", "_pixels")
+    counted = _overlap(scored.where("truth_mask IS NOT NULL")).select(key, *COUNTS)
     batches = (
         dense_index(counted, [key], "_at", staged=True)
         .groupBy(F.floor(F.col("_at") / batch_size).alias("_batch"))
-        .agg(*[F.sum(c).alias(c) for c in ("_inter", "_pred", "_true", "_equal", "_pixels")])
+        .agg(*[F.sum(c).alias(c) for c in COUNTS])
     )
     return batches.agg(
         F.sum("_equal").alias("correct"),
@@ -160,7 +168,7 @@ def score_folder(
     """
     height, width = size
     tensors = preprocess(read_images(spark, folder, valid_only=True), size)
-    scored = score(tensors, factory, "tensor", [height, width, 3], model).drop("tensor", "logits")
+    scored = score(tensors, factory, "tensor", [height, width, 3], model).drop("tensor")
     back = resize_back(scored.withColumns({"height": F.lit(height), "width": F.lit(width)}))
     if masks:
         back = truth_mask(attach_truth(back, read_images(spark, masks)))

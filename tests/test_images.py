@@ -212,7 +212,7 @@ def test_threshold_rules(spark):
 
 def test_evaluation(spark):
     rows = [(1, [1, 1, 0, 0], [1, 0, 1, 0]), (2, [0, 0, 0, 0], [0, 0, 0, 0]), (3, [1, 1, 1, 1], [1, 1, 1, 1]), (4, [1, 0, 0, 0], None)]
-    df = spark.createDataFrame(rows, "key int, mask array<tinyint>, truth_mask array<tinyint>")
+    df = spark.createDataFrame(rows, "key int, mask array<tinyint>, truth_mask array<tinyint>").coalesce(1)
     got = {r.key: (r.dice_score, r.iou_score) for r in s.evaluate_images(df).collect()}
     assert got[1] == (2 / (4 + 1e-8), 1 / (3 + 1e-8)) and got[2] == (0.0, 0.0) and got[4] == (None, None)
     assert abs(got[3][0] - 1) < 1e-8
