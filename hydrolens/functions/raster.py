@@ -52,16 +52,13 @@ def denormalise(values: np.ndarray, mean=MEAN, std=STD) -> np.ndarray:
     return (np.clip(values * np.array(std) + np.array(mean), 0, 1) * 255).astype(np.uint8)
 
 
-def water_maps(logits: np.ndarray) -> dict[str, np.ndarray]:
-    """Probabilities, mask and their totals for rows of logits. Water is strictly above one half."""
-    p = 1 / (1 + np.exp(-np.asarray(logits, np.float64)))
-    m = p > 0.5
-    return {
-        "probabilities": p.astype(np.float32),
-        "mask": m.astype(np.int8),
-        "water_pixels": m.sum(axis=1),
-        "mean_probability": p.mean(axis=1),
-    }
+def probabilities(logits) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.asarray(logits, np.float64)))
+
+
+def water(p: np.ndarray) -> np.ndarray:
+    """Where the probability is strictly above one half."""
+    return p > 0.5
 
 
 def paint(shape: tuple, *layers: tuple[np.ndarray, tuple[int, int, int]]) -> np.ndarray:

@@ -51,7 +51,7 @@ def resize_back(scored: DataFrame, rethreshold: bool = False) -> DataFrame:
     The mask is resized as whole numbers. With `rethreshold` it is cut at one half again, as the
     single-image path does; the batch path does not.
     """
-    totals = [T.StructField("water", T.LongType()), T.StructField("mean", T.DoubleType())]
+    totals = [T.StructField("pixels", T.LongType()), T.StructField("water", T.LongType()), T.StructField("mean", T.DoubleType())]
     out = T.StructType([T.StructField("p", FLOATS), T.StructField("m", T.ArrayType(T.ByteType())), *totals])
 
     @F.pandas_udf(out)
@@ -59,13 +59,14 @@ def resize_back(scored: DataFrame, rethreshold: bool = False) -> DataFrame:
         rows = []
         for probs, bits, height, width, to_h, to_w in zip(p, m, h, w, th, tw):
             if probs is None or not to_h > 0:
-                rows.append((None,) * 4)
+                rows.append((None,) * 5)
                 continue
             height, width, to_h, to_w = int(height), int(width), int(to_h), int(to_w)
             probs = raster.resize(_grid(probs, height, width, np.float32), to_h, to_w)
             bits = raster.resize(_grid(bits, height, width, np.uint8), to_h, to_w)
             bits = (bits > 0.5).astype(np.uint8) if rethreshold else bits
-            rows.append((probs.ravel(), bits.astype(np.int8).ravel(), int(bits.sum()), float(probs.mean(dtype=np.float64))))
+            mean = float(probs.mean(dtype=np.float64))
+            rows.append((probs.ravel(), bits.astype(np.int8).ravel(), bits.size, int(bits.sum()), mean))
         return pd.DataFrame(rows, columns=out.names)
 
     both = back("probabilities", "mask", "height", "width", "image.height", "image.width")
@@ -75,13 +76,14 @@ def resize_back(scored: DataFrame, rethreshold: bool = False) -> DataFrame:
             {
                 "probabilities": F.col("_both.p"),
                 "mask": F.col("_both.m"),
+                "pixels": F.col("_both.pixels"),
                 "water_pixels": F.col("_both.water"),
                 "mean_probability": F.col("_both.mean"),
                 "height": F.col("image.height"),
                 "width": F.col("image.width"),
             }
         )
-        .drop("_both")
+        .drop("_both", "logits")  # logits of the old size would no longer belong to the row
     )
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from hydrolens.functions import pixels as px
+from hydrolens.functions import pixels as px, raster
 from hydrolens.functions.bands import overflow
 from hydrolens.functions.text import fixed
 from hydrolens.operators.imaging import BATCH_SIZE, preprocess, resize_back, result_pictures, truth_mask
@@ -21,7 +21,7 @@ from hydrolens.sources.objects import write_objects
 
 def prediction_stats(scored: DataFrame, threshold: float = 80) -> DataFrame:
     """Add water_coverage (%), avg_confidence (mean probability of all pixels) and overflow_detected."""
-    coverage = F.try_divide(F.col("water_pixels"), F.size("mask")) * 100
+    coverage = F.try_divide(F.col("water_pixels"), F.col("pixels")) * 100
     return scored.withColumns(
         {
             "water_coverage": coverage,
@@ -36,7 +36,12 @@ ARRAYS = {"mask", "truth_mask", "probabilities", "logits", "tensor", "image", "t
 
 
 def _overlap(scored: DataFrame) -> DataFrame:
-    """Replace the pixel arrays by their counts, so that later shuffles carry numbers only."""
+    """Replace the pixel arrays by their counts, so that later shuffles carry numbers only.
+
+    A frame that still has its logits is counted from them, which saves passing the mask around.
+    """
+    source = "logits" if "logits" in scored.columns else "mask"
+    bits = (lambda x: raster.water(raster.probabilities(x))) if source == "logits" else (lambda x: np.asarray(x) == 1)
 
     @F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
     def count(mask: pd.Series, truth: pd.Series) -> pd.DataFrame:
@@ -45,13 +50,13 @@ def _overlap(scored: DataFrame) -> DataFrame:
             if m is None or t is None:
                 rows.append([None] * len(COUNTS))
                 continue
-            m, t = np.asarray(m) == 1, np.asarray(t) == 1
+            m, t = bits(m), np.asarray(t) == 1
             rows.append([int((m & t).sum()), int(m.sum()), int(t.sum()), int((m == t).sum()), m.size])
         return pd.DataFrame(rows, columns=COUNTS, dtype="Int64")
 
     kept = [c for c in scored.columns if c not in ARRAYS]
     known = F.col("truth_mask").isNotNull().alias("has_ground_truth")
-    return scored.select(*kept, known, count("mask", "truth_mask").alias("_n")).select(*kept, "has_ground_truth", "_n.*")
+    return scored.select(*kept, known, count(source, "truth_mask").alias("_n")).select(*kept, "has_ground_truth", "_n.*")
 
 
 def evaluate_images(scored: DataFrame) -> DataFrame:
