@@ -38,7 +38,8 @@ def time_bucket(width: str, name: str, dtype: T.DataType) -> Column:
     if unit == "month":
         if n != 1:
             raise ValueError("only single-month buckets are supported")
-        return F.trunc(col, "MM") if isinstance(dtype, T.DateType) else F.date_trunc("month", col).cast(dtype)
+        # Through the date, so that no time zone comes into it where the type has none.
+        return F.date_trunc("month", col) if isinstance(dtype, T.TimestampType) else F.trunc(col.cast("date"), "MM").cast(dtype)
     if isinstance(dtype, T.DateType):
         days = {"day": n, "week": 7 * n}.get(unit)
         if days is None:

@@ -14,6 +14,7 @@ from hydrolens.functions.bands import alert_status, confidence_band, overflow  #
 from hydrolens.functions.time import Moment, Range, bucketed, in_range, parse_width, since
 from hydrolens.operators.ordered import ordered_window
 
+STRETCH = 10_000  # buckets
 TS, COVER, CONF, MS = "timestamp", "water_coverage_percent", "confidence_score", "processing_time_ms"
 
 
@@ -78,25 +79,18 @@ def uptime_filled(preds: DataFrame, rng: Range = None, width: str = "10m") -> Da
     """As `uptime`, with the empty buckets between the first and the last one at status 0."""
     seen = _by_bucket(preds, rng, width, F.count("*").alias("data_points"))
     n, unit = parse_width(width)
-    # One row per day first, so that the expansion of a long range is spread over tasks.
-    span = seen.agg(F.min("time").alias("lo"), F.max("time").alias("hi"))
-    days = span.select(
-        "lo", "hi", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"), F.expr("INTERVAL 1 DAY"))).alias("day")
-    ).repartition("day")
-    grid = days.select(
-        "lo",
-        "hi",
-        F.explode(
-            F.sequence(
-                F.col("day").cast("timestamp_ntz"),
-                F.col("day").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY") - F.expr(f"INTERVAL {n} {unit}"),
-                F.expr(f"INTERVAL {n} {unit}"),
-            )
-        ).alias("time"),
-    ).where("time BETWEEN lo AND hi")
+    step = n * {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit]
+    seconds = F.unix_seconds(F.col("hi").cast("timestamp")) - F.unix_seconds(F.col("lo").cast("timestamp"))
+    # Stretches first, so that the expansion of a long range is spread over tasks.
+    span = seen.agg(F.min("time").alias("lo"), F.max("time").alias("hi")).where("lo IS NOT NULL")
+    stretches = span.select(
+        "lo", F.floor(seconds / step).alias("last"), F.explode(F.sequence(F.lit(0), F.floor(seconds / step), F.lit(STRETCH))).alias("at")
+    ).repartition("at")
+    grid = stretches.select(
+        "lo", F.explode(F.sequence("at", F.least("last", F.col("at") + STRETCH - 1))).alias("i")
+    ).select((F.col("lo") + F.make_dt_interval(secs=F.col("i") * step)).alias("time"))
     return (
-        grid.select("time")
-        .join(seen, "time", "left")
+        grid.join(seen, "time", "left")
         .select(
             "time",
             F.coalesce("data_points", F.lit(0)).alias("data_points"),

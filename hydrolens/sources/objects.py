@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hydrolens.functions.text import media_type
 from hydrolens.session import parallelism
 
+IO_THREADS = 16
+
 
 def _root(root: str) -> str:
     return root.rstrip("/")
@@ -51,6 +56,14 @@ def _spread(keys: DataFrame, key: str) -> DataFrame:
     return distinct.repartition(4 * parallelism(keys.sparkSession), "key")
 
 
+def _in_parallel(work: Callable, items: Iterable) -> Iterator[list]:
+    """Apply `work` to a few items at a time: a task mostly waits for the store, and holds only those."""
+    with ThreadPoolExecutor(IO_THREADS) as pool:
+        rest = iter(items)
+        while some := list(islice(rest, IO_THREADS)):
+            yield list(pool.map(work, some))
+
+
 def fetch_objects(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
     """(key, content, error) once per distinct key; a missing object has an error and no content.
 
@@ -60,13 +73,16 @@ def fetch_objects(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = open_root(root)
-        for batch in batches:
-            for name in batch["key"]:
-                try:
-                    with store.open_input_stream(f"{base}/{name}") as source:
-                        yield pd.DataFrame({"key": [name], "content": [source.read()], "error": [None]})
-                except OSError as problem:
-                    yield pd.DataFrame({"key": [name], "content": [None], "error": [type(problem).__name__]})
+
+        def one(name: str) -> tuple:
+            try:
+                with store.open_input_stream(f"{base}/{name}") as source:
+                    return name, source.read(), None
+            except OSError as problem:
+                return name, None, type(problem).__name__
+
+        for rows in _in_parallel(one, (name for batch in batches for name in batch["key"])):
+            yield pd.DataFrame(rows, columns=["key", "content", "error"])
 
     return _spread(keys, key).mapInPandas(read, "key string, content binary, error string")
 
@@ -95,18 +111,24 @@ def write_objects(blobs: DataFrame, root: str) -> int:
     root = _root(root)
 
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import uuid
-
         store, base = open_root(root)
+        made: set[str] = set()
+
+        def one(row: tuple[str, bytes]) -> int:
+            path = f"{base}/{row[0]}"
+            folder = path.rpartition("/")[0]
+            if folder not in made:
+                store.create_dir(folder, recursive=True)
+                made.add(folder)
+            draft = f"{folder}/.{uuid.uuid4().hex}"
+            with store.open_output_stream(draft) as out:
+                out.write(row[1])
+            store.move(draft, path)
+            return 1
+
         for batch in batches:
-            for name, content in zip(batch["key"], batch["content"]):
-                path = f"{base}/{name}"
-                store.create_dir(path.rpartition("/")[0], recursive=True)
-                draft = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
-                with store.open_output_stream(draft) as out:
-                    out.write(content)
-                store.move(draft, path)
-            yield pd.DataFrame({"n": [len(batch)]})
+            for written in _in_parallel(one, zip(batch["key"], batch["content"])):
+                yield pd.DataFrame({"n": [sum(written)]})
 
     return blobs.select("key", "content").mapInPandas(put, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 

@@ -98,6 +98,16 @@ def test_uptime_filled_across_midnight(spark):
     assert [(t.strftime("%H:%M"), n, s) for t, n, s in got] == [("23:40", 1, 1), ("23:50", 0, 0), ("00:00", 0, 0), ("00:10", 1, 1)]
 
 
+def test_uptime_filled_with_any_width(spark):
+    df = preds(spark, [("2024-01-01T22:10:00", 1.0, 0.5), ("2024-01-03T01:00:00", 1.0, 0.5)])
+    got = values(m.uptime_filled(df, width="7m"), "time", "system_status")
+    gaps = {(b - a).total_seconds() for (a, _), (b, _) in zip(got, got[1:])}
+    assert gaps == {420.0} and [s for _, s in got] == [1] + [0] * (len(got) - 2) + [1]
+    assert (got[0][0] - at("1970-01-01T00:00:00")).total_seconds() % 420 == 0
+    long = preds(spark, [("2020-01-01T00:00:00", 1.0, 0.5), ("2024-01-01T00:00:00", 1.0, 0.5)])
+    assert m.uptime_filled(long).count() == 1461 * 144 + 1
+
+
 def test_alerts(spark):
     df = preds(spark, [("2024-01-01T00:00:00", 80.0, 0.7), ("2024-01-01T00:01:00", 60.0, 0.69), ("2024-01-01T00:02:00", 80.5, 0.2)])
     now = at("2024-01-01T00:03:00")
