@@ -21,10 +21,18 @@ def name_pattern(types: list[str], case: str = "both") -> str:
 
 
 def read_images(
-    spark: SparkSession, paths: str | list[str], types: list[str] = UPLOAD_TYPES, case: str = "both", valid_only: bool = False
+    spark: SparkSession,
+    paths: str | list[str],
+    types: list[str] | None = UPLOAD_TYPES,
+    case: str = "both",
+    valid_only: bool = False,
 ) -> DataFrame:
-    """(path, name, base, image) of every image; a file that does not decode has image.height -1."""
-    source = spark.read.format("image").option("dropInvalid", valid_only).option("pathGlobFilter", name_pattern(types, case))
+    """(path, name, base, image) of every image; a file that does not decode has image.height -1.
+
+    `types` are the file extensions to read; None reads every file.
+    """
+    source = spark.read.format("image").option("dropInvalid", valid_only)
+    source = source.option("pathGlobFilter", name_pattern(types, case)) if types else source
     path = plain_path(F.col("image.origin"))
     return source.load(paths).select(
         path.alias("path"), file_name(path).alias("name"), base_name(path).alias("base"), "image"

@@ -64,7 +64,8 @@ def normalise_messages(messages: DataFrame) -> DataFrame:
     """One shape for inline and linked messages.
 
     `content` holds the decoded inline bytes, `image_link` the object key; `error` says why a
-    record cannot be used: bad JSON, bad base64, no image at all, or no file name.
+    record cannot be used: bad JSON, bad base64, no image at all, no file name, or a key that leaves
+    the store.
     """
     content = F.try_to_binary("image", F.lit("base64"))
     bad = F.col(BAD) if BAD in messages.columns else F.lit(None).cast("string")
@@ -73,6 +74,7 @@ def normalise_messages(messages: DataFrame) -> DataFrame:
         .when(F.col("image").isNotNull() & content.isNull(), "bad base64")
         .when(F.col("image").isNull() & F.col("image_link").isNull(), "no image")
         .when(F.col("filename").isNull(), "no filename")
+        .when(_climbs("filename") | _climbs("image_link"), "path outside the store")
     )
     extra = [c for c in ("source_id",) if c in messages.columns]
     return messages.select(
@@ -91,6 +93,11 @@ def normalise_messages(messages: DataFrame) -> DataFrame:
     )
 
 
+def _climbs(name: str) -> Column:
+    """The key has a '..' step, which in a file store would lead out of the root."""
+    return F.coalesce(F.rlike(name, F.lit(r"(^|/)\.\.(/|$)")), F.lit(False))
+
+
 def event_time(text: Column) -> Column:
     """Event time of a message; text that is not a time gives NULL."""
     return F.try_to_timestamp(text)

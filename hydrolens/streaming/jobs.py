@@ -6,6 +6,7 @@ is idempotent: objects go to fixed keys, result rows to a folder named by their
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -130,6 +131,10 @@ def score_batch(batch: DataFrame, batch_id: int, conf: Scoring) -> None:
         known = keep(existing_objects(linked, conf.root), "objects")
         scored = keep(score_objects(known, conf), "scored")
         stats = scored.drop("png")
+        # Spark's listing passes over empty files and hidden names.
+        passed_over = known.where("found").join(stats, "key", "left_anti")
+        passed_over = passed_over.select("key", F.lit("unreadable object").alias("error"))
+        stats = stats.unionByName(passed_over, allowMissingColumns=True)
 
         # Artefacts are named after the file; of several images with one name the newest wins.
         drawn = scored.where("error IS NULL").select("key", "png")
@@ -186,12 +191,14 @@ def score_objects(known: DataFrame, conf: Scoring) -> DataFrame:
     spark, root = known.sparkSession, conf.root.rstrip("/")
     nothing = spark.createDataFrame([], SCORED)
     lost = known.where("NOT found").select("key", F.lit("missing object").alias("error"))
-    paths = [f"{root}/{r.key}" for r in known.where("found").select("key").collect()]
+    # Characters of path patterns stand for themselves in a key.
+    literal = re.compile(r"([\[\]{}*?\\])")
+    paths = [literal.sub(r"\\\1", f"{root}/{r.key}") for r in known.where("found").select("key").collect()]
     if not paths:
         return nothing.unionByName(lost, allowMissingColumns=True)
     bare = root.split("://")[-1]
     with few_listing_tasks(spark):
-        found = read_images(spark, paths, types=["*"], case="lower")
+        found = read_images(spark, paths, types=None)
     images = found.select(
         F.substr("path", F.instr("path", bare) + F.lit(len(bare) + 1)).alias("key"), "image"
     )

@@ -116,6 +116,17 @@ def test_many_files_of_one_object_and_contents(spark, tmp_path, conf):
     assert sum(r.object is not None for r in found) == 20 and sum(r.object_error is not None for r in found) == 1
 
 
+def test_odd_object_names(spark, tmp_path, conf):
+    names = ["noext", "a b+%20é.png", "two.dots.jpg", "x[1]{a,b}.png", "st*r?.png", "_hidden.png"]
+    for name in names:
+        write_png(f"{conf.root}/uploads/{name}", image(250))
+    open(f"{conf.root}/uploads/empty.png", "w").close()
+    put_lines(str(tmp_path / "in"), "a.json", [linked(n, f"uploads/{n}") for n in [*names, "empty.png"]])
+    results, errors = run(spark, tmp_path, conf)
+    assert {r.filename for r in results.where("water_coverage = 100").collect()} == set(names[:-1]) and results.count() == 5
+    assert {(r.filename, r.error) for r in errors.collect()} == {("_hidden.png", "unreadable object"), ("empty.png", "unreadable object")}
+
+
 def test_nothing_staged_is_left(spark, tmp_path, conf):
     from hydrolens.session import shared_dir
 
