@@ -52,13 +52,18 @@ def each_batch(df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint
 def without_repeats(messages: DataFrame, horizon: str = "1 hour") -> DataFrame:
     """Drop messages the producer sent again: same file name, date and link within the horizon.
 
-    In two steps, so that one message sent very often is thinned out in many tasks before its last
-    copies meet in one.
+    Records with an error all stay. In two steps, so that one message sent very often is thinned
+    out in many tasks before its last copies meet in one.
     """
-    same = ["filename", "date", "image_link"]
-    spread = messages.withColumn("_lane", F.pmod(F.xxhash64("source_id"), F.lit(DEDUP_LANES)))
+    same = ["filename", "date", "image_link", "_bad"]
+    spread = messages.withColumns(
+        {
+            "_bad": F.when(F.col("error").isNotNull(), F.col("source_id")),
+            "_lane": F.pmod(F.xxhash64("source_id"), F.lit(DEDUP_LANES)),
+        }
+    )
     once_per_lane = spread.withWatermark("event_time", horizon).dropDuplicatesWithinWatermark([*same, "_lane"])
-    return once_per_lane.dropDuplicatesWithinWatermark(same).drop("_lane")
+    return once_per_lane.dropDuplicatesWithinWatermark(same).drop("_lane", "_bad")
 
 
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -93,7 +98,10 @@ def run_raw_sink(messages: DataFrame, root: str, passed_on: str, checkpoint: str
 
 @dataclass(frozen=True)
 class Scoring:
-    """Settings of the scoring job. Paths: object root, result table, error table."""
+    """Settings of the scoring job. Paths: object root, result table, error table.
+
+    With a `horizon`, messages sent again within that time are scored once.
+    """
 
     root: str
     results: str
@@ -103,22 +111,25 @@ class Scoring:
     size: tuple[int, int] = LIVE_SIZE
     threshold: float = 80
     images_prefix: str = "images"
+    horizon: str | None = None
     trigger: dict = field(default_factory=lambda: dict(ONCE))
 
 
 def run_scoring(messages: DataFrame, conf: Scoring, checkpoint: str):
     """message -> image -> score -> four artefact objects and one result row per message."""
-    return each_batch(messages, lambda batch, batch_id: score_batch(batch, batch_id, conf), checkpoint, conf.trigger)
+    rows = normalise_messages(messages)
+    rows = without_repeats(rows, conf.horizon) if conf.horizon else rows
+    return each_batch(rows, lambda batch, batch_id: score_batch(batch, batch_id, conf), checkpoint, conf.trigger)
 
 
 def score_batch(batch: DataFrame, batch_id: int, conf: Scoring) -> None:
-    """One micro-batch. Artefacts are written first, result rows last; both can be repeated.
+    """One micro-batch of normalised messages. Artefacts are written first, result rows last; both can be repeated.
 
     An image is read, scored and drawn once however many messages point at it. Records that cannot
     be used go to the error table and never stop the stream.
     """
     with staging(batch.sparkSession) as keep:
-        rows = keep(normalise_messages(batch), "messages")
+        rows = keep(batch, "messages")
         good, bad = split_errors(rows)
 
         # Inline images become objects, so that both forms go on by key.

@@ -99,7 +99,7 @@ def test_replayed_batch_changes_nothing(spark, tmp_path, conf):
     from hydrolens.sources.messages import parse_messages
 
     for _ in range(2):
-        jobs.score_batch(parse_messages(raw), 0, conf)
+        jobs.score_batch(normalise_messages(parse_messages(raw)), 0, conf)
     assert spark.read.parquet(conf.results).count() == 2
     assert spark.read.parquet(conf.errors).count() == 1
 
@@ -116,6 +116,14 @@ def test_many_files_of_one_object_and_contents(spark, tmp_path, conf):
     assert sum(r.object is not None for r in found) == 20 and sum(r.object_error is not None for r in found) == 1
 
 
+def test_repeats_are_scored_once_with_a_horizon(spark, tmp_path, conf):
+    from dataclasses import replace
+
+    put_lines(str(tmp_path / "in"), "a.json", [inline("x.png", 250), inline("x.png", 250), "junk", "junk 2"])
+    results, errors = run(spark, tmp_path, replace(conf, horizon="1 hour"))
+    assert results.count() == 1 and errors.count() == 2
+
+
 def test_odd_object_names(spark, tmp_path, conf):
     names = ["noext", "a b+%20é.png", "two.dots.jpg", "x[1]{a,b}.png", "st*r?.png", "_hidden.png"]
     for name in names:
