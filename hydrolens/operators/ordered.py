@@ -156,16 +156,17 @@ def _layout(df: DataFrame, order: list[str], lookback: int, block_rows: int) ->
         counts = {k[0]: n for k, n in _counts(df, cell).items()}
 
     limit = max(MIN_SLICE_ROWS, rows // (blocks * SLICES_PER_BLOCK // 2))
-    hot = sorted(c for c, n in counts.items() if n > limit)
+    hot = {c for c, n in counts.items() if n > limit}
     if not hot:
         return Layout(cell, *assign_targets(counts, blocks, lookback))
 
     hot_rows = sum(counts[c] for c in hot)
-    is_hot = F.get(_literal([c in set(hot) for c in range(cells + 1)], "array<boolean>"), cell)
+    is_hot = F.get(_literal([c in hot for c in range(cells + 1)], "array<boolean>"), cell)
     key, crowded = _order_key(order), df.where(is_hot)
     bounds, size = _boundaries(crowded.select(key.alias("key")), hot_rows, max(2, 2 * hot_rows // limit))
     rank = _rank(key, bounds, size)
-    # Ranks rise with the key, so those of one cell are a run of numbers, and the runs do not cross.
+    # Ranks rise with the key, so those of one cell are a run of numbers. Neighbouring cells may
+    # share a rank; each keeps its own slice for it.
     parts = _counts(crowded, cell, rank)
     runs: dict[int, tuple[int, int]] = {}
     for c, r in sorted(parts):
@@ -242,6 +243,7 @@ def with_lookback(df: DataFrame, column: str, lower: Column, upper: Column, look
     """Rows in [lower, upper] plus the `lookback` rows just before: all a backward frame needs.
 
     Lets a windowed alert on the newest rows read two pruned scans instead of the whole history.
+    `column` identifies a row, as the date of a daily table does.
     """
     recent = df.where((F.col(column) >= lower) & (F.col(column) <= upper))
     prefix = df.where(F.col(column) < lower).orderBy(F.col(column).desc()).limit(lookback)
