@@ -8,6 +8,8 @@ exchanged and its links are split by the adaptive join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from hydrolens.session import stage
@@ -40,3 +42,46 @@ def _small_star(pairs: DataFrame) -> DataFrame:
     least = pairs.groupBy("a").agg(F.min("b").alias("m"))
     moved = pairs.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+
+
+def bucket_groups(
+    entries: DataFrame, check: Callable[[DataFrame], DataFrame], equal: DataFrame, may_link: Callable[[str, str], str] = lambda n, m: "true", rounds: int = 3
+) -> DataFrame:
+    """`doc_id` and `component_id` of every node that links with another.
+
+    `entries` has `key` (a bucket), `rep` and `n` (its size); `check` keeps those of the distinct pairs (`a` < `b`) that are
+    linked; `equal` holds links known beforehand (`a`, `b`); `may_link` is a condition on two sizes without which no pair can
+    be linked. A bucket never makes all its pairs at once: in each of `rounds` rounds its members are checked against one of
+    them (the first in a hash order that changes with the round), and links merge groups. What is left in a bucket, pairs of
+    different groups not checked before, is then checked pair by pair, so no linked pair of a bucket is lost.
+    """
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    buckets = stage(entries.join(shared, "key", "left_semi").select("key", "rep", "n").distinct(), "buckets")
+    found, groups, tested = None, None, None
+    for turn in range(rounds + 1):
+        if groups is None:
+            labelled = buckets.withColumn("component", F.col("rep"))
+        else:
+            labelled = buckets.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
+            labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
+        first = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "component", "n")).alias("first")
+        split = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), first).where("low <> high")
+        if turn < rounds:
+            others = split.select("key", F.col("first.rep").alias("other"), F.col("first.component").alias("group"), F.col("first.n").alias("m"))
+            pairs = labelled.join(others, "key").where("component <> `group`")
+        else:
+            rest = labelled.join(split, "key", "left_semi")
+            others = rest.select("key", F.col("rep").alias("other"), F.col("component").alias("group"), F.col("n").alias("m"))
+            pairs = rest.join(others, "key").where("rep < other AND component <> `group`")
+        pairs = pairs.where(may_link("n", "m")).select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        if not pairs.limit(1).count():
+            continue
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        passed = stage(check(pairs), "near-links")
+        found = passed if found is None else found.unionByName(passed)
+        groups = stage(components(found), "near-groups")
+    every = equal if found is None else equal.unionByName(found)
+    return components(every).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))

@@ -28,14 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from hydrolens.llm.common import map_rows
-from hydrolens.llm.groups import components
+from hydrolens.llm.groups import bucket_groups
 from hydrolens.session import stage
 
 WORDS = 5
 PLACES = 1 << 20
 BANDS, ROWS = 24, 4
 PERCENT = 85
-ROUNDS = 3
 SMALL = 1_000_000  # ids, 8 MB, that may be broadcast
 ADDED = ("n_shingles", "component_id", "kept")
 
@@ -146,49 +145,16 @@ def near_groups(docs: DataFrame) -> DataFrame:
     equal = stage(named.select("doc_id", "digest", "n_shingles").join(classes, "digest").select("doc_id", "rep", "n_shingles"), "equal-sets")
 
     reps = named.join(classes.withColumn("doc_id", F.col("rep")), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest"])
-    entries = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"), "digest", "n_shingles")
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    buckets = stage(entries.join(shared, "key", "left_semi").select("key", "rep", F.col("n_shingles").alias("n")).distinct(), "buckets")
-    sets = stage(_sets(docs, buckets.select("rep").distinct()).dropDuplicates(["rep", "members"]), "shingle-sets")
+    entries = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
+
+    def check(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+        return _linked(pairs, stage(_sets(docs, wanted), "shingle-sets"))
 
     links = equal.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
-    found, groups, tested = None, None, None
-    for turn in range(ROUNDS + 1):
-        labelled = buckets
-        if groups is not None:
-            labelled = buckets.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
-            labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
-        else:
-            labelled = labelled.withColumn("component", F.col("rep"))
-        mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "component", "n")).alias("lead"))
-        mixed = mixed.where("low <> high")
-        if turn < ROUNDS:
-            mixed = mixed.select("key", F.col("lead.rep").alias("lead"), F.col("lead.component").alias("group"), F.col("lead.n").alias("size"))
-            pairs = labelled.join(mixed, "key").where("component <> group").where(_close("n", "size")).select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b"))
-        else:
-            rest = labelled.join(mixed.select("key"), "key", "left_semi")
-            other = rest.select("key", F.col("rep").alias("lead"), F.col("component").alias("group"), F.col("n").alias("size"))
-            pairs = rest.join(other, "key").where("rep < lead AND component <> group").where(_close("n", "size")).select(F.col("rep").alias("a"), F.col("lead").alias("b"))
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        if not pairs.limit(1).count():
-            if turn < ROUNDS:
-                continue
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        passed = stage(_linked(pairs, sets), "near-links")
-        found = passed if found is None else found.unionByName(passed)
-        groups = stage(components(found), "near-groups")
-
-    every = links if found is None else links.unionByName(found)
-    whole = components(every) if every.limit(1).count() else None
-    out = signed.select("doc_id", "n_shingles")
-    if whole is None:
-        return out.withColumn("component_id", F.col("doc_id"))
-    out = out.join(whole.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    whole = bucket_groups(entries, check, links, _close)
+    out = signed.select("doc_id", "n_shingles").join(whole, "doc_id", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def with_groups(docs: DataFrame) -> DataFrame:

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hydrolens.llm import bpe, lines, minhash, mixing, quality
+from hydrolens.llm import bpe, edits, embeddings, licenses, lines, minhash, mixing, quality, scoring, secrets
 from hydrolens.llm.common import table
 from hydrolens.session import stage
 
 THRESHOLD = 0.3
 
 
+def op1_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.pseudo_likelihoods(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(table(spark, folder, "documents"))
 
@@ -25,12 +29,20 @@ def op3_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(sized, F.col("chars"), F.col("place")).drop("place")
 
 
+def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_matches(table(spark, folder, "documents"))
+
+
 def op5_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     rows = lines.without_repeats(docs)
     return rows.select("doc_id", "lines", "removed_lines", "emptied", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op6_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.with_links(table(spark, folder, "embeddings"))
+
+
 def op7_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
     near = minhash.near_groups(table(spark, folder, "documents"))
     return near.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -44,14 +56,20 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op9_edit_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edits.edit_fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.span_report(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op2_bpe": op2_bpe,
-        "op3_pfair_mixing": op3_pfair_mixing,
-        "op5_line_runs": op5_line_runs,
-        "op7_circulant_minhash": op7_circulant_minhash,
-        "op8_quality": op8_quality,
-    }
+    runs = (
+        op1_pseudo_likelihood, op2_bpe, op3_pfair_mixing, op4_licenses, op5_line_runs, op6_cover_tree, op7_circulant_minhash, op8_quality,
+        op9_edit_fingerprints, op10_secrets,
+    )
+    return {run.__name__: run for run in runs}
 
 
 def oracle() -> dict[str, str]:
