@@ -5,7 +5,8 @@ normalised to lower-case words of letters, digits and inner dots; their likeness
 of word bigrams. Units at or above `LEAST` match.
 
 Size bounds prune: with a template of b bigrams a unit needs from b * LEAST / (2 - LEAST) to b * (2 - LEAST) / LEAST of
-them, and since a notice has to share bigrams, a run only starts and ends with a line that shares one with the template.
+them, and since dropping a line that shares no bigram (in itself or with the line next to it) can only raise the likeness,
+a run starts and ends with a line that shares one with the template.
 Of overlapping matches the best stays (by likeness, then the longer, then the earlier, then the template's name).
 
 Edge cases: null and empty texts match nothing; a unit or template of one word has that word as its only bigram; a text
@@ -122,23 +123,28 @@ class Scanner:
         for number, template in enumerate(self.templates):
             for pair in template.bigrams:
                 self.by_bigram.setdefault(pair, []).append(number)
-        first = {re.escape(pair[0]) for pair in self.by_bigram}
-        self.hint = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted(first, key=len, reverse=True)) + r")(?![a-z0-9])")
+        used = {re.escape(word) for pair in self.by_bigram for word in pair}
+        self.hint = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted(used, key=len, reverse=True)) + r")(?![a-z0-9])")
 
     def scan(self, text: str | None) -> list[tuple[str, int, int, float]]:
         """Matches as (name, first line, line after the last, likeness), in order of place."""
         lines = (text or "").split("\n")
         words: dict[int, list[str]] = {}
-        touched: dict[int, list[int]] = {}
+        touched: dict[int, set[int]] = {}
+        before = None  # the line with words before this one, if it has a word of some template
         for i, line in enumerate(lines):
-            own = words_of(line) if self.hint.search(line.lower()) else []
-            if own:
-                words[i] = own
-                for number in {n for pair in bigrams(own) if pair in self.by_bigram for n in self.by_bigram[pair]}:
-                    touched.setdefault(number, []).append(i)
+            low = line.lower()
+            if not self.hint.search(low):
+                before = before if not _WORD.search(low) else None
+                continue
+            words[i] = words_of(low)
+            self._touch(bigrams(words[i]), (i,), touched)
+            if before is not None:
+                self._touch({(words[before][-1], words[i][0])}, (before, i), touched)
+            before = i
         found = []
         for number, places in touched.items():
-            found += self._runs(self.templates[number], places, lines, words)
+            found += self._runs(self.templates[number], sorted(places), lines, words)
         found.sort(key=lambda m: (-m[3], m[1] - m[2], m[1], m[0]))
         kept: list[tuple[str, int, int, float]] = []
         taken: set[int] = set()
@@ -148,6 +154,12 @@ class Scanner:
                 taken.update(range(match[1], match[2]))
         return sorted(kept, key=lambda m: m[1])
 
+    def _touch(self, pairs: set, at: tuple[int, ...], touched: dict[int, set[int]]) -> None:
+        """Notes the lines `at` for the templates that have one of the bigrams."""
+        for pair in pairs:
+            for number in self.by_bigram.get(pair, ()):
+                touched.setdefault(number, set()).update(at)
+
     def _runs(self, template: Template, places: list[int], lines: list[str], words: dict[int, list[str]]) -> Iterator[tuple[str, int, int, float]]:
         ends = set(places)
         for start in places:

@@ -36,6 +36,7 @@ SIZE = len(ALPHABET) + 1  # one more for any other character
 LEAST_RATIO = 12.0
 EVEN = 0.5  # share of the random model that is even over all characters
 SMOOTHING = 0.5
+BACKING = 4.0  # weight, in counts, of the characters' overall frequencies in the identifiers' model
 
 
 def _text(pattern: str) -> str:
@@ -101,11 +102,15 @@ def train(labelled: DataFrame) -> list[float]:
     counts = {(r["label"], r["pair"]): r["n"] for r in pairs.groupBy("label", "pair").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not any(label == 0 for label, _ in counts) or not any(label == 1 for label, _ in counts):
         return [0.0] * (SIZE * SIZE)
+    alone = [sum(counts.get((0, a * SIZE + b), 0) for a in range(SIZE)) + SMOOTHING for b in range(SIZE)]
+    usual = [n / sum(alone) for n in alone]  # identifiers' characters whatever comes before
     table = []
     for a in range(SIZE):
-        rows = [[counts.get((label, a * SIZE + b), 0) + SMOOTHING for b in range(SIZE)] for label in (0, 1)]
-        totals = [sum(row) for row in rows]
-        table += [math.log((EVEN / SIZE + (1 - EVEN) * rows[1][b] / totals[1]) / (rows[0][b] / totals[0])) for b in range(SIZE)]
+        plain = [counts.get((0, a * SIZE + b), 0) + BACKING * usual[b] for b in range(SIZE)]
+        noise = [counts.get((1, a * SIZE + b), 0) + SMOOTHING for b in range(SIZE)]
+        for b in range(SIZE):
+            random = EVEN / SIZE + (1 - EVEN) * noise[b] / sum(noise)
+            table.append(math.log(random / (plain[b] / sum(plain))))
     return table
 
 
@@ -140,5 +145,5 @@ def span_report(docs: DataFrame) -> DataFrame:
     """Per document the number of base spans of each kind, a digest of these, and all spans."""
     found = with_spans(docs.select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"] < len(KINDS))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, (name, *_) in enumerate(KINDS)]
+    counts = [F.expr(f"CAST(size(filter(spans, s -> s.kind = {kind})) AS bigint) AS n_{name}") for kind, (name, *_) in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
