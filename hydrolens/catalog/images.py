@@ -343,7 +343,7 @@ def _(spark, sf):
         model="linear",
         size=(8, 8),
     )
-    stream = read_messages(spark, {"format": "text", "path": f"{root}/messages"})
+    stream = read_messages(spark, {"format": "text", "path": f"{root}/messages", "options": {"maxFilesPerTrigger": "4"}})
     jobs.run_scoring(stream, conf, f"{root}/checkpoint").awaitTermination()
     rows = spark.read.parquet(f"{root}/results")
     return rows.select(

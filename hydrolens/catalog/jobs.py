@@ -17,22 +17,28 @@ from hydrolens.sources.publish import folder_messages
 from hydrolens.streaming import jobs
 
 
+def _stream(spark, folder):
+    """Files of JSON lines as a stream of several batches."""
+    return read_messages(spark, {"format": "text", "path": folder, "options": {"maxFilesPerTrigger": "4"}})
+
+
 def _doc_name():
     return F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".png"))
 
 
 @register(
     "raw_image_sink",
-    """SELECT concat('images/doc_', CAST(doc_id AS VARCHAR), '.png') AS key, CAST(octet_length(encode(text)) AS BIGINT) AS size, text AS payload
-FROM documents WHERE text <> ''""",
+    """WITH named AS (SELECT concat('doc_', CAST(doc_id AS VARCHAR), '.png') AS name, text FROM documents),
+keys AS (SELECT concat('images/', name) AS key, text FROM named UNION ALL SELECT concat('images/', sha256(text), '/', name), text FROM named)
+SELECT key, CAST(octet_length(encode(text)) AS BIGINT) AS size, text AS payload FROM keys""",
 )
 def _(spark, sf):
     """Document texts as opaque image payloads: published inline, stored by the stream, listed and fetched."""
     root = stage_path(spark, "raw")
     payload = F.regexp_replace(F.base64(F.encode("text", "UTF-8")), r"\s", "")
     message = F.struct(_doc_name().alias("filename"), payload.alias("image"), F.lit("2024-01-01T00:00:00").alias("date"))
-    fx.table(spark, sf, "documents").where("text <> ''").select(F.to_json(message)).write.text(f"{root}/messages")
-    stream = read_messages(spark, {"format": "text", "path": f"{root}/messages"})
+    fx.table(spark, sf, "documents").select(F.to_json(message)).write.text(f"{root}/messages")
+    stream = _stream(spark, f"{root}/messages")
     jobs.run_raw_sink(stream, f"{root}/store", f"{root}/passed", f"{root}/checkpoint").awaitTermination()
     listing = list_objects(spark, f"{root}/store", "images/")
     contents = fetch_objects(listing, f"{root}/store")
@@ -41,7 +47,7 @@ def _(spark, sf):
 
 @register(
     "published_folder",
-    """WITH named AS (SELECT concat('doc_', CAST(doc_id AS VARCHAR), '.png') AS filename, text FROM documents WHERE text <> '')
+    """WITH named AS (SELECT concat('doc_', CAST(doc_id AS VARCHAR), '.png') AS filename, text FROM documents)
 SELECT CAST(row_number() OVER (ORDER BY filename) - 1 AS VARCHAR) AS key, filename, to_base64(encode(text)) AS image,
   '2024-01-01T00:00:00' AS date, row_number() OVER (ORDER BY filename) - 1 AS message_id, CAST(octet_length(encode(text)) AS BIGINT) AS file_size
 FROM named""",
@@ -49,7 +55,7 @@ FROM named""",
 def _(spark, sf):
     """A folder of files as inline messages, numbered by path."""
     root = stage_path(spark, "folder")
-    docs = fx.table(spark, sf, "documents").where("text <> ''")
+    docs = fx.table(spark, sf, "documents")
     write_objects(docs.select(_doc_name().alias("key"), F.encode("text", "UTF-8").alias("content")), root)
     return folder_messages(spark, root, F.lit("2024-01-01").cast("timestamp"))
 
@@ -76,12 +82,27 @@ def _(spark, sf):
     root = stage_path(spark, "repeated")
     sent = _messages(spark, sf).drop("key").crossJoin(spark.range(3).withColumnRenamed("id", "message_id"))
     sent.select(F.to_json(F.struct("*"))).write.text(f"{root}/messages")
-    stream = normalise_messages(read_messages(spark, {"format": "text", "path": f"{root}/messages"}))
+    stream = normalise_messages(_stream(spark, f"{root}/messages"))
     unique = jobs.without_repeats(stream, "1 hour").select("filename", "image_link", "date")
     jobs.append_stream(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 
+@register("late_messages", MESSAGE_ROWS + "SELECT DISTINCT filename, image_link, date FROM messages", ("client_ips", "geo_ranges", "upload_log"))
+def _(spark, sf):
+    """Upload messages that arrive newest first, day by day and each twice, through the stream's dedup: none is lost for being late."""
+    root = stage_path(spark, "late")
+    sent = _messages(spark, sf).drop("key").crossJoin(spark.range(2).withColumnRenamed("id", "message_id"))  # two constant rows
+    days = sorted((r[0] for r in sent.select(F.substring("date", 1, 10)).distinct().collect()), reverse=True)
+    for part, day in enumerate((days[: len(days) // 3], days[len(days) // 3 : 2 * len(days) // 3], days[2 * len(days) // 3 :])):
+        rows = sent.where(F.substring("date", 1, 10).isin(day))
+        rows.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("append").text(f"{root}/messages/{part}")
+    stream = read_messages(spark, {"format": "text", "path": f"{root}/messages/*", "options": {"maxFilesPerTrigger": "1"}})
+    unique = jobs.without_repeats(normalise_messages(stream), "1 hour").select("filename", "image_link", "date")
+    jobs.append_stream(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 @register("compacted_chunks", f"SELECT date, {OHLC}, volume FROM stock", ("stock",))
 def _(spark, sf):
     """The price table written in four parts, then compacted up to three months before its end."""

@@ -112,11 +112,12 @@ series(
 q(
     "uptime_filled",
     f"""
-, seen AS (SELECT {BUCKET["10m"]} AS time, count(*) AS n FROM preds WHERE {ALL_TS} GROUP BY 1),
-grid AS (SELECT unnest(generate_series((SELECT min(time) FROM seen), (SELECT max(time) FROM seen), INTERVAL '10 minutes')) AS time)
+, seen AS (SELECT {BUCKET["10m"]} AS time, count(*) AS n FROM preds
+  WHERE timestamp BETWEEN TIMESTAMP '2023-12-30 23:57:00' AND TIMESTAMP '2024-02-03 06:00:00' GROUP BY 1),
+grid AS (SELECT unnest(generate_series(TIMESTAMP '2023-12-30 23:50:00', TIMESTAMP '2024-02-03 06:00:00', INTERVAL '10 minutes')) AS time)
 SELECT grid.time, coalesce(n, 0) AS data_points, CAST(CASE WHEN n IS NULL THEN 0 ELSE 1 END AS INT) AS system_status
 FROM grid LEFT JOIN seen ON grid.time = seen.time""",
-)(lambda p: m.uptime_filled(p, ALL))
+)(lambda p: m.uptime_filled(p, ("2023-12-30 23:57:00", "2024-02-03 06:00:00")))
 
 q(
     "hour_of_day",

@@ -18,11 +18,16 @@ from hydrolens.sources.messages import normalise_messages, parse_messages
 
 @register(
     "validate_uploads",
-    "SELECT event_id, filename, file_size <= 52428800 AS size_ok, true AS type_ok FROM upload_log",
+    """
+, named AS (SELECT event_id, concat(filename, ['', '.png', '.TIFF', '.gif', '.exe', '.', '.webp'][1 + event_id % 7]) AS filename, file_size FROM upload_log)
+SELECT event_id, filename, file_size <= 52428800 AS size_ok, event_id % 7 IN (0, 1, 2) AS type_ok FROM named""",
     ("upload_log",),
 )
 def _(spark, sf):
-    return u.validate_uploads(fx.upload_log(spark, sf)).select("event_id", "filename", "size_ok", "type_ok")
+    """Names with seven endings, three of them accepted types."""
+    endings = F.array(*[F.lit(x) for x in ("", ".png", ".TIFF", ".gif", ".exe", ".", ".webp")])
+    named = fx.upload_log(spark, sf).withColumn("filename", F.concat("filename", F.get(endings, (F.col("event_id") % 7).cast("int"))))
+    return u.validate_uploads(named).select("event_id", "filename", "size_ok", "type_ok")
 
 
 @register(
@@ -161,9 +166,21 @@ def _located(spark, sf):
     return u.enrich_location(fx.client_ips(spark, sf), fx.geo_ranges(spark, sf)).drop("x_forwarded_for", "client_host")
 
 
-@register("upload_locations", LOCATED + "SELECT * FROM located", ("client_ips", "geo_ranges"))
+@register(
+    "upload_locations",
+    LOCATED.replace(
+        "FROM client_ips)",
+        """FROM (SELECT event_id, CASE WHEN event_id % 13 > 0 THEN x_forwarded_for END AS x_forwarded_for,
+    CASE WHEN event_id % 13 > 0 THEN client_host END AS client_host FROM client_ips))""",
+    )
+    + "SELECT * FROM located",
+    ("client_ips", "geo_ranges"),
+)
 def _(spark, sf):
-    return _located(spark, sf)
+    """Every thirteenth client has no address at all."""
+    clients = fx.client_ips(spark, sf)
+    clients = clients.withColumns({c: F.when(F.col("event_id") % 13 > 0, F.col(c)) for c in ("x_forwarded_for", "client_host")})
+    return u.enrich_location(clients, fx.geo_ranges(spark, sf)).drop("x_forwarded_for", "client_host")
 
 
 MESSAGE_ROWS = (
@@ -192,10 +209,10 @@ def _(spark, sf):
     "unified_messages",
     MESSAGE_ROWS
     + """SELECT filename, image_link, date, file_size, round(lat, 8) AS lat, round(lon, 8) AS lon, 'unknown' AS location,
-  CAST(NULL AS VARCHAR) AS payload FROM messages
+  CAST(0 AS BIGINT) AS processing_time_ms, 'unet++' AS model_version, CAST(NULL AS VARCHAR) AS payload FROM messages
 UNION ALL
-SELECT concat('doc_', CAST(doc_id AS VARCHAR)), NULL, '2024-01-01T00:00:00', CAST(octet_length(encode(text)) AS BIGINT),
-  NULL, NULL, 'unknown', text FROM documents""",
+SELECT CASE WHEN doc_id % 5 = 0 THEN 'unknown' ELSE concat('doc_', CAST(doc_id AS VARCHAR)) END, NULL, '2024-01-01T00:00:00',
+  CAST(octet_length(encode(text)) AS BIGINT), NULL, NULL, 'unknown', doc_id % 300, concat('v', CAST(doc_id % 3 AS VARCHAR)), text FROM documents""",
     ("client_ips", "geo_ranges", "upload_log"),
 )
 def _(spark, sf):
@@ -205,7 +222,9 @@ def _(spark, sf):
     inline = doc.select(
         F.to_json(
             F.struct(
-                F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("filename"),
+                F.when(F.col("doc_id") % 5 > 0, F.concat(F.lit("doc_"), F.col("doc_id").cast("string"))).alias("filename"),
+                (F.col("doc_id") % 300).alias("processing_time_ms"),
+                F.concat(F.lit("v"), (F.col("doc_id") % 3).cast("string")).alias("model_version"),
                 F.base64(F.encode("text", "UTF-8")).alias("image"),
                 F.lit("2024-01-01T00:00:00").alias("date"),
                 F.col("doc_id").alias("message_id"),
@@ -222,6 +241,8 @@ def _(spark, sf):
         "lat",
         "lon",
         "location",
+        "processing_time_ms",
+        "model_version",
         F.decode("content", "UTF-8").alias("payload"),
     )
 

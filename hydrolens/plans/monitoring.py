@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hydrolens.functions.bands import alert_status, confidence_band, overflow  # noqa: F401
-from hydrolens.functions.time import Moment, Range, bucketed, in_range, parse_width, since
+from hydrolens.functions.time import Moment, Range, bucketed, in_range, moment, parse_width, since
 from hydrolens.operators.ordered import ordered_window
 
 STRETCH = 10_000  # buckets
@@ -76,19 +76,19 @@ def uptime(preds: DataFrame, rng: Range = None) -> DataFrame:
 
 
 def uptime_filled(preds: DataFrame, rng: Range = None, width: str = "10m") -> DataFrame:
-    """As `uptime`, with the empty buckets between the first and the last one at status 0."""
+    """As `uptime`, with every bucket of the range, empty ones at status 0. An open end is that of the rows."""
     seen = _by_bucket(preds, rng, width, F.count("*").alias("data_points"))
     n, unit = parse_width(width)
-    step = n * {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit]
-    seconds = F.unix_seconds(F.col("hi").cast("timestamp")) - F.unix_seconds(F.col("lo").cast("timestamp"))
-    # Stretches first, so that the expansion of a long range is spread over tasks.
-    span = seen.agg(F.min("time").alias("lo"), F.max("time").alias("hi")).where("lo IS NOT NULL")
-    stretches = span.select(
-        "lo", F.floor(seconds / step).alias("last"), F.explode(F.sequence(F.lit(0), F.floor(seconds / step), F.lit(STRETCH))).alias("at")
-    ).repartition("at")
-    grid = stretches.select(
-        "lo", F.explode(F.sequence("at", F.least("last", F.col("at") + STRETCH - 1))).alias("i")
-    ).select((F.col("lo") + F.make_dt_interval(secs=F.col("i") * step)).alias("time"))
+    dtype = preds.schema[TS].dataType
+    given = [None if end is None else moment(end, dtype) for end in (rng or (None, None))]
+    found = [F.min("time"), F.max("time")]
+    ends = seen.agg(F.array(*[f if g is None else F.coalesce(g, f) for g, f in zip(given, found)]).alias("ends"))
+    ends = ends.select(F.explode("ends").alias("at")).where("at IS NOT NULL")
+    span = ends.select(bucketed(ends, width, "at").alias("at")).agg(F.min("at").alias("lo"), F.max("at").alias("hi")).where("lo IS NOT NULL")
+    if unit == "month":
+        grid = span.select(F.explode(F.sequence("lo", "hi", F.make_ym_interval(F.lit(0), F.lit(n)))).alias("time"))
+    else:
+        grid = _steps(span, n * {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit])
     return (
         grid.join(seen, "time", "left")
         .select(
@@ -100,6 +100,17 @@ def uptime_filled(preds: DataFrame, rng: Range = None, width: str = "10m") -> Da
     )
 
 
+def _steps(span: DataFrame, step: int) -> DataFrame:
+    """All times from `lo` to `hi` of a one-row frame. Stretches first, so that a long range is spread over tasks."""
+    seconds = F.unix_seconds(F.col("hi").cast("timestamp")) - F.unix_seconds(F.col("lo").cast("timestamp"))
+    stretches = span.select(
+        "lo", F.floor(seconds / step).alias("last"), F.explode(F.sequence(F.lit(0), F.floor(seconds / step), F.lit(STRETCH))).alias("at")
+    ).repartition("at")
+    return stretches.select(
+        "lo", F.explode(F.sequence("at", F.least("last", F.col("at") + STRETCH - 1))).alias("i")
+    ).select((F.col("lo") + F.make_dt_interval(secs=F.col("i") * step)).alias("time"))
+
+
 def error_rate(preds: DataFrame, rng: Range = None) -> DataFrame:
     return _by_bucket(preds, rng, "1h", _share(F.col(CONF) < 0.5, "error_rate")).orderBy("time")
 

@@ -64,7 +64,9 @@ def enrich_location(uploads: DataFrame, ranges: DataFrame) -> DataFrame:
     """
     rows = uploads.withColumn("_address", client_ip(F.col("x_forwarded_for"), F.col("client_host")))
     found = resolve_addresses(rows.select("_address").distinct(), ranges, "_address")
-    return lookup_join(rows, found, "_address").select(*uploads.columns, "ip", *UNKNOWN)
+    # A client without any address finds nothing and is unknown.
+    filled = [F.coalesce(c, F.lit(v)).alias(c) for c, v in {"ip": UNKNOWN_IP, **UNKNOWN}.items()]
+    return lookup_join(rows, found, "_address").select(*uploads.columns, *filled)
 
 
 def resolve_addresses(addresses: DataFrame, ranges: DataFrame, address: str) -> DataFrame:

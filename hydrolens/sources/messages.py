@@ -8,6 +8,12 @@ from hydrolens.schemas import MESSAGE
 
 BAD = "_bad"
 
+# What a message without these fields counts as.
+DEFAULTS = {"filename": "unknown", "processing_time_ms": 0, "model_version": "unet++", "location": "unknown"}
+
+# Options that bound a micro-batch; a stream of messages needs one of them.
+BOUNDS = {"kafka": ("maxOffsetsPerTrigger",), "text": ("maxFilesPerTrigger", "maxBytesPerTrigger")}
+
 # Producer settings (50 MB messages, 16 KB batches).
 PRODUCER = {
     "kafka.acks": "all",
@@ -36,9 +42,13 @@ def read_messages(spark: SparkSession, source: dict, schema: T.StructType = MESS
 
     source = {"format": "kafka", "topic": ..., "options": kafka_options(...)} reads a topic from
     its start; {"format": "text", "path": ..., "options": {...}} reads files of JSON lines. The
-    group's position is the checkpoint of the query that consumes the stream.
+    group's position is the checkpoint of the query that consumes the stream. One of the options in
+    BOUNDS has to be given: a backlog would otherwise arrive as a single batch.
     """
     options = dict(source.get("options", {}))
+    bounds = BOUNDS["kafka" if source["format"] == "kafka" else "text"]
+    if not {b.lower() for b in bounds} & {o.lower() for o in options}:
+        raise ValueError(f"a stream of messages needs a bound per batch: one of {', '.join(bounds)}")
     if source["format"] == "kafka":
         options.setdefault("startingOffsets", "earliest")
         raw = spark.readStream.format("kafka").option("subscribe", source["topic"]).options(**options).load()
@@ -64,8 +74,8 @@ def normalise_messages(messages: DataFrame) -> DataFrame:
     """One shape for inline and linked messages.
 
     `content` holds the decoded inline bytes, `image_link` the object key; `error` says why a
-    record cannot be used: bad JSON, bad base64, no image at all, no file name, or a key that leaves
-    the store.
+    record cannot be used: bad JSON, bad base64, no image at all, or a key that leaves the store.
+    Fields that a message does not have get the values in DEFAULTS.
     """
     content = F.try_to_binary("image", F.lit("base64"))
     bad = F.col(BAD) if BAD in messages.columns else F.lit(None).cast("string")
@@ -73,13 +83,12 @@ def normalise_messages(messages: DataFrame) -> DataFrame:
         F.when(bad.isNotNull(), "not JSON")
         .when(F.col("image").isNotNull() & content.isNull(), "bad base64")
         .when(F.col("image").isNull() & F.col("image_link").isNull(), "no image")
-        .when(F.col("filename").isNull(), "no filename")
         .when(_climbs("filename") | _climbs("image_link"), "path outside the store")
     )
     extra = [c for c in ("source_id",) if c in messages.columns]
     return messages.select(
         *extra,
-        "filename",
+        _given("filename").alias("filename"),
         "image_link",
         content.alias("content"),
         "date",
@@ -88,11 +97,17 @@ def normalise_messages(messages: DataFrame) -> DataFrame:
         "file_size",
         "lat",
         "lon",
-        F.coalesce("location", F.lit("unknown")).alias("location"),
+        _given("location").alias("location"),
+        _given("processing_time_ms").alias("processing_time_ms"),
+        _given("model_version").alias("model_version"),
         error.alias("error"),
     )
 
 
+def _given(name: str) -> Column:
+    return F.coalesce(name, F.lit(DEFAULTS[name]))
+
+
 def _climbs(name: str) -> Column:
     """The key has a '..' step, which in a file store would lead out of the root."""
     return F.coalesce(F.rlike(name, F.lit(r"(^|/)\.\.(/|$)")), F.lit(False))

@@ -12,30 +12,56 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hydrolens.functions.text import media_type
-from hydrolens.session import parallelism
+from hydrolens.session import parallelism, stage
 
 IO_THREADS = 16
 
 
-def _root(root: str) -> str:
-    return root.rstrip("/")
+# Names of objects that are still being written.
+DRAFT = re.compile(r"^\.[0-9a-f]{32}\.part$")
 
 
-def _key(root: str):
-    """Key of a path under the root."""
-    bare = _root(root).split("://")[-1]
-    return F.substr("path", F.instr("path", bare) + F.lit(len(bare) + 1))
+def qualified_root(spark: SparkSession, root: str) -> str:
+    """The root with its scheme, as the cluster resolves it; a machine-local root is an error on a cluster."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    if full.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{full} is local to each machine; use a store that all executors reach")
+    return full
 
 
 def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
-    """(key, size, last_modified) of all objects under a prefix. Contents are not read.
+    """(key, size, last_modified) of all objects under a prefix, empty and hidden ones included.
 
-    Spark's file listing leaves out empty objects and names that start with '_' or '.'.
+    Folders are opened level by level, each by the task it falls to; contents are not read.
+    Objects that are still being written do not count.
     """
-    folder, _, rest = prefix.rpartition("/")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{_root(root)}/{folder}")
-    listing = files.select(_key(root).alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified"))
-    return listing.where(F.startswith("key", F.lit(prefix))) if rest else listing
+    root = qualified_root(spark, root)
+    shape = "key string, size bigint, last_modified timestamp, folder boolean"
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, base = open_root(root)
+        for batch in batches:
+            for folder in batch["key"]:
+                at = f"{base}/{folder}".rstrip("/")
+                infos = store.get_file_info(fs.FileSelector(at, allow_not_found=True))
+                infos = [i for i in infos if not DRAFT.match(i.base_name)]
+                rows = [(f"{folder}/{i.base_name}".lstrip("/"), i.size, i.mtime, i.type == fs.FileType.Directory) for i in infos]
+                found = pd.DataFrame(rows, columns=["key", "size", "last_modified", "folder"])
+                yield found.astype({"size": "Int64", "folder": bool}).assign(last_modified=pd.to_datetime(found["last_modified"], utc=True))
+
+    level = spark.createDataFrame([(prefix.rpartition("/")[0],)], "key string")
+    found = []
+    while level.limit(1).count():
+        inside = stage(_spread(level, "key").mapInPandas(look, shape), "listing")
+        found.append(inside.where("NOT folder").drop("folder"))
+        level = inside.where("folder").select("key")
+    listing = found[0]
+    for more in found[1:]:
+        listing = listing.unionByName(more)
+    return listing.where(F.startswith("key", F.lit(prefix)))
 
 
 def open_root(root: str):
@@ -69,7 +95,7 @@ def fetch_objects(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
 
     Each task opens just its own keys, so nothing is listed and no bytes pass the driver.
     """
-    root = _root(root)
+    root = qualified_root(keys.sparkSession, root)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = open_root(root)
@@ -89,7 +115,7 @@ def fetch_objects(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
 
 def existing_objects(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
     """(key, found) once per distinct key, from file information alone."""
-    root = _root(root)
+    root = qualified_root(keys.sparkSession, root)
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -106,24 +132,16 @@ def write_objects(blobs: DataFrame, root: str) -> int:
     """Store (key, content) rows as objects; returns how many.
 
     A key is written whole and then moved into place, so a retried task leaves the same object.
-    Keys must be unique: reduce to the last version per key before.
+    Rows of one key must have one content: reduce to the last version per key before.
     """
-    root = _root(root)
+    root = qualified_root(blobs.sparkSession, root)
 
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = open_root(root)
         made: set[str] = set()
 
         def one(row: tuple[str, bytes]) -> int:
-            path = f"{base}/{row[0]}"
-            folder = path.rpartition("/")[0]
-            if folder not in made:
-                store.create_dir(folder, recursive=True)
-                made.add(folder)
-            draft = f"{folder}/.{uuid.uuid4().hex}"
-            with store.open_output_stream(draft) as out:
-                out.write(row[1])
-            store.move(draft, path)
+            _put(store, f"{base}/{row[0]}", row[1], made)
             return 1
 
         for batch in batches:
@@ -133,6 +151,39 @@ def write_objects(blobs: DataFrame, root: str) -> int:
     return blobs.select("key", "content").mapInPandas(put, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def _put(store, path: str, content: bytes, made: set[str]) -> None:
+    folder = path.rpartition("/")[0]
+    if folder not in made:
+        store.create_dir(folder, recursive=True)
+        made.add(folder)
+    draft = f"{folder}/.{uuid.uuid4().hex}.part"
+    with store.open_output_stream(draft) as out:
+        out.write(content)
+    store.move(draft, path)
+
+
+def copy_objects(pairs: DataFrame, root: str, to_root: str | None = None) -> int:
+    """Copy the objects of (key, target) rows; returns how many. Bytes stay in the task that copies them."""
+    root = qualified_root(pairs.sparkSession, root)
+    to_root = root if to_root is None else qualified_root(pairs.sparkSession, to_root)
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        (store, base), (other, to_base) = open_root(root), open_root(to_root)
+        made: set[str] = set()
+
+        def one(row: tuple[str, str]) -> int:
+            with store.open_input_stream(f"{base}/{row[0]}") as source:
+                _put(other, f"{to_base}/{row[1]}", source.read(), made)
+            return 1
+
+        for batch in batches:
+            for done in _in_parallel(one, zip(batch["key"], batch["target"])):
+                yield pd.DataFrame({"n": [sum(done)]})
+
+    spread = pairs.select("key", "target").distinct().repartition(4 * parallelism(pairs.sparkSession), "target")
+    return spread.mapInPandas(copy, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def artefact_table(blobs: DataFrame, path: str, mode: str = "append") -> None:
     """Store (key, content) rows as a table partitioned by the first part of the key."""
     blobs.select(

@@ -1,7 +1,8 @@
 """Streaming jobs: raw image sink, scoring, live buckets, alerts.
 
 Each job is a query with its own checkpoint. Batches are replayed after a failure, so every sink
-is idempotent: objects go to fixed keys, result rows to a folder named by their batch id.
+is idempotent: objects go to fixed keys, result rows to a folder named by their query and batch id.
+What a message yields does not depend on the batch it falls into.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hydrolens.functions.shapes import as_shape
 from hydrolens.operators.imaging import LIVE_SIZE, artefact_objects, draw_artefacts, preprocess
@@ -20,11 +21,11 @@ from hydrolens.operators.scoring import Factory, score
 from hydrolens.operators.upsert import latest_per_key
 from hydrolens.plans.scoring import prediction_stats
 from hydrolens.schemas import PREDICTIONS
-from hydrolens.session import parallelism, staging
+from hydrolens.session import delete_path, parallelism, stage_path, staging
 from hydrolens.sources import fixtures
 from hydrolens.sources.images import read_images
 from hydrolens.sources.messages import normalise_messages
-from hydrolens.sources.objects import existing_objects, fetch_objects, write_objects
+from hydrolens.sources.objects import copy_objects, existing_objects, fetch_objects, qualified_root, write_objects
 
 ONCE = {"availableNow": True}
 DEDUP_LANES = 32
@@ -34,8 +35,13 @@ DEDUP_LANES = 32
 
 
 def idempotent_append(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Write a batch to its own folder; a replay replaces it."""
-    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """Write a batch to its own folder; a replay replaces it.
+
+    The folder carries the id of the running query, which its checkpoint keeps, so another query
+    on the same table (or the same one with a new checkpoint) replaces nothing.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    batch.write.mode("overwrite").parquet(f"{path}/query={query}/batch_id={batch_id}")
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
@@ -52,18 +58,20 @@ def each_batch(df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint
 def without_repeats(messages: DataFrame, horizon: str = "1 hour") -> DataFrame:
     """Drop messages the producer sent again: same file name, date and link within the horizon.
 
-    Records with an error all stay. In two steps, so that one message sent very often is thinned
-    out in many tasks before its last copies meet in one.
+    The horizon counts from arrival, so a message that comes late is never dropped for that. Records
+    with an error all stay. In two steps, so that one message sent very often is thinned out in
+    many tasks before its last copies meet in one.
     """
     same = ["filename", "date", "image_link", "_bad"]
     spread = messages.withColumns(
         {
             "_bad": F.when(F.col("error").isNotNull(), F.col("source_id")),
             "_lane": F.pmod(F.xxhash64("source_id"), F.lit(DEDUP_LANES)),
+            "_arrival": F.current_timestamp(),  # of the batch; a replayed batch keeps it
         }
     )
-    once_per_lane = spread.withWatermark("event_time", horizon).dropDuplicatesWithinWatermark([*same, "_lane"])
-    return once_per_lane.dropDuplicatesWithinWatermark(same).drop("_lane", "_bad")
+    once_per_lane = spread.withWatermark("_arrival", horizon).dropDuplicatesWithinWatermark([*same, "_lane"])
+    return once_per_lane.dropDuplicatesWithinWatermark(same).drop("_lane", "_bad", "_arrival")
 
 
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -74,21 +82,35 @@ def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 # --- raw images --------------------------------------------------------------------------------
 
 
+def _inline_key(prefix: str) -> Column:
+    """Key of an inline image: its content and its name, so two images never share a key."""
+    return F.concat_ws("/", F.lit(prefix), F.sha2("content", 256), "filename")
+
+
 def _newest_per_file(messages: DataFrame) -> DataFrame:
-    """One row per file name: the newest. Messages of a batch may repeat a name."""
-    rows = messages.select("filename", "content", "event_time", "source_id")
+    """One row per file name: the key of the newest. Messages of a batch may repeat a name."""
+    rows = messages.select("filename", "key", "event_time", "source_id")
     return latest_per_key(rows, ["filename"], ["event_time", "source_id"])
 
 
 def run_raw_sink(messages: DataFrame, root: str, passed_on: str, checkpoint: str, prefix: str = "images", trigger: dict | None = None):
-    """Store inline images as objects `images/{filename}` and pass every message on."""
+    """Store every inline image as an object and pass every message on, with the key of its image.
+
+    Each image has the key `images/{digest}/{filename}`; `images/{filename}` is the newest of the
+    last batch with that name.
+    """
 
     def work(batch: DataFrame, batch_id: int) -> None:
         with staging(batch.sparkSession) as keep:
             rows = keep(normalise_messages(batch), "raw")
-            newest = _newest_per_file(rows.where("error IS NULL AND content IS NOT NULL"))
-            write_objects(newest.select(F.concat_ws("/", F.lit(prefix), "filename").alias("key"), "content"), root)
-            idempotent_append(rows.drop("content"), passed_on, batch_id)
+            usable = F.expr("error IS NULL AND content IS NOT NULL")
+            rows = rows.withColumn("key", F.when(usable, _inline_key(prefix)))
+            inline = rows.where(usable)
+            write_objects(inline, root)
+            newest = _newest_per_file(inline.select("filename", "key", "event_time", "source_id"))
+            copy_objects(newest.select("key", F.concat_ws("/", F.lit(prefix), "filename").alias("target")), root)
+            linked = rows.withColumn("image_link", F.coalesce("image_link", "key"))
+            idempotent_append(linked.drop("content", "key"), passed_on, batch_id)
 
     return each_batch(messages, work, checkpoint, trigger)
 
@@ -100,7 +122,8 @@ def run_raw_sink(messages: DataFrame, root: str, passed_on: str, checkpoint: str
 class Scoring:
     """Settings of the scoring job. Paths: object root, result table, error table.
 
-    With a `horizon`, messages sent again within that time are scored once.
+    With a `horizon`, messages sent again within that time are scored once. How much one batch holds
+    is bounded where the messages are read (`read_messages` insists on it).
     """
 
     root: str
@@ -133,16 +156,16 @@ def score_batch(batch: DataFrame, batch_id: int, conf: Scoring) -> None:
         good, bad = split_errors(rows)
 
         # Inline images become objects, so that both forms go on by key.
-        inline = F.concat_ws("/", F.lit(conf.images_prefix), "filename")
-        newest = _newest_per_file(good.where("content IS NOT NULL"))
-        write_objects(newest.select(inline.alias("key"), "content"), conf.root)
-        key = F.when(F.col("content").isNotNull(), inline).otherwise(F.col("image_link"))
+        key = F.when(F.col("content").isNotNull(), _inline_key(conf.images_prefix)).otherwise(F.col("image_link"))
+        write_objects(good.where("content IS NOT NULL").withColumn("key", key), conf.root)
         linked = good.withColumn("key", key).drop("content")
 
         known = keep(existing_objects(linked, conf.root), "objects")
-        scored = keep(score_objects(known, conf), "scored")
+        shown = stage_path(batch.sparkSession, "shown")
+        scored = keep(score_objects(known, conf, shown), "scored")
+        delete_path(batch.sparkSession, shown)
         stats = scored.drop("png")
-        # Spark's listing passes over empty files and hidden names.
+        # Spark's listing passes over empty files.
         passed_over = known.where("found").join(stats, "key", "left_anti")
         passed_over = passed_over.select("key", F.lit("unreadable object").alias("error"))
         stats = stats.unionByName(passed_over, allowMissingColumns=True)
@@ -150,10 +173,7 @@ def score_batch(batch: DataFrame, batch_id: int, conf: Scoring) -> None:
         # Artefacts are named after the file; of several images with one name the newest wins.
         drawn = scored.where("error IS NULL").select("key", "png")
         named = lookup_join(linked, drawn.select("key"), "key", "inner")
-        named = latest_per_key(
-            named.select("filename", "key", "event_time", "source_id"), ["filename"], ["event_time", "source_id"]
-        )
-        write_objects(artefact_objects(lookup_join(named, drawn, "key", "inner")), conf.root)
+        write_objects(artefact_objects(lookup_join(_newest_per_file(named), drawn, "key", "inner")), conf.root)
 
         joined = keep(lookup_join(linked, stats.withColumnRenamed("error", "_error"), "key"), "joined")
         failed = joined.where("_error IS NOT NULL").withColumn("error", F.col("_error"))
@@ -192,27 +212,36 @@ SCORED = (
 )
 
 
-def score_objects(known: DataFrame, conf: Scoring) -> DataFrame:
+def score_objects(known: DataFrame, conf: Scoring, shown: str) -> DataFrame:
     """Score and draw each object of `known` (key, found): the columns of SCORED, one row per key.
 
     Only the paths of this batch are read. They pass the driver as text, at most one per message
-    of the batch, which the trigger bounds (maxOffsetsPerTrigger, maxFilesPerTrigger); image bytes
-    stay on the executors.
+    of the batch, whose size is bounded where messages are read (BOUNDS); image bytes stay on the
+    executors. Spark's listing passes over names that start with '_' or '.', so such objects are read
+    from copies with other names in the folder `shown`.
     """
-    spark, root = known.sparkSession, conf.root.rstrip("/")
+    spark, root = known.sparkSession, qualified_root(known.sparkSession, conf.root)
     nothing = spark.createDataFrame([], SCORED)
     lost = known.where("NOT found").select("key", F.lit("missing object").alias("error"))
     # Characters of path patterns stand for themselves in a key.
     literal = re.compile(r"([\[\]{}*?\\])")
-    paths = [literal.sub(r"\\\1", f"{root}/{r.key}") for r in known.where("found").select("key").collect()]
-    if not paths:
+    hidden = F.rlike("key", F.lit(r"(^|/)[_.][^/]*$"))
+    present = known.where("found").withColumn("hidden", hidden)
+    paths = [literal.sub(r"\\\1", f"{root}/{r.key}") for r in present.where("NOT hidden").select("key").collect()]
+    images = None
+    if paths:
+        bare = re.sub("^[a-z0-9]+:/+", "/", root) if root.startswith("file:") else root.split("://")[-1]
+        with few_listing_tasks(spark):
+            found = read_images(spark, paths, types=None)
+        images = found.select(F.substr("path", F.instr("path", bare) + F.lit(len(bare) + 1)).alias("key"), "image")
+    renamed = present.where("hidden").select("key", F.sha2("key", 256).alias("target"))
+    if renamed.limit(1).count():
+        copy_objects(renamed, root, shown)
+        copies = read_images(spark, shown, types=None).withColumnRenamed("name", "target")
+        copies = copies.join(renamed, "target").select("key", "image")
+        images = copies if images is None else images.unionByName(copies)
+    if images is None:
         return nothing.unionByName(lost, allowMissingColumns=True)
-    bare = root.split("://")[-1]
-    with few_listing_tasks(spark):
-        found = read_images(spark, paths, types=None)
-    images = found.select(
-        F.substr("path", F.instr("path", bare) + F.lit(len(bare) + 1)).alias("key"), "image"
-    )
     tensors = preprocess(images.where("image.height > 0"), conf.size)
     scored = prediction_stats(score(tensors, conf.factory, "tensor", [*conf.size, 3], conf.model), conf.threshold)
     drawn = draw_artefacts(scored, conf.size).withColumn("error", F.lit(None).cast("string"))

@@ -186,3 +186,13 @@ def test_clock_literals_reach_the_scan(spark):
         text = plan_text(m.alert_counts(df, now))
         assert "GreaterThan(ts,2024-01-19T00:00)" in text
     assert m.health_alert(df).first().recent_predictions == 0  # the wall clock is past the data
+
+
+def test_uptime_filled_covers_the_range(spark):
+    df = preds(spark, [("2024-01-01T00:30:00", 1.0, 0.5)])
+    got = values(m.uptime_filled(df, ("2024-01-01 00:05:00", "2024-01-01 01:00:00")), "time", "system_status")
+    assert [(t.strftime("%H:%M"), s) for t, s in got] == [("00:00", 0), ("00:10", 0), ("00:20", 0), ("00:30", 1), ("00:40", 0), ("00:50", 0), ("01:00", 0)]
+    assert m.uptime_filled(df.limit(0), ("2024-01-01", "2024-01-02")).count() == 145
+    assert m.uptime_filled(df.limit(0)).count() == 0
+    months = values(m.uptime_filled(df, ("2023-11-15", "2024-02-01"), "1 month"), "time", "system_status")
+    assert [(t.month, s) for t, s in months] == [(11, 0), (12, 0), (1, 1), (2, 0)]

@@ -14,6 +14,7 @@ from hydrolens.operators import scoring
 from hydrolens.plans import monitoring as m
 from hydrolens.sources.fixtures import predictions
 from hydrolens.sources.messages import normalise_messages, read_messages, stream_messages
+from hydrolens.sources.objects import list_objects, qualified_root, write_objects
 from hydrolens.streaming import jobs
 from tests.conftest import write_png
 
@@ -131,8 +132,8 @@ def test_odd_object_names(spark, tmp_path, conf):
     open(f"{conf.root}/uploads/empty.png", "w").close()
     put_lines(str(tmp_path / "in"), "a.json", [linked(n, f"uploads/{n}") for n in [*names, "empty.png"]])
     results, errors = run(spark, tmp_path, conf)
-    assert {r.filename for r in results.where("water_coverage = 100").collect()} == set(names[:-1]) and results.count() == 5
-    assert {(r.filename, r.error) for r in errors.collect()} == {("_hidden.png", "unreadable object"), ("empty.png", "unreadable object")}
+    assert {r.filename for r in results.where("water_coverage = 100").collect()} == set(names) and results.count() == 6
+    assert {(r.filename, r.error) for r in errors.collect()} == {("empty.png", "unreadable object")}
 
 
 def test_nothing_staged_is_left(spark, tmp_path, conf):
@@ -157,8 +158,11 @@ def test_raw_sink(spark, tmp_path):
     query = jobs.run_raw_sink(read_messages(spark, source(folder)), root, str(tmp_path / "on"), str(tmp_path / "check"))
     passed = jobs.await_rows(spark, str(tmp_path / "on"), query, 4)
     assert passed.count() == 4
-    assert sorted(os.listdir(f"{root}/images")) == ["a.png", "b.png"]
     assert open(f"{root}/images/a.png", "rb").read() == raster.png(image(2))  # the newest wins
+    links = [r.image_link for r in passed.where("image_link <> 'k'").collect()]
+    assert sorted(open(f"{root}/{k}", "rb").read() for k in links) == sorted(raster.png(image(i)) for i in (1, 2, 3))  # none is lost
+    listed = {r.key: r["size"] for r in list_objects(spark, root, "images/").collect()}
+    assert set(listed) == {*links, "images/a.png", "images/b.png"}
     with pytest.raises(TimeoutError):
         jobs.await_rows(spark, str(tmp_path / "on"), query, 5)
 
@@ -248,3 +252,54 @@ def test_events_as_a_folder_of_files(spark, tmp_path):
     jobs.append_stream(alerts, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     want = predictions(spark, "/root/testdata/sf0.001").where("water_coverage_percent > 80").count()
     assert spark.read.parquet(str(tmp_path / "out")).count() == want
+
+
+@pytest.mark.parametrize("files", [1, 2, 5])
+def test_scores_do_not_depend_on_the_batches(spark, tmp_path, conf, files):
+    lines = [inline("cam.png", 250), inline("cam.png", 3, "2024-01-01T00:10:00"), linked("cam.png", "uploads/_x.png"), inline("b.png", 3), "junk"]
+    write_png(f"{conf.root}/uploads/_x.png", image(250))
+    for i in range(files):
+        put_lines(str(tmp_path / "in"), f"{i}.json", lines[i::files])
+    results, errors = run(spark, tmp_path, conf)
+    got = sorted((r.filename, r.timestamp.minute, r.water_coverage, r.model_version, r.processing_time_ms) for r in results.collect())
+    assert got == [("b.png", 0, 0.0, "unet++", 0), ("cam.png", 0, 100.0, "unet++", 0), ("cam.png", 0, 100.0, "unet++", 0), ("cam.png", 10, 0.0, "unet++", 0)]
+    assert [r.error for r in errors.collect()] == ["not JSON"]
+
+
+def test_a_second_query_replaces_nothing(spark, tmp_path, conf):
+    put_lines(str(tmp_path / "in"), "a.json", [inline("x.png", 250)])
+    run(spark, tmp_path, conf)
+    put_lines(str(tmp_path / "more"), "a.json", [inline("y.png", 250), "junk"])
+    other = read_messages(spark, source(str(tmp_path / "more")))
+    jobs.run_scoring(other, conf, str(tmp_path / "check2")).awaitTermination()
+    assert sorted(r.filename for r in spark.read.parquet(conf.results).collect()) == ["x.png", "y.png"]
+    assert spark.read.parquet(conf.errors).count() == 1
+
+
+def test_late_messages_are_kept(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    put_lines(folder, "a.json", [linked("x", "k", "2024-01-03T00:00:00"), linked("y", "k", "2024-01-03T00:00:00")])
+    put_lines(folder, "b.json", [linked("late", "k", "2024-01-01T22:00:00"), linked("x", "k", "2024-01-03T00:00:00")])
+    put_lines(folder, "c.json", [linked("later", "k", "2023-01-01T22:00:00")])
+    unique = jobs.without_repeats(normalise_messages(read_messages(spark, source(folder))))
+    jobs.append_stream(unique.select("filename"), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    assert sorted(r.filename for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["late", "later", "x", "y"]
+
+
+def test_a_stream_needs_a_bound(spark, tmp_path):
+    for bad in ({"format": "text", "path": str(tmp_path)}, {"format": "kafka", "topic": "t", "options": {"maxFilesPerTrigger": "3"}}):
+        with pytest.raises(ValueError, match="bound per batch"):
+            read_messages(spark, bad)
+
+
+def test_listing_is_complete(spark, tmp_path):
+    root = str(tmp_path / "store")
+    keys = ["a.png", "_hidden.png", ".dot", "deep/er/_x/file", "deep/empty", "deep/er.png"]
+    blobs = spark.createDataFrame([(k, b"" if k == "deep/empty" else k.encode()) for k in keys], "key string, content binary")
+    assert write_objects(blobs, root) == len(keys)
+    open(f"{root}/.{'0' * 32}.part", "w").close()  # of a write that did not end
+    got = {r.key: r["size"] for r in list_objects(spark, root).collect()}
+    assert got == {k: 0 if k == "deep/empty" else len(k) for k in keys}
+    assert {r.key for r in list_objects(spark, root, "deep/er").collect()} == {"deep/er/_x/file", "deep/er.png"}
+    assert list_objects(spark, str(tmp_path / "none")).count() == 0
+    assert qualified_root(spark, root).startswith("file:/")

@@ -182,7 +182,7 @@ def test_messages(spark):
     ]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string")
     got = [r for r in normalise_messages(parse_messages(df.select(F.col("i").cast("string").alias("source_id"), "value"))).orderBy("source_id").collect()]
-    assert [r.error for r in got] == [None, None, "not JSON", "bad base64", "no image", "no filename", *["path outside the store"] * 2, None]
+    assert [r.error for r in got] == [None, None, "not JSON", "bad base64", "no image", None, *["path outside the store"] * 2, None]
     assert bytes(got[0].content) == b"\x00\xffbytes" and got[0].location == "unknown"
     assert (got[1].image_link, got[1].lat, got[1].location, got[1].event_time) == ("uploads/1_b", 1.5, "X", None)
 
