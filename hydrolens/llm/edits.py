@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from hydrolens.llm.common import map_rows
-from hydrolens.llm.groups import bucket_groups
+from hydrolens.llm.groups import bucket_groups, members
 from hydrolens.session import stage
 
 PERIOD = 4096
@@ -254,11 +254,9 @@ def near_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
 
     made = stage(map_rows(docs.select("doc_id", "text"), run, "doc_id bigint, fingerprint string, bands array<bigint>"), "edit-fingerprints")
     named = made.where("doc_id IS NOT NULL AND size(bands) > 0")
-    classes = named.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
-    equal = named.join(classes, "fingerprint").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
-    reps = classes.join(named.select("fingerprint", F.col("doc_id").alias("rep"), "bands"), ["fingerprint", "rep"]).dropDuplicates(["fingerprint"])
-    entries = reps.select(F.explode("bands").alias("key"), "rep", F.lit(0).alias("n"))
-    texts = stage(reps.select("rep", "fingerprint"), "edit-representatives")
+    classes = stage(named.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "equal-fingerprints")
+    entries = classes.select(F.explode("bands").alias("key"), "rep", F.lit(0).alias("n"))
+    texts = classes.select("rep", "fingerprint")
 
     @F.pandas_udf("double")
     def alike(one: pd.Series, two: pd.Series) -> pd.Series:
@@ -269,4 +267,7 @@ def near_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
         two = texts.select(F.col("rep").alias("b"), F.col("fingerprint").alias("two"))
         return pairs.join(one, "a").join(two, "b").where(alike("one", "two") >= least).select("a", "b")
 
-    return made.select("doc_id", "fingerprint").join(bucket_groups(entries, check, equal), "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    own, shared_ids = members(named, texts, "fingerprint")
+    near = bucket_groups(entries, check, shared_ids)
+    whole = own.join(near, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
+    return made.select("doc_id", "fingerprint").join(whole, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))

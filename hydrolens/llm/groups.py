@@ -19,17 +19,24 @@ def components(links: DataFrame) -> DataFrame:
     """`node` and `component` (smallest node reachable) for every node of `links` (columns `a`, `b`, not null)."""
     pairs = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = stage(pairs, "links")
-    while True:
-        nextpairs = stage(_small_star(_large_star(pairs)), "links")
-        changed = nextpairs.join(pairs, ["a", "b"], "left_anti").limit(1).count() or pairs.join(nextpairs, ["a", "b"], "left_anti").limit(1).count()
-        pairs = nextpairs
-        if not changed:
+    print_before = _print(pairs)
+    while print_before[0]:
+        pairs = stage(_small_star(_large_star(pairs)), "links")
+        print_after = _print(pairs)
+        if print_after == print_before:
             break
+        print_before = print_after
     members = pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return members.unionByName(roots)
 
 
+def _print(pairs: DataFrame) -> tuple:
+    """Number and two sums over hashes of the links, which tell one set of links from another."""
+    each = [F.sum(F.xxhash64("a", "b", F.lit(i)).cast("decimal(38,0)")) for i in (0, 1)]
+    return tuple(pairs.agg(F.count(F.lit(1)), *each).first())
+
+
 def _large_star(pairs: DataFrame) -> DataFrame:
     """Each node's larger neighbours are linked to its smallest neighbour (or itself)."""
     both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v")))
@@ -44,44 +51,56 @@ def _small_star(pairs: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+LEADERS = 3
+
+
+def members(rows: DataFrame, classes: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
+    """`doc_id` and `rep` of each id, and the links (`a`, `b`) of ids whose rows are in several classes.
+
+    `rows` has `doc_id` and the column `by`, `classes` has `by` (once) and `rep`.
+    """
+    each = rows.select("doc_id", by).join(classes.select(by, "rep"), by).select("doc_id", "rep")
+    own = stage(each.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("last")), "members")
+    several = own.where("rep <> last").select("doc_id", F.col("rep").alias("b"))
+    return own.drop("last"), each.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
+
+
 def bucket_groups(
-    entries: DataFrame, check: Callable[[DataFrame], DataFrame], equal: DataFrame, may_link: Callable[[str, str], str] = lambda n, m: "true", rounds: int = 3
+    entries: DataFrame, check: Callable[[DataFrame], DataFrame], known: DataFrame | None = None, may_link: Callable[[str, str], str] = lambda n, m: "true"
 ) -> DataFrame:
-    """`doc_id` and `component_id` of every node that links with another.
+    """`rep` and `component` (smallest node reachable) of every node that links with another.
 
     `entries` has `key` (a bucket), `rep` and `n` (its size); `check` keeps those of the distinct pairs (`a` < `b`) that are
-    linked; `equal` holds links known beforehand (`a`, `b`); `may_link` is a condition on two sizes without which no pair can
-    be linked. A bucket never makes all its pairs at once: in each of `rounds` rounds its members are checked against one of
-    them (the first in a hash order that changes with the round), and links merge groups. What is left in a bucket, pairs of
-    different groups not checked before, is then checked pair by pair, so no linked pair of a bucket is lost.
+    linked; `known` holds links known beforehand (`a`, `b`); `may_link` is a condition on two sizes without which no pair can
+    be linked. A bucket never makes all its pairs at once. First its members are checked against `LEADERS` of them, the
+    first in as many hash orders, and links merge groups. Pairs of a bucket that then still are in different groups and
+    were not checked are checked one by one, so no linked pair of a bucket is lost.
     """
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    buckets = stage(entries.join(shared, "key", "left_semi").select("key", "rep", "n").distinct(), "buckets")
-    found, groups, tested = None, None, None
-    for turn in range(rounds + 1):
-        if groups is None:
-            labelled = buckets.withColumn("component", F.col("rep"))
-        else:
-            labelled = buckets.join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
-            labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
-        first = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "component", "n")).alias("first")
-        split = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), first).where("low <> high")
-        if turn < rounds:
-            others = split.select("key", F.col("first.rep").alias("other"), F.col("first.component").alias("group"), F.col("first.n").alias("m"))
-            pairs = labelled.join(others, "key").where("component <> `group`")
-        else:
-            rest = labelled.join(split, "key", "left_semi")
-            others = rest.select("key", F.col("rep").alias("other"), F.col("component").alias("group"), F.col("n").alias("m"))
-            pairs = rest.join(others, "key").where("rep < other AND component <> `group`")
-        pairs = pairs.where(may_link("n", "m")).select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        if not pairs.limit(1).count():
-            continue
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        passed = stage(check(pairs), "near-links")
-        found = passed if found is None else found.unionByName(passed)
-        groups = stage(components(found), "near-groups")
-    every = equal if found is None else equal.unionByName(found)
-    return components(every).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+    orders = [F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), F.col("rep").alias("other"), F.col("n").alias("m"))).alias(f"first{i}") for i in range(LEADERS)]
+    shared = entries.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), *orders).where("low <> high")
+    leaders = F.array_distinct(F.array(*[F.struct(f"first{i}.other", f"first{i}.m") for i in range(LEADERS)])).alias("leaders")
+    buckets = stage(entries.join(shared.select("key", leaders), "key"), "buckets")
+
+    pairs = buckets.select("rep", "n", F.explode("leaders").alias("x")).select("rep", "n", "x.other", "x.m")
+    tested = stage(_pairs(pairs, may_link), "pairs")
+    found = stage(check(tested), "near-links")
+    found = found if known is None else found.unionByName(known)
+    groups = stage(components(found), "near-groups")
+
+    labelled = buckets.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    labelled = stage(labelled.distinct(), "bucket-groups")
+    split = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    rest = labelled.join(split.select("key"), "key", "left_semi")
+    others = rest.select("key", F.col("rep").alias("other"), F.col("component").alias("group"), F.col("n").alias("m"))
+    pairs = rest.join(others, "key").where("rep < other AND component <> `group`")
+    pairs = stage(_pairs(pairs, may_link).join(tested, ["a", "b"], "left_anti"), "pairs")
+    if pairs.limit(1).count():
+        more = stage(check(pairs), "near-links")
+        if more.limit(1).count():
+            groups = components(found.unionByName(more))
+    return groups.withColumnRenamed("node", "rep")
+
+
+def _pairs(pairs: DataFrame, may_link: Callable[[str, str], str]) -> DataFrame:
+    """Distinct pairs of different nodes that sizes allow, the smaller as `a`."""
+    return pairs.where("rep <> other").where(may_link("n", "m")).select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()

@@ -7,10 +7,11 @@ shifting the second permutation circularly by k. Signatures are cut into bands;
 candidates, and a candidate pair is linked if 100 * |intersection| >= 85 * |union| of the full sets. With 24 bands of
 four coordinates a pair at the threshold shares no band with probability (1 - 0.85^4)^24 = 2 * 10^-8.
 
-Equal sets are joined first, so copies stand as one. A bucket never makes all its pairs at once: in a few rounds every
-member is checked against one member of the bucket (the first in a hash order that changes with the round), links merge
-groups, and only pairs that still are in different groups go on. What is left after the rounds is checked pair by pair,
-so no link is lost; within a merged group no further pair is made.
+Equal sets are joined first, so copies stand as one. A bucket never makes all its pairs: its members are compared with
+one lead, and links merge groups. Two members that are not linked through their lead can only be linked if what they
+have besides the lead, or lack of it, agrees in part; such pairs are found by an exact filter on these small differences
+(`_rest`) and compared on their full sets. So no link between members of a bucket is lost, and near copies of one text,
+however many, cost one comparison each.
 
 Edge cases: null and empty texts, and texts without a word, have the empty set and link with nothing; rows without id
 link with nothing and have no component; rows that share an id are one node; a very long text is one set. An empty table
@@ -25,17 +26,18 @@ from functools import lru_cache
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from hydrolens.llm.common import map_rows
-from hydrolens.llm.groups import bucket_groups
+from hydrolens.llm.groups import components, members
 from hydrolens.session import stage
 
 WORDS = 5
 PLACES = 1 << 20
 BANDS, ROWS = 24, 4
 PERCENT = 85
-SMALL = 1_000_000  # ids, 8 MB, that may be broadcast
+SMALL = 1_000_000  # classes, 32 MB, that may be broadcast
+REP = "struct<doc_id: bigint, digest: binary>"  # a class of equal sets: its smallest id and its digest
 ADDED = ("n_shingles", "component_id", "kept")
 
 
@@ -101,58 +103,116 @@ def signed_documents(docs: DataFrame) -> DataFrame:
 
     def run(rows: Iterator[dict]) -> Iterator[dict]:
         for row in rows:
-            members = shingles(row["text"])
+            found = shingles(row["text"])
             yield {
                 "doc_id": row["doc_id"],
-                "n_shingles": len(members),
-                "digest": hashlib.blake2b(members.tobytes(), digest_size=16).digest() if len(members) else None,
-                "bands": band_keys(signature(members)) if len(members) else [],
+                "n_shingles": len(found),
+                "digest": _digest(found),
+                "bands": band_keys(signature(found)) if len(found) else [],
             }
 
     return map_rows(docs.select("doc_id", "text"), run, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`rep` and its full set, for the ids in `wanted` (distinct); broadcast only after its rows were counted."""
+    """`rep` and its full set, for the distinct classes in `wanted`; broadcast only after its rows were counted."""
     chosen = F.broadcast(wanted) if wanted.count() <= SMALL else wanted
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(chosen, "rep", "left_semi")
+    texts = docs.select("doc_id", "text").join(chosen.select(F.col("rep.doc_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
     def run(rows: Iterator[dict]) -> Iterator[dict]:
         for row in rows:
-            yield {"rep": row["rep"], "members": shingles(row["text"]).view(np.int64)}
+            found = shingles(row["text"])
+            yield {"rep": {"doc_id": row["doc_id"], "digest": _digest(found)}, "members": found.view(np.int64)}
 
-    return map_rows(texts, run, "rep bigint, members array<bigint>")
+    made = map_rows(texts, run, f"rep {REP}, members array<bigint>")
+    return made.join(chosen, "rep", "left_semi")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the distinct pairs (`a`, `b`) whose full sets are alike enough."""
+def _digest(members: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(members.tobytes(), digest_size=16).digest() if len(members) else None
+
+
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The distinct pairs (`a`, `b`) with both sets (`one`, `two`), `common` and `linked`."""
     one = sets.select(F.col("rep").alias("a"), F.col("members").alias("one"))
     two = sets.select(F.col("rep").alias("b"), F.col("members").alias("two"))
     both = pairs.join(one, "a").join(two, "b").withColumn("common", F.expr("size(array_intersect(one, two))"))
-    return both.where(f"100 * common >= {PERCENT} * (size(one) + size(two) - common)").select("a", "b")
-
-
-def _close(n: str, m: str) -> str:
-    """Sizes that can reach the threshold at all."""
-    return f"100 * least({n}, {m}) >= {PERCENT} * greatest({n}, {m})"
+    return both.withColumn("linked", F.expr(f"100 * common >= {PERCENT} * (size(one) + size(two) - common)"))
+
+
+def _buckets(classes: DataFrame) -> DataFrame:
+    """`key`, `rep`, `n` of buckets with several members, with the bucket's `lead` (and its size `m`).
+
+    The lead is the member that meets most others over all its buckets, so that the buckets of a group of near copies
+    agree on one that is close to all.
+    """
+    entries = classes.select(F.explode("bands").alias("key"), "rep", "n")
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("low"), F.max("rep").alias("high"))
+    met = stage(entries.join(shared.where("low <> high").select("key", "size"), "key"), "buckets")
+    often = met.groupBy("rep").agg(F.sum("size").alias("often"))
+    first = F.min(F.struct((-F.col("often")).alias("o"), F.col("rep").alias("lead"), F.col("n").alias("m"))).alias("first")
+    leads = met.join(often, "rep").groupBy("key").agg(first).select("key", "first.lead", "first.m")
+    return met.join(leads, "key").select("rep", "n", "lead", "m").where("rep <> lead").distinct()
+
+
+def _rest(apart: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (`a`, `b`) of different groups under one lead that may still be linked.
+
+    `apart` has the members compared with each lead: `lead`, `rep`, sizes `m` and `n`, whether they are `linked`, and `d`,
+    the members of one of both sets only. For two members x and y the difference of their sets is that of their d, so
+    a link leaves at most 3/37 (|x| + |y|) of it, and needs
+    (|d(x)| + |d(y)| - 3/37 (|x| + |y|)) / 2 common members of d(x) and d(y): at least one, if x is not linked with the
+    lead. So the rarest members of d(x) and d(y), as many as exceed that need and one, have one in common. They are
+    matched by classes of |d|, for which the need is known from both sides; members that no other d has match nothing.
+    """
+    several = apart.groupBy("lead").agg(F.count(F.lit(1)).alias("k"), F.bool_and("linked").alias("all")).where("k > 1 AND NOT all").select("lead")
+    rows = apart.join(several, "lead", "left_semi").join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    rows = rows.withColumns({"component": F.coalesce("component", "rep"), "size": F.size("d"), "wide": F.expr("1 + m div 48")})
+    rows = stage(rows.withColumn("own", F.expr("size div wide")), "apart")
+    each = rows.select("lead", "rep", F.explode("d").alias("member"))
+    often = each.groupBy("lead", "member").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    each = each.join(often, ["lead", "member"])
+    rank = F.row_number().over(Window.partitionBy("lead", "rep").orderBy("often", "member"))
+    total = F.count(F.lit(1)).over(Window.partitionBy("lead", "rep"))
+    each = each.select("lead", "rep", "member", rank.alias("rank"), total.alias("total"))
+    each = each.join(rows.drop("d"), ["lead", "rep"]).withColumn("rank", F.expr("size - total + rank"))
+    reach = "(3 / 37D) * n * (1 + 100D / 85)"
+    other = F.expr(f"explode(sequence(cast(greatest(0, floor((size - {reach}) / wide)) AS int), cast(floor((size + {reach}) / wide) AS int))) AS other")
+    each = each.select("*", other)
+    most = "least(n * 100D / 85, m + (other + 1) * wide - 1)"  # how large the other set can be
+    need = f"greatest(1, ceil((size + other * wide - (3 / 37D) * (n + {most})) / 2 - 1e-6))"
+    each = stage(each.where(f"rank <= size - {need} + 1").select("lead", "member", "own", "other", "rep", "n", "size", "rank", "component", "linked"), "apart-members")
+    left = each.where("NOT linked").select("lead", "member", "own", "other", *[F.col(c).alias(f"{c}1") for c in ("rep", "n", "size", "rank", "component")])
+    right = each.select("lead", "member", F.col("own").alias("other"), F.col("other").alias("own"), *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "size", "rank", "component")])
+    need = "greatest(1, ceil((size1 + size2 - (3 / 37D) * (n1 + n2)) / 2 - 1e-6))"
+    met = left.join(right, ["lead", "member", "own", "other"]).where(f"component1 <> component2 AND rank1 <= size1 - {need} + 1 AND rank2 <= size2 - {need} + 1")
+    met = met.where(f"100 * least(n1, n2) >= {PERCENT} * greatest(n1, n2)")
+    return met.select(F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """`doc_id`, `n_shingles` and `component_id` for each row of `docs` (`doc_id` bigint, `text`)."""
     signed = stage(signed_documents(docs), "minhash")
     named = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = named.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    equal = stage(named.select("doc_id", "digest", "n_shingles").join(classes, "digest").select("doc_id", "rep", "n_shingles"), "equal-sets")
-
-    reps = named.join(classes.withColumn("doc_id", F.col("rep")), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest"])
-    entries = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
-
-    def check(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-        return _linked(pairs, stage(_sets(docs, wanted), "shingle-sets"))
-
-    links = equal.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
-    whole = bucket_groups(entries, check, links, _close)
+    classes = named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n"))
+    classes = stage(classes.withColumn("rep", F.struct("doc_id", "digest")).drop("doc_id"), "equal-sets")
+    own, shared_ids = members(named, classes, "digest")
+
+    tests = stage(_buckets(classes), "lead-pairs")
+    sets = stage(_sets(docs, tests.select("rep").union(tests.select("lead")).distinct()), "shingle-sets")
+    compared = _alike(tests.select(F.col("rep").alias("a"), F.col("lead").alias("b"), "n", "m"), sets)
+    difference = F.expr("concat(array_except(one, two), array_except(two, one))").alias("d")
+    apart = stage(compared.select(F.col("a").alias("rep"), F.col("b").alias("lead"), "n", "m", "linked", difference), "compared")
+    links = shared_ids.unionByName(apart.where("linked").select(F.col("rep").alias("a"), F.col("lead").alias("b")))
+    groups = stage(components(links), "near-groups")
+
+    rest = stage(_rest(apart, groups), "rest-pairs")
+    if rest.limit(1).count():
+        more = stage(_alike(rest, sets).where("linked").select("a", "b"), "near-links")
+        if more.limit(1).count():
+            roots = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            groups = components(more.unionByName(roots))
+    whole = own.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep")["doc_id"].alias("component_id"))
     out = signed.select("doc_id", "n_shingles").join(whole, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

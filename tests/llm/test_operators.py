@@ -245,6 +245,13 @@ def test_near_duplicates_equal_brute_force(spark, seed):
     assert {r.doc_id: r.n_shingles for r in rows} == {i: len(brute.shingle_set(t)) for i, t in docs.items()}
 
 
+def test_rows_that_share_an_id_are_one_node(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcd"]
+    rows = [(9, texts[0]), (9, texts[1]), (9, texts[2]), (3, texts[0]), (5, texts[1]), (7, texts[2] + " end"), (8, texts[3])]
+    got = {r.doc_id: r.component_id for r in minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {9: 3, 3: 3, 5: 3, 7: 3, 8: 8}
+
+
 def test_near_duplicates_of_awkward_tables(spark):
     rows = minhash.with_groups(awkward(spark)).collect()
     assert len(rows) == len(AWKWARD)
