@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -178,25 +182,48 @@ def _(spark, sf):
     return _split(spark, sf).groupBy("part").agg(F.count("*").alias("count"))
 
 
-@register("split_members")
+@register(
+    "split_members",
+    """WITH n AS (SELECT count(*) AS n FROM embeddings),
+held AS (SELECT n, CAST(ceil(CAST(0.30000000000000004 AS DOUBLE) * n) AS BIGINT) AS h FROM n),
+cut AS (SELECT n, h, CAST(ceil(CAST(0.14 AS DOUBLE) / CAST(0.30000000000000004 AS DOUBLE) * h) AS BIGINT) AS t FROM held),
+placed AS (SELECT vec_id, row_number() OVER (ORDER BY md5(concat(CAST(vec_id AS VARCHAR), ':42')), vec_id) - 1 AS place FROM embeddings)
+SELECT vec_id, CASE WHEN place < n - h THEN 'train' WHEN place < n - t THEN 'validation' ELSE 'test' END AS part FROM placed, cut""",
+)
 def _(spark, sf):
     return _split(spark, sf)
 
 
+# The two source pixels and the weight of the second for each of 16 target pixels of 8.
+TAPS = """taps AS (
+  SELECT t, CAST(floor(c) AS INT) AS lo, least(CAST(floor(c) AS INT) + 1, 7) AS hi, c - floor(c) AS w
+  FROM (SELECT t, greatest(least((t + CAST(0.5 AS DOUBLE)) / 2 - CAST(0.5 AS DOUBLE), 7), 0) AS c FROM generate_series(0, 15) AS g(t)))"""
+
+
+def _between(at: str, column: str) -> str:
+    """SQL for the weighted sum of the two source pixels of a target pixel."""
+    return f"sum(CASE WHEN {at} = lo THEN {column} * (1 - w) ELSE 0 END + CASE WHEN {at} = hi THEN {column} * w ELSE 0 END)"
+
+
 @register(
     "preprocessed_pixels",
     PICTURE_SQL
-    + """, channels AS (
-  SELECT key, (i - 1) * 3 AS pos, greatest(v - 20, 0) AS c, CAST(0.485 AS DOUBLE) AS mean, CAST(0.229 AS DOUBLE) AS std FROM level
-  UNION ALL SELECT key, (i - 1) * 3 + 1, v, CAST(0.456 AS DOUBLE), CAST(0.224 AS DOUBLE) FROM level
-  UNION ALL SELECT key, (i - 1) * 3 + 2, least(v + 20, 255), CAST(0.406 AS DOUBLE), CAST(0.225 AS DOUBLE) FROM level)
-SELECT key, CAST(pos AS INT) AS pos, round((c / CAST(255 AS DOUBLE) - mean) / std, 4) AS value FROM channels""",
+    + f""", {TAPS},
+channel AS (
+  SELECT key, (i - 1) // 8 AS y, (i - 1) % 8 AS x, 0 AS c, greatest(v - 20, 0) AS v FROM level
+  UNION ALL SELECT key, (i - 1) // 8, (i - 1) % 8, 1, v FROM level
+  UNION ALL SELECT key, (i - 1) // 8, (i - 1) % 8, 2, least(v + 20, 255) FROM level),
+wide AS (SELECT key, c, y, t AS tx, {_between("x", "v")} AS v FROM channel JOIN taps ON x = lo OR x = hi GROUP BY ALL),
+tall AS (SELECT key, c, tx, t AS ty, floor({_between("y", "v")} + 0.5) AS v FROM wide JOIN taps ON y = lo OR y = hi GROUP BY ALL)
+SELECT key, CAST((ty * 16 + tx) * 3 + c AS INT) AS pos, round((v / CAST(255 AS DOUBLE) - [CAST(0.485 AS DOUBLE), CAST(0.456 AS DOUBLE), CAST(0.406 AS DOUBLE)][c + 1])
+  / [CAST(0.229 AS DOUBLE), CAST(0.224 AS DOUBLE), CAST(0.225 AS DOUBLE)][c + 1], 5) AS value FROM tall""",
     ("pixels",),
 )
 def _(spark, sf):
-    tensors = imaging.preprocess(_pictures(spark, sf), size=(8, 8))
+    """The 8x8 pictures at twice their size, normalised."""
+    tensors = imaging.preprocess(_pictures(spark, sf), size=(16, 16))
     return tensors.select("key", F.posexplode("tensor").alias("pos", "value")).withColumn(
-        "value", F.round(F.col("value").cast("double"), 4)
+        "value", F.round(F.col("value").cast("double"), 5)
     )
 
 
@@ -223,40 +250,71 @@ def _(spark, sf):
     return attach_truth(images, both).select("key", "base", "truth_path")
 
 
-@register(
-    "resized_back",
-    """, taps AS (
-  SELECT t, CAST(floor(c) AS INT) AS lo, least(CAST(floor(c) AS INT) + 1, 3) AS hi, c - floor(c) AS w
-  FROM (SELECT t, greatest(least((t + CAST(0.5 AS DOUBLE)) / 2 - CAST(0.5 AS DOUBLE), 3), 0) AS c FROM generate_series(0, 7) AS g(t))),
-small AS (SELECT key, (i - 1) // 4 AS y, (i - 1) % 4 AS x, p, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS m FROM scored WHERE i <= 16),
-wide AS (
-  SELECT s.key, s.y, t.t AS tx, sum(CASE WHEN s.x = t.lo THEN p * (1 - w) ELSE 0 END + CASE WHEN s.x = t.hi THEN p * w ELSE 0 END) AS p,
-    sum(CASE WHEN s.x = t.lo THEN m * (1 - w) ELSE 0 END + CASE WHEN s.x = t.hi THEN m * w ELSE 0 END) AS m
-  FROM small s JOIN taps t ON s.x = t.lo OR s.x = t.hi GROUP BY ALL),
-tall AS (
-  SELECT s.key, s.tx, t.t AS ty, sum(CASE WHEN s.y = t.lo THEN p * (1 - w) ELSE 0 END + CASE WHEN s.y = t.hi THEN p * w ELSE 0 END) AS p,
-    floor(sum(CASE WHEN s.y = t.lo THEN m * (1 - w) ELSE 0 END + CASE WHEN s.y = t.hi THEN m * w ELSE 0 END) + 0.5) AS m
-  FROM wide s JOIN taps t ON s.y = t.lo OR s.y = t.hi GROUP BY ALL)
-SELECT key, round(sum(m) / CAST(64 AS DOUBLE) * 100, 4) AS water_coverage, round(avg(p), 4) AS avg_confidence,
-  sum(m) / CAST(64 AS DOUBLE) * 100 > 80 AS overflow_detected, CAST(8 AS INT) AS height, CAST(8 AS INT) AS width
-FROM tall GROUP BY key""",
-    ("pixels",),
-)
+RESIZED = f""", {TAPS},
+small AS (SELECT key, (i - 1) // 8 AS y, (i - 1) % 8 AS x, CAST(CAST(p AS FLOAT) AS DOUBLE) AS p, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS m FROM scored),
+wide AS (SELECT key, y, t AS tx, {_between("x", "p")} AS p, {_between("x", "m")} AS m FROM small JOIN taps ON x = lo OR x = hi GROUP BY ALL),
+tall AS (SELECT key, tx, t AS ty, {_between("y", "p")} AS p, floor({_between("y", "m")} + 0.5) AS m FROM wide JOIN taps ON y = lo OR y = hi GROUP BY ALL)
+SELECT key, round(sum(m) / CAST(256 AS DOUBLE) * 100, 6) AS water_coverage, round(avg(p), 6) AS avg_confidence,
+  sum(m) / CAST(256 AS DOUBLE) * 100 > 80 AS overflow_detected, CAST(16 AS INT) AS height, CAST(16 AS INT) AS width
+FROM tall GROUP BY key"""
+
+
+def _resized(spark, sf, rethreshold):
+    """Probabilities and masks of the 8x8 maps brought to pictures of twice the size, with statistics."""
+    twice = F.col("image").withField("height", F.lit(16)).withField("width", F.lit(16))
+    scored = scoring.with_probabilities(_pictures(spark, sf).withColumn("image", twice))
+    stats = s.prediction_stats(imaging.resize_back(scored, rethreshold)).select(*STATS, "height", "width")
+    return stats.withColumns({c: F.round(c, 6) for c in ("water_coverage", "avg_confidence")})
+
+
+@register("resized_back", RESIZED, ("pixels",))
 def _(spark, sf):
-    """Probabilities of 4x4 maps brought back to the size of the 8x8 pictures, with statistics."""
-    small = _pictures(spark, sf).withColumns(
-        {"logits": F.slice("logits", 1, 16), "height": F.lit(4), "width": F.lit(4)}
-    )
-    back = imaging.resize_back(scoring.with_probabilities(small))
-    stats = s.prediction_stats(back).select(*STATS, "height", "width")
-    return stats.withColumns({c: F.round(c, 4) for c in ("water_coverage", "avg_confidence")})
+    return _resized(spark, sf, False)
+
+
+@register("resized_back_rethresholded", RESIZED, ("pixels",))
+def _(spark, sf):
+    """The mask cut at one half again, as the single-image path does: whole numbers already, so the same counts."""
+    return _resized(spark, sf, True)
+
 
+def _unpacked(content: str):
+    """The pixel values of a PNG as this package writes it, for queries that show them."""
 
-@register("artefact_objects")
+    @F.pandas_udf("array<int>")
+    def values(blobs: pd.Series) -> pd.Series:
+        rows = []
+        for blob in blobs:
+            width, height = struct.unpack(">II", blob[16:24])
+            lines = np.frombuffer(zlib.decompress(blob[41 : 41 + struct.unpack(">I", blob[33:37])[0]]), np.uint8).reshape(height, -1)
+            rows.append(lines[:, 1:].astype(np.int32).ravel())
+        return pd.Series(rows, dtype=object)
+
+    return values(content)
+
+
+@register(
+    "artefact_objects",
+    PICTURE_SQL
+    + """, drawn AS (
+  SELECT l.key, l.i, [greatest(v - 20, 0), v, least(v + 20, 255)] AS rgb, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS m, CAST(p AS FLOAT) AS q
+  FROM level l JOIN scored s ON s.key = l.key AND s.i = l.i),
+shown AS (
+  SELECT key, 'originals' AS kind, (i - 1) * 3 + c - 1 AS pos, rgb[c] AS value FROM drawn, generate_series(1, 3) AS g(c)
+  UNION ALL SELECT key, 'predictions', i - 1, m * 255 FROM drawn
+  UNION ALL SELECT key, 'confidence_maps', i - 1, CAST(floor(q * CAST(255 AS FLOAT)) AS BIGINT) FROM drawn
+  UNION ALL SELECT key, 'overlay', (i - 1) * 3 + c - 1,
+    CASE WHEN m = 1 THEN CAST(floor(rgb[c] * CAST(0.6 AS DOUBLE) + CASE WHEN c = 2 THEN 255 ELSE 0 END * CAST(0.4 AS DOUBLE)) AS BIGINT) ELSE rgb[c] END
+  FROM drawn, generate_series(1, 3) AS g(c))
+SELECT concat(kind, '/img_', CAST(key AS VARCHAR), '.png') AS key, 'image/png' AS content_type, CAST(pos AS INT) AS pos, CAST(value AS INT) AS value FROM shown""",
+    ("pixels",),
+)
 def _(spark, sf):
+    """The four pictures of every image, with the pixel values they hold."""
     scored = scoring.with_probabilities(_pictures(spark, sf))
     named = scored.withColumn("filename", F.concat(F.lit("img_"), F.col("key").cast("string"), F.lit(".png")))
-    return imaging.artefact_objects(imaging.draw_artefacts(named, (8, 8))).select("key", "content_type", F.sha2("content", 256).alias("digest"))
+    objects = imaging.artefact_objects(imaging.draw_artefacts(named, (8, 8)))
+    return objects.select("key", "content_type", F.posexplode(_unpacked("content")).alias("pos", "value"))
 
 
 def _pairs(spark, sf):
@@ -275,7 +333,17 @@ def _(spark, sf):
     return varied.select("key", "copy", F.xxhash64("pixels").alias("pixels"), F.xxhash64("truth_mask").alias("mask"))
 
 
-@register("denormalised_pixels")
+@register(
+    "denormalised_pixels",
+    PICTURE_SQL
+    + """, channel AS (
+  SELECT key, (i - 1) * 3 AS pos, greatest(v - 20, 0) AS v, CAST(0.485 AS DOUBLE) AS mean, CAST(0.229 AS DOUBLE) AS std FROM level
+  UNION ALL SELECT key, (i - 1) * 3 + 1, v, CAST(0.456 AS DOUBLE), CAST(0.224 AS DOUBLE) FROM level
+  UNION ALL SELECT key, (i - 1) * 3 + 2, least(v + 20, 255), CAST(0.406 AS DOUBLE), CAST(0.225 AS DOUBLE) FROM level)
+SELECT key, CAST(pos AS INT) AS pos,
+  CAST(floor(least(greatest(CAST(CAST((v / CAST(255 AS DOUBLE) - mean) / std AS FLOAT) AS DOUBLE) * std + mean, 0), 1) * 255) AS SMALLINT) AS value FROM channel""",
+    ("pixels",),
+)
 def _(spark, sf):
     shown = imaging.denormalise(imaging.preprocess(_pictures(spark, sf), size=(8, 8)))
     return shown.select("key", F.posexplode("pixels").alias("pos", "value"))
@@ -283,18 +351,19 @@ def _(spark, sf):
 
 # --- whole jobs over picture files -------------------------------------------------------------
 
-# A linear model over normalised RGB; its weights are arbitrary fixed values. It computes in single
-# precision, so its mean probability is compared at three places.
+# A linear model over normalised RGB; its weights are arbitrary fixed values. Tensors and stored
+# probabilities have single precision, all sums double.
 WEIGHTS, BIAS = [0.8, 0.5, -0.9], 0.1
 
 MODEL_SQL = (
     PICTURE_SQL
     + """, tensor AS (
-  SELECT key, i, (greatest(v - 20, 0) / CAST(255 AS DOUBLE) - CAST(0.485 AS DOUBLE)) / CAST(0.229 AS DOUBLE) AS r,
-    (v / CAST(255 AS DOUBLE) - CAST(0.456 AS DOUBLE)) / CAST(0.224 AS DOUBLE) AS g,
-    (least(v + 20, 255) / CAST(255 AS DOUBLE) - CAST(0.406 AS DOUBLE)) / CAST(0.225 AS DOUBLE) AS b FROM level),
+  SELECT key, i, CAST(CAST((greatest(v - 20, 0) / CAST(255 AS DOUBLE) - CAST(0.485 AS DOUBLE)) / CAST(0.229 AS DOUBLE) AS FLOAT) AS DOUBLE) AS r,
+    CAST(CAST((v / CAST(255 AS DOUBLE) - CAST(0.456 AS DOUBLE)) / CAST(0.224 AS DOUBLE) AS FLOAT) AS DOUBLE) AS g,
+    CAST(CAST((least(v + 20, 255) / CAST(255 AS DOUBLE) - CAST(0.406 AS DOUBLE)) / CAST(0.225 AS DOUBLE) AS FLOAT) AS DOUBLE) AS b FROM level),
 prob AS (SELECT key, i, CAST(1 AS DOUBLE) / (CAST(1 AS DOUBLE) + exp(-(r * CAST(0.8 AS DOUBLE) + g * CAST(0.5 AS DOUBLE) - b * CAST(0.9 AS DOUBLE) + CAST(0.1 AS DOUBLE)))) AS q FROM tensor),
-model AS (SELECT key, sum(CASE WHEN q > 0.5 THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE) * 100 AS cover, sum(q) / count(*) AS conf FROM prob GROUP BY key)
+model AS (SELECT key, sum(CASE WHEN q > 0.5 THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE) * 100 AS cover, sum(q) / count(*) AS conf,
+  sum(CAST(CAST(q AS FLOAT) AS DOUBLE)) / count(*) AS stored_conf FROM prob GROUP BY key)
 """
 )
 
@@ -317,24 +386,27 @@ def _file(column="key"):
 @register(
     "stream_scoring",
     MODEL_SQL
-    + """SELECT concat('img_', CAST(key AS VARCHAR), '.png') AS filename, round(cover, 4) AS water_coverage, round(conf, 3) AS avg_confidence,
-  cover > 80 AS overflow_detected, 'unknown' AS location, 'linear' AS model_name FROM model""",
+    + """SELECT concat('img_', CAST(key // 3 AS VARCHAR), '.png') AS filename, round(cover, 6) AS water_coverage, round(conf, 6) AS avg_confidence,
+  cover > 80 AS overflow_detected, 'unknown' AS location, 'linear' AS model_name, key % 500 AS processing_time_ms,
+  CASE WHEN key % 2 = 1 THEN 'unet++' ELSE 'v2' END AS model_version FROM model""",
     ("pixels",),
 )
 def _(spark, sf):
-    """All pictures through the scoring stream: odd ones inline, even ones as stored objects."""
+    """All pictures through the scoring stream in several batches, three of each file name: odd ones inline, even ones as stored objects."""
     root = stage_path(spark, "scoring")
     pictures = _png(spark, sf)
     link = F.concat(F.lit("uploads/"), _file())
     write_objects(pictures.where("key % 2 = 0").select(link.alias("key"), F.col("png").alias("content")), f"{root}/store")
     odd = F.col("key") % 2 == 1
     message = F.struct(
-        _file().alias("filename"),
+        F.concat(F.lit("img_"), F.expr("key div 3").cast("string"), F.lit(".png")).alias("filename"),
+        (F.col("key") % 500).alias("processing_time_ms"),
+        F.when(~odd, "v2").alias("model_version"),
         F.when(odd, F.regexp_replace(F.base64("png"), r"\s", "")).alias("image"),
         F.when(~odd, link).alias("image_link"),
         F.lit("2024-01-01T00:00:00").alias("date"),
     )
-    pictures.select(F.to_json(message)).write.text(f"{root}/messages")
+    pictures.select(F.to_json(message)).repartition(8).write.text(f"{root}/messages")
     conf = jobs.Scoring(
         root=f"{root}/store",
         results=f"{root}/results",
@@ -348,11 +420,13 @@ def _(spark, sf):
     rows = spark.read.parquet(f"{root}/results")
     return rows.select(
         "filename",
-        F.round("water_coverage", 4).alias("water_coverage"),
-        F.round("avg_confidence", 3).alias("avg_confidence"),
+        F.round("water_coverage", 6).alias("water_coverage"),
+        F.round("avg_confidence", 6).alias("avg_confidence"),
         "overflow_detected",
         "location",
         "model_name",
+        "processing_time_ms",
+        "model_version",
     )
 
 
@@ -363,7 +437,7 @@ def _(spark, sf):
   SELECT a.key, count(b.key) > 0 AS known, sum(CASE WHEN a.q > 0.5 AND b.x > 0 THEN 1 ELSE 0 END) AS inter,
     sum(CASE WHEN a.q > 0.5 THEN 1 ELSE 0 END) AS pm, sum(CASE WHEN b.x > 0 THEN 1 ELSE 0 END) AS tm
   FROM prob a LEFT JOIN pixels b ON b.key = a.key + 1 AND b.i = a.i GROUP BY a.key)
-SELECT concat('img_', CAST(key AS VARCHAR)) AS image, round(cover, 4) AS water_coverage, round(conf, 3) AS avg_confidence,
+SELECT concat('img_', CAST(key AS VARCHAR)) AS image, round(cover, 6) AS water_coverage, round(stored_conf, 6) AS avg_confidence,
   CASE WHEN known THEN round(CAST(2 * inter AS DOUBLE) / (CAST(pm + tm AS DOUBLE) + CAST(1e-8 AS DOUBLE)), 8) END AS dice_score,
   CASE WHEN known THEN round(CAST(inter AS DOUBLE) / (CAST(pm + tm - inter AS DOUBLE) + CAST(1e-8 AS DOUBLE)), 8) END AS iou_score,
   known AS has_ground_truth
@@ -385,7 +459,7 @@ def _(spark, sf):
         spark, f"{root}/in", f"{root}/out", scoring.pixel_scorer(WEIGHTS, BIAS), f"{root}/masks", size=(8, 8)
     )
     return results.withColumns(
-        {"water_coverage": F.round("water_coverage", 4), "avg_confidence": F.round("avg_confidence", 3)}
+        {"water_coverage": F.round("water_coverage", 6), "avg_confidence": F.round("avg_confidence", 6)}
     )
 
 

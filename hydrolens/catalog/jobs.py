@@ -8,6 +8,7 @@ from hydrolens.catalog.registry import register
 from hydrolens.catalog.maintenance import OHLC
 from hydrolens.catalog.uploads import MESSAGE_ROWS, _messages
 from hydrolens.functions.time import latest
+from hydrolens.operators.scoring import pixel_scorer
 from hydrolens.plans import maintenance as mt
 from hydrolens.session import stage_path
 from hydrolens.sources import fixtures as fx
@@ -88,6 +89,49 @@ def _(spark, sf):
     return spark.read.parquet(f"{root}/out")
 
 
+@register(
+    "stream_errors",
+    """WITH sent AS (SELECT doc_id, concat('doc_', CAST(doc_id AS VARCHAR), '.png') AS name, doc_id % 7 AS kind FROM documents)
+SELECT CASE kind WHEN 0 THEN 'unknown' ELSE name END AS filename,
+  CASE kind WHEN 3 THEN concat('a/../', name) WHEN 4 THEN concat('uploads/', name) WHEN 5 THEN concat('stored/', name) WHEN 6 THEN concat('stored/_', name) END AS image_link,
+  CASE kind WHEN 0 THEN NULL ELSE '2024-01-01T00:00:00' END AS date,
+  CASE kind WHEN 0 THEN 'not JSON' WHEN 1 THEN 'bad base64' WHEN 2 THEN 'no image' WHEN 3 THEN 'path outside the store' WHEN 4 THEN 'missing object'
+    ELSE 'undecodable image' END AS error
+FROM sent""",
+)
+def _(spark, sf):
+    """Records that cannot be used, in seven ways, through the scoring stream: none is lost and none stops it."""
+    root = stage_path(spark, "errors")
+    kind, name = F.col("doc_id") % 7, _doc_name()
+    link = (
+        F.when(kind == 3, F.concat(F.lit("a/../"), name)).when(kind == 4, F.concat(F.lit("uploads/"), name))
+        .when(kind == 5, F.concat(F.lit("stored/"), name)).when(kind == 6, F.concat(F.lit("stored/_"), name))
+    )
+    docs = fx.table(spark, sf, "documents")
+    broken = docs.where(kind >= 5).select(link.alias("key"), F.encode(F.concat(F.lit("no picture"), "text"), "UTF-8").alias("content"))
+    write_objects(broken, f"{root}/store")
+    fields = F.struct(name.alias("filename"), F.when(kind == 1, "***").alias("image"), link.alias("image_link"), F.lit("2024-01-01T00:00:00").alias("date"))
+    docs.select(F.when(kind == 0, F.concat(F.lit("{broken "), name)).otherwise(F.to_json(fields))).write.text(f"{root}/messages")
+    conf = jobs.Scoring(f"{root}/store", f"{root}/results", f"{root}/errors", pixel_scorer([1.0, 1.0, 1.0], 0.0), "linear", (8, 8))
+    jobs.run_scoring(_stream(spark, f"{root}/messages"), conf, f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/errors").select("filename", "image_link", "date", "error")
+
+
+@register(
+    "stored_listing",
+    """SELECT concat('uploads/', CASE WHEN doc_id % 4 = 0 THEN '_' WHEN doc_id % 4 = 1 THEN '.' ELSE concat(CAST(doc_id % 10 AS VARCHAR), '/') END, 'doc_', CAST(doc_id AS VARCHAR), '.png') AS key,
+  CASE WHEN doc_id % 3 = 0 THEN 0 ELSE CAST(octet_length(encode(text)) AS BIGINT) END AS size FROM documents""",
+)
+def _(spark, sf):
+    """Objects in folders, every third one empty and every second one with a hidden name, listed from the store."""
+    root = stage_path(spark, "listing")
+    start = F.when(F.col("doc_id") % 4 == 0, "_").when(F.col("doc_id") % 4 == 1, ".").otherwise(F.concat((F.col("doc_id") % 10).cast("string"), F.lit("/")))
+    docs = fx.table(spark, sf, "documents").withColumn("content", F.encode(F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text")), "UTF-8"))
+    for folder in ("uploads/", "other/"):
+        write_objects(docs.select(F.concat(F.lit(folder), start, _doc_name()).alias("key"), "content"), root)
+    return list_objects(spark, root, "uploads/").select("key", "size")
+
+
 @register("late_messages", MESSAGE_ROWS + "SELECT DISTINCT filename, image_link, date FROM messages", ("client_ips", "geo_ranges", "upload_log"))
 def _(spark, sf):
     """Upload messages that arrive newest first, day by day and each twice, through the stream's dedup: none is lost for being late."""

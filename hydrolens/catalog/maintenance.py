@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from hydrolens.plans import maintenance as mt
 from hydrolens.plans.prices import monthly_rollup
 from hydrolens.session import shared_dir, stage
 from hydrolens.sources import fixtures as fx
+from hydrolens.sources.tables import append_rows, read_table
 from hydrolens.streaming import jobs
 
 OHLC = "round(CAST(close AS DOUBLE), 8) AS close, round(CAST(high AS DOUBLE), 8) AS high, round(CAST(low AS DOUBLE), 8) AS low, round(CAST(open AS DOUBLE), 8) AS open"
@@ -88,7 +90,10 @@ def _(spark, sf):
 , edge AS (SELECT max(timestamp) - INTERVAL '10 minutes' AS mark FROM preds)
 SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS time, count(*) AS images,
   round(avg(water_coverage_percent), 8) AS avg_water_coverage, round(max(water_coverage_percent), 8) AS max_water_coverage,
-  round(min(water_coverage_percent), 8) AS min_water_coverage, round(avg(confidence_score), 8) AS avg_confidence
+  round(min(water_coverage_percent), 8) AS min_water_coverage, round(avg(confidence_score), 8) AS avg_confidence,
+  round(min(confidence_score), 8) AS min_confidence, round(max(confidence_score), 8) AS max_confidence,
+  round(avg(processing_time_ms), 8) AS avg_processing_time, max(processing_time_ms) AS max_processing_time,
+  round(count(CASE WHEN confidence_score < 0.5 THEN 1 END) * CAST(100 AS DOUBLE) / count(*), 8) AS error_rate
 FROM preds, edge GROUP BY 1, mark HAVING time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' <= mark""",
     ("preds",),
 )
@@ -100,7 +105,7 @@ def _(spark, sf):
     jobs.append_stream(buckets, out, log).awaitTermination()
     return (
         spark.read.parquet(out)
-        .select("time", "images", "avg_water_coverage", "max_water_coverage", "min_water_coverage", "avg_confidence")
+        .drop("time_end")
         .withColumn("time", F.col("time").cast("timestamp_ntz"))
     )
 
@@ -133,3 +138,67 @@ def _alerts(spark, alerts):
     out = _fresh_path(spark, "alerts")
     jobs.append_stream(alerts, out, _fresh_path(spark, "alert-log")).awaitTermination()
     return spark.read.parquet(out).withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
+@register(
+    "stream_silence",
+    """SELECT count(*) AS recent_predictions FROM preds WHERE water_coverage_percent > 80
+AND timestamp > (SELECT max(timestamp) FROM preds) - INTERVAL '10 minutes' HAVING count(*) < 5""",
+    ("preds",),
+)
+def _(spark, sf):
+    """The scheduled silence rule over the result table of a stream that lets through high rows only."""
+    out, log = _fresh_path(spark, "results"), _fresh_path(spark, "results-log")
+    events = jobs.event_stream(spark, sf)
+    jobs.append_stream(events.where("water_coverage_percent > 80"), out, log).awaitTermination()
+    return jobs.silence_alert(spark, out, latest(fx.predictions(spark, sf), "timestamp"))
+
+
+@register("appended_rows", f"SELECT date, {OHLC}, volume FROM stock", ("stock",))
+def _(spark, sf):
+    """The price table appended in three parts, one row by itself among them, and read back by its path."""
+    path, prices = _fresh_path(spark, "appended"), stage(fx.stock(spark, sf), "prices")
+    first = prices.agg(F.min("date").alias("date"))
+    parts = [prices.join(first, "date", "left_semi"), *[prices.join(first, "date", "left_anti").where(F.dayofmonth("date") % 2 == odd) for odd in (0, 1)]]
+    for part in parts:
+        append_rows(part, path)
+    return read_table(spark, path)
+
+
+@register(
+    "storage_statistics",
+    f"SELECT {MONTH} AS month, true AS stored, true AS sized FROM stock GROUP BY 1",
+    ("stock",),
+)
+def _(spark, sf):
+    """Files and bytes of each chunk of the price table; sizes depend on the writer, so only that there are some is shown."""
+    path = _fresh_path(spark, "chunks")
+    mt.write_chunked(fx.stock(spark, sf), path)
+    shown = (F.col("files") >= 1).alias("stored"), F.col("size").rlike("^[0-9]+ (bytes|kB|MB|GB)$").alias("sized")
+    return mt.storage_stats(spark, path).select("month", *shown)
+
+
+@register(
+    "maintenance_runs",
+    f"""
+, m AS (SELECT DISTINCT {MONTH} AS month FROM stock),
+old AS (SELECT month, month + INTERVAL '1 month' <= (SELECT max(date) FROM stock) - INTERVAL '3 months' AS closed,
+  month + INTERVAL '1 month' <= (SELECT max(date) + INTERVAL '2 years' FROM stock) - INTERVAL '7 years' AS gone FROM m)
+SELECT 'compact' AS job, CAST(1 AS INT) AS run, count(CASE WHEN closed THEN 1 END) AS months, min(CASE WHEN closed THEN month END) AS first_month,
+  max(CASE WHEN closed THEN month END) AS last_month FROM old
+UNION ALL SELECT 'compact', 2, 0, NULL, NULL
+UNION ALL SELECT 'retain', 3, count(CASE WHEN gone THEN 1 END), min(CASE WHEN gone THEN month END), max(CASE WHEN gone THEN month END) FROM old""",
+    ("stock",),
+)
+def _(spark, sf):
+    """The log of a compaction, of the same again, which finds nothing left to do, and of retention."""
+    path, log = _fresh_path(spark, "chunks"), _fresh_path(spark, "log")
+    mt.write_chunked(fx.stock(spark, sf), path)
+    table = mt.read_chunked(spark, path)
+    newest = table.agg(F.max("date").alias("d"), (F.max("date").cast("timestamp_ntz") + F.expr("INTERVAL 2 years")).alias("later")).first()
+    runs = [("compact", newest.d), ("compact", newest.d), ("retain", newest.later)]
+    for at, (job, as_of) in enumerate(runs, 1):
+        work = {"compact": lambda: mt.compact(spark, path, as_of, log=log), "retain": lambda: mt.retain(spark, path, as_of)}[job]
+        mt.logged(spark, log, job, path, datetime(2024, 1, at), work)
+    months = F.size("months").cast("bigint").alias("months"), F.array_min("months").alias("first_month"), F.array_max("months").alias("last_month")
+    return mt.maintenance_log(spark, log).select("job", F.dayofmonth("as_of").alias("run"), *months)

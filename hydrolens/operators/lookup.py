@@ -59,11 +59,15 @@ def locate_numbers(points: DataFrame, ranges: DataFrame, number: str, payload: l
 
 
 def pair_by_name(left: DataFrame, right: DataFrame, on: str, on_missing: str = "fail") -> DataFrame:
-    """Inner join of two listings by name. A left row without partner fails the run, or is dropped."""
+    """Inner join of two listings by name. A left row without partner fails the run, or is dropped.
+
+    The failure tells how many there are and shows the first few; `unpaired` gives all of them.
+    """
     if on_missing == "fail":
-        lost = unpaired(left, right, on).limit(5).collect()
-        if lost:
-            raise ValueError(f"no partner for {[r[on] for r in lost]}")
+        lost = unpaired(left, right, on)
+        shown = lost.select(on).orderBy(on).limit(5).collect()
+        if shown:
+            raise ValueError(f"no partner for {lost.count()} rows, such as {[r[on] for r in shown]}; unpaired() lists all")
     elif on_missing != "drop":
         raise ValueError(f"on_missing is 'fail' or 'drop', not {on_missing!r}")
     return left.join(right, on)

@@ -15,6 +15,7 @@ from pyspark.ml.functions import array_to_vector, predict_batch_udf
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from hydrolens.functions import raster
+from hydrolens.session import stage
 
 Factory = Callable[[], Callable[[np.ndarray], np.ndarray]]
 
@@ -86,34 +87,45 @@ def stored_logits() -> Callable[[np.ndarray], np.ndarray]:
 
 
 def pixel_scorer(weights: list[float], bias: float) -> Factory:
-    """Scorer of a fitted per-pixel linear model over normalised RGB tensors."""
+    """Scorer of a fitted per-pixel linear model over normalised RGB tensors, in double precision."""
 
     def factory():
-        w = np.asarray(weights, np.float32)
-        return lambda batch: (batch.reshape(batch.shape[0], -1, len(w)) @ w + np.float32(bias)).astype(np.float32)
+        w = np.asarray(weights, np.float64)
+        return lambda batch: batch.reshape(batch.shape[0], -1, len(w)).astype(np.float64) @ w + bias
 
     return factory
 
 
-def pixel_rows(pairs: DataFrame, key: str) -> DataFrame:
-    """One row per labelled pixel: key, features (vector), label. Spread anew, since images differ in size."""
+PIXELS_PER_IMAGE = 16_384
+
+
+def pixel_rows(pairs: DataFrame, key: str, most: int | None = PIXELS_PER_IMAGE) -> DataFrame:
+    """One row per labelled pixel: key, features (vector), label.
+
+    `most` bounds the pixels taken from an image: evenly spaced ones, all if there are no more. None
+    takes all.
+    """
     channels = F.expr("size(tensor) div size(truth_mask)")
-    each = pairs.select(key, "tensor", channels.alias("_c"), F.posexplode("truth_mask").alias("_at", "label"))
+    step = F.lit(1) if most is None else F.greatest(F.lit(1), F.ceil(F.size("truth_mask") / most)).cast("int")
+    spots = F.transform(F.sequence(F.lit(0), F.size("truth_mask") - 1, step), lambda i: F.struct(i.alias("at"), F.get("truth_mask", i).alias("label")))
+    each = pairs.where("size(truth_mask) > 0").select(key, "tensor", channels.alias("_c"), F.explode(spots).alias("_spot"))
+    each = each.select(key, "tensor", "_c", F.col("_spot.at").alias("_at"), F.col("_spot.label").alias("label"))
     features = F.slice("tensor", F.col("_at") * F.col("_c") + 1, F.col("_c"))
     return each.select(key, array_to_vector(features.cast("array<double>")).alias("features"), F.col("label").cast("double"))
 
 
-def fit_pixel_scorer(train: DataFrame, validation: DataFrame, key: str, grid: list[float]) -> dict:
+def fit_pixel_scorer(train: DataFrame, validation: DataFrame, key: str, grid: list[float], most: int | None = PIXELS_PER_IMAGE) -> dict:
     """Fit a logistic pixel model per regularisation value; keep the best by mean Dice on validation.
 
-    Rows need `tensor` and `truth_mask` of equal pixel count. This replaces network training by
-    a distributed fit under the same loss; its quality is not that of a network.
+    Rows need `tensor` and `truth_mask` of equal pixel count; `most` bounds the labelled pixels that
+    each image gives to the fit. They are written once and read for every value. This replaces network
+    training by a distributed fit under the same loss; its quality is not that of a network.
     """
     from pyspark.ml.classification import LogisticRegression
 
     from hydrolens.plans.scoring import evaluate_images
 
-    pixels = pixel_rows(train, key)
+    pixels = stage(pixel_rows(train, key, most), "labelled-pixels")
     best: dict = {"dice": -math.inf}
     for strength in grid:
         model = LogisticRegression(regParam=strength, maxIter=30).fit(pixels)

@@ -1,11 +1,14 @@
 """Upkeep of a time-series table kept as monthly chunks, and of its monthly rollup.
 
-A chunk is one `month=` partition. Rewrites go through a staged copy in the shared folder: the
-table is only replaced by rows already written, so a failed run can be repeated.
+A chunk is one `month=` partition. New chunks are written whole beside the table and then change
+places with the old ones by renaming, month by month. A run that ends in between leaves every month
+either old or new, and the next run puts back what was on its way out, so a failed run can be
+repeated.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -17,6 +20,8 @@ from hydrolens.plans.prices import monthly_rollup
 from hydrolens.session import delete_path, staging
 
 MONTH = "month"
+# Folders of chunks on their way in and out; names with a leading '_' are no part of the table.
+IN, OUT = "_incoming-", "_outgoing-"
 
 
 # --- chunks ------------------------------------------------------------------------------------
@@ -51,27 +56,69 @@ def read_chunked(spark: SparkSession, path: str, rng: Range = None, time: str =
 
 
 def chunks(spark: SparkSession, path: str) -> list[date]:
-    """Months present. One value per month of the table's age, so the list is short."""
-    return sorted(r[MONTH] for r in _chunk_schema(spark, path).select(MONTH).distinct().collect())
+    """Months present, from the names of the folders alone."""
+    found = [date.fromisoformat(name.partition("=")[2]) for name in _names(spark, path) if name.startswith(f"{MONTH}=")]
+    return sorted(found)
+
+
+def _files(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder."""
+    system, target = _files(spark, path)
+    return sorted(status.getPath().getName() for status in system.listStatus(target)) if system.exists(target) else []
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    system, source = _files(spark, old)
+    if not system.rename(source, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"{old} could not be renamed to {new}")
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish what a run that ended early has left: old chunks without a new one come back, all other leftovers go."""
+    names = _names(spark, path)
+    for name in names:
+        if name.startswith(OUT):
+            chunk = f"{MONTH}={name.removeprefix(OUT)}"
+            if chunk in names:
+                delete_path(spark, f"{path}/{name}")
+            else:
+                _rename(spark, f"{path}/{name}", f"{path}/{chunk}")
+        elif name.startswith(IN):
+            delete_path(spark, f"{path}/{name}")
 
 
 def _replace_chunks(df: DataFrame, path: str) -> None:
-    """Overwrite just the chunks that occur in `df` (already staged, so not read from `path`)."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-    writer.partitionBy(MONTH).parquet(path)
+    """Put the chunks of `df` in the place of the table's; other months stay as they are. `df` may read the table."""
+    spark, fresh = df.sparkSession, f"{path}/{IN}{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").partitionBy(MONTH).parquet(fresh)
+    present = set(_names(spark, path))
+    for chunk in [name for name in _names(spark, fresh) if name.startswith(f"{MONTH}=")]:
+        old = f"{path}/{OUT}{chunk.partition('=')[2]}"
+        if chunk in present:
+            _rename(spark, f"{path}/{chunk}", old)
+        _rename(spark, f"{fresh}/{chunk}", f"{path}/{chunk}")
+        if chunk in present:
+            delete_path(spark, old)
+    delete_path(spark, fresh)
+    spark.catalog.refreshByPath(path)
 
 
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: list[str], time: str = "date") -> list[date]:
     """Upsert into a chunked table, rewriting only the months the updates touch."""
     if time not in keys:
         raise ValueError("the key must contain the time column, which decides the chunk")
+    recover(spark, path)
     with staging(spark) as keep:
         fresh = keep(updates.withColumn(MONTH, _month(time)), "updates")
         months = sorted(r[MONTH] for r in fresh.select(MONTH).distinct().collect())
         if months:
             touched = _chunk_schema(spark, path).where(F.col(MONTH).isin(months))
-            merged = keep(upsert_rows(touched, fresh, [*keys, MONTH], sequence), "merged")
-            _replace_chunks(_by_chunk(merged, F.col(time)), path)
+            _replace_chunks(_by_chunk(upsert_rows(touched, fresh, [*keys, MONTH], sequence), F.col(time)), path)
     return months
 
 
@@ -118,12 +165,14 @@ def retained(df: DataFrame, as_of: Moment, age: str = "7 years", time: str = "da
 
 
 def _old_chunks(spark: SparkSession, path: str, as_of: Moment, age: str) -> list[date]:
-    table = _chunk_schema(spark, path).select(MONTH).distinct()
-    return sorted(r[MONTH] for r in table.where(closed_before(F.col(MONTH), as_of, age)).collect())
+    """Months that closed before `as_of - age`: the folder names, compared in one small job."""
+    months = spark.createDataFrame([(m,) for m in chunks(spark, path)], f"{MONTH} date")
+    return sorted(r[MONTH] for r in months.where(closed_before(F.col(MONTH), as_of, age)).collect())
 
 
 def retain(spark: SparkSession, path: str, as_of: Moment, age: str = "7 years") -> list[date]:
     """Drop chunks that lie wholly before `as_of - age`; returns their months."""
+    recover(spark, path)
     old = _old_chunks(spark, path, as_of, age)
     for month in old:
         delete_path(spark, f"{path}/{MONTH}={month.isoformat()}")
@@ -132,18 +181,18 @@ def retain(spark: SparkSession, path: str, as_of: Moment, age: str = "7 years")
 
 
 def compact(
-    spark: SparkSession, path: str, as_of: Moment, age: str = "3 months", time: str = "date", done: list[date] = ()
+    spark: SparkSession, path: str, as_of: Moment, age: str = "3 months", time: str = "date", done: list[date] = (), log: str | None = None
 ) -> list[date]:
     """Rewrite chunks older than `age` with newest rows first, in few zstd files; returns their months.
 
-    `done` are months compacted before (see `maintenance_log`); they are left alone.
+    Months compacted before are left alone: those in `done`, and those that `log` has (see `logged`).
     """
-    months = [m for m in _old_chunks(spark, path, as_of, age) if m not in set(done)]
+    recover(spark, path)
+    before = {*done, *(compacted_months(spark, log, path) if log else ())}
+    months = [m for m in _old_chunks(spark, path, as_of, age) if m not in before]
     if months:
-        with staging(spark) as keep:
-            rows = keep(_chunk_schema(spark, path).where(F.col(MONTH).isin(months)), "compacted")
-            _replace_chunks(_by_chunk(rows, F.desc(time)), path)
-        spark.catalog.refreshByPath(path)
+        rows = _chunk_schema(spark, path).where(F.col(MONTH).isin(months))
+        _replace_chunks(_by_chunk(rows, F.desc(time)), path)
     return months
 
 
@@ -184,6 +233,9 @@ def maintenance_log(spark: SparkSession, log: str) -> DataFrame:
 
 
 def compacted_months(spark: SparkSession, log: str, path: str) -> list[date]:
-    """Months the log says are compacted already."""
+    """Months the log says are compacted already; none while there is no log."""
+    system, target = _files(spark, log)
+    if not system.exists(target):
+        return []
     runs = spark.read.schema(LOG).parquet(log).where((F.col("job") == "compact") & (F.col("table") == path))
     return sorted(r.m for r in runs.select(F.explode("months").alias("m")).distinct().collect())

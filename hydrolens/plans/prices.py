@@ -326,7 +326,7 @@ def price_drop_alert(stock: DataFrame, as_of: Moment = None, limit_pct: float =
     day = _yesterday(as_of)
     rows = with_lookback(stock.select("date", "close"), "date", day, day, 1)
     return (
-        ordered_window(rows, ["date"], {"prev_close": lambda w: F.lag("close").over(w)}, lookback=1)
+        rows.withColumn("prev_close", F.lag("close").over(Window.orderBy("date")))  # over two rows
         .where(F.col("date") == day)
         .select("date", "close", _change_pct().alias("daily_change_pct"))
         .where(F.col("daily_change_pct") < limit_pct)
@@ -337,10 +337,9 @@ def high_volume_alert(stock: DataFrame, as_of: Moment = None, factor: float = 2)
     """Yesterday's volume, when above `factor` times the mean of the 29 rows before."""
     day = _yesterday(as_of)
     rows = with_lookback(stock.select("date", "volume"), "date", day, day, 29)
+    before = Window.orderBy("date").rowsBetween(-29, -1)  # over thirty rows
     return (
-        ordered_window(
-            rows, ["date"], {"avg_volume_30d": lambda w: F.avg("volume").over(w.rowsBetween(-29, -1))}, lookback=29
-        )
+        rows.withColumn("avg_volume_30d", F.avg("volume").over(before))
         .where((F.col("date") == day) & (F.col("volume") > F.col("avg_volume_30d") * factor))
         .select("date", "volume", "avg_volume_30d")
     )

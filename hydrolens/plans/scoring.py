@@ -111,10 +111,10 @@ def split_counts(rows: int, train: float = 0.7, validation: float = 0.16, test:
 def split_dataset(df: DataFrame, key: str, seed: int = 42, **ratios: float) -> DataFrame:
     """Add `part`: train, validation or test, with exact sizes and a repeatable membership.
 
-    Rows are ordered by a hash of key and seed; the position in that order decides. `key` is unique.
+    Rows are ordered by the MD5 of key and seed; the position in that order decides. `key` is unique.
     """
     # Only the key is ordered and shuffled; wide rows get their part by a join on it.
-    keys = df.select(key).withColumn("_hash", F.xxhash64(key, F.lit(seed)))
+    keys = df.select(key).withColumn("_hash", F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))))
     sizes = split_counts(keys.count(), **ratios)
     at = dense_index(keys, ["_hash", key], "_at")
     first, second = sizes["train"], sizes["train"] + sizes["validation"]
@@ -156,6 +156,20 @@ def write_report(results: DataFrame, path: str) -> None:
     entries.orderBy(F.asc_nulls_first("image")).select("text").write.mode("overwrite").text(f"{path}/report")
 
 
+# Fixed order in which a folder's files are taken; a later file replaces the results of an earlier one.
+FOLDER_ORDER = ["jpg", "JPG", "jpeg", "JPEG", "png", "PNG", "bmp", "BMP", "tiff", "TIFF"]
+
+
+def _last_of_each_base(scored: DataFrame) -> DataFrame:
+    """One row per base name. Names are compared alone, and pixels only move where a name occurs twice."""
+    place = F.array_position(F.array(*[F.lit(t) for t in FOLDER_ORDER]), F.substring_index("path", ".", -1))
+    names = scored.select("base", "path", place.alias("_place")).groupBy("base")
+    last = names.agg(F.count("*").alias("_n"), F.max_by("path", F.struct("_place", "path")).alias("_last")).where("_n > 1")
+    if not last.limit(1).count():
+        return scored
+    return scored.join(last, "base", "left").where("_last IS NULL OR path = _last").drop("_n", "_last")
+
+
 def score_folder(
     spark: SparkSession,
     folder: str,
@@ -167,8 +181,9 @@ def score_folder(
 ) -> DataFrame:
     """Batch scoring: pictures and a report for every readable image of a folder.
 
-    Results are brought back to each image's own size before the statistics. Truth, where a mask of
-    the same base name exists, adds Dice and IoU. Pictures go to `output`, the report below
+    Results are brought back to each image's own size before the statistics. Of images with one base
+    name the last by extension counts (FOLDER_ORDER). Truth, where a mask of the same base name
+    exists, adds Dice and IoU. Pictures go to `output`, the report below
     `output`/summary. Returns the per-image results.
     """
     height, width = size
@@ -181,7 +196,7 @@ def score_folder(
         back = back.withColumn("truth_mask", F.lit(None).cast("array<tinyint>"))
     with staging(spark) as keep:
         # The model runs once; pictures and metrics both read the stored result.
-        ready = keep(prediction_stats(back), "scored")
+        ready = _last_of_each_base(keep(prediction_stats(back), "scored"))
         write_objects(result_pictures(ready), output)
         results = evaluate_images(ready).select(
             F.col("base").alias("image"), "water_coverage", "avg_confidence", "dice_score", "iou_score", "has_ground_truth"

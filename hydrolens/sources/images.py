@@ -60,15 +60,11 @@ def attach_truth(images: DataFrame, masks: DataFrame) -> DataFrame:
     """Left join of images (with `base`) to their truth mask.
 
     Several masks may share a base name; the first extension in png, jpg, jpeg, bmp, tiff whose
-    file decodes is used. `masks` has path, base and image, like `read_images`.
+    file decodes is used. `masks` has path, base and image, like `read_images`. Which one that is comes
+    from paths and sizes alone; of the pixels only those of the chosen masks go on.
     """
-    kind = F.array_position(F.array(*[F.lit(t) for t in UPLOAD_TYPES_BY_PREFERENCE]), F.substring_index("path", ".", -1))
-    usable = masks.withColumn("_rank", kind).where((F.col("image.height") > 0) & (F.col("_rank") > 0))
-    chosen = usable.groupBy("base").agg(F.min_by(F.struct("path", "image"), F.struct("_rank", "path")).alias("_m"))
-    return images.join(chosen, "base", "left").select(
-        *images.columns, F.col("_m.path").alias("truth_path"), F.col("_m.image").alias("truth")
-    )
-
-
-# Fixed order in which a mask file is looked for.
-UPLOAD_TYPES_BY_PREFERENCE = ["png", "jpg", "jpeg", "bmp", "tiff"]
+    kind = F.array_position(F.array(*[F.lit(t) for t in UPLOAD_TYPES]), F.substring_index("path", ".", -1))
+    usable = masks.select("base", "path", F.col("image.height").alias("_height"), kind.alias("_rank")).where("_height > 0 AND _rank > 0")
+    chosen = usable.groupBy("base").agg(F.min_by("path", F.struct("_rank", "path")).alias("path"))
+    truth = masks.join(chosen, ["base", "path"], "left_semi").select("base", F.col("path").alias("truth_path"), F.col("image").alias("truth"))
+    return images.join(truth, "base", "left").select(*images.columns, "truth_path", "truth")

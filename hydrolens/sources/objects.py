@@ -73,12 +73,12 @@ def open_root(root: str):
     return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", root))
 
 
-def _spread(keys: DataFrame, key: str) -> DataFrame:
+def _spread(keys: DataFrame, key: str, extra: Iterable[str] = ()) -> DataFrame:
     """Distinct keys over a fixed number of tasks.
 
     Keys are small and the work behind each is not, so the number is not left to sizes.
     """
-    distinct = keys.select(F.col(key).alias("key")).where("key IS NOT NULL").distinct()
+    distinct = keys.select(F.col(key).alias("key"), *extra).where("key IS NOT NULL").distinct()
     return distinct.repartition(4 * parallelism(keys.sparkSession), "key")
 
 
@@ -90,27 +90,31 @@ def _in_parallel(work: Callable, items: Iterable) -> Iterator[list]:
             yield list(pool.map(work, some))
 
 
-def fetch_objects(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
+def fetch_objects(keys: DataFrame, root: str, key: str = "key", carry: str | None = None) -> DataFrame:
     """(key, content, error) once per distinct key; a missing object has an error and no content.
 
-    Each task opens just its own keys, so nothing is listed and no bytes pass the driver.
+    Each task opens just its own keys, so nothing is listed and no bytes pass the driver. A number
+    named `carry`, one per key, goes along.
     """
     root = qualified_root(keys.sparkSession, root)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = open_root(root)
 
-        def one(name: str) -> tuple:
+        def one(row: tuple) -> tuple:
             try:
-                with store.open_input_stream(f"{base}/{name}") as source:
-                    return name, source.read(), None
+                with store.open_input_stream(f"{base}/{row[0]}") as source:
+                    return row[0], source.read(), None, *row[1:]
             except OSError as problem:
-                return name, None, type(problem).__name__
+                return row[0], None, type(problem).__name__, *row[1:]
 
-        for rows in _in_parallel(one, (name for batch in batches for name in batch["key"])):
-            yield pd.DataFrame(rows, columns=["key", "content", "error"])
+        rows = (row for batch in batches for row in batch.itertuples(index=False, name=None))
+        for some in _in_parallel(one, rows):
+            yield pd.DataFrame(some, columns=["key", "content", "error", *extra])
 
-    return _spread(keys, key).mapInPandas(read, "key string, content binary, error string")
+    extra = [carry] if carry else []
+    shape = "key string, content binary, error string" + "".join(f", {c} bigint" for c in extra)
+    return _spread(keys, key, extra).mapInPandas(read, shape)
 
 
 def existing_objects(keys: DataFrame, root: str, key: str = "key") -> DataFrame:

@@ -89,7 +89,7 @@ def test_objects(spark, tmp_path):
 
 def test_listing_reads_no_contents(spark, folder):
     text = ob.list_objects(spark, folder)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in text
+    assert "ReadSchema: struct<key:string,size:bigint,last_modified:timestamp,folder:boolean>" in text and "content" not in text
 
 
 def test_resize_matches_direct_interpolation():

@@ -142,3 +142,35 @@ def test_append_and_read_back(spark, tmp_path, prices):
     append_rows(prices.limit(1), path)
     append_rows(prices.limit(5), path)
     assert read_table(spark, path).count() == 6 and read_table(spark, path).schema == prices.schema
+
+
+@pytest.mark.parametrize("step", ["_rename", "delete_path"])
+@pytest.mark.parametrize("fails_at", [1, 2, 3, 4])
+def test_a_run_that_ends_early_can_be_repeated(spark, table, prices, monkeypatch, step, fails_at):
+    real, calls = getattr(mt, step), []
+
+    def dying(*args):
+        calls.append(args)
+        if len(calls) == fails_at:
+            raise RuntimeError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(mt, step, dying)
+    with pytest.raises(RuntimeError):
+        mt.compact(spark, table, TODAY)
+    monkeypatch.undo()
+    again = mt.compact(spark, table, TODAY)
+    assert len(again) > 50 and rows(mt.read_chunked(spark, table)) == rows(prices)
+    assert not [name for name in os.listdir(table) if name.startswith(("_incoming", "_outgoing"))]
+
+
+def test_months_come_from_folder_names(spark, table):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    assert len(mt.chunks(spark, table)) > 50
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_the_log_says_what_is_done(spark, table, tmp_path):
+    log = str(tmp_path / "log")
+    first = mt.logged(spark, log, "compact", table, TODAY, lambda: mt.compact(spark, table, TODAY, log=log))
+    assert len(first) > 50 and mt.compact(spark, table, TODAY, log=log) == []
