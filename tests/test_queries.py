@@ -31,3 +31,20 @@ def test_runs(spark, name):
 
 def test_oracle_names_are_queries():
     assert set(catalog.oracle()) <= set(catalog.queries())
+
+
+def test_workers_get_the_package_anywhere(tmp_path):
+    """From another working directory, without any path set, functions of the package run on the workers."""
+    import subprocess
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as e
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+print("rows", e.queries()["prediction_statistics"](spark, {FOLDER!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"SPARK_LOCAL_IP": "127.0.0.1"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 500" in done.stdout, done.stderr[-2000:]
