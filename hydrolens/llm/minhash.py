@@ -36,7 +36,7 @@ WORDS = 5
 PLACES = 1 << 20
 BANDS, ROWS = 24, 4
 PERCENT = 85
-SMALL = 1_000_000  # classes, 32 MB, that may be broadcast
+SMALL = 200_000  # classes, about 46 MB as a hash table, that may be broadcast
 REP = "struct<doc_id: bigint, digest: binary>"  # a class of equal sets: its smallest id and its digest
 ADDED = ("n_shingles", "component_id", "kept")
 
