@@ -79,8 +79,9 @@ def test_range_is_closed_and_since_is_strict(spark):
 def test_reports_on_an_empty_range(spark):
     df = preds(spark, [("2024-01-01T00:00:00", 1.0, 0.5)])
     never = ("2030-01-01", "2030-01-02")
-    for report in (m.coverage_series, m.uptime, m.uptime_filled, m.change_rate, m.outliers, m.alert_mode, m.high_water, m.correlation_series):
+    for report in (m.coverage_series, m.uptime, m.change_rate, m.outliers, m.alert_mode, m.high_water, m.correlation_series):
         assert report(df, never).count() == 0
+    assert {r.system_status for r in m.uptime_filled(df, never).collect()} == {0}  # the outage itself is shown
 
 
 def test_one_row_and_constant_buckets(spark):
