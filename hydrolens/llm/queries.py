@@ -73,7 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle() -> dict[str, str]:
-    return {"op3_pfair_mixing": MIXING, "op5_line_runs": LINE_RUNS}
+    return {"op3_pfair_mixing": MIXING, "op5_line_runs": LINE_RUNS, "op6_cover_tree": LINKS, "op7_circulant_minhash": NEAR}
 
 
 MIXING = f"""
@@ -142,3 +142,31 @@ SELECT c.doc_id, CAST(coalesce(len(l), 0) AS INTEGER) AS lines, CAST(coalesce(le
        CASE WHEN text IS NULL THEN NULL WHEN coalesce(words, 0) = 0 AND len(l) > coalesce(kept_lines, 0) THEN sha256('') ELSE sha256(rest) END AS text_sha256
 FROM cut c LEFT JOIN kept k USING (doc_id)
 """
+
+LINKS = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+valid AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND list_bool_and(list_transform(e, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(e, lambda x: x <> 0))),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= {embeddings.LEAST}),
+reach(node, seen) AS (SELECT vec_id, vec_id FROM v UNION SELECT node, b FROM reach JOIN links ON seen = a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT node AS vec_id, coalesce(any_value(n), 0) AS n_links, min(seen) AS component_id, node = min(seen) AS kept
+FROM reach LEFT JOIN counted ON vec_id = node GROUP BY node
+"""
+
+NEAR = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i + 1 : i + 5], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(greatest(least(len(w), 1), len(w) - 4))) AS i FROM worded)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= {minhash.PERCENT} * (p.n + q.n - c)),
+reach(node, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT node, b FROM reach JOIN links ON seen = a)
+SELECT node AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(seen) AS component_id, node = min(seen) AS kept
+FROM reach LEFT JOIN sizes ON sizes.doc_id = node GROUP BY node
+"""
