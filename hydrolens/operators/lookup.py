@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-HOT_KEYS = 50
+HOT_KEYS = 1000
 HOT_ROWS = 1_000_000
 IP_BLOCK = 65536
 
@@ -15,7 +15,7 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "left", h
     The most frequent left keys are found first: at most HOT_KEYS of them, each with `hot_rows`
     rows or more. Their right rows, one per key, are broadcast and their left rows never shuffle.
     Every other key holds less than 1/HOT_KEYS of the rows, or less than `hot_rows`, and takes the
-    ordinary join. Rows without a key cannot match and stay in place too.
+    ordinary join, where adaptive execution splits what still is skewed. Rows without a key cannot match and stay in place too.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"not a lookup join: {how}")

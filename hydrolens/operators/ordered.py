@@ -26,6 +26,7 @@ MAX_BLOCKS = 16384
 MIN_CELLS = 4096
 MIN_SLICE_ROWS = 64
 SAMPLES_PER_SLICE = 20
+MOST_SAMPLES = 200_000  # keys that may meet in one task; fewer for each slice only make the slices less even
 _JSON = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -79,7 +80,8 @@ def _position(df: DataFrame, name: str) -> Column | None:
 
 def _boundaries(keys: DataFrame, rows: int, slices: int) -> tuple[Column, int]:
     """Sampled slice boundaries as a constant array; at most a few per slice reach the driver."""
-    wanted = slices * SAMPLES_PER_SLICE
+    slices = min(slices, MOST_SAMPLES // 2)
+    wanted = min(slices * SAMPLES_PER_SLICE, MOST_SAMPLES)
     sample = keys if rows <= wanted else keys.sample(wanted / rows, seed=17)
     step = max(1, min(rows, wanted) // slices)
     picked = F.filter(F.sort_array(F.collect_list("key")), lambda _, i: i % step == step - 1)
