@@ -17,6 +17,7 @@ import json
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import regex
@@ -27,7 +28,9 @@ from hydrolens.llm.common import map_rows
 # Fixed value: how the vocabulary's publisher cuts text into words.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SHORT = 96
-NONE = 1 << 60
+BITS = 32
+MASK = (1 << BITS) - 1
+NONE = 1 << 62
 
 
 def byte_letters() -> dict[str, int]:
@@ -40,7 +43,7 @@ def byte_letters() -> dict[str, int]:
 class Vocabulary:
     """Token bytes by id, merge ranks by pair of ids, and special strings, from one tokenizer file."""
 
-    def __init__(self, path: str, remembered: int = 300_000):
+    def __init__(self, path: str, remembered: int = 200_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         letters, ids = byte_letters(), spec["model"]["vocab"]
@@ -51,10 +54,10 @@ class Vocabulary:
         self.single = [0] * 256
         for letter, byte in letters.items():
             self.single[byte] = ids[letter]
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[tuple[int, int], int] = {}  # the rank, and in the low bits the id that the pair becomes
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.ranks[ids[left], ids[right]] = (rank, ids[left + right])
+            self.ranks[ids[left], ids[right]] = rank << BITS | ids[left + right]
         self.words = regex.compile(WORDS)
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -66,40 +69,39 @@ class Vocabulary:
 
     def merge_short(self, parts: list[int]) -> list[int]:
         """Contiguous arrays: `parts[i]` begins at boundary i, `ranks[i]` is the rank of parts i and i + 1."""
-        look, nothing = self.ranks.get, (NONE, -1)
-        found = [look(pair, nothing) for pair in zip(parts, parts[1:])]
-        ranks, made = [f[0] for f in found], [f[1] for f in found]
+        look = self.ranks.get
+        ranks = [look(pair, NONE) for pair in zip(parts, parts[1:])]
         while ranks:
             least = min(ranks)
             if least == NONE:
                 break
             i = ranks.index(least)
-            parts[i] = made[i]
-            del parts[i + 1], ranks[i], made[i]
+            parts[i] = joined = least & MASK
+            del parts[i + 1], ranks[i]
             if i:
-                ranks[i - 1], made[i - 1] = look((parts[i - 1], parts[i]), nothing)
+                ranks[i - 1] = look((parts[i - 1], joined), NONE)
             if i < len(ranks):
-                ranks[i], made[i] = look((parts[i], parts[i + 1]), nothing)
+                ranks[i] = look((joined, parts[i + 1]), NONE)
         return parts
 
     def merge_long(self, parts: list[int]) -> list[int]:
         """The same merges in the same order, the smallest rank from a heap and parts in a linked list."""
         size, look = len(parts), self.ranks.get
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        heap = [(found[0], i, parts[i], parts[i + 1], found[1]) for i in range(size - 1) if (found := look((parts[i], parts[i + 1])))]
+        heap = [(found, i, parts[i], parts[i + 1]) for i in range(size - 1) if (found := look((parts[i], parts[i + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, left, right, joined = heapq.heappop(heap)
-            j = after[i]
+            found, i, left, right = heapq.heappop(heap)
+            j, joined = after[i], found & MASK
             if parts[i] != left or j >= size or parts[j] != right:
                 continue
             parts[i], parts[j], after[i] = joined, -1, after[j]
             if after[i] < size:
                 before[after[i]] = i
-                if found := look((joined, parts[after[i]])):
-                    heapq.heappush(heap, (found[0], i, joined, parts[after[i]], found[1]))
-            if before[i] >= 0 and (found := look((parts[before[i]], joined))):
-                heapq.heappush(heap, (found[0], before[i], parts[before[i]], joined, found[1]))
+                if (found := look((joined, parts[after[i]]))) is not None:
+                    heapq.heappush(heap, (found, i, joined, parts[after[i]]))
+            if before[i] >= 0 and (found := look((parts[before[i]], joined))) is not None:
+                heapq.heappush(heap, (found, before[i], parts[before[i]], joined))
         return [p for p in parts if p >= 0]
 
     def encode(self, text: str) -> bytes:
@@ -119,7 +121,7 @@ class Vocabulary:
 
 
 class _Memory(dict):
-    """Encoded words that were met before, at most about `size` of them between two texts."""
+    """Encoded words that were met before, at most `size` of them between two texts: the older half goes when they are more."""
 
     def __init__(self, owner: Vocabulary, size: int):
         self.owner, self.size = owner, size
@@ -132,7 +134,8 @@ class _Memory(dict):
 
     def trim(self) -> None:
         if len(self) > self.size:
-            self.clear()
+            for word in list(islice(self, len(self) - self.size // 2)):
+                del self[word]
 
 
 @lru_cache(maxsize=2)

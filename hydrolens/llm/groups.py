@@ -2,7 +2,7 @@
 
 Every round hands each node the smallest label among its neighbours and its own, first from larger to smaller nodes and
 then back, until no link changes (the alternating large-star and small-star steps). Rounds are written to the shared
-folder; only the number of changed links reaches the driver. A node with very many links is aggregated before it is
+folder; only a count and two sums reach the driver. A node with very many links is aggregated before it is
 exchanged and its links are split by the adaptive join.
 """
 
@@ -19,19 +19,19 @@ def components(links: DataFrame) -> DataFrame:
     """`node` and `component` (smallest node reachable) for every node of `links` (columns `a`, `b`, not null)."""
     pairs = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = stage(pairs, "links")
-    print_before = _print(pairs)
-    while print_before[0]:
+    before = _state(pairs)
+    while before[0]:
         pairs = stage(_small_star(_large_star(pairs)), "links")
-        print_after = _print(pairs)
-        if print_after == print_before:
+        after = _state(pairs)
+        if after == before:
             break
-        print_before = print_after
+        before = after
     members = pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return members.unionByName(roots)
 
 
-def _print(pairs: DataFrame) -> tuple:
+def _state(pairs: DataFrame) -> tuple:
     """Number and two sums over hashes of the links, which tell one set of links from another."""
     each = [F.sum(F.xxhash64("a", "b", F.lit(i)).cast("decimal(38,0)")) for i in (0, 1)]
     return tuple(pairs.agg(F.count(F.lit(1)), *each).first())

@@ -4,8 +4,9 @@ A text is lower-cased (A-Z only) and cut into words at ASCII white space; its se
 (the whole sequence if there are fewer), as 64-bit hashes. Two fixed permutations of 2^20 places make the whole
 signature: the first scatters the set, the second gives the ranks, and coordinate k takes the smallest rank after
 shifting the second permutation circularly by k. Signatures are cut into bands; documents that agree in a band are
-candidates, and a candidate pair is linked if 100 * |intersection| >= 85 * |union| of the full sets. With 24 bands of
-four coordinates a pair at the threshold shares no band with probability (1 - 0.85^4)^24 = 2 * 10^-8.
+candidates, and a candidate pair is linked if 100 * |intersection| >= percent * |union| of the full sets (85 unless given
+otherwise). With 24 bands of four coordinates a pair with similarity 0.85 shares no band with probability
+(1 - 0.85^4)^24 = 2 * 10^-8, one with 0.8 with 3 * 10^-6.
 
 Equal sets are joined first, so copies stand as one. A bucket never makes all its pairs: its members are compared with
 one lead, and links merge groups. Two members that are not linked through their lead can only be linked if what they
@@ -42,11 +43,11 @@ ADDED = ("n_shingles", "component_id", "kept")
 
 
 class _WordHashes(dict):
-    """64-bit hashes of words, remembering about 200,000 words."""
+    """64-bit hashes of words, remembering about 120,000 words."""
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh64_intdigest(word)
-        if len(self) < 200_000:
+        if len(self) < 120_000:
             self[word] = value
         return value
 
@@ -132,12 +133,12 @@ def _digest(members: np.ndarray) -> bytes | None:
     return hashlib.blake2b(members.tobytes(), digest_size=16).digest() if len(members) else None
 
 
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The distinct pairs (`a`, `b`) with both sets (`one`, `two`), `common` and `linked`."""
     one = sets.select(F.col("rep").alias("a"), F.col("members").alias("one"))
     two = sets.select(F.col("rep").alias("b"), F.col("members").alias("two"))
     both = pairs.join(one, "a").join(two, "b").withColumn("common", F.expr("size(array_intersect(one, two))"))
-    return both.withColumn("linked", F.expr(f"100 * common >= {PERCENT} * (size(one) + size(two) - common)"))
+    return both.withColumn("linked", F.expr(f"100 * common >= {percent} * (size(one) + size(two) - common)"))
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -155,13 +156,13 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return met.join(leads, "key").select("rep", "n", "lead", "m").where("rep <> lead").distinct()
 
 
-def _rest(apart: DataFrame, groups: DataFrame) -> DataFrame:
+def _rest(apart: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs (`a`, `b`) of different groups under one lead that may still be linked.
 
     `apart` has the members compared with each lead: `lead`, `rep`, sizes `m` and `n`, whether they are `linked`, and `d`,
     the members of one of both sets only. For two members x and y the difference of their sets is that of their d, so
-    a link leaves at most 3/37 (|x| + |y|) of it, and needs
-    (|d(x)| + |d(y)| - 3/37 (|x| + |y|)) / 2 common members of d(x) and d(y): at least one, if x is not linked with the
+    a link leaves at most g (|x| + |y|) of it, where g = (100 - percent) / (100 + percent), and needs
+    (|d(x)| + |d(y)| - g (|x| + |y|)) / 2 common members of d(x) and d(y): at least one, if x is not linked with the
     lead. So the rarest members of d(x) and d(y), as many as exceed that need and one, have one in common. They are
     matched by classes of |d|, for which the need is known from both sides; members that no other d has match nothing.
     """
@@ -176,21 +177,22 @@ def _rest(apart: DataFrame, groups: DataFrame) -> DataFrame:
     total = F.count(F.lit(1)).over(Window.partitionBy("lead", "rep"))
     each = each.select("lead", "rep", "member", rank.alias("rank"), total.alias("total"))
     each = each.join(rows.drop("d"), ["lead", "rep"]).withColumn("rank", F.expr("size - total + rank"))
-    reach = "(3 / 37D) * n * (1 + 100D / 85)"
+    gap = f"({100 - percent} / {100 + percent}D)"
+    reach = f"{gap} * n * (1 + 100D / {percent})"
     other = F.expr(f"explode(sequence(cast(greatest(0, floor((size - {reach}) / wide)) AS int), cast(floor((size + {reach}) / wide) AS int))) AS other")
     each = each.select("*", other)
-    most = "least(n * 100D / 85, m + (other + 1) * wide - 1)"  # how large the other set can be
-    need = f"greatest(1, ceil((size + other * wide - (3 / 37D) * (n + {most})) / 2 - 1e-6))"
+    most = f"least(n * 100D / {percent}, m + (other + 1) * wide - 1)"  # how large the other set can be
+    need = f"greatest(1, ceil((size + other * wide - {gap} * (n + {most})) / 2 - 1e-6))"
     each = stage(each.where(f"rank <= size - {need} + 1").select("lead", "member", "own", "other", "rep", "n", "size", "rank", "component", "linked"), "apart-members")
     left = each.where("NOT linked").select("lead", "member", "own", "other", *[F.col(c).alias(f"{c}1") for c in ("rep", "n", "size", "rank", "component")])
     right = each.select("lead", "member", F.col("own").alias("other"), F.col("other").alias("own"), *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "size", "rank", "component")])
-    need = "greatest(1, ceil((size1 + size2 - (3 / 37D) * (n1 + n2)) / 2 - 1e-6))"
+    need = f"greatest(1, ceil((size1 + size2 - {gap} * (n1 + n2)) / 2 - 1e-6))"
     met = left.join(right, ["lead", "member", "own", "other"]).where(f"component1 <> component2 AND rank1 <= size1 - {need} + 1 AND rank2 <= size2 - {need} + 1")
-    met = met.where(f"100 * least(n1, n2) >= {PERCENT} * greatest(n1, n2)")
+    met = met.where(f"100 * least(n1, n2) >= {percent} * greatest(n1, n2)")
     return met.select(F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct()
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
+def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """`doc_id`, `n_shingles` and `component_id` for each row of `docs` (`doc_id` bigint, `text`)."""
     signed = stage(signed_documents(docs), "minhash")
     named = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
@@ -200,15 +202,15 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     tests = stage(_buckets(classes), "lead-pairs")
     sets = stage(_sets(docs, tests.select("rep").union(tests.select("lead")).distinct()), "shingle-sets")
-    compared = _alike(tests.select(F.col("rep").alias("a"), F.col("lead").alias("b"), "n", "m"), sets)
+    compared = _alike(tests.select(F.col("rep").alias("a"), F.col("lead").alias("b"), "n", "m"), sets, percent)
     difference = F.expr("concat(array_except(one, two), array_except(two, one))").alias("d")
     apart = stage(compared.select(F.col("a").alias("rep"), F.col("b").alias("lead"), "n", "m", "linked", difference), "compared")
     links = shared_ids.unionByName(apart.where("linked").select(F.col("rep").alias("a"), F.col("lead").alias("b")))
     groups = stage(components(links), "near-groups")
 
-    rest = stage(_rest(apart, groups), "rest-pairs")
+    rest = stage(_rest(apart, groups, percent), "rest-pairs")
     if rest.limit(1).count():
-        more = stage(_alike(rest, sets).where("linked").select("a", "b"), "near-links")
+        more = stage(_alike(rest, sets, percent).where("linked").select("a", "b"), "near-links")
         if more.limit(1).count():
             roots = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
             groups = components(more.unionByName(roots))
@@ -217,9 +219,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def with_groups(docs: DataFrame) -> DataFrame:
+def with_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """`docs` with `component_id` and `kept`: whether the row's id is the smallest of its group (rows without id stay)."""
-    near = near_groups(docs).select(F.col("doc_id").alias("__id"), "component_id").where("__id <> component_id").distinct()
+    near = near_groups(docs, percent).select(F.col("doc_id").alias("__id"), "component_id").where("__id <> component_id").distinct()
     rows = docs.drop(*ADDED).join(near, F.col("doc_id") == F.col("__id"), "left").drop("__id")
     rows = rows.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -56,13 +56,13 @@ def groups(ids, linked):
     return {i: root(i) for i in ids}
 
 
-def near_duplicates(docs):
+def near_duplicates(docs, percent=85):
     """doc_id -> component over all pairs; docs as doc_id -> text."""
     sets = {i: shingle_set(t) for i, t in docs.items()}
 
     def linked(a, b):
         common = len(sets[a] & sets[b])
-        return bool(sets[a] and sets[b]) and 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common)
+        return bool(sets[a] and sets[b]) and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common)
 
     return groups(sorted(docs), linked)
 

@@ -236,12 +236,12 @@ def near_copies(seed, families=12):
     return made
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_near_duplicates_equal_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,percent", [(1, 85), (2, 80), (3, 85), (4, 60)])
+def test_near_duplicates_equal_brute_force(spark, seed, percent):
     docs = near_copies(seed)
     df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs.items()], DOCS)
-    rows = minhash.near_groups(df).collect()
-    assert {r.doc_id: r.component_id for r in rows} == brute.near_duplicates(docs)
+    rows = minhash.near_groups(df, percent).collect()
+    assert {r.doc_id: r.component_id for r in rows} == brute.near_duplicates(docs, percent)
     assert {r.doc_id: r.n_shingles for r in rows} == {i: len(brute.shingle_set(t)) for i, t in docs.items()}
 
 

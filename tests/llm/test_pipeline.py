@@ -47,7 +47,7 @@ def test_pipeline_equals_a_plain_version(spark):
     kept = [i for i in sorted(rows) if model.score(np.array([quality.statistics(rows[i].text)]))[0] >= corpus_pipeline.LEAST_SCORE]
     cut = brute.line_dedup([(i, rows[i].text) for i in kept], 50)
     cut = {i: text for i, (text, _, emptied) in cut.items() if not emptied}
-    texts = {i: cut[i] for i, c in brute.near_duplicates(cut).items() if i == c}
+    texts = {i: cut[i] for i, c in brute.near_duplicates(cut, corpus_pipeline.LEAST_PERCENT).items() if i == c}
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, SMALL).collect()}
     assert sorted(got) == sorted(texts)
     for i, text in texts.items():
