@@ -123,6 +123,9 @@ def split_dataset(df: DataFrame, key: str, seed: int = 42, **ratios: float) -> D
     return parts if df.columns == [key] else df.join(parts, key)
 
 
+# The wording of the report's lines below, which other programs read.
+
+
 def report_rows(results: DataFrame) -> DataFrame:
     """One text entry per image: (image, text)."""
     lines = [

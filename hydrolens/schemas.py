@@ -4,18 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-PRICE = T.DecimalType(20, 8)
-
-STOCK = T.StructType(
-    [
-        T.StructField("date", T.DateType(), False),
-        T.StructField("close", PRICE, False),
-        T.StructField("high", PRICE, False),
-        T.StructField("low", PRICE, False),
-        T.StructField("open", PRICE, False),
-        T.StructField("volume", T.LongType(), False),
-    ]
-)
 
 # Canonical prediction row: the union of the four shapes found in use.
 PREDICTIONS = T.StructType(
@@ -52,32 +40,3 @@ MESSAGE = T.StructType(
         T.StructField("model_version", T.StringType()),
     ]
 )
-
-OBJECT_LISTING = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("size", T.LongType()),
-        T.StructField("last_modified", T.TimestampType()),
-    ]
-)
-
-GEO = T.StructType(
-    [
-        T.StructField("ip", T.StringType()),
-        T.StructField("country", T.StringType()),
-        T.StructField("region", T.StringType()),
-        T.StructField("city", T.StringType()),
-        T.StructField("lat", T.DoubleType()),
-        T.StructField("lon", T.DoubleType()),
-    ]
-)
-
-UPLOAD_LOG = T.StructType(
-    [
-        T.StructField("filename", T.StringType()),
-        T.StructField("success", T.BooleanType()),
-        T.StructField("timestamp", T.TimestampNTZType()),
-        T.StructField("file_size", T.LongType()),
-        T.StructField("error", T.StringType()),
-    ]
-)
