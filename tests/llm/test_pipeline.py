@@ -10,7 +10,7 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 import check  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from hydrolens.llm import bpe, quality, queries  # noqa: E402
+from hydrolens.llm import bpe, mixing, quality, queries  # noqa: E402
 from tests.llm import brute  # noqa: E402
 from tests.llm.test_operators import AWKWARD, DOCS, awkward, library_once  # noqa: E402
 
@@ -55,6 +55,27 @@ def test_pipeline_equals_a_plain_version(spark):
         assert got[i].decoded_sha256 == brute.sha(text) and got[i].source == rows[i].source
 
 
+def test_pipeline_returns_rows_in_the_order_of_the_mix(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files
+    try:
+        rows = corpus_pipeline.run(spark, SMALL).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    places = [(r.mix_slot, r.mix_offset) for r in rows]
+    assert places == sorted(places) and len({r.source for r in rows}) > 1
+    sizes = {r.doc_id: len(r.text or "") for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    totals, offsets = {}, {}
+    for r in rows:
+        text = library_once().decode(r.ids, skip_special_tokens=False)
+        assert brute.sha(text) == r.decoded_sha256 and len(text) <= sizes[r.doc_id]
+        assert r.mix_offset == offsets.get(r.source, 0)  # the documents of a source follow each other
+        totals[r.source] = offsets[r.source] = r.mix_offset + len(text)
+    whole, cycle = mixing.shares(mixing.tempered({f"={s}": n for s, n in totals.items()}))
+    for r in rows:
+        share, block = whole[f"={r.source}"], r.mix_offset // mixing.BLOCK_CHARS
+        assert block * cycle // share <= r.mix_slot < -(-(block + 1) * cycle // share)
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
