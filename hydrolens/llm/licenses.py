@@ -1,24 +1,26 @@
 """License notices in texts, by Dice coefficient over word bigrams.
 
-A text is cut into lines, and every run of consecutive lines is a unit that may hold a notice. A unit and a template are
-normalised to lower-case words of letters, digits and inner dots; their likeness is the Dice coefficient of their sets
-of word bigrams. Units at or above `LEAST` match.
+A unit is any run of words, wherever its lines begin and end; a run of whole lines is the special case that `Scanner.scan`
+looks at alone. A unit and a template are normalised to lower-case words of letters, digits and inner dots; their likeness
+is the Dice coefficient of their sets of word bigrams. Units at or above `LEAST` match.
 
 Size bounds prune: with a template of b bigrams a unit needs from b * LEAST / (2 - LEAST) to b * (2 - LEAST) / LEAST of
-them, and since dropping a line that shares no bigram (in itself or with the line next to it) can only raise the likeness,
-a run starts and ends with a line that shares one with the template.
-Of overlapping matches the best stays (by likeness, then the longer, then the earlier, then the template's name).
+them, and since dropping a bigram at an end that the template lacks never lowers the likeness, a unit starts and ends with
+a bigram of the template. Of overlapping matches the best stays (by likeness, then the longer, then the earlier, then the
+template's name).
 
-Edge cases: null and empty texts match nothing; a unit or template of one word has that word as its only bigram; a text
-without line breaks is one line, whatever its length; repeated rows match alike; an empty table gives an empty table.
+Edge cases: null and empty texts match nothing; a unit or template of one word has that word as its only bigram; matches
+are given by the lines they touch, so two on one line have the same lines; repeated rows match alike; an empty table gives an empty table.
 Other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame
 
@@ -110,7 +112,7 @@ def templates(listed: tuple[tuple[str, str], ...] = TEMPLATES, least: float = LE
     for name, text in listed:
         own = frozenset(bigrams(words_of(text)))
         if own:
-            made.append(Template(name, own, len(own) * least / (2 - least), len(own) * (2 - least) / least))
+            made.append(Template(name, own, len(own) * least / (2 - least) - 1e-9, len(own) * (2 - least) / least + 1e-9))
     return made
 
 
@@ -123,11 +125,12 @@ class Scanner:
         for number, template in enumerate(self.templates):
             for pair in template.bigrams:
                 self.by_bigram.setdefault(pair, []).append(number)
+        self.has_single = any(len(pair) == 1 for pair in self.by_bigram)
         used = {re.escape(word) for pair in self.by_bigram for word in pair}
         self.hint = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted(used, key=len, reverse=True)) + r")(?![a-z0-9])")
 
     def scan(self, text: str | None) -> list[tuple[str, int, int, float]]:
-        """Matches as (name, first line, line after the last, likeness), in order of place."""
+        """Matches of runs of whole lines as (name, first line, line after the last, likeness), in order of place."""
         lines = (text or "").split("\n")
         words: dict[int, list[str]] = {}
         touched: dict[int, set[int]] = {}
@@ -154,6 +157,86 @@ class Scanner:
                 taken.update(range(match[1], match[2]))
         return sorted(kept, key=lambda m: m[1])
 
+    def find(self, text: str | None) -> list[tuple[str, int, int, float]]:
+        """Matches of runs of words as (name, first line, line after the last, likeness), in order of place."""
+        low = (text or "").lower()
+        words = words_of(low)
+        keys = list(zip(words, words[1:]))
+        seen: dict[int, int] = {}
+        for pair in set(keys) | ({(w,) for w in set(words)} if self.has_single else set()):
+            for number in self.by_bigram.get(pair, ()):
+                seen[number] = seen.get(number, 0) + 1
+        heap: list[tuple] = []
+        for number, distinct in seen.items():
+            template = self.templates[number]
+            if distinct < template.least:
+                continue
+            if any(len(pair) == 1 for pair in template.bigrams):
+                heap += [(-1.0, -1, i, template.name, number, i + 1) for i, w in enumerate(words) if (w,) in template.bigrams]
+                continue
+            for start in self._starts(template, keys):
+                heap += self._best(number, keys, start, len(words))
+        if not heap:
+            return []
+        heapify(heap)
+        kept: list[tuple[int, int, str, float]] = []
+        taken: list[int] = []  # first words of the units kept, in order
+        ends: dict[int, int] = {}
+        while heap:
+            minus, _, start, name, number, stop = heappop(heap)
+            at = bisect_right(taken, start)
+            if at and ends[taken[at - 1]] > start:
+                continue
+            free = taken[at] if at < len(taken) else len(words)
+            if stop > free:  # a better unit took its end: the best one that is left from here
+                for other in self._best(number, keys, start, free):
+                    heappush(heap, other)
+                continue
+            insort(taken, start)
+            ends[start] = stop
+            kept.append((start, stop, name, -minus))
+        line_of = [i for i, line in enumerate(low.split("\n")) for _ in words_of(line)]
+        return [(name, line_of[start], line_of[stop - 1] + 1, likeness) for start, stop, name, likeness in sorted(kept)]
+
+    def _starts(self, template: Template, keys: list[tuple]) -> list[int]:
+        """Places of the template's bigrams from which a unit within the size bounds can hold enough of them."""
+        own, most, least = template.bigrams, template.most, template.least
+        held: dict[tuple, int] = {}
+        hits = reach = 0
+        starts = []
+        for start, pair in enumerate(keys):
+            while reach < len(keys) and (len(held) < int(most) or keys[reach] in held):
+                held[keys[reach]] = (n := held.get(keys[reach], 0)) + 1
+                hits += not n and keys[reach] in own
+                reach += 1
+            if pair in own and hits >= least:
+                starts.append(start)
+            if held[pair] == 1:
+                del held[pair]
+                hits -= pair in own
+            else:
+                held[pair] -= 1
+        return starts
+
+    def _best(self, number: int, keys: list[tuple], start: int, free: int) -> list[tuple]:
+        """The best unit from the word `start` to before the word `free`, if it matches, as an entry of the heap."""
+        template = self.templates[number]
+        if len(next(iter(template.bigrams))) == 1:
+            return []
+        own, unit, hits, best = template.bigrams, set(), 0, None
+        for i in range(start, free - 1):
+            pair = keys[i]
+            if pair not in unit:
+                unit.add(pair)
+                if len(unit) > template.most:
+                    break
+                hits += pair in own
+            if pair in own:
+                likeness = 2 * hits / (len(unit) + len(own))
+                if likeness >= self.least and (best is None or likeness >= best[0]):
+                    best = likeness, i + 2
+        return [(-best[0], start - best[1], start, template.name, number, best[1])] if best else []
+
     def _touch(self, pairs: set, at: tuple[int, ...], touched: dict[int, set[int]]) -> None:
         """Notes the lines `at` for the templates that have one of the bigrams."""
         for pair in pairs:
@@ -185,7 +268,7 @@ def license_matches(docs: DataFrame, listed: tuple[tuple[str, str], ...] = TEMPL
     def run(rows: Iterator[dict]) -> Iterator[dict]:
         scanner = Scanner(listed, least)
         for row in rows:
-            found = scanner.scan(row["text"])
+            found = scanner.find(row["text"])
             best = min(found, key=lambda m: (-m[3], m[1], m[0]), default=None)
             yield {
                 "doc_id": row["doc_id"],

@@ -503,6 +503,46 @@ def test_licences_equal_brute_force():
         assert max((m[3] for m in found), default=0.0) == (best if best >= licenses.LEAST else 0.0)
 
 
+def test_notices_inside_lines_are_found(spark):
+    texts = {
+        1: "Copyright (c) 2024 Acme Corp. Released under the MIT License. All rights reserved.",
+        2: "Copyright 2020 Foo Inc. Licensed under the Apache License, Version 2.0.",
+        3: "words " * 50 + "Released under the MIT License. " + "more text " * 50 + "Licensed under the Apache License, Version 2.0. end",
+        4: "Some text. Released under\nthe MIT License. And more.",
+    }
+    rows = licenses.license_matches(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts.items()], DOCS)).collect()
+    assert {r.doc_id: r.matches for r in rows} == {
+        1: "MIT:0:1:1.0000", 2: "Apache-2.0:0:1:1.0000", 3: "MIT:0:1:1.0000,Apache-2.0:0:1:1.0000", 4: "MIT:0:2:1.0000",
+    }
+
+
+def test_notices_equal_brute_force_over_words():
+    pick = random.Random(21)
+    listed = [("A", "permission is granted to use the software"), ("B", "licensed under the open license version 2"), ("C", "use of the software is granted to all")]
+    scanner = licenses.Scanner(tuple(listed))
+    vocabulary = "permission is granted to use the software licensed under open license version 2 of all x y".split()
+    for _ in range(150):
+        words = pick.choices(vocabulary, k=pick.randint(0, 12))
+        for _ in range(pick.randint(0, 2)):
+            notice = pick.choice(listed)[1].split()
+            notice[pick.randrange(len(notice))] = pick.choice(["changed", "the", "use"])
+            words[(at := pick.randint(0, len(words))) : at] = notice
+        units = []
+        for name, text in listed:
+            own = licenses.bigrams(text.split())
+            for a, b in itertools.combinations(range(len(words) + 1), 2):
+                unit = licenses.bigrams(words[a:b])
+                if b - a > 1 and tuple(words[a : a + 2]) in own and tuple(words[b - 2 : b]) in own and licenses.dice(unit, own) >= licenses.LEAST:
+                    units.append((-licenses.dice(unit, own), a - b, a, name, b))
+        kept = []
+        for minus, _, a, name, b in sorted(units):
+            if all(b <= c or a >= d for c, d, *_ in kept):
+                kept.append((a, b, name, -minus))
+        text = "".join(w + pick.choice([" ", "\n"]) for w in words)
+        line = [i for i, l in enumerate(text.split("\n")) for _ in l.split()]
+        assert scanner.find(text) == [(n, line[a], line[b - 1] + 1, d) for a, b, n, d in sorted(kept)]
+
+
 def test_licences_of_awkward_tables(spark):
     rows = licenses.license_matches(awkward(spark)).collect()
     assert len(rows) == len(AWKWARD)
