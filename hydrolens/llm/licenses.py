@@ -7,7 +7,7 @@ is the Dice coefficient of their sets of word bigrams. Units at or above `LEAST`
 Size bounds prune: with a template of b bigrams a unit needs from b * LEAST / (2 - LEAST) to b * (2 - LEAST) / LEAST of
 them, and since dropping a bigram at an end that the template lacks never lowers the likeness, a unit starts and ends with
 a bigram of the template. Of overlapping matches the best stays (by likeness, then the longer, then the earlier, then the
-template's name).
+template's name); the opening that the BSD licences share (`EITHER_BSD`) yields to any match of a single licence.
 
 Edge cases: null and empty texts match nothing; a unit or template of one word has that word as its only bigram; matches
 are given by the lines they touch, so two on one line have the same lines; repeated rows match alike; an empty table gives an empty table.
@@ -28,6 +28,47 @@ from hydrolens.llm.common import map_rows
 
 LEAST = 0.8
 
+# The opening that the BSD licences share: it counts only where no match of a single licence overlaps it.
+EITHER_BSD = "BSD-2-Clause OR BSD-3-Clause"
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_KEEP = (
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.",
+)
+_BSD_ADVERT = "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by"
+_BSD_NAMES = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission."
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE '
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+    "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_MIT_END = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+    "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+    "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_ISC_END = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+    "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+    "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+    "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_USE = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+# Siblings of the GNU licences: name, what the header calls the work, the licence and the version.
+_GNU = (
+    ("GPL-1.0", "program", "General", "1"), ("GPL-2.0", "program", "General", "2"), ("LGPL-2.0", "library", "Library General", "2"),
+    ("LGPL-2.1", "library", "Lesser General", "2.1"), ("LGPL-2.1", "program", "Lesser General", "2.1"), ("LGPL-3.0", "program", "Lesser General", "3"),
+    ("AGPL-3.0", "program", "Affero General", "3"),
+)
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+       "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
 # Wordings of public licence notices, by SPDX identifier.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -53,10 +94,12 @@ TEMPLATES = (
         "copyright notice and this permission notice appear in all copies.",
     ),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    (
-        "BSD-2-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-    ),
+    (EITHER_BSD, _BSD),
+    ("BSD-2-Clause", " ".join((_BSD, *_BSD_KEEP, _BSD_END))),
+    ("BSD-3-Clause", " ".join((_BSD, *_BSD_KEEP, _BSD_NAMES, _BSD_END))),
+    ("BSD-3-Clause", _BSD_NAMES),
+    ("BSD-4-Clause", " ".join((_BSD, *_BSD_KEEP, _BSD_ADVERT, _BSD_NAMES, _BSD_END))),
+    ("BSD-4-Clause", _BSD_ADVERT + " " + _BSD_NAMES),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     (
         "GPL-3.0",
@@ -82,6 +125,35 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *(
+        (name, f"This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as published by the "
+         f"Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+        for name, work, kind, version in _GNU
+    ),
+    *(
+        (name, f"This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version {version} "
+         "as published by the Free Software Foundation.")
+        for name, version in (("GPL-2.0", "2"), ("GPL-3.0", "3"))
+    ),
+    *((name, f"This work is licensed under the GNU {kind} Public License, version {version}.") for name, kind, version in sorted({(n, k, v) for n, _, k, v in _GNU} - {("GPL-2.0", "General", "2")})),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
+    ("Apache-1.0", "Licensed under the Apache License, Version 1.0."),
+    *(
+        (f"CC-{kind}-{version}", text)
+        for kind, words in _CC.items()
+        for version in ("1.0", "2.0", "2.5", "3.0", "4.0")
+        for text in (
+            f"Licensed under CC {kind} {version}.",
+            f"This work is licensed under a Creative Commons {words} {version} {'International' if version == '4.0' else 'Unported' if version == '3.0' else ''} License.",
+        )
+        if (kind, version) not in {("BY", "4.0"), ("BY-SA", "4.0"), ("BY-NC", "4.0")}
+    ),
+)
+_BODIES = tuple(text for name, text in TEMPLATES if text.startswith("Permission"))
+TEMPLATES += (
+    ("MIT", f"{_BODIES[0]} {_MIT_END}"),
+    ("ISC", f"{_BODIES[1]} {_ISC_END}"),
+    ("0BSD", f"{_USE}. {_ISC_END}"),
 )
 
 _WORD = re.compile(r"[a-z0-9]+(?:\.[a-z0-9]+)*")
@@ -178,11 +250,17 @@ class Scanner:
                 heap += self._best(number, keys, start, len(words))
         if not heap:
             return []
-        heapify(heap)
         kept: list[tuple[int, int, str, float]] = []
         taken: list[int] = []  # first words of the units kept, in order
         ends: dict[int, int] = {}
-        while heap:
+        late = {number for number, template in enumerate(self.templates) if template.name == EITHER_BSD}
+        after = [entry for entry in heap if entry[4] in late]
+        heap = [entry for entry in heap if entry[4] not in late]
+        heapify(heap)
+        while heap or after:
+            if not heap:
+                heap, after = after, []
+                heapify(heap)
             minus, _, start, name, number, stop = heappop(heap)
             at = bisect_right(taken, start)
             if at and ends[taken[at - 1]] > start:
@@ -269,7 +347,7 @@ def license_matches(docs: DataFrame, listed: tuple[tuple[str, str], ...] = TEMPL
         scanner = Scanner(listed, least)
         for row in rows:
             found = scanner.find(row["text"])
-            best = min(found, key=lambda m: (-m[3], m[1], m[0]), default=None)
+            best = min(found, key=lambda m: (m[0] == EITHER_BSD, -m[3], m[1], m[0]), default=None)
             yield {
                 "doc_id": row["doc_id"],
                 "n_matches": len(found),

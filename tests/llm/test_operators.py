@@ -543,6 +543,26 @@ def test_notices_equal_brute_force_over_words():
         assert scanner.find(text) == [(n, line[a], line[b - 1] + 1, d) for a, b, n, d in sorted(kept)]
 
 
+def test_sibling_licences_are_told_apart():
+    scanner = licenses.Scanner()
+    gnu = "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    keep, names = " ".join(licenses._BSD_KEEP), licenses._BSD_NAMES.replace("copyright holder", "Acme Corp")
+    texts = {
+        gnu.format("program", "General ", "2"): "GPL-2.0", gnu.format("program", "General ", "3"): "GPL-3.0",
+        gnu.format("library", "Lesser General ", "2.1"): "LGPL-2.1", gnu.format("library", "Lesser General ", "3"): "LGPL-3.0",
+        gnu.format("program", "Affero General ", "3"): "AGPL-3.0", gnu.format("program", "Lesser General ", "3"): "LGPL-3.0",
+        f"{licenses._BSD} {keep} {licenses._BSD_END}": "BSD-2-Clause", f"{licenses._BSD} {keep} {names} {licenses._BSD_END}": "BSD-3-Clause",
+        f"{licenses._BSD} {keep} 3. {names}": "BSD-3-Clause", licenses._BSD: licenses.EITHER_BSD,
+        f"{licenses._BSD} {keep} {licenses._BSD_ADVERT} the Acme Corp. 4. {names} {licenses._BSD_END}": "BSD-4-Clause",
+        f"{licenses._USE}. {licenses._ISC_END}": "0BSD", f"{licenses._BODIES[1]} {licenses._ISC_END}": "ISC", f"{licenses._BODIES[0]} {licenses._MIT_END}": "MIT",
+        "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0", "Licensed under CC BY 3.0.": "CC-BY-3.0", "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "Licensed under the Apache License, Version 1.1.": "Apache-1.1", "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+    }
+    for text, name in texts.items():
+        found = scanner.find("x y\n" + text + " z\nz")
+        assert min(found, key=lambda m: (m[0] == licenses.EITHER_BSD, -m[3]))[0] == name, (text, found)
+
+
 def test_licences_of_awkward_tables(spark):
     rows = licenses.license_matches(awkward(spark)).collect()
     assert len(rows) == len(AWKWARD)
