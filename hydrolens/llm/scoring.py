@@ -1,6 +1,8 @@
 """Document scores by masked pseudo-likelihood under a small bidirectional network.
 
-Tokens are characters: the 62 most frequent of the table, one class for all others, one for the edge of a text. Every
+Tokens are characters. The network knows the 62 most frequent of the table, one class for all others and one for the edge
+of a text. A character of the class of others has the probability of the class times its share of the class in all
+texts (`backoff`), so every code point of the table has a probability of its own. Every
 character in turn is hidden and predicted from the `SIDE` characters on either side of it: a layer of `HIDDEN` units over
 the window (one table per place), then a softmax over the classes. The sum of the conditional log-probabilities of a
 document's characters is its score.
@@ -61,10 +63,24 @@ def character_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def alphabet(docs: DataFrame, text: str = "text") -> np.ndarray:
     """The 62 most frequent code points, sorted; class = place + 1."""
-    top = character_counts(docs, text).orderBy(F.desc("n"), "point").limit(CLASSES - 2).collect()
+    return _most_frequent(character_counts(docs, text))
+
+
+def _most_frequent(counts: DataFrame) -> np.ndarray:
+    top = counts.orderBy(F.desc("n"), "point").limit(CLASSES - 2).collect()
     return np.array(sorted(r["point"] for r in top), np.uint32)
 
 
+def backoff(counts: DataFrame, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of the class of others, sorted, and the log of each one's share of the class.
+
+    `counts` has `point` and `n`; one row for each code point comes to the driver, 1.1 million at most.
+    """
+    rows = counts.where(~F.col("point").isin(known.tolist())).orderBy("point").toArrow()
+    n = rows.column("n").to_numpy().astype(float)
+    return rows.column("point").to_numpy().astype(np.uint32), np.log(n / n.sum()) if len(n) else n
+
+
 def classes_of(points: np.ndarray, known: np.ndarray) -> np.ndarray:
     if not len(known):
         return np.full(len(points), OTHER, np.uint8)
@@ -238,8 +254,20 @@ def train(counts: DataFrame, rounds: int = ROUNDS, shards: int = SHARDS) -> Netw
     return network
 
 
-def with_scores(docs: DataFrame, network: Network, known: np.ndarray) -> DataFrame:
-    """`doc_id`, `n_chars`, `log_probability` (sum over all characters) and its mean."""
+def _charged(text: str | None, rare: np.ndarray, shares: np.ndarray) -> float:
+    """The log shares, added up, of a text's characters that are among the `rare`."""
+    points, n = np.unique(points_of(text), return_counts=True)
+    if not len(rare) or not len(points):
+        return 0.0
+    at = np.minimum(np.searchsorted(rare, points), len(rare) - 1)
+    return float((n * np.where(rare[at] == points, shares[at], 0.0)).sum())
+
+
+def with_scores(docs: DataFrame, network: Network, known: np.ndarray, rest: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """`doc_id`, `n_chars`, `log_probability` (sum over all characters) and its mean.
+
+    `rest` is the `backoff`; without it characters of the class of others have the probability of the class.
+    """
     flat = network.flat()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,6 +278,8 @@ def with_scores(docs: DataFrame, network: Network, known: np.ndarray) -> DataFra
                 every, inverse = np.unique(codes, return_inverse=True)  # each distinct window is evaluated once
                 total += np.bincount(own, model.log_probabilities(every)[inverse].astype(float), batch.num_rows)
                 size += np.bincount(own, minlength=batch.num_rows)
+            if rest is not None:
+                total += [_charged(text, *rest) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size), pa.array(total), pa.array(total / np.maximum(size, 1))], names=["doc_id", "n_chars", "log_probability", "mean_log_probability"]
             )
@@ -260,5 +290,6 @@ def with_scores(docs: DataFrame, network: Network, known: np.ndarray) -> DataFra
 
 def pseudo_likelihoods(docs: DataFrame) -> DataFrame:
     """Train on all texts of `docs` (`doc_id`, `text`) and score each."""
-    known = alphabet(docs)
-    return with_scores(docs, train(window_counts(docs, known)), known)
+    counts = stage(character_counts(docs), "character-counts")
+    known = _most_frequent(counts)
+    return with_scores(docs, train(window_counts(docs, known)), known, backoff(counts, known))

@@ -616,6 +616,22 @@ def test_slopes_match_differences():
     assert scoring.fitted_further(network, codes, counts, 0).log_probabilities(codes).mean() > before + 0.5
 
 
+def test_rare_characters_are_charged(spark):
+    pick = random.Random(5)
+    latin = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 .,;"
+    rows = [(i, "".join(pick.choices(latin, k=400)), "en", "s", 0) for i in range(60)]
+    junk, steady = "".join(chr(0x4E00 + i) for i in range(200)), "\u0416" * 200
+    docs = spark.createDataFrame([*rows, (100, junk, "zh", "s", 0), (101, steady, "ru", "s", 0)], DOCS).select("doc_id", "text")
+    counts = scoring.character_counts(docs)
+    known = scoring.alphabet(docs)
+    rare, shares = scoring.backoff(counts, known)
+    assert not set(rare.tolist()) & set(known.tolist()) and len(rare) + len(known) == counts.count()
+    assert abs(np.exp(shares).sum() - 1) < 1e-9
+    got = {r.doc_id: r.mean_log_probability for r in scoring.pseudo_likelihoods(docs).collect()}
+    usual = sorted(got[i] for i in range(60))
+    assert got[100] < usual[0] and got[100] < got[101] - 1
+
+
 def test_scores_of_awkward_tables(spark):
     rows = scoring.pseudo_likelihoods(awkward(spark)).collect()
     assert len(rows) == len(AWKWARD)
