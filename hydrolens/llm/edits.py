@@ -10,7 +10,7 @@ a range that follows the length of the text (its level, a power of two); the sam
 level's range, is part of the lower one's, so texts of different lengths are compared on common steps. The likeness of
 two fingerprints is their agreement there, less what chance gives: 1 for equal texts, near 0 for unrelated ones.
 
-Near-duplicates: bands of sampled positions make buckets, and candidates are verified by likeness of whole fingerprints.
+Near-duplicates: bands of sampled positions, and for short texts runs of neighbouring steps, make buckets, and candidates are verified by likeness of whole fingerprints.
 
 The text after each document in descending id is found by sorting: a bounded sample of row keys gives the borders of
 ranges, each range is one task that streams through its rows in order, and the row that opens a range is also sent to
@@ -227,6 +227,13 @@ def _result(own: tuple, following: tuple) -> dict:
     }
 
 
+def with_components(docs: DataFrame) -> DataFrame:
+    """`edit_fingerprints` with `component_id` (see `near_groups`)."""
+    made = stage(edit_fingerprints(docs), "edit-fingerprints")
+    near = components_of(made.select("doc_id", "n_chars", "fingerprint"))
+    return made.join(near, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+
+
 def band_keys(level: int, symbols: np.ndarray) -> list[int]:
     """Keys of bands of sampled positions, on the text's own level and the next, so neighbours across a border meet."""
     keys = []
@@ -240,22 +247,53 @@ def band_keys(level: int, symbols: np.ndarray) -> list[int]:
     return keys
 
 
+def short_keys(level: int, symbols: np.ndarray, least: float) -> list[int]:
+    """Keys of runs of neighbouring steps, of which two short texts of likeness `least` or more share one.
+
+    Their agreement needs a share of (15 least + 1) / 16 of the steps that either text reaches, and these are the first
+    of level `BASE`. Cut into runs too short to hold a whole difference each on average, one run agrees throughout.
+    """
+    if level != BASE:
+        return []
+    in_order = np.full(1 << BASE, PAD, np.uint8)
+    in_order[sampled_steps(BASE)] = symbols
+    missing = 15 * (1 - least) / 16
+    width = max(1, min(1 << BASE, int(np.ceil(1 / missing - 1e-9)) - 1)) if missing > 0 else 1 << BASE
+    keys = []
+    for start in range(0, 1 << BASE, width):
+        run = in_order[start : start + width]
+        if (run != PAD).any():
+            keys.append(xxhash.xxh64_intdigest(run.tobytes(), (1 << 32) + start) - (1 << 63))
+    return keys
+
+
 def near_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """`doc_id`, `fingerprint` and `component_id`: the smallest id reachable over likenesses of `least` or more.
 
-    Candidates share a band of sampled positions; equal texts count as one, empty texts and rows without id link with
-    nothing.
+    Candidates share a band of sampled positions, or a run of steps if they are short; equal texts count as one, empty
+    texts and rows without id link with nothing.
     """
 
     def run(rows: Iterator[dict]) -> Iterator[dict]:
         for row in rows:
-            level, symbols = Walk(row["text"] or "").symbols()
-            yield {"doc_id": row["doc_id"], "fingerprint": as_text(level, symbols), "bands": band_keys(level, symbols) if row["text"] else []}
+            yield {"doc_id": row["doc_id"], "n_chars": len(row["text"] or ""), "fingerprint": fingerprint(row["text"])}
+
+    made = stage(map_rows(docs.select("doc_id", "text"), run, "doc_id bigint, n_chars bigint, fingerprint string"), "edit-fingerprints")
+    near = components_of(made, least)
+    return made.select("doc_id", "fingerprint").join(near, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+
+
+def components_of(made: DataFrame, least: float = 0.8) -> DataFrame:
+    """`doc_id` and `component_id` of the ids that have a text, once each; `made` has `doc_id`, `n_chars` and `fingerprint`."""
+
+    @F.pandas_udf("array<bigint>")
+    def bands(prints: pd.Series) -> pd.Series:
+        return pd.Series([band_keys(*fp) + short_keys(*fp, least) for fp in map(from_text, prints)])
 
-    made = stage(map_rows(docs.select("doc_id", "text"), run, "doc_id bigint, fingerprint string, bands array<bigint>"), "edit-fingerprints")
-    named = made.where("doc_id IS NOT NULL AND size(bands) > 0")
-    classes = stage(named.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "equal-fingerprints")
-    entries = classes.select(F.explode("bands").alias("key"), "rep", F.lit(0).alias("n"))
+    named = made.where("doc_id IS NOT NULL AND n_chars > 0").select("doc_id", "fingerprint")
+    classes = stage(named.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")), "equal-fingerprints")
+    own, shared_ids = members(named, classes, "fingerprint")
+    entries = classes.select(F.explode(bands("fingerprint")).alias("key"), "rep", F.lit(0).alias("n"))
     texts = classes.select("rep", "fingerprint")
 
     @F.pandas_udf("double")
@@ -267,7 +305,5 @@ def near_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
         two = texts.select(F.col("rep").alias("b"), F.col("fingerprint").alias("two"))
         return pairs.join(one, "a").join(two, "b").where(alike("one", "two") >= least).select("a", "b")
 
-    own, shared_ids = members(named, texts, "fingerprint")
     near = bucket_groups(entries, check, shared_ids)
-    whole = own.join(near, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
-    return made.select("doc_id", "fingerprint").join(whole, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return own.join(near, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))

@@ -57,7 +57,7 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_edit_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return edits.edit_fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
+    return edits.with_components(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:

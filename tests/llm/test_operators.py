@@ -427,6 +427,20 @@ def test_near_texts_are_grouped(spark):
     assert {r.doc_id: r.component_id for r in rows} == near | {900: 900, 901: 901}
 
 
+def test_short_texts_are_grouped(spark):
+    pick = random.Random(9)
+    texts = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyz ", k=n)) for n in range(1, 61)]
+    texts += texts + [t[:-1] + "#" for t in texts] + [t + "#" for t in texts]
+    docs = [(i, t, "en", "s", 0) for i, t in enumerate(texts)] + [(900, "", "en", "s", 0), (901, None, "en", "s", 0), (None, "abc", "en", "s", 0)]
+    df = spark.createDataFrame(docs, DOCS)
+    prints = [edits.from_text(edits.fingerprint(t)) for t in texts]
+    near = brute.groups(range(len(texts)), lambda a, b: edits.likeness(prints[a], prints[b]) >= 0.8)
+    rows = edits.with_components(df.select("doc_id", "text")).collect()
+    assert len(rows) == len(docs)
+    assert {r.doc_id: r.component_id for r in rows} == near | {900: 900, 901: 901, None: None}
+    assert {r.doc_id: r.component_id for r in edits.near_groups(df).collect()} == near | {900: 900, 901: 901, None: None}
+
+
 # ---- secrets
 
 
