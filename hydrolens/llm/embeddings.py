@@ -58,7 +58,11 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
     def run(rows: Iterator[dict]) -> Iterator[dict]:
         for row in rows:
             u = unit(row["embedding"]) if row["label"] is not None else None
-            key = hashlib.blake2b((np.asarray(row["embedding"], float) + 0.0).tobytes(), digest_size=16, key=str(row["label"]).encode()[:64]).digest() if u is not None else None
+            key = None
+            if u is not None:
+                label = str(row["label"]).encode()
+                vector = (np.asarray(row["embedding"], float) + 0.0).tobytes()
+                key = hashlib.blake2b(len(label).to_bytes(8, "little") + label + vector, digest_size=16).digest()
             yield {"vec_id": row["vec_id"], "key": key, "label": str(row["label"]), "u": u}
 
     return map_rows(vectors.select("vec_id", "embedding", "label"), run, "vec_id bigint, key binary, label string, u array<double>")

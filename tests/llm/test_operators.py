@@ -288,6 +288,12 @@ def test_links_equal_brute_force(spark):
     assert len(again) == len(rows) + 2 and [r.kept for r in again if r.vec_id is None] == [True]
 
 
+def test_long_labels_are_told_apart(spark):
+    rows = [(i, [1.0, 2.0], "x" * 70 + end) for i, end in enumerate("aab")]
+    keys = {r.vec_id: r.key for r in embeddings.unit_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")).collect()}
+    assert keys[0] == keys[1] != keys[2]
+
+
 def test_cover_tree_invariants():
     pick = np.random.default_rng(2)
     points = np.concatenate([c + pick.normal(size=(20, 8)) * 0.05 for c in pick.normal(size=(10, 8))])
