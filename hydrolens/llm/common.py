@@ -14,10 +14,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterable[dict]], schema: str) -> DataFrame:
+def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterable[dict]], schema: str, most: int = 512, taken: int = 512) -> DataFrame:
     """`rows` over each task's rows as dictionaries, in Arrow batches and as a stream.
 
-    Only one incoming batch and a few hundred outgoing rows are held at a time.
+    Only one incoming batch (`taken` rows of it as dictionaries) and `most` outgoing rows are held at a time.
     """
     kind = _parse_datatype_string(schema)
     assert isinstance(kind, StructType)
@@ -25,9 +25,9 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterable[dict]], sc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
-        for row in rows(row for batch in batches for row in _rows(batch)):
+        for row in rows(row for batch in batches for row in _rows(batch, taken)):
             held.append(row)
-            if len(held) >= 512:
+            if len(held) >= most:
                 yield pa.RecordBatch.from_pylist(held, schema=arrow)
                 held = []
         if held:
@@ -36,9 +36,9 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterable[dict]], sc
     return df.mapInArrow(run, kind)
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+def _rows(batch: pa.RecordBatch, size: int) -> Iterator[dict]:
     names = batch.schema.names
-    for start in range(0, batch.num_rows, 512):
-        columns = [column.to_pylist() for column in batch.slice(start, 512).columns]
+    for start in range(0, batch.num_rows, size):
+        columns = [column.to_pylist() for column in batch.slice(start, size).columns]
         for values in zip(*columns):
             yield dict(zip(names, values))

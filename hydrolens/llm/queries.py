@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hydrolens.llm import bpe, edits, embeddings, licenses, lines, minhash, mixing, quality, scoring, secrets
+from hydrolens.llm import audit, bpe, decontamination, edits, embeddings, licenses, lines, merkle, minhash, mixing, quality, scoring, secrets
 from hydrolens.llm.common import table
+from hydrolens.llm.oracles import DECONTAMINATION, FILTER_AUDIT, LOWER, MERKLE, UPPER
 from hydrolens.session import stage
 
 THRESHOLD = 0.3
@@ -64,16 +65,35 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.span_report(table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    lowered = F.translate("text", UPPER, LOWER)
+    leaves = docs.select("source", "doc_id", merkle.leaf().alias("leaf"), F.when(tampered, merkle.leaf(text=lowered)).alias("other"))
+    return merkle.verified(leaves)
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     runs = (
         op1_pseudo_likelihood, op2_bpe, op3_pfair_mixing, op4_licenses, op5_line_runs, op6_cover_tree, op7_circulant_minhash, op8_quality,
-        op9_edit_fingerprints, op10_secrets,
+        op9_edit_fingerprints, op10_secrets, op11_merkle_manifest, op12_filter_audit, op13_decontamination,
     )
     return {run.__name__: run for run in runs}
 
 
 def oracle() -> dict[str, str]:
-    return {"op3_pfair_mixing": MIXING, "op5_line_runs": LINE_RUNS, "op6_cover_tree": LINKS, "op7_circulant_minhash": NEAR}
+    return {
+        "op3_pfair_mixing": MIXING, "op5_line_runs": LINE_RUNS, "op6_cover_tree": LINKS, "op7_circulant_minhash": NEAR,
+        "op11_merkle_manifest": MERKLE, "op12_filter_audit": FILTER_AUDIT, "op13_decontamination": DECONTAMINATION,
+    }
 
 
 MIXING = f"""
