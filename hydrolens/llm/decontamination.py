@@ -289,14 +289,13 @@ def cut(text: bytes, spans: list[dict]) -> bytes:
 
 def without_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` with all its columns, benchmark passages cut out of `text`."""
-    found = occurrences(index_documents(docs), phrase_parts(benchmark))
+    found = occurrences(index_documents(docs), stage(phrase_parts(benchmark), "item-parts"))
     spans = _merged_rows(found, ["one", "two"]).select(F.struct("one", "two").alias("__content"), F.col("spans").alias("__spans"))
     one, two = _content()
     marked = lookup_join(docs.withColumn("__content", F.struct(one, two)), spans, "__content")
 
     @F.udf("string", useArrow=True)
-    def rest(text: str, spans: list) -> str:
-        return cut(text.encode(), [{"start": s["start"], "stop": s["stop"]} for s in spans]).decode()
+    def rest(text: str | None, spans: list | None) -> str | None:
+        return text if spans is None else cut(text.encode(), spans).decode()
 
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(rest("text", "__spans"))
-    return marked.withColumn("text", text).select(*docs.columns)
+    return marked.withColumn("text", rest("text", "__spans")).select(*docs.columns)
