@@ -89,6 +89,24 @@ def _(spark, sf):
     return spark.read.parquet(f"{root}/out")
 
 
+@register(
+    "distinct_pictures",
+    """SELECT DISTINCT concat('cam_', CAST(doc_id % 10 AS VARCHAR), '.png') AS filename, sha256(text) AS picture
+FROM documents WHERE text IS NOT NULL""",
+)
+def _(spark, sf):
+    """Texts as inline pictures of ten cameras, all of one second and each sent twice: every different picture stays, once."""
+    root = stage_path(spark, "cameras")
+    camera = F.concat(F.lit("cam_"), (F.col("doc_id") % 10).cast("string"), F.lit(".png"))
+    payload = F.regexp_replace(F.base64(F.encode("text", "UTF-8")), r"\s", "")
+    docs = fx.table(spark, sf, "documents").where("text IS NOT NULL")
+    sent = docs.select(camera.alias("filename"), payload.alias("image"), F.lit("2024-01-01T00:00:00").alias("date"), F.explode(F.array(F.lit(1), F.lit(2))).alias("message_id"))
+    sent.select(F.to_json(F.struct("*"))).write.text(f"{root}/messages")
+    unique = jobs.without_repeats(normalise_messages(_stream(spark, f"{root}/messages")), "1 hour")
+    jobs.append_stream(unique.select("filename", F.sha2("content", 256).alias("picture")), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 @register(
     "stream_errors",
     """WITH sent AS (SELECT doc_id, concat('doc_', CAST(doc_id AS VARCHAR), '.png') AS name, doc_id % 7 AS kind FROM documents)

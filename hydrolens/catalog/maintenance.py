@@ -14,12 +14,19 @@ from hydrolens.plans.prices import monthly_rollup
 from hydrolens.session import shared_dir, stage
 from hydrolens.sources import fixtures as fx
 from hydrolens.sources.tables import append_rows, read_table
-from hydrolens.streaming import jobs
+from hydrolens.streaming import jobs, silence
 
 OHLC = "round(CAST(close AS DOUBLE), 8) AS close, round(CAST(high AS DOUBLE), 8) AS high, round(CAST(low AS DOUBLE), 8) AS low, round(CAST(open AS DOUBLE), 8) AS open"
 MONTH = "CAST(date_trunc('month', date) AS DATE)"
 FIRST, LAST = "CAST(arg_min(close, date) AS DOUBLE)", "CAST(arg_max(close, date) AS DOUBLE)"
 
+MEASURES = """count(*) AS images,
+  round(avg(water_coverage_percent), 8) AS avg_water_coverage, round(max(water_coverage_percent), 8) AS max_water_coverage,
+  round(min(water_coverage_percent), 8) AS min_water_coverage, round(avg(confidence_score), 8) AS avg_confidence,
+  round(min(confidence_score), 8) AS min_confidence, round(max(confidence_score), 8) AS max_confidence,
+  round(avg(processing_time_ms), 8) AS avg_processing_time, max(processing_time_ms) AS max_processing_time,
+  round(count(CASE WHEN confidence_score < 0.5 THEN 1 END) * CAST(100 AS DOUBLE) / count(*), 8) AS error_rate"""
+
 
 def _fresh_path(spark, label):
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
@@ -88,13 +95,9 @@ def _(spark, sf):
     "stream_closed_buckets",
     """
 , edge AS (SELECT max(timestamp) - INTERVAL '10 minutes' AS mark FROM preds)
-SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS time, count(*) AS images,
-  round(avg(water_coverage_percent), 8) AS avg_water_coverage, round(max(water_coverage_percent), 8) AS max_water_coverage,
-  round(min(water_coverage_percent), 8) AS min_water_coverage, round(avg(confidence_score), 8) AS avg_confidence,
-  round(min(confidence_score), 8) AS min_confidence, round(max(confidence_score), 8) AS max_confidence,
-  round(avg(processing_time_ms), 8) AS avg_processing_time, max(processing_time_ms) AS max_processing_time,
-  round(count(CASE WHEN confidence_score < 0.5 THEN 1 END) * CAST(100 AS DOUBLE) / count(*), 8) AS error_rate
-FROM preds, edge GROUP BY 1, mark HAVING time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' <= mark""",
+SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS time, """
+    + MEASURES
+    + """ FROM preds, edge GROUP BY 1, mark HAVING time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' <= mark""",
     ("preds",),
 )
 def _(spark, sf):
@@ -154,6 +157,47 @@ def _(spark, sf):
     return jobs.silence_alert(spark, out, latest(fx.predictions(spark, sf), "timestamp"))
 
 
+@register(
+    "stream_live_buckets",
+    f"SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS time, time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' AS time_end, {MEASURES} FROM preds GROUP BY 1",
+    ("preds",),
+)
+def _(spark, sf):
+    """Every bucket changed by several batches, kept up to date in a table: nothing waits for the watermark."""
+    root = _fresh_path(spark, "live")
+    events = fx.table(spark, sf, "events")
+    for part in range(3):
+        events.where(F.col("event_id") % 3 == part).write.parquet(f"{root}/events/{part}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/events/*")
+    preds = fx.predictions_from(stream).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    jobs.live_buckets(preds, f"{root}/table", f"{root}/checkpoint", "5 minutes", "60 days").awaitTermination()
+    rows = jobs.read_live_buckets(spark, f"{root}/table").drop("query", "batch_id")
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("time", "time_end")})
+
+
+def _silences(series: str, floor: int) -> str:
+    return f"""
+, t AS (SELECT {series} AS series, timestamp, epoch_us(timestamp) AS us FROM preds),
+counted AS (
+  SELECT series, timestamp, us, count(*) OVER (PARTITION BY series, us) AS held,
+         count(*) OVER (PARTITION BY series ORDER BY us RANGE BETWEEN 1 FOLLOWING AND 600000000 FOLLOWING) AS rows
+  FROM t)
+SELECT DISTINCT series, timestamp + INTERVAL '10 minutes' AS time, rows FROM counted
+WHERE rows < {floor} AND rows + held >= {floor} AND (us // 60000000 + 11) * 60000000 <= (SELECT (max(us) - 600000000) // 1000 * 1000 FROM t)"""
+
+
+@register("stream_gaps", _silences("''", 1), ("preds",))
+def _(spark, sf):
+    """Each time the whole stream had no row for ten minutes, raised by a timer."""
+    return _alerts(spark, silence.silence_alerts(jobs.event_stream(spark, sf), floor=1))
+
+
+@register("stream_silence_alerts", _silences("location", 5), ("preds",))
+def _(spark, sf):
+    """Each time a location fell below five rows in ten minutes, raised by a timer for each location."""
+    return _alerts(spark, silence.silence_alerts(jobs.event_stream(spark, sf), series="location"))
+
+
 @register("appended_rows", f"SELECT date, {OHLC}, volume FROM stock", ("stock",))
 def _(spark, sf):
     """The price table appended in three parts, one row by itself among them, and read back by its path."""

@@ -28,6 +28,17 @@ def parse_width(width: str) -> tuple[int, str]:
     return int(found[1]), unit
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def micros_of(width: str) -> int:
+    """Microseconds of a width of fixed length; months have none."""
+    n, unit = parse_width(width)
+    if unit not in _SECONDS:
+        raise ValueError(f"not of fixed length: {width!r}")
+    return n * _SECONDS[unit] * 1_000_000
+
+
 def time_bucket(width: str, name: str, dtype: T.DataType) -> Column:
     """Start of the bucket that holds column `name`, in the column's own type.
 

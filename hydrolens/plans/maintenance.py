@@ -109,7 +109,7 @@ def _replace_chunks(df: DataFrame, path: str) -> None:
 
 
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: list[str], time: str = "date") -> list[date]:
-    """Upsert into a chunked table, rewriting only the months the updates touch."""
+    """Upsert into a chunked table, rewriting only the months the updates touch. A table that is not there yet is begun."""
     if time not in keys:
         raise ValueError("the key must contain the time column, which decides the chunk")
     recover(spark, path)
@@ -117,7 +117,7 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[
         fresh = keep(updates.withColumn(MONTH, _month(time)), "updates")
         months = sorted(r[MONTH] for r in fresh.select(MONTH).distinct().collect())
         if months:
-            touched = _chunk_schema(spark, path).where(F.col(MONTH).isin(months))
+            touched = _chunk_schema(spark, path).where(F.col(MONTH).isin(months)) if chunks(spark, path) else fresh.limit(0)
             _replace_chunks(_by_chunk(upsert_rows(touched, fresh, [*keys, MONTH], sequence), F.col(time)), path)
     return months
 

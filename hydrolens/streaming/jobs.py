@@ -15,10 +15,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hydrolens.functions.shapes import as_shape
+from hydrolens.functions.time import Range
 from hydrolens.operators.imaging import LIVE_SIZE, artefact_objects, draw_artefacts, preprocess
 from hydrolens.operators.lookup import lookup_join
 from hydrolens.operators.scoring import Factory, score
 from hydrolens.operators.upsert import latest_per_key
+from hydrolens.plans.maintenance import read_chunked, upsert_table
 from hydrolens.plans.scoring import prediction_stats
 from hydrolens.schemas import PREDICTIONS
 from hydrolens.session import delete_path, parallelism, stage_path, staging
@@ -55,23 +57,43 @@ def each_batch(df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint
     return df.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start()
 
 
+def upsert_stream(df: DataFrame, path: str, checkpoint: str, keys: list[str], time: str = "time", trigger: dict | None = None):
+    """Keep a chunked table equal to a changing aggregate: the rows a batch has changed replace those of the same key.
+
+    Each query has a part of the table to itself (`query`, the id that its checkpoint keeps), so two of them never
+    rewrite one chunk. Rows carry `batch_id`, the batch that gave them their last values. Only the months that a batch
+    touches are rewritten, beside the table and then put in place, so a batch that is replayed, or dies half-way and is
+    repeated, leaves the same table, and readers find each month old or new.
+    """
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        upsert_table(batch.sparkSession, f"{path}/query={query}", rows, keys, ["batch_id"], time)
+
+    writer = df.writeStream.outputMode("update").foreachBatch(work).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or ONCE)).start()
+
+
 def without_repeats(messages: DataFrame, horizon: str = "1 hour") -> DataFrame:
-    """Drop messages the producer sent again: same file name, date and link within the horizon.
+    """Drop messages the producer sent again: same file name, date, link and picture within the horizon.
 
-    The horizon counts from arrival, so a message that comes late is never dropped for that. Records
+    Inline pictures are told apart by a digest of their bytes, so two pictures that a camera sends under one name in
+    one second both stay; the state holds digests and no pictures. The horizon counts from arrival, so a message that comes late is never dropped for that. Records
     with an error all stay. In two steps, so that one message sent very often is thinned out in
     many tasks before its last copies meet in one.
     """
-    same = ["filename", "date", "image_link", "_bad"]
+    same = ["filename", "date", "image_link", "_picture", "_bad"]
     spread = messages.withColumns(
         {
+            "_picture": F.sha2("content", 256),
             "_bad": F.when(F.col("error").isNotNull(), F.col("source_id")),
             "_lane": F.pmod(F.xxhash64("source_id"), F.lit(DEDUP_LANES)),
             "_arrival": F.current_timestamp(),  # of the batch; a replayed batch keeps it
         }
     )
     once_per_lane = spread.withWatermark("_arrival", horizon).dropDuplicatesWithinWatermark([*same, "_lane"])
-    return once_per_lane.dropDuplicatesWithinWatermark(same).drop("_lane", "_bad", "_arrival")
+    return once_per_lane.dropDuplicatesWithinWatermark(same).drop("_lane", "_bad", "_picture", "_arrival")
 
 
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -298,6 +320,17 @@ def stream_buckets(preds: DataFrame, width: str = "5 minutes", lateness: str = "
     )
 
 
+def live_buckets(preds: DataFrame, path: str, checkpoint: str, width: str = "5 minutes", lateness: str = "10 minutes", trigger: dict | None = None):
+    """Keep `stream_buckets` in a table as they change, so that panels need not wait for the watermark (`read_live_buckets`)."""
+    return upsert_stream(stream_buckets(preds, width, lateness), path, checkpoint, ["time"], "time", trigger)
+
+
+def read_live_buckets(spark: SparkSession, path: str, query: str | None = None, rng: Range = None) -> DataFrame:
+    """The table of `live_buckets` as it is now, of one query or of all, in a closed range of times."""
+    rows = read_chunked(spark, path, rng, "time")
+    return rows if query is None else rows.where(F.col("query") == query)
+
+
 def critical_alerts(preds: DataFrame, limit: float = 80) -> DataFrame:
     """Each row above the critical level, as it arrives."""
     return preds.where(F.col("water_coverage_percent") > limit).select(
@@ -317,8 +350,9 @@ def degradation_alerts(preds: DataFrame, limit: float = 0.7, span: str = "30 min
 
 
 def silence_alert(spark: SparkSession, results: str, as_of=None, floor: int = 5) -> DataFrame:
-    """Too few rows in the last ten minutes. A stream without input cannot report its own silence,
-    so this runs on a schedule over the result table.
+    """Too few rows in the last ten minutes, asked on a schedule over the result table.
+
+    `silence.silence_alerts` is the rule as a stream of its own, which speaks up by itself.
     """
     from hydrolens.plans.monitoring import health_alert
 

@@ -7,6 +7,7 @@ import os
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from hydrolens.functions import raster
@@ -15,7 +16,7 @@ from hydrolens.plans import monitoring as m
 from hydrolens.sources.fixtures import predictions
 from hydrolens.sources.messages import normalise_messages, read_messages, stream_messages
 from hydrolens.sources.objects import list_objects, qualified_root, write_objects
-from hydrolens.streaming import jobs
+from hydrolens.streaming import jobs, silence
 from tests.conftest import write_png
 
 
@@ -178,6 +179,17 @@ def test_repeated_messages_are_dropped(spark, tmp_path):
     assert names == ["a", "a", "b", "c", "d", "e"]
 
 
+def test_different_pictures_of_one_name_and_second_stay(spark, tmp_path, conf):
+    from dataclasses import replace
+
+    put_lines(str(tmp_path / "in"), "a.json", [inline("cam.png", 250), inline("cam.png", 3)])
+    put_lines(str(tmp_path / "in"), "b.json", [inline("cam.png", 250), {**inline("cam.png", 3), "message_id": 9}, inline("cam.png", 128)])
+    results, errors = run(spark, tmp_path, replace(conf, horizon="1 hour"))
+    assert sorted(r.water_coverage for r in results.collect()) == [0.0, 100.0, 100.0] and errors.count() == 0
+    unique = jobs.without_repeats(normalise_messages(read_messages(spark, source(str(tmp_path / "in")))))
+    assert "_picture" not in unique.columns and "content" in unique.columns
+
+
 def test_published_stream(spark, tmp_path):
     folder = str(tmp_path / "in")
     put_lines(folder, "a.json", [linked("a", "k"), linked("b", "k")])
@@ -230,6 +242,127 @@ def test_buckets_over_several_batches(spark, tmp_path):
     assert got == sorted((t, n, rates[t]) for t, n in want.items())
 
 
+def live_stream(spark, tmp_path, schema, lateness="60 days"):
+    from hydrolens.sources.fixtures import predictions_from
+
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").option("recursiveFileLookup", "true").parquet(str(tmp_path / "events"))
+    preds = predictions_from(raw).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return jobs.live_buckets(preds, str(tmp_path / "table"), str(tmp_path / "check"), "1 hour", lateness)
+
+
+def test_live_buckets_equal_what_was_read_after_every_batch(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    seen = None
+    for part in range(3):  # every bucket is changed by every batch
+        some = events.where(F.col("event_id") % 3 == part)
+        some.coalesce(1).write.parquet(str(tmp_path / "events" / str(part)))
+        seen = some if seen is None else seen.union(some)
+        live_stream(spark, tmp_path, events.schema).awaitTermination()
+        got = jobs.read_live_buckets(spark, str(tmp_path / "table"))
+        from hydrolens.sources.fixtures import predictions_from
+
+        want = jobs.stream_buckets(predictions_from(seen).withColumn("timestamp", F.col("timestamp").cast("timestamp")), "1 hour")
+        names = want.columns
+        round_all = lambda df: sorted(tuple(round(v, 8) if isinstance(v, float) else v for v in r) for r in df.select(*names).collect())
+        assert round_all(got) == round_all(want) and len(names) == 12
+        assert got.agg(F.max("batch_id")).first()[0] >= part
+    assert got.select("query").distinct().count() == 1
+
+
+def test_replayed_buckets_and_a_second_query(spark, tmp_path):
+    from hydrolens.plans.maintenance import read_chunked, upsert_table
+
+    rows = spark.createDataFrame([(dt.datetime(2024, 1, 31, 23), 1, 0), (dt.datetime(2024, 2, 1), 2, 0)], "time timestamp, images int, batch_id bigint")
+    for _ in range(2):
+        assert len(upsert_table(spark, str(tmp_path / "t/query=a"), rows, ["time"], ["batch_id"], "time")) == 2
+    upsert_table(spark, str(tmp_path / "t/query=b"), rows.limit(1).withColumn("images", F.lit(7)), ["time"], ["batch_id"], "time")
+    upsert_table(spark, str(tmp_path / "t/query=a"), rows.limit(1).withColumns({"images": F.lit(5), "batch_id": F.lit(1).cast("bigint")}), ["time"], ["batch_id"], "time")
+    assert sorted((r.query, r.images) for r in jobs.read_live_buckets(spark, str(tmp_path / "t")).collect()) == [("a", 2), ("a", 5), ("b", 7)]
+    assert jobs.read_live_buckets(spark, str(tmp_path / "t"), "b").first().images == 7
+    assert read_chunked(spark, str(tmp_path / "t"), ("2024-02-01", None), "time").count() == 1
+
+
+SPAN, CELL = 600, 60
+
+
+def plain_silences(times, floor, now):
+    """By trying each moment at which a row leaves the span."""
+    out = []
+    for t in sorted(set(times)):
+        left, held = sum(t < x <= t + SPAN for x in times), times.count(t)
+        if left < floor <= left + held and (t // CELL + 1) * CELL + SPAN <= now:
+            out.append((t + SPAN, left))
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3000), max_size=40), min_size=1, max_size=4), st.integers(1, 4))
+def test_thinned_times_raise_the_same_alerts(batches, floor):
+    kept, out, top = np.empty(0, np.int64), [], 0
+    batches = [sorted(b) for b in np.array_split(sorted(sum(batches, [])), len(batches))]  # in time order, so that none is late
+    for batch in [*batches, []]:
+        parts = [silence.thinned(np.array(part, np.int64), CELL, floor) for part in (batch[::2], batch[1::2])]
+        kept = silence.thinned(np.sort(np.concatenate([kept, *parts])), CELL, floor)
+        due = int(np.searchsorted(kept, (top - SPAN) // CELL * CELL))
+        out += silence.falls_silent(kept, due, SPAN, floor)
+        kept = kept[due:]
+        top = max([top, *batch])
+    times = [t for b in batches for t in b]
+    assert out == plain_silences(times, floor, max(times, default=0))
+
+
+def at(second, name="a"):
+    return (dt.datetime(2024, 1, 1, 12) + dt.timedelta(seconds=second), name)
+
+
+def put_rows(spark, folder, part, rows):
+    spark.createDataFrame(rows, "timestamp timestamp, place string").coalesce(1).write.parquet(f"{folder}/{part}")
+
+
+def test_a_planted_gap_gives_one_alert(spark, tmp_path):
+    folder = str(tmp_path / "rows")
+    steady = [at(30 * i) for i in range(40)]  # until 12:19:30
+    later = [at(2000 + 30 * i) for i in range(40)]  # from 12:33:20 on
+    put_rows(spark, folder, 0, steady[:25])
+    put_rows(spark, folder, 1, steady[25:] + [(None, "a")])
+    put_rows(spark, folder, 2, later + [at(4000)])
+    stream = spark.readStream.schema("timestamp timestamp, place string").option("maxFilesPerTrigger", "1").parquet(f"{folder}/*")
+    jobs.append_stream(silence.silence_alerts(stream, floor=1), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    # The gap, and the pause before the last row is over before the watermark, so it does not count yet.
+    assert [(r.series, r.time, r.rows) for r in rows] == [("", dt.datetime(2024, 1, 1, 12, 29, 30), 0)]
+
+
+def test_alerts_by_series_and_bad_settings(spark, tmp_path):
+    folder = str(tmp_path / "rows")
+    put_rows(spark, folder, 0, [at(0), at(1), at(0, "b"), at(0, None), at(700, "b"), at(5000, "z")])
+    stream = spark.readStream.schema("timestamp timestamp, place string").parquet(f"{folder}/*")
+    jobs.append_stream(silence.silence_alerts(stream, series="place", floor=2), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    noon = dt.datetime(2024, 1, 1, 12)
+    got = {(r.series, r.time, r.rows) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {("a", noon + dt.timedelta(seconds=600), 1)}  # the others never had two rows
+    for wrong in ({"clock": "wall"}, {"cell": "1 hour"}, {"floor": 0}):
+        with pytest.raises(ValueError):
+            silence.silence_alerts(stream, **wrong)
+
+
+def test_silence_is_told_without_any_further_row(spark, tmp_path):
+    import time
+
+    folder = str(tmp_path / "rows")
+    put_rows(spark, folder, 0, [at(0), at(1), at(2)])
+    stream = spark.readStream.schema("timestamp timestamp, place string").parquet(f"{folder}/*")
+    alerts = silence.silence_alerts(stream, span="4 seconds", cell="1 second", floor=1, clock="arrival")
+    query = jobs.append_stream(alerts, str(tmp_path / "out"), str(tmp_path / "check"), {"processingTime": "1 second"})
+    try:
+        end = time.time() + 90
+        while time.time() < end and not (os.path.isdir(tmp_path / "out") and spark.read.schema(silence.ALERT).parquet(str(tmp_path / "out")).count()):
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert [r.rows for r in spark.read.schema(silence.ALERT).parquet(str(tmp_path / "out")).collect()] == [0]
+
+
 def test_alert_streams(spark, tmp_path):
     events = jobs.event_stream(spark, "/root/testdata/sf0.001")
     for query in jobs.stream_alerts(events, str(tmp_path / "alerts"), str(tmp_path / "check")):
