@@ -183,6 +183,47 @@ def _(spark, sf):
     return u.enrich_location(clients, fx.geo_ranges(spark, sf)).drop("x_forwarded_for", "client_host")
 
 
+@register(
+    "upload_locations_mixed",
+    """
+, spelt AS (
+  SELECT event_id, event_id % 8 AS turn, 20 + user_id % 200 AS net, user_id % 256 AS host, printf('%04x', CAST(3328 + user_id % 40 AS INTEGER)) AS site, user_id % 2 AS odd FROM events),
+hexed AS (
+  SELECT *, net * 16777216 + host * 65536 + 7 AS number,
+    CASE turn WHEN 1 THEN '2001' || site || repeat('0', 20) || printf('%04x', CAST(host AS INTEGER))
+      WHEN 2 THEN '2001' || site || '8000' || repeat('0', 16) || printf('%04x', CAST(host AS INTEGER))
+      WHEN 5 THEN '2001' || site || '7fff' || repeat('0', 16) || printf('%04x', CAST(host AS INTEGER)) END AS digits
+  FROM spelt),
+networks AS (
+  SELECT '2001' || printf('%04x', CAST(3328 + n_nationkey AS INTEGER)) AS start, 32 AS bits, n_name AS country, r_name AS region, concat(n_name, ' City') AS city,
+    CAST(n_nationkey AS DOUBLE) AS lat, CAST(n_nationkey * -2 AS DOUBLE) AS lon FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL SELECT '2001' || printf('%04x', CAST(3328 + n_nationkey AS INTEGER)) || '8', 36, n_name, r_name, concat(n_name, ' North'),
+    CAST(n_nationkey AS DOUBLE), CAST(n_nationkey * -2 AS DOUBLE) FROM nation JOIN region ON n_regionkey = r_regionkey),
+limits AS (
+  SELECT rpad(start, 32, '0') AS low, rpad(start, 32, 'f') AS high, * EXCLUDE (start) FROM networks
+  UNION ALL SELECT rpad('20010c00', 32, '0'), rpad('20010fff', 32, 'f'), 22, NULL, r_name, NULL, NULL, NULL FROM region WHERE r_regionkey = 0),
+six AS (
+  SELECT event_id, arg_max({'country': country, 'region': region, 'city': city, 'lat': lat, 'lon': lon}, bits) AS place
+  FROM hexed JOIN limits ON digits BETWEEN low AND high GROUP BY event_id),
+four AS (
+  SELECT event_id, {'country': country, 'region': region, 'city': city, 'lat': lat, 'lon': lon} AS place
+  FROM hexed JOIN geo_ranges ON turn IN (0, 3, 4) AND number BETWEEN ip_from AND ip_to),
+found AS (FROM six UNION ALL FROM four)
+SELECT event_id, turn = 6 AS local, turn <> 6 AND place IS NULL AS lost,
+  CASE WHEN turn = 6 THEN 'Development' ELSE coalesce(place.country, 'Unknown') END AS country,
+  CASE WHEN turn = 6 THEN 'Local' ELSE coalesce(place.region, 'Unknown') END AS region,
+  CASE WHEN turn = 6 THEN 'Localhost' ELSE coalesce(place.city, 'Unknown') END AS city,
+  CASE WHEN turn = 6 THEN CAST(40.7128 AS DOUBLE) ELSE coalesce(place.lat, 0) END AS lat,
+  CASE WHEN turn = 6 THEN CAST(-74.0060 AS DOUBLE) ELSE coalesce(place.lon, 0) END AS lon
+FROM hexed LEFT JOIN found USING (event_id)""",
+    ("geo_ranges",),
+)
+def _(spark, sf):
+    """Clients with IPv4, IPv6 and IPv4 inside IPv6, in eight spellings; the longest of the nested networks wins."""
+    found = u.enrich_location(fx.mixed_ips(spark, sf), fx.geo_ranges(spark, sf), fx.geo_networks(spark, sf))
+    return found.select("event_id", (F.col("city") == "Localhost").alias("local"), (F.col("ip") == u.UNKNOWN_IP).alias("lost"), "country", "region", "city", "lat", "lon")
+
+
 MESSAGE_ROWS = (
     LOCATED
     + """, messages AS (

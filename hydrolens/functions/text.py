@@ -85,6 +85,45 @@ def ipv4_number(ip: Column) -> Column:
     return F.when(F.rlike(ip, F.lit(rf"^{byte}(\.{byte}){{3}}$")), number)
 
 
+def is_local_number(number: Column) -> Column:
+    """`is_local_ip` of an IPv4 number."""
+    return (number == 0x7F000001) | (F.shiftright(number, 16) == 0xC0A8) | (F.shiftright(number, 24) == 10)
+
+
+_GROUP = "[0-9a-f]{1,4}"
+
+
+def _ipv6_groups(ip: Column) -> Column:
+    """The eight groups of an IPv6 address in any spelling, as 32 hexadecimal digits; NULL for anything else."""
+    plain = F.lower(F.regexp_replace(ip, r"^\[|\](:\d+)?$|%.*$", ""))  # brackets with a port, and the zone, are no part of it
+    tail = F.regexp_extract(plain, r"(?<=:)\d+\.\d+\.\d+\.\d+$", 0)
+    four = ipv4_number(tail)
+    as_hex = F.lpad(F.lower(F.hex(four)), 8, "0")
+    hexed = F.concat(F.regexp_replace(plain, r"[^:]*$", ""), F.substr(as_hex, F.lit(1), F.lit(4)), F.lit(":"), F.substr(as_hex, F.lit(5), F.lit(4)))
+    text = F.when(F.length(tail) == 0, plain).otherwise(hexed)
+    # Sides of the one '::', each a list of groups (an empty side has none).
+    sides = F.transform(F.split(text, "::"), lambda side: F.filter(F.split(side, ":"), lambda g: F.length(side) > 0))
+    padded = F.transform(sides, lambda side: F.array_join(F.transform(side, lambda g: F.lpad(g, 4, "0")), ""))
+    left, right = F.get(padded, F.lit(0)), F.get(padded, F.lit(1))
+    whole = F.when(F.size(sides) == 1, left).otherwise(F.concat(left, F.repeat(F.lit("0"), F.greatest(F.lit(0), 32 - F.length(left) - F.length(right))), right))
+    spelt = F.rlike(text, F.lit(f"^({_GROUP}(:{_GROUP}){{7}}|(({_GROUP}(:{_GROUP})*)?::({_GROUP}(:{_GROUP})*)?))$"))
+    # '::' stands for one group at least.
+    fits = F.when(F.size(sides) == 2, F.length(left) + F.length(right) <= 28).otherwise(True)
+    return F.when(spelt & fits, whole)
+
+
+def ipv6_numbers(ip: Column) -> tuple[Column, Column]:
+    """The upper and the lower 64 bits of an IPv6 address as signed numbers, NULL for anything else."""
+    digits = _ipv6_groups(ip)
+    half = lambda start: F.conv(F.substr(digits, F.lit(start), F.lit(16)), 16, -10).cast("bigint")
+    return half(1), half(17)
+
+
+def inner_ipv4(high: Column, low: Column) -> Column:
+    """The IPv4 number that an IPv6 address carries (::ffff:a.b.c.d), else NULL."""
+    return F.when((high == 0) & (F.shiftright(low, 32) == 0xFFFF), low.bitwiseAND(F.lit(0xFFFFFFFF)))
+
+
 def fixed(value: Column, places: int) -> Column:
     """A number as text with fixed places; exact ties go to the even digit, without separators."""
     return F.replace(F.format_number(value.cast("double"), places), F.lit(","), F.lit(""))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOT_KEYS = 1000
 HOT_ROWS = 1_000_000
@@ -58,6 +58,30 @@ def locate_numbers(points: DataFrame, ranges: DataFrame, number: str, payload: l
     )
 
 
+def _network_key(bits: Column, high: Column, low: Column) -> Column:
+    """The first `bits` of an address, as text to join on."""
+    upper, lower = F.least(bits, F.lit(64)), F.greatest(bits - 64, F.lit(0))
+    mask = lambda n: F.when(n == 0, F.lit(0).cast("bigint")).otherwise(F.call_function("shiftleft", F.lit(-1).cast("bigint"), (64 - n).cast("int")))
+    return F.concat_ws("/", bits, high.bitwiseAND(mask(upper)), low.bitwiseAND(mask(lower)))
+
+
+def locate_prefixes(points: DataFrame, networks: DataFrame, payload: list[str]) -> DataFrame:
+    """`points` (distinct, with `high` and `low`, the halves of a 128-bit address) with `network`, the payload of the longest
+    prefix that holds each; points in no network are left out.
+
+    `networks` has `high`, `low`, `bits` and the payload, nested as they may be. An address is looked up once for each
+    length that occurs, of which there are at most 129, so neither nested nor wide networks are cut up, and a short prefix that
+    holds most addresses is a hot key of a lookup. Networks given twice count once.
+    """
+    lengths = sorted(r.bits for r in networks.select("bits").distinct().collect())
+    if not lengths:
+        return points.limit(0).withColumn("network", F.lit(None).cast(networks.select(*payload).schema))
+    known = networks.groupBy(_network_key(F.col("bits"), F.col("high"), F.col("low")).alias("_key"), "bits").agg(F.min(F.struct(*payload)).alias("network"))
+    tried = points.withColumn("_bits", F.explode(F.array(*map(F.lit, lengths)))).withColumn("_key", _network_key(F.col("_bits"), F.col("high"), F.col("low")))
+    found = lookup_join(tried.drop("_bits"), known, "_key", "inner")
+    return found.groupBy(*points.columns).agg(F.max_by("network", "bits").alias("network"))
+
+
 def pair_by_name(left: DataFrame, right: DataFrame, on: str, on_missing: str = "fail") -> DataFrame:
     """Inner join of two listings by name. A left row without partner fails the run, or is dropped.
 

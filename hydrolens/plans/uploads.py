@@ -10,13 +10,16 @@ from hydrolens.functions.text import (
     epoch_ms,
     extension,
     fixed,
+    inner_ipv4,
     ipv4_number,
+    ipv6_numbers,
     is_local_ip,
+    is_local_number,
     iso_text,
     object_key,
     uploaded_name,
 )
-from hydrolens.operators.lookup import locate_numbers, lookup_join
+from hydrolens.operators.lookup import locate_numbers, locate_prefixes, lookup_join
 
 MB = 1024 * 1024
 
@@ -56,24 +59,42 @@ def build_messages(uploads: DataFrame) -> DataFrame:
     )
 
 
-def enrich_location(uploads: DataFrame, ranges: DataFrame) -> DataFrame:
+def enrich_location(uploads: DataFrame, ranges: DataFrame, networks: DataFrame | None = None) -> DataFrame:
     """Add ip, country, region, city, lat, lon from the client's address.
 
-    Distinct addresses are resolved once; the result is joined back as a lookup, so an address
-    with a large share of the traffic costs no more than any other.
+    IPv4 addresses, also those inside an IPv6 address, are found in `ranges` (`ip_from`, `ip_to`), other IPv6 addresses
+    in `networks` (`cidr`), where the longest prefix wins. Distinct addresses are resolved once; the result is joined back
+    as a lookup, so an address with a large share of the traffic costs no more than any other.
     """
     rows = uploads.withColumn("_address", client_ip(F.col("x_forwarded_for"), F.col("client_host")))
-    found = resolve_addresses(rows.select("_address").distinct(), ranges, "_address")
+    found = resolve_addresses(rows.select("_address").distinct(), ranges, "_address", networks)
     # A client without any address finds nothing and is unknown.
     filled = [F.coalesce(c, F.lit(v)).alias(c) for c, v in {"ip": UNKNOWN_IP, **UNKNOWN}.items()]
     return lookup_join(rows, found, "_address").select(*uploads.columns, *filled)
 
 
-def resolve_addresses(addresses: DataFrame, ranges: DataFrame, address: str) -> DataFrame:
-    """One location record per distinct address: local, found in the ranges, or unknown."""
-    local = is_local_ip(F.col(address))
-    numbered = addresses.select(address, local.alias("_local"), F.when(~local, ipv4_number(F.col(address))).alias("_number"))
+def parsed_networks(networks: DataFrame) -> DataFrame:
+    """`networks` with `high`, `low` and `bits` of each `cidr`; those that are no IPv6 network are left out."""
+    high, low = ipv6_numbers(F.substring_index("cidr", "/", 1))
+    bits = F.when(F.rlike("cidr", F.lit(r"/\d{1,3}$")), F.substring_index("cidr", "/", -1).cast("int"))
+    return networks.withColumns({"high": high, "low": low, "bits": bits}).where("high IS NOT NULL AND bits BETWEEN 0 AND 128")
+
+
+def resolve_addresses(addresses: DataFrame, ranges: DataFrame, address: str, networks: DataFrame | None = None) -> DataFrame:
+    """One location record per distinct address: local, found in the ranges or networks, or unknown."""
+    high, low = ipv6_numbers(F.col(address))
+    numbered = addresses.select(address, high.alias("high"), low.alias("low"))
+    number = F.coalesce(ipv4_number(F.col(address)), inner_ipv4(F.col("high"), F.col("low")))
+    numbered = numbered.withColumn("_number", number)
+    local = is_local_ip(F.col(address)) | F.coalesce(is_local_number(F.col("_number")), F.lit(False))
+    numbered = numbered.withColumn("_local", local).withColumn("_number", F.when(~F.col("_local"), F.col("_number")))
     located = locate_numbers(numbered, ranges, "_number", list(UNKNOWN))
+    if networks is not None:
+        six = numbered.where("NOT _local AND _number IS NULL AND high IS NOT NULL").select(address, "high", "low")
+        held = locate_prefixes(six, parsed_networks(networks), list(UNKNOWN)).select(address, "network")
+        located = located.join(held, address, "left").withColumns(
+            {"found": F.col("found") | F.col("network").isNotNull(), **{c: F.coalesce(F.col(c), F.col(f"network.{c}")) for c in UNKNOWN}}
+        )
 
     def pick(name: str) -> Column:
         return F.when(F.col("_local"), F.lit(LOCAL[name])).otherwise(F.coalesce(name, F.lit(UNKNOWN[name]))).alias(name)

@@ -97,6 +97,38 @@ def geo_ranges(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def mixed_ips(spark: SparkSession, folder: str) -> DataFrame:
+    """Clients with addresses of both kinds, in eight spellings by turns."""
+    user, turn = F.col("user_id"), F.col("event_id") % 8
+    site, host, net = F.lit(0xD00) + user % 40, user % 256, F.lit(20) + user % 200
+    spelt = [
+        F.format_string("%d.%d.0.7, 10.0.0.1", net, host),
+        F.format_string("2001:%x::%x", site, host),
+        F.format_string("2001:%04X:8000:0000:0000:0000:0000:%04X", site, host),
+        F.format_string("::ffff:%d.%d.0.7", net, host),
+        F.format_string("0:0:0:0:0:FFFF:%02x%02x:0007", net, host),
+        F.format_string("[2001:%x:7fff::%x]:443", site, host),
+        F.format_string("::ffff:192.168.0.%d", host),
+        F.when(user % 2 == 0, F.format_string("fe80::%x%%eth0", host)).otherwise("1:2:3"),
+    ]
+    address = F.element_at(F.array(*spelt), (turn + 1).cast("int"))
+    return table(spark, folder, "events").select("event_id", address.alias("x_forwarded_for"), F.lit("::1").alias("client_host"))
+
+
+def geo_networks(spark: SparkSession, folder: str) -> DataFrame:
+    """A wide network, one for each nation in it, and a part of each of these."""
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    key = F.col("n_nationkey")
+    sites = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    fields = [F.col("n_name").alias("country"), F.col("r_name").alias("region")]
+    place = [key.cast("double").alias("lat"), (key * -2).cast("double").alias("lon")]
+    of_nation = sites.select(F.format_string("2001:%x::/32", F.lit(0xD00) + key).alias("cidr"), *fields, F.concat("n_name", F.lit(" City")).alias("city"), *place)
+    north = sites.select(F.format_string("2001:%x:8000::/36", F.lit(0xD00) + key).alias("cidr"), *fields, F.concat("n_name", F.lit(" North")).alias("city"), *place)
+    none = [F.lit(None).cast("string").alias("city"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon")]
+    wide = region.where("r_regionkey = 0").select(F.lit("2001:c00::/22").alias("cidr"), F.lit(None).cast("string").alias("country"), F.col("r_name").alias("region"), *none)
+    return of_nation.unionByName(north).unionByName(wide)
+
+
 def logit_maps(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select(
         F.col("vec_id").alias("key"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.col("embedding").alias("logits")

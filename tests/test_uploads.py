@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from hydrolens.functions import text
 from hydrolens.functions.shapes import SHAPES, as_shape, from_shape
-from hydrolens.operators.lookup import locate_numbers, lookup_join, pair_by_name, unpaired
+from hydrolens.functions.text import inner_ipv4, ipv6_numbers
+from hydrolens.operators.lookup import locate_numbers, locate_prefixes, lookup_join, pair_by_name, unpaired
 from hydrolens.operators.upsert import latest_per_key, upsert_rows
 from hydrolens.plans import uploads as u
 from hydrolens.schemas import PREDICTIONS
@@ -139,6 +140,72 @@ def test_location_rules(spark):
     }
 
 
+ADDRESSES = [
+    "::", "::1", "1::", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "::ffff:1.2.3.4", "1:2:3:4:5:6:77.77.88.88", "fe80::1%eth0", "0:0:0:0:0:0:0:1", "::FFFF:C0A8:1",
+    "", "::1::", "1:2:3", "1:2:3:4:5:6:7:8:9", "12345::", "g::", "::ffff:1.2.3", "1.2.3.4", ":::", ":1", "1:", "1::2::3", "1:2:3:4:5:6:7::8:9", "::1.2.3.256", "1:2:3:4:5:6:7:8::",
+]
+
+
+def spelt_ipv6(rng, n):
+    address = ipaddress.IPv6Address(n)
+    return rng.choice([str(address), address.exploded, str(address).upper()])
+
+
+def number_of(text):
+    try:
+        return int(ipaddress.IPv6Address(text.split("%")[0]))
+    except ValueError:
+        return None
+
+
+def test_ipv6_spellings(spark):
+    rng = random.Random(1)
+    numbers = [rng.getrandbits(128) & ~(((1 << (16 * rng.randint(0, 7))) - 1) << (16 * rng.randint(0, 4))) & ((1 << 128) - 1) for _ in range(500)]
+    texts = [*ADDRESSES, *(spelt_ipv6(rng, n) for n in numbers)]
+    high, low = ipv6_numbers(F.col("t"))
+    rows = spark.createDataFrame([(t,) for t in [*texts, "[::5]", "[::5]:443", None]], "t string").select("t", high.alias("h"), low.alias("l"), inner_ipv4(high, low).alias("v4")).collect()
+    mask = (1 << 64) - 1
+    got = {r.t: None if r.h is None else (r.h & mask) << 64 | r.l & mask for r in rows}
+    assert got == {**{t: number_of(t) for t in texts}, "[::5]": 5, "[::5]:443": 5, None: None}
+    assert {r.t: r.v4 for r in rows if r.v4 is not None} == {"::ffff:1.2.3.4": 0x01020304, "::FFFF:C0A8:1": 0xC0A80001}
+
+
+def test_longest_prefix_against_brute_force(spark):
+    rng = random.Random(2)
+    nets = {ipaddress.IPv6Network((rng.getrandbits(128), rng.choice([0, 1, 7, 32, 33, 63, 64, 65, 96, 127, 128])), strict=False) for _ in range(60)}
+    for net in list(nets):  # nested ones
+        nets |= {ipaddress.IPv6Network((int(net.network_address) | rng.getrandbits(128 - net.prefixlen) if net.prefixlen < 128 else int(net.network_address), min(128, net.prefixlen + 9)), strict=False)}
+    points = [rng.getrandbits(128) for _ in range(100)] + [int(n.network_address) | (rng.getrandbits(128 - n.prefixlen) if n.prefixlen < 128 else 0) for n in nets for _ in range(3)]
+    networks = spark.createDataFrame([(str(n), str(n)) for n in nets] + [("1.2.3.0/24", "v4"), ("::", "no length"), ("::/129", "too long"), (None, "none")], "cidr string, name string")
+    for some in (networks, networks.where("cidr NOT LIKE '%/0'")):
+        known = [ipaddress.IPv6Network(r.cidr) for r in some.collect() if r.name == r.cidr]
+        high, low = ipv6_numbers(F.col("t"))
+        df = spark.createDataFrame([(str(ipaddress.IPv6Address(p)),) for p in set(points)], "t string").select("t", high.alias("high"), low.alias("low"))
+        got = {r.t: r.network.name for r in locate_prefixes(df, u.parsed_networks(some), ["name"]).collect()}
+        want = {}
+        for p in set(points):
+            inside = [n for n in known if ipaddress.IPv6Address(p) in n]
+            if inside:
+                want[str(ipaddress.IPv6Address(p))] = str(max(inside, key=lambda n: n.prefixlen))
+        assert got == want
+    assert locate_prefixes(df, u.parsed_networks(networks.limit(0)), ["name"]).count() == 0
+
+
+def test_ipv6_location_rules(spark):
+    rows = [(1, "::ffff:20.0.0.9", "x"), (2, "::ffff:10.0.0.1", "x"), (3, "2001:DB8::5, 1.1.1.1", "x"), (4, "2001:db9::5", "x"), (5, None, "::1"), (6, "::ffff:127.0.0.1", "x"), (7, None, None)]
+    uploads = spark.createDataFrame(rows, "id int, x_forwarded_for string, client_host string")
+    low = int(ipaddress.ip_address("20.0.0.0"))
+    shape = "country string, region string, city string, lat double, lon double"
+    ranges = spark.createDataFrame([(low, low + 255, "A", "R", "C", 1.5, 2.5)], f"ip_from bigint, ip_to bigint, {shape}")
+    networks = spark.createDataFrame([("2001:db8::/32", "B", None, "D", None, 3.5)], f"cidr string, {shape}")
+    got = {r.id: (r.ip, r.country, r.region, r.city, r.lat, r.lon) for r in u.enrich_location(uploads, ranges, networks).collect()}
+    local, lost = ("Development", "Local", "Localhost", 40.7128, -74.0060), ("0.0.0.0", "Unknown", "Unknown", "Unknown", 0.0, 0.0)
+    assert got == {
+        1: ("::ffff:20.0.0.9", "A", "R", "C", 1.5, 2.5), 2: ("::ffff:10.0.0.1", *local), 3: ("2001:DB8::5", "B", "Unknown", "D", 0.0, 3.5),
+        4: lost, 5: ("::1", *local), 6: ("::ffff:127.0.0.1", *local), 7: lost,
+    }
+
+
 def test_pairs(spark):
     a = spark.createDataFrame([("x",), ("y",)], "name string")
     b = spark.createDataFrame([("x", 1)], "name string, m int")
