@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Content type by file extension.
@@ -93,30 +95,44 @@ def is_local_number(number: Column) -> Column:
 _GROUP = "[0-9a-f]{1,4}"
 
 
-def _ipv6_groups(ip: Column) -> Column:
-    """The eight groups of an IPv6 address in any spelling, as 32 hexadecimal digits; NULL for anything else."""
-    plain = F.lower(F.regexp_replace(ip, r"^\[|\](:\d+)?$|%.*$", ""))  # brackets with a port, and the zone, are no part of it
-    tail = F.regexp_extract(plain, r"(?<=:)\d+\.\d+\.\d+\.\d+$", 0)
-    four = ipv4_number(tail)
-    as_hex = F.lpad(F.lower(F.hex(four)), 8, "0")
-    hexed = F.concat(F.regexp_replace(plain, r"[^:]*$", ""), F.substr(as_hex, F.lit(1), F.lit(4)), F.lit(":"), F.substr(as_hex, F.lit(5), F.lit(4)))
-    text = F.when(F.length(tail) == 0, plain).otherwise(hexed)
-    # Sides of the one '::', each a list of groups (an empty side has none).
-    sides = F.transform(F.split(text, "::"), lambda side: F.filter(F.split(side, ":"), lambda g: F.length(side) > 0))
-    padded = F.transform(sides, lambda side: F.array_join(F.transform(side, lambda g: F.lpad(g, 4, "0")), ""))
-    left, right = F.get(padded, F.lit(0)), F.get(padded, F.lit(1))
-    whole = F.when(F.size(sides) == 1, left).otherwise(F.concat(left, F.repeat(F.lit("0"), F.greatest(F.lit(0), 32 - F.length(left) - F.length(right))), right))
-    spelt = F.rlike(text, F.lit(f"^({_GROUP}(:{_GROUP}){{7}}|(({_GROUP}(:{_GROUP})*)?::({_GROUP}(:{_GROUP})*)?))$"))
-    # '::' stands for one group at least.
-    fits = F.when(F.size(sides) == 2, F.length(left) + F.length(right) <= 28).otherwise(True)
-    return F.when(spelt & fits, whole)
-
-
-def ipv6_numbers(ip: Column) -> tuple[Column, Column]:
-    """The upper and the lower 64 bits of an IPv6 address as signed numbers, NULL for anything else."""
-    digits = _ipv6_groups(ip)
-    half = lambda start: F.conv(F.substr(digits, F.lit(start), F.lit(16)), 16, -10).cast("bigint")
-    return half(1), half(17)
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _ipv6_digits(ip: Column) -> Column:
+    """An IPv6 address in any spelling as 32 hexadecimal digits; NULL for anything else."""
+
+    def hexed(plain: Column) -> Column:
+        """The four numbers of an IPv4 address at the end as two groups."""
+
+        def with_tail(four: Column) -> Column:
+            as_hex = F.lpad(F.lower(F.hex(four)), 8, "0")
+            return F.concat(F.regexp_replace(plain, r"[^:]*$", ""), F.substr(as_hex, F.lit(1), F.lit(4)), F.lit(":"), F.substr(as_hex, F.lit(5), F.lit(4)))
+
+        return F.when(~F.contains(plain, F.lit(".")), plain).otherwise(_once(ipv4_number(F.substring_index(plain, ":", -1)), with_tail))
+
+    def digits(text: Column) -> Column:
+        """The groups on either side of '::', which stands for one group of zeros or more, filled up."""
+        sides = F.transform(F.split(text, "::"), lambda side: F.array_join(F.transform(F.split(side, ":"), lambda g: F.when(F.length(g) > 0, F.lpad(g, 4, "0")).otherwise("")), ""))
+
+        def filled(side: Column) -> Column:
+            left, right = F.get(side, F.lit(0)), F.get(side, F.lit(1))
+            missing = 32 - F.length(left) - F.length(right)
+            return F.when(F.size(side) == 1, left).when(missing >= 4, F.concat(left, F.repeat(F.lit("0"), missing), right))
+
+        spelt = F.rlike(text, F.lit(f"^({_GROUP}(:{_GROUP}){{7}}|(({_GROUP}(:{_GROUP})*)?::({_GROUP}(:{_GROUP})*)?))$"))
+        return F.when(spelt, _once(sides, filled))
+
+    # Brackets with a port, and the zone, are no part of the address.
+    plain = F.lower(F.regexp_replace(ip, r"^\[|\](:\d+)?$|%.*$", ""))
+    return F.when(F.contains(ip, F.lit(":")), _once(plain, lambda p: _once(hexed(p), digits)))
+
+
+def ipv6_halves(ip: Column) -> Column:
+    """The upper and the lower 64 bits (`high`, `low`) of an IPv6 address as signed numbers, NULL for anything else."""
+    half = lambda digits, start: F.conv(F.substr(digits, F.lit(start), F.lit(16)), 16, -10).cast("bigint")
+    return _once(_ipv6_digits(ip), lambda d: F.when(d.isNotNull(), F.struct(half(d, 1).alias("high"), half(d, 17).alias("low"))))
 
 
 def inner_ipv4(high: Column, low: Column) -> Column:

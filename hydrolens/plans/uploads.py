@@ -12,7 +12,7 @@ from hydrolens.functions.text import (
     fixed,
     inner_ipv4,
     ipv4_number,
-    ipv6_numbers,
+    ipv6_halves,
     is_local_ip,
     is_local_number,
     iso_text,
@@ -75,15 +75,14 @@ def enrich_location(uploads: DataFrame, ranges: DataFrame, networks: DataFrame |
 
 def parsed_networks(networks: DataFrame) -> DataFrame:
     """`networks` with `high`, `low` and `bits` of each `cidr`; those that are no IPv6 network are left out."""
-    high, low = ipv6_numbers(F.substring_index("cidr", "/", 1))
     bits = F.when(F.rlike("cidr", F.lit(r"/\d{1,3}$")), F.substring_index("cidr", "/", -1).cast("int"))
-    return networks.withColumns({"high": high, "low": low, "bits": bits}).where("high IS NOT NULL AND bits BETWEEN 0 AND 128")
+    halves = networks.withColumns({"_halves": ipv6_halves(F.substring_index("cidr", "/", 1)), "bits": bits})
+    return halves.select(*networks.columns, "_halves.high", "_halves.low", "bits").where("high IS NOT NULL AND bits BETWEEN 0 AND 128")
 
 
 def resolve_addresses(addresses: DataFrame, ranges: DataFrame, address: str, networks: DataFrame | None = None) -> DataFrame:
     """One location record per distinct address: local, found in the ranges or networks, or unknown."""
-    high, low = ipv6_numbers(F.col(address))
-    numbered = addresses.select(address, high.alias("high"), low.alias("low"))
+    numbered = addresses.select(address, ipv6_halves(F.col(address)).alias("_halves")).select(address, "_halves.high", "_halves.low")
     number = F.coalesce(ipv4_number(F.col(address)), inner_ipv4(F.col("high"), F.col("low")))
     numbered = numbered.withColumn("_number", number)
     local = is_local_ip(F.col(address)) | F.coalesce(is_local_number(F.col("_number")), F.lit(False))

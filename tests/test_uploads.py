@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hydrolens.functions import text
 from hydrolens.functions.shapes import SHAPES, as_shape, from_shape
-from hydrolens.functions.text import inner_ipv4, ipv6_numbers
+from hydrolens.functions.text import inner_ipv4, ipv6_halves
 from hydrolens.operators.lookup import locate_numbers, locate_prefixes, lookup_join, pair_by_name, unpaired
 from hydrolens.operators.upsert import latest_per_key, upsert_rows
 from hydrolens.plans import uploads as u
@@ -162,7 +162,8 @@ def test_ipv6_spellings(spark):
     rng = random.Random(1)
     numbers = [rng.getrandbits(128) & ~(((1 << (16 * rng.randint(0, 7))) - 1) << (16 * rng.randint(0, 4))) & ((1 << 128) - 1) for _ in range(500)]
     texts = [*ADDRESSES, *(spelt_ipv6(rng, n) for n in numbers)]
-    high, low = ipv6_numbers(F.col("t"))
+    halves = ipv6_halves(F.col("t"))
+    high, low = halves["high"], halves["low"]
     rows = spark.createDataFrame([(t,) for t in [*texts, "[::5]", "[::5]:443", None]], "t string").select("t", high.alias("h"), low.alias("l"), inner_ipv4(high, low).alias("v4")).collect()
     mask = (1 << 64) - 1
     got = {r.t: None if r.h is None else (r.h & mask) << 64 | r.l & mask for r in rows}
@@ -179,7 +180,8 @@ def test_longest_prefix_against_brute_force(spark):
     networks = spark.createDataFrame([(str(n), str(n)) for n in nets] + [("1.2.3.0/24", "v4"), ("::", "no length"), ("::/129", "too long"), (None, "none")], "cidr string, name string")
     for some in (networks, networks.where("cidr NOT LIKE '%/0'")):
         known = [ipaddress.IPv6Network(r.cidr) for r in some.collect() if r.name == r.cidr]
-        high, low = ipv6_numbers(F.col("t"))
+        halves = ipv6_halves(F.col("t"))
+        high, low = halves["high"], halves["low"]
         df = spark.createDataFrame([(str(ipaddress.IPv6Address(p)),) for p in set(points)], "t string").select("t", high.alias("high"), low.alias("low"))
         got = {r.t: r.network.name for r in locate_prefixes(df, u.parsed_networks(some), ["name"]).collect()}
         want = {}
