@@ -78,10 +78,26 @@ def stage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataF
     the returned frame is lazy; jobs that know their end use `staging`.
     """
     path = path or stage_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries started here drop their shuffle files when they end, which otherwise stay until the driver collects garbage.
+
+    Only for queries whose plan nobody runs again, as for one that writes a table.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
