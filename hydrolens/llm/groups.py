@@ -12,16 +12,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from hydrolens.session import stage
+from hydrolens.session import delete_path, stage, stage_path
 
 
 def components(links: DataFrame) -> DataFrame:
     """`node` and `component` (smallest node reachable) for every node of `links` (columns `a`, `b`, not null)."""
     pairs = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs = stage(pairs, "links")
+    spark, path = links.sparkSession, stage_path(links.sparkSession, "links")
+    pairs = stage(pairs, path=path)
     before = _state(pairs)
     while before[0]:
-        pairs = stage(_small_star(_large_star(pairs)), "links")
+        done, path = path, stage_path(spark, "links")
+        pairs = stage(_small_star(_large_star(pairs)), path=path)
+        delete_path(spark, done)
         after = _state(pairs)
         if after == before:
             break
@@ -54,53 +57,50 @@ def _small_star(pairs: DataFrame) -> DataFrame:
 LEADERS = 3
 
 
-def members(rows: DataFrame, classes: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
+def members(rows: DataFrame, classes: DataFrame, by: str, keep: Callable[[DataFrame, str], DataFrame] = stage) -> tuple[DataFrame, DataFrame]:
     """`doc_id` and `rep` of each id, and the links (`a`, `b`) of ids whose rows are in several classes.
 
     `rows` has `doc_id` and the column `by`, `classes` has `by` (once) and `rep`.
     """
     each = rows.select("doc_id", by).join(classes.select(by, "rep"), by).select("doc_id", "rep")
-    own = stage(each.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("last")), "members")
+    own = keep(each.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("last")), "members")
     several = own.where("rep <> last").select("doc_id", F.col("rep").alias("b"))
     return own.drop("last"), each.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
 
 
-def bucket_groups(
-    entries: DataFrame, check: Callable[[DataFrame], DataFrame], known: DataFrame | None = None, may_link: Callable[[str, str], str] = lambda n, m: "true"
-) -> DataFrame:
+def bucket_groups(entries: DataFrame, check: Callable[[DataFrame], DataFrame], known: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """`rep` and `component` (smallest node reachable) of every node that links with another.
 
-    `entries` has `key` (a bucket), `rep` and `n` (its size); `check` keeps those of the distinct pairs (`a` < `b`) that are
-    linked; `known` holds links known beforehand (`a`, `b`); `may_link` is a condition on two sizes without which no pair can
-    be linked. A bucket never makes all its pairs at once. First its members are checked against `LEADERS` of them, the
-    first in as many hash orders, and links merge groups. Pairs of a bucket that then still are in different groups and
-    were not checked are checked one by one, so no linked pair of a bucket is lost.
+    `entries` has `key` (a bucket) and `rep`; `check` keeps those of the distinct pairs (`a` < `b`) that are linked; `known`
+    holds links known beforehand (`a`, `b`); `keep` stores what several passes read. A bucket never makes all its pairs
+    at once. First its members are checked against `LEADERS` of them, the first in as many hash orders, and links merge
+    groups. Pairs of a bucket that then still are in different groups and were not checked are checked one by one, so no
+    linked pair of a bucket is lost.
     """
-    orders = [F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), F.col("rep").alias("other"), F.col("n").alias("m"))).alias(f"first{i}") for i in range(LEADERS)]
-    shared = entries.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), *orders).where("low <> high")
-    leaders = F.array_distinct(F.array(*[F.struct(f"first{i}.other", f"first{i}.m") for i in range(LEADERS)])).alias("leaders")
-    buckets = stage(entries.join(shared.select("key", leaders), "key"), "buckets")
-
-    pairs = buckets.select("rep", "n", F.explode("leaders").alias("x")).select("rep", "n", "x.other", "x.m")
-    tested = stage(_pairs(pairs, may_link), "pairs")
-    found = stage(check(tested), "near-links")
-    found = found if known is None else found.unionByName(known)
-    groups = stage(components(found), "near-groups")
-
-    labelled = buckets.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    labelled = stage(labelled.distinct(), "bucket-groups")
+    orders = [F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), F.col("rep").alias("other"))).alias(f"first{i}") for i in range(LEADERS)]
+    dealt = entries.repartition("key")
+    shared = dealt.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), *orders).where("low <> high")
+    leaders = F.array_distinct(F.array(*[f"first{i}.other" for i in range(LEADERS)])).alias("leaders")
+    buckets = keep(dealt.join(shared.select("key", leaders), "key"), "buckets")
+
+    tested = keep(_pairs(buckets.select("rep", F.explode("leaders").alias("other"))), "pairs")
+    found = keep(check(tested).unionByName(known), "near-links")
+    groups = keep(components(found), "near-groups")
+
+    labelled = buckets.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    labelled = keep(labelled.distinct(), "bucket-groups")
     split = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     rest = labelled.join(split.select("key"), "key", "left_semi")
-    others = rest.select("key", F.col("rep").alias("other"), F.col("component").alias("group"), F.col("n").alias("m"))
+    others = rest.select("key", F.col("rep").alias("other"), F.col("component").alias("group"))
     pairs = rest.join(others, "key").where("rep < other AND component <> `group`")
-    pairs = stage(_pairs(pairs, may_link).join(tested, ["a", "b"], "left_anti"), "pairs")
+    pairs = keep(_pairs(pairs).join(tested, ["a", "b"], "left_anti"), "more-pairs")
     if pairs.limit(1).count():
-        more = stage(check(pairs), "near-links")
+        more = keep(check(pairs), "more-links")
         if more.limit(1).count():
             groups = components(found.unionByName(more))
     return groups.withColumnRenamed("node", "rep")
 
 
-def _pairs(pairs: DataFrame, may_link: Callable[[str, str], str]) -> DataFrame:
-    """Distinct pairs of different nodes that sizes allow, the smaller as `a`."""
-    return pairs.where("rep <> other").where(may_link("n", "m")).select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+def _pairs(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs of different nodes, the smaller as `a`."""
+    return pairs.where("rep <> other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
