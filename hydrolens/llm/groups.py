@@ -54,7 +54,7 @@ def _small_star(pairs: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-LEADERS = 3
+LEADERS = 2
 
 
 def members(rows: DataFrame, classes: DataFrame, by: str, keep: Callable[[DataFrame, str], DataFrame] = stage) -> tuple[DataFrame, DataFrame]:
@@ -96,8 +96,8 @@ def bucket_groups(entries: DataFrame, check: Callable[[DataFrame], DataFrame], k
     pairs = keep(_pairs(pairs).join(tested, ["a", "b"], "left_anti"), "more-pairs")
     if pairs.limit(1).count():
         more = keep(check(pairs), "more-links")
-        if more.limit(1).count():
-            groups = components(found.unionByName(more))
+        if more.limit(1).count():  # each group stands for its links
+            groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     return groups.withColumnRenamed("node", "rep")
 
 
