@@ -7,7 +7,8 @@ is the Dice coefficient of their sets of word bigrams. Units at or above `LEAST`
 Size bounds prune: with a template of b bigrams a unit needs from b * LEAST / (2 - LEAST) to b * (2 - LEAST) / LEAST of
 them, and since dropping a bigram at an end that the template lacks never lowers the likeness, a unit starts and ends with
 a bigram of the template. Of overlapping matches the best stays (by likeness, then the longer, then the earlier, then the
-template's name); the opening that the BSD licences share (`EITHER_BSD`) yields to any match of a single licence.
+template's name); the opening that the BSD licences share (`EITHER_BSD`) yields to any match of a single licence. The work
+grows with the length of a text, also of one that repeats a notice many thousand times.
 
 Edge cases: null and empty texts match nothing; a unit or template of one word has that word as its only bigram; matches
 are given by the lines they touch, so two on one line have the same lines; repeated rows match alike; an empty table gives an empty table.
@@ -17,6 +18,7 @@ Other columns of the input are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -239,6 +241,9 @@ class Scanner:
             for number in self.by_bigram.get(pair, ()):
                 seen[number] = seen.get(number, 0) + 1
         heap: list[tuple] = []
+        before, after = _neighbours(keys) if any(n >= self.templates[t].least for t, n in seen.items()) else ([], [])
+        firsts: dict[tuple[int, int], array] = {}  # by template and start
+        last_own: dict[int, array] = {}
         for number, distinct in seen.items():
             template = self.templates[number]
             if distinct < template.least:
@@ -246,8 +251,12 @@ class Scanner:
             if any(len(pair) == 1 for pair in template.bigrams):
                 heap += [(-1.0, -1, i, template.name, number, i + 1) for i, w in enumerate(words) if (w,) in template.bigrams]
                 continue
-            for start in self._starts(template, keys):
-                heap += self._best(number, keys, start, len(words))
+            last_own[number] = _last_of(template.bigrams, keys)
+            for start, places in _first_places(self._starts(template, keys), int(template.most) + 1, before, after):
+                best = self._best(number, keys, start, len(words), places, last_own[number])
+                if best:
+                    firsts[number, start] = places
+                    heap += best
         if not heap:
             return []
         kept: list[tuple[int, int, str, float]] = []
@@ -267,8 +276,9 @@ class Scanner:
                 continue
             free = taken[at] if at < len(taken) else len(words)
             if stop > free:  # a better unit took its end: the best one that is left from here
-                for other in self._best(number, keys, start, free):
-                    heappush(heap, other)
+                if (number, start) in firsts:  # a unit of one word has nothing shorter
+                    for other in self._best(number, keys, start, free, firsts[number, start], last_own[number]):
+                        heappush(heap, other)
                 continue
             insort(taken, start)
             ends[start] = stop
@@ -296,23 +306,23 @@ class Scanner:
                 held[pair] -= 1
         return starts
 
-    def _best(self, number: int, keys: list[tuple], start: int, free: int) -> list[tuple]:
-        """The best unit from the word `start` to before the word `free`, if it matches, as an entry of the heap."""
+    def _best(self, number: int, keys: list[tuple], start: int, free: int, firsts: array, last_own: array) -> list[tuple]:
+        """The best unit from the word `start` to before the word `free`, if it matches, as an entry of the heap.
+
+        The likeness changes only where a bigram is met for the first time; between two such places the longest unit is
+        the one up to the last of the template's own bigrams, wherever it has occurred before.
+        """
         template = self.templates[number]
-        if len(next(iter(template.bigrams))) == 1:
-            return []
-        own, unit, hits, best = template.bigrams, set(), 0, None
-        for i in range(start, free - 1):
-            pair = keys[i]
-            if pair not in unit:
-                unit.add(pair)
-                if len(unit) > template.most:
-                    break
-                hits += pair in own
-            if pair in own:
-                likeness = 2 * hits / (len(unit) + len(own))
+        own, hits, best = template.bigrams, 0, None
+        for met, place in enumerate(firsts, 1):
+            if place >= free - 1 or met > template.most:
+                break
+            hits += keys[place] in own
+            end = last_own[min(firsts[met] if met < len(firsts) else len(keys), free - 1) - 1]
+            if end >= place:
+                likeness = 2 * hits / (met + len(own))
                 if likeness >= self.least and (best is None or likeness >= best[0]):
-                    best = likeness, i + 2
+                    best = likeness, end + 2
         return [(-best[0], start - best[1], start, template.name, number, best[1])] if best else []
 
     def _touch(self, pairs: set, at: tuple[int, ...], touched: dict[int, set[int]]) -> None:
@@ -340,6 +350,49 @@ class Scanner:
                         yield template.name, start, i + 1, likeness
 
 
+def _neighbours(keys: list[tuple]) -> tuple[array, array]:
+    """For each place the one before and the one after with the same bigram (-1, and the end, if there is none)."""
+    before, after, last = array("l", bytes(8 * len(keys))), array("l", [len(keys)]) * len(keys), {}
+    for i, pair in enumerate(keys):
+        before[i] = at = last.get(pair, -1)
+        if at >= 0:
+            after[at] = i
+        last[pair] = i
+    return before, after
+
+
+def _last_of(own: frozenset, keys: list[tuple]) -> array:
+    """For each place the last one up to it that holds one of the bigrams `own`, -1 if none does."""
+    out, last = array("l"), -1
+    for i, pair in enumerate(keys):
+        last = i if pair in own else last
+        out.append(last)
+    return out
+
+
+def _first_places(starts: list[int], most: int, before: array, after: array) -> Iterator[tuple[int, array]]:
+    """For each of the rising `starts` the first `most` places at which a bigram occurs for the first time from there on.
+
+    The list slides along: past a place, the next occurrence of its bigram becomes a first one.
+    """
+    at = reach = 0
+    places: list[int] = []
+    for start in starts:
+        if start >= reach:
+            at = reach = start
+            places = []
+        while at < start:
+            places.pop(0)  # `at` itself, always a first place
+            if after[at] < reach:
+                insort(places, after[at])
+            at += 1
+        while len(places) < most and reach < len(before):
+            if before[reach] < at:
+                places.append(reach)
+            reach += 1
+        yield start, array("l", places)
+
+
 def license_matches(docs: DataFrame, listed: tuple[tuple[str, str], ...] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """Per document the number of matches, the best one's `license` and `dice`, and all as name:first line:line after:likeness."""
 
