@@ -36,6 +36,7 @@ SIZE = len(ALPHABET) + 1  # one more for any other character
 LEAST_RATIO = 12.0
 EVEN = 0.5  # share of the random model that is even over all characters
 SMOOTHING = 0.5
+CHUNK = 128  # matches that one fold counts off
 BACKING = 4.0  # weight, in counts, of the characters' overall frequencies in the identifiers' model
 
 
@@ -54,19 +55,31 @@ def matches(text: str, pattern: str, group: int, least: int, kind: int, floor: s
     whole = f"regexp_extract_all({text}, {used}, 0)"
     value = f"regexp_extract_all({text}, {used}, {group})" if group else whole
     none = "CAST(array() AS array<struct<start: int, kind: int, stop: int, value: string>>)"
-    return f"""
+    pairs = f"""
+      IF(size({whole}) = 0, CAST(array() AS array<struct<piece: string, found: string, value: string>>),
+         zip_with(split({text}, {used}, -1), zip_with({whole}, {value}, (f, v) -> struct(f AS found, v AS value)),
+                  (p, m) -> struct(p AS piece, m.found AS found, m.value AS value)))"""
+    # Matches are counted off in chunks, so that no fold ever copies a long array: places within each chunk, then the
+    # places at which the chunks begin.
+    chunk = f"""
       aggregate(
-        IF(size({whole}) = 0, CAST(array() AS array<struct<piece: string, found: string, value: string>>),
-           zip_with(split({text}, {used}, -1), zip_with({whole}, {value}, (f, v) -> struct(f AS found, v AS value)),
-                    (p, m) -> struct(p AS piece, m.found AS found, m.value AS value))),
+        part,
         named_struct('at', 0, 'spans', {none}),
         (s, x) -> named_struct(
           'at', s.at + length(x.piece) + coalesce(length(x.found), 0),
           'spans', IF(length(x.value) >= {least},
             concat(s.spans, array(named_struct('start', s.at + length(x.piece), 'kind', {kind},
                                                'stop', s.at + length(x.piece) + length(x.found), 'value', x.value))),
-            s.spans)),
-        s -> s.spans)"""
+            s.spans)))"""
+    cut = f"transform(sequence(0, greatest(size(pairs) - 1, 0) div {CHUNK}), i -> slice(pairs, i * {CHUNK} + 1, {CHUNK}))"
+    begins = "aggregate(chunks, array(0), (b, c) -> concat(b, array(element_at(b, -1) + c.at)))"
+    placed = """
+      flatten(zip_with(chunks, slice(begins, 1, size(chunks)), (c, b) -> transform(c.spans, x -> named_struct(
+        'start', x.start + b, 'kind', x.kind, 'stop', x.stop + b, 'value', x.value))))"""
+    return f"""
+      transform(array({pairs}), pairs ->
+        transform(array(transform({cut}, part -> {chunk})), chunks ->
+          transform(array({begins}), begins -> {placed})[0])[0])[0]"""
 
 
 def base_spans(text: str = "__text") -> str:
@@ -125,12 +138,28 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("__text", F.coalesce(F.col(f"`{text}`"), F.lit(""))).withColumn("__base", F.expr(base_spans()))
 
 
+def untouched(found: str, base: str) -> str:
+    """SQL for the spans of `found` that overlap no span of `base`.
+
+    Base spans of one kind never overlap and stand in order, so of each kind only the last that starts before a span's
+    end can reach into it; it is found by halving.
+    """
+    kinds = range(len(KINDS))
+    sorted_kinds = ", ".join(f"filter({base}, b -> b.kind = {kind})" for kind in kinds)
+    jumps = "array(" + ", ".join(str(1 << p) for p in reversed(range(31))) + ")"
+    earlier = f"aggregate({jumps}, 0, (n, jump) -> IF(n <= size(spans) - jump AND spans[n + jump - 1].start < m.stop, n + jump, n))"
+    clear = f"transform(array({earlier}), n -> n = 0 OR spans[greatest(n - 1, 0)].stop <= m.start)[0]"
+    return f"""
+      transform(array(struct({found} AS found, array({sorted_kinds}) AS kinds)), x ->
+        filter(x.found, m -> forall(x.kinds, spans -> {clear})))[0]"""
+
+
 def with_spans(docs: DataFrame, text: str = "text", labelled: DataFrame | None = None, least: float = LEAST_RATIO) -> DataFrame:
     """`docs` with `spans`: an array of (`start`, `kind`, `stop`, `value`), `kind` counting assign, access, hex, markov from 0."""
     found = with_base(docs.drop("spans"), text)
     table = train(samples(with_base(docs.select(text), text)) if labelled is None else labelled)
     found = found.withColumn("__more", F.expr(matches("__text", CANDIDATE, 0, 0, len(KINDS))))
-    found = found.withColumn("__more", F.expr("filter(__more, m -> NOT exists(__base, b -> b.start < m.stop AND m.start < b.stop))"))
+    found = found.withColumn("__more", F.expr(untouched("__more", "__base")))
     scored = F.filter("__more", lambda m: log_ratio(m["value"], table) >= least)
     return found.withColumn("spans", F.array_sort(F.concat("__base", scored))).drop("__text", "__base", "__more")
 
