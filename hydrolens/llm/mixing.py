@@ -6,7 +6,7 @@ and has to have run it by slot ceil((j + 1) / w). In each slot the released bloc
 after any number of slots every source is less than one block away from its share.
 
 Weights are whole shares of a cycle of slots, and the schedule repeats with the cycle, so one cycle is worked out
-(as one SQL expression over the cycle, whose length is set by the number of sources and not by the rows) and every
+(with heaps over the sources; its length is set by their number and not by the rows) and every
 block finds its slot by division. Once a source has run out, its slots stay empty and the others keep their order;
 `on_target` is false from that slot on. No row is left out or repeated.
 
@@ -22,6 +22,8 @@ gives an empty table. Columns of the input named like an added one (`mix_block`,
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 BLOCK_CHARS = 16_384
@@ -72,31 +74,23 @@ def shares(weights: dict[str, float]) -> tuple[dict[str, int], int]:
 
 
 def schedule(spark: SparkSession, whole: dict[str, int], cycle: int) -> DataFrame:
-    """One cycle by earliest deadline first: `__source`, its block `__turn` in the cycle, and the `__slot`."""
+    """One cycle by earliest deadline first: `__source`, its block `__turn` in the cycle, and the `__slot`.
+
+    Two heaps hold the next block of each source, by release time and by deadline: eight slots or so for each source.
+    """
     names = sorted(whole)
     if not names:
         return spark.createDataFrame([], "__source string, __share int, __turn int, __slot int")
-    share = "array(" + ", ".join(str(whole[n]) for n in names) + ")"
-    sql = f"""
-      SELECT explode(aggregate(
-        sequence(0, {cycle - 1}),
-        named_struct('done', array_repeat(0, {len(names)}), 'ran', CAST(array() AS array<struct<i: int, turn: int, slot: int>>)),
-        (state, slot) -> transform(
-          array(array_min(filter(
-            transform(state.done, (n, i) -> named_struct(
-              'deadline', ((n + 1) * {cycle} + {share}[i] - 1) div {share}[i], 'i', i,
-              'turn', n, 'released', n * {cycle} div {share}[i] <= slot)),
-            x -> x.released))),
-          best -> named_struct(
-            'done', transform(state.done, (n, i) -> IF(i = best.i, n + 1, n)),
-            'ran', concat(state.ran, array(named_struct('i', best.i, 'turn', best.turn, 'slot', slot)))))[0],
-        state -> state.ran)) AS run"""
-    listed = F.array(*[F.lit(n) for n in names])
-    counts = F.array(*[F.lit(whole[n]) for n in names])
-    return spark.sql(sql).select(
-        listed[F.col("run.i")].alias("__source"), counts[F.col("run.i")].alias("__share"),
-        F.col("run.turn").alias("__turn"), F.col("run.slot").alias("__slot"),
-    )
+    ran, ready, waiting = [], [], [(0, i, 0) for i in range(len(names))]
+    for slot in range(cycle):
+        while waiting and waiting[0][0] <= slot:
+            _, i, turn = heappop(waiting)
+            heappush(ready, (-(-(turn + 1) * cycle // whole[names[i]]), i, turn))  # its deadline
+        _, i, turn = heappop(ready)
+        ran.append((names[i], whole[names[i]], turn, slot))
+        if turn + 1 < whole[names[i]]:
+            heappush(waiting, ((turn + 1) * cycle // whole[names[i]], i, turn + 1))
+    return spark.createDataFrame(ran, "__source string, __share int, __turn int, __slot int")
 
 
 def mix(docs: DataFrame, chars: Column, key: Column, weights: dict[str | None, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
