@@ -11,8 +11,9 @@ level's range, is part of the lower one's, so texts of different lengths are com
 two fingerprints is their agreement there, less what chance gives: 1 for equal texts, near 0 for unrelated ones.
 
 Near-duplicates: bands of sampled positions make buckets, and candidates are verified by likeness of whole fingerprints.
-A band holds ten written characters (fewer for texts of some dozen characters), so unrelated texts rarely share one. Two
-texts of likeness 0.8 share one of 32 bands with probability 0.98, of 0.85 with 0.9996.
+A band holds twelve written characters (fewer for texts of some dozen characters), so unrelated texts, and texts with a
+passage in common, rarely share one. Two texts of likeness 0.8 share one of 48 bands with probability 0.98, of 0.85 with
+0.9997. Members of a bucket are compared with two leads; the others only if their distances from these allow a link.
 
 The text after each document in descending id is found by sorting: a bounded sample of row keys gives the borders of
 ranges, each range is one task that streams through its rows in order, and the row that opens a range is also sent to
@@ -42,7 +43,7 @@ PERIOD = 4096
 CLASSES = 64
 SAMPLES = 256
 BASE = 8  # the lowest level: 2^8 steps
-BANDS, WIDTH = 32, 10
+BANDS, WIDTH = 48, 12
 PER_RANGE = 20  # sampled keys for each range
 PAD = 16
 _DIGITS = np.frombuffer(b"0123456789abcdef.", np.uint8)
@@ -323,20 +324,21 @@ def near_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
     return made.select("doc_id", "fingerprint").join(near, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
 
-def likenesses(one: list[str], two: list[str]) -> np.ndarray:
-    """`likeness` of fingerprints pair by pair, those of one level at once."""
-    out = np.empty(len(one))
+def likenesses(one: list[str], two: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """`likeness` of fingerprints pair by pair, and the steps in which they differ (-1 if their levels do)."""
+    out, apart = np.empty(len(one)), np.full(len(one), -1)
     levels = np.array([(int(a[:2]), int(b[:2])) for a, b in zip(one, two)]).reshape(-1, 2)
     for level in np.unique(levels[levels[:, 0] == levels[:, 1], 0]):
         which = np.flatnonzero((levels == level).all(axis=1))
         a, b = _rows_of([one[i] for i in which]), _rows_of([two[i] for i in which])
         either = (a != PAD) | (b != PAD)
         n = either.sum(axis=1)
-        share = ((a == b) & either).sum(axis=1) / np.maximum(n, 1)
-        out[which] = np.where(n > 0, np.clip((share - 1 / 16) / (15 / 16), 0, 1), (a == b).all(axis=1))
+        apart[which] = (a != b).sum(axis=1)
+        share = (n - apart[which]) / np.maximum(n, 1)
+        out[which] = np.where(n > 0, np.clip((share - 1 / 16) / (15 / 16), 0, 1), 1.0)
     for i in np.flatnonzero(levels[:, 0] != levels[:, 1]):
         out[i] = likeness(from_text(one[i]), from_text(two[i]))
-    return out
+    return out, apart
 
 
 def components_of(made: DataFrame, least: float = 0.8) -> DataFrame:
@@ -356,14 +358,17 @@ def components_of(made: DataFrame, least: float = 0.8) -> DataFrame:
         entries = classes.mapInPandas(entries_of, "key bigint, rep bigint")
         texts = classes.select("rep", "fingerprint")
 
-        @F.pandas_udf("double")
-        def alike(one: pd.Series, two: pd.Series) -> pd.Series:
-            return pd.Series(likenesses(one.tolist(), two.tolist()))
+        @F.pandas_udf("linked boolean, d int")
+        def compared(one: pd.Series, two: pd.Series) -> pd.DataFrame:
+            alike, apart = likenesses(one.tolist(), two.tolist())
+            return pd.DataFrame({"linked": alike >= least, "d": pd.array(np.where(apart < 0, None, apart), "Int32")})
 
         def check(pairs: DataFrame) -> DataFrame:
             one = texts.select(F.col("rep").alias("a"), F.col("fingerprint").alias("one"))
             two = texts.select(F.col("rep").alias("b"), F.col("fingerprint").alias("two"))
-            return pairs.join(one, "a").join(two, "b").where(alike("one", "two") >= least).select("a", "b")
+            return pairs.join(one, "a").join(two, "b").withColumn("x", compared("one", "two")).select("a", "b", "x.linked", "x.d")
 
-        near = bucket_groups(entries, check, shared_ids, keep)
+        # Two texts whose fingerprints differ in more than this number of steps are less alike, however long they are.
+        most = int(SAMPLES * 15 * (1 - least) / 16 + 1e-9)
+        near = bucket_groups(entries, check, shared_ids, keep, most)
         return stage(own.join(near, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id")), "edit-components")

@@ -55,6 +55,7 @@ def _small_star(pairs: DataFrame) -> DataFrame:
 
 
 LEADERS = 2
+MOST_DISTANCE = 256
 
 
 def members(rows: DataFrame, classes: DataFrame, by: str, keep: Callable[[DataFrame, str], DataFrame] = stage) -> tuple[DataFrame, DataFrame]:
@@ -68,36 +69,50 @@ def members(rows: DataFrame, classes: DataFrame, by: str, keep: Callable[[DataFr
     return own.drop("last"), each.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
 
 
-def bucket_groups(entries: DataFrame, check: Callable[[DataFrame], DataFrame], known: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def bucket_groups(entries: DataFrame, check: Callable[[DataFrame], DataFrame], known: DataFrame, keep: Callable[[DataFrame, str], DataFrame], most: int) -> DataFrame:
     """`rep` and `component` (smallest node reachable) of every node that links with another.
 
-    `entries` has `key` (a bucket) and `rep`; `check` keeps those of the distinct pairs (`a` < `b`) that are linked; `known`
-    holds links known beforehand (`a`, `b`); `keep` stores what several passes read. A bucket never makes all its pairs
-    at once. First its members are checked against `LEADERS` of them, the first in as many hash orders, and links merge
-    groups. Pairs of a bucket that then still are in different groups and were not checked are checked one by one, so no
+    `entries` has `key` (a bucket) and `rep`; `check` gives for distinct pairs (`a` < `b`) whether they are `linked`, and
+    their distance `d`, or null where none is known; pairs farther apart than `most` are never linked. `known` holds links
+    known beforehand (`a`, `b`); `keep` stores what several passes read. A bucket never makes all its pairs at once. First
+    its members are checked against `LEADERS` of them, the first in as many hash orders, and links merge groups. Pairs of
+    a bucket that then still are in different groups can only be linked if their distances from each leader differ by
+    `most` at most (triangle inequality); these are found by cells of the first distance and checked one by one, so no
     linked pair of a bucket is lost.
     """
     orders = [F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), F.col("rep").alias("other"))).alias(f"first{i}") for i in range(LEADERS)]
     dealt = entries.repartition("key")
     shared = dealt.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), *orders).where("low <> high")
-    leaders = F.array_distinct(F.array(*[f"first{i}.other" for i in range(LEADERS)])).alias("leaders")
+    leaders = F.array(*[f"first{i}.other" for i in range(LEADERS)]).alias("leaders")
     buckets = keep(dealt.join(shared.select("key", leaders), "key"), "buckets")
 
-    tested = keep(_pairs(buckets.select("rep", F.explode("leaders").alias("other"))), "pairs")
-    found = keep(check(tested).unionByName(known), "near-links")
+    tested = keep(check(_pairs(buckets.select("rep", F.explode("leaders").alias("other")))), "pairs")
+    found = tested.where("linked").select("a", "b").unionByName(known)
     groups = keep(components(found), "near-groups")
 
-    labelled = buckets.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    labelled = buckets.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     labelled = keep(labelled.distinct(), "bucket-groups")
     split = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     rest = labelled.join(split.select("key"), "key", "left_semi")
-    others = rest.select("key", F.col("rep").alias("other"), F.col("component").alias("group"))
-    pairs = rest.join(others, "key").where("rep < other AND component <> `group`")
-    pairs = keep(_pairs(pairs).join(tested, ["a", "b"], "left_anti"), "more-pairs")
-    if pairs.limit(1).count():
-        more = keep(check(pairs), "more-links")
-        if more.limit(1).count():  # each group stands for its links
-            groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    for i in range(LEADERS):
+        leader = F.col("leaders")[i]
+        rest = rest.withColumns({"a": F.least("rep", leader), "b": F.greatest("rep", leader)})
+        rest = rest.join(tested.select("a", "b", F.col("d").alias(f"d{i}")), ["a", "b"], "left")
+        rest = rest.withColumn(f"d{i}", F.when(F.col("rep") == leader, 0).otherwise(F.col(f"d{i}"))).drop("a", "b")
+    rest = keep(rest.drop("leaders"), "split-buckets")
+    width = most + 1
+    cell, anywhere = F.col("d0").cast("int") / width, F.sequence(F.lit(-1), F.lit(MOST_DISTANCE // width + 1))
+    cell = F.floor(cell).cast("int")
+    # Members of unknown distance stand in all cells.
+    one = rest.withColumn("cell", F.explode(F.when(F.col("d0").isNull(), anywhere).otherwise(F.array(cell))))
+    two = rest.withColumn("cell", F.explode(F.when(F.col("d0").isNull(), anywhere).otherwise(F.array(cell - 1, cell, cell + 1))))
+    two = two.select("key", "cell", F.col("rep").alias("other"), F.col("component").alias("group"), *[F.col(f"d{i}").alias(f"e{i}") for i in range(LEADERS)])
+    near = " AND ".join(f"coalesce(abs(d{i} - e{i}) <= {most}, true)" for i in range(LEADERS))
+    both = one.alias("one").join(two.alias("two"), F.expr(f"one.key = two.key AND one.cell = two.cell AND rep < other AND component <> `group` AND {near}"))
+    pairs = _pairs(both.select("rep", "other")).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    more = keep(check(pairs), "more-pairs").where("linked").select("a", "b")
+    if more.limit(1).count():  # each group stands for its links
+        groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     return groups.withColumnRenamed("node", "rep")
 
 
