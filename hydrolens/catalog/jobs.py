@@ -177,6 +177,22 @@ def _(spark, sf):
     return mt.read_chunked(spark, path)
 
 
+@register(
+    "clustered_prices",
+    f"""SELECT date, {OHLC}, volume FROM stock
+WHERE volume BETWEEN (SELECT quantile_disc(volume, 0.4) FROM stock) AND (SELECT quantile_disc(volume, 0.6) FROM stock) AND close > 150""",
+    ("stock",),
+)
+def _(spark, sf):
+    """The price table laid out along a curve through date, volume and close, read by volume and close."""
+    path = stage_path(spark, "clustered")
+    mt.write_chunked(fx.stock(spark, sf), path)
+    mt.cluster(spark, path, ["date", "volume", "close"])
+    table = mt.read_chunked(spark, path)
+    low, high = table.agg(*[F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY volume)") for q in (0.4, 0.6)]).first()
+    return table.where(F.col("volume").between(int(low), int(high)) & (F.col("close") > 150))
+
+
 @register(
     "retained_chunks",
     f"""SELECT date, {OHLC}, volume FROM stock

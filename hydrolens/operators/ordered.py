@@ -63,7 +63,7 @@ def _sort(order: list[str]) -> list[Column]:
     return [F.asc_nulls_last(name) for name in order]
 
 
-def _position(df: DataFrame, name: str) -> Column | None:
+def position_of(df: DataFrame, name: str) -> Column | None:
     """A number that never falls as the column rises, for types that have a cheap one."""
     kind, col = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.IntegralType):
@@ -89,7 +89,7 @@ def _boundaries(keys: DataFrame, rows: int, slices: int) -> tuple[Column, int]:
     return F.from_json(F.lit(row.text), f"array<{keys.schema['key'].dataType.simpleString()}>", _JSON), row.n
 
 
-def _rank(key: Column, bounds: Column, size: int) -> Column:
+def rank_among(key: Column, bounds: Column, size: int) -> Column:
     """Number of boundaries at or below the key, by binary search."""
     steps = F.array(*[F.lit(1 << p) for p in reversed(range(max(1, size.bit_length())))])
 
@@ -142,7 +142,7 @@ def _layout(df: DataFrame, order: list[str], lookback: int, block_rows: int) ->
     cells that hold too many rows (a busy hour, a third of the rows at one moment) are cut further
     at boundaries sampled from the whole key.
     """
-    position = _position(df, order[0])
+    position = position_of(df, order[0])
     ends = [F.min(position), F.max(position)] if position is not None else [F.lit(None), F.lit(None)]
     rows, low, high = df.agg(F.count("*"), *ends).first()
     if rows == 0:
@@ -166,7 +166,7 @@ def _layout(df: DataFrame, order: list[str], lookback: int, block_rows: int) ->
     is_hot = F.get(_literal([c in hot for c in range(cells + 1)], "array<boolean>"), cell)
     key, crowded = _order_key(order), df.where(is_hot)
     bounds, size = _boundaries(crowded.select(key.alias("key")), hot_rows, max(2, 2 * hot_rows // limit))
-    rank = _rank(key, bounds, size)
+    rank = rank_among(key, bounds, size)
     # Ranks rise with the key, so those of one cell are a run of numbers. Neighbouring cells may
     # share a rank; each keeps its own slice for it.
     parts = _counts(crowded, cell, rank)

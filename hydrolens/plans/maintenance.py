@@ -8,6 +8,7 @@ repeated.
 
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import date
 
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from hydrolens.functions.text import size_text
 from hydrolens.functions.time import Moment, Range, ago, in_range, moment
+from hydrolens.operators.ordered import position_of, rank_among
 from hydrolens.operators.upsert import upsert_rows
 from hydrolens.plans.prices import monthly_rollup
 from hydrolens.session import delete_path, staging
@@ -92,10 +94,10 @@ def recover(spark: SparkSession, path: str) -> None:
             delete_path(spark, f"{path}/{name}")
 
 
-def _replace_chunks(df: DataFrame, path: str) -> None:
+def _replace_chunks(df: DataFrame, path: str, **options) -> None:
     """Put the chunks of `df` in the place of the table's; other months stay as they are. `df` may read the table."""
     spark, fresh = df.sparkSession, f"{path}/{IN}{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").partitionBy(MONTH).parquet(fresh)
+    df.write.options(compression="zstd", **options).partitionBy(MONTH).parquet(fresh)
     present = set(_names(spark, path))
     for chunk in [name for name in _names(spark, fresh) if name.startswith(f"{MONTH}=")]:
         old = f"{path}/{OUT}{chunk.partition('=')[2]}"
@@ -122,6 +124,60 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[
     return months
 
 
+# --- clustering --------------------------------------------------------------------------------
+
+CLUSTER_BITS = 8
+
+
+def interleaved(ranks: list[Column], bits: int = CLUSTER_BITS) -> Column:
+    """One number from several of `bits` bits each, bit by bit in turn, so that near in it is near in all of them."""
+    parts = []
+    for bit in range(bits):
+        for i, rank in enumerate(ranks):
+            taken = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("bigint")
+            parts.append(F.shiftleft(taken, bit * len(ranks) + i))
+    key = parts[0]
+    for part in parts[1:]:
+        key = key.bitwiseOR(part)
+    return key
+
+
+def cluster_key(df: DataFrame, columns: list[str], bits: int = CLUSTER_BITS) -> Column:
+    """Position on a space-filling curve through `columns`, each ranked by its own quantiles; nulls rank first.
+
+    The quantiles come from one pass and are at most 2^bits numbers for each column. They decide where rows lie, never which
+    rows a query finds.
+    """
+    steps = [F.lit(i / (1 << bits)) for i in range(1, 1 << bits)]
+    places = {c: position_of(df, c) for c in columns}
+    number = {c: F.col(c).cast("double") if at is None else at for c, at in places.items()}
+    row = df.agg(*[F.percentile_approx(number[c], F.array(*steps), F.lit(10_000)).alias(c) for c in columns]).first()
+    ranks = []
+    for c in columns:
+        bounds = sorted(set(row[c] or []))
+        listed = F.from_json(F.lit(json.dumps(bounds)), "array<double>")
+        ranks.append(F.coalesce(rank_among(number[c], listed, len(bounds)), F.lit(0)))
+    return interleaved(ranks, bits)
+
+
+def cluster(spark: SparkSession, path: str, columns: list[str], months: list[date] | None = None, rows_per_file: int = 5_000_000) -> list[date]:
+    """Rewrite chunks so that a filter on any of `columns` skips most files and row groups; returns their months.
+
+    A chunk sorted by time has every volume in every file. Along the curve each file holds a narrow range of all
+    columns at once, and the least and largest values that Parquet keeps for each file and row group let the scan pass over
+    the others, without a table of its own to keep up to date. Ranges of the curve go to tasks, so a large month is
+    spread over many.
+    """
+    recover(spark, path)
+    months = sorted(set(chunks(spark, path)) & set(months)) if months is not None else chunks(spark, path)
+    if months:
+        rows = _chunk_schema(spark, path).where(F.col(MONTH).isin(months))
+        keyed = rows.withColumn("_curve", cluster_key(rows, columns))
+        ordered = keyed.repartitionByRange(MONTH, "_curve").sortWithinPartitions(MONTH, "_curve").drop("_curve")
+        _replace_chunks(ordered, path, maxRecordsPerFile=rows_per_file)
+    return months
+
+
 # --- rollup ------------------------------------------------------------------------------------
 
 

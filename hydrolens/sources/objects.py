@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from itertools import islice
+from heapq import heappush, heapreplace
+from itertools import chain, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,6 +18,9 @@ from hydrolens.functions.text import media_type
 from hydrolens.session import parallelism, stage
 
 IO_THREADS = 16
+PAGE = 10_000  # names a task holds while it lists
+RANGE_OBJECTS = 500_000  # names of a folder that one task lists
+RANGE_SAMPLE = 20_000
 
 
 # Names of objects that are still being written.
@@ -30,40 +36,118 @@ def qualified_root(spark: SparkSession, root: str) -> str:
     return full
 
 
-def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+def list_objects(spark: SparkSession, root: str, prefix: str = "", page: int = PAGE, per_range: int = RANGE_OBJECTS) -> DataFrame:
     """(key, size, last_modified) of all objects under a prefix, empty and hidden ones included.
 
-    Folders are opened level by level, each by the task it falls to; contents are not read.
-    Objects that are still being written do not count.
+    Folders are opened level by level, each by the task it falls to; contents are not read. A folder of more than one
+    page is only counted there: its names are cut into ranges at sampled names, and each range is listed by a task of its own,
+    page by page, so neither one flat folder nor one task holds the listing (see `pages` for what a store gives). Objects
+    that are still being written do not count.
     """
     root = qualified_root(spark, root)
-    shape = "key string, size bigint, last_modified timestamp, folder boolean"
+    seen = "key string, size bigint, last_modified timestamp, folder boolean, low string, high string"
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         store, base = open_root(root)
         for batch in batches:
             for folder in batch["key"]:
-                at = f"{base}/{folder}".rstrip("/")
-                infos = store.get_file_info(fs.FileSelector(at, allow_not_found=True))
-                infos = [i for i in infos if not DRAFT.match(i.base_name)]
-                rows = [(f"{folder}/{i.base_name}".lstrip("/"), i.size, i.mtime, i.type == fs.FileType.Directory) for i in infos]
-                found = pd.DataFrame(rows, columns=["key", "size", "last_modified", "folder"])
-                yield found.astype({"size": "Int64", "folder": bool}).assign(last_modified=pd.to_datetime(found["last_modified"], utc=True))
+                names = _names(store, base, folder)
+                held = list(islice(names, page + 1))
+                if len(held) <= page:
+                    yield _entries(store, base, folder, held)
+                else:
+                    cuts = _cuts(chain(held, names), per_range)
+                    yield _shaped([(folder, None, None, True, low, high) for low, high in zip(["", *cuts], [*cuts, None])])
+
+    def list_range(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = open_root(root)
+        for batch in batches:
+            for folder, low, high in batch[["key", "low", "high"]].itertuples(index=False, name=None):
+                for names in pages(store, base, folder, low, high, page):
+                    yield _entries(store, base, folder, names)
 
     level = spark.createDataFrame([(prefix.rpartition("/")[0],)], "key string")
     found = []
     while level.limit(1).count():
-        inside = stage(_spread(level, "key").mapInPandas(look, shape), "listing")
-        found.append(inside.where("NOT folder").drop("folder"))
-        level = inside.where("folder").select("key")
+        inside = stage(_spread(level, "key").mapInPandas(look, seen), "listing")
+        crowded = inside.where("low IS NOT NULL")
+        parts = [inside]
+        if crowded.limit(1).count():
+            parts = [inside.where("low IS NULL")]
+            # One range a task: its names are few, the work behind them is not.
+            ranges = crowded.select("key", "low", "high").repartitionByRange(crowded.count(), "key", "low")
+            parts.append(stage(ranges.mapInPandas(list_range, seen), "listing"))
+        for part in parts:
+            found.append(part.where("NOT folder").select("key", "size", "last_modified"))
+        level = parts[0].where("folder").select("key")
+        for part in parts[1:]:
+            level = level.unionByName(part.where("folder").select("key"))
     listing = found[0]
     for more in found[1:]:
         listing = listing.unionByName(more)
     return listing.where(F.startswith("key", F.lit(prefix)))
 
 
+def _names(store, base: str, folder: str) -> Iterator[str]:
+    """The names in a folder, one after the other as the store gives them; none if there is no such folder.
+
+    A local or mounted folder is read as a stream. Stores behind pyarrow give a folder as one list, of names and file
+    information only.
+    """
+    from pyarrow import fs
+
+    at = f"{base}/{folder}".rstrip("/")
+    if isinstance(store, fs.LocalFileSystem):
+        try:
+            with os.scandir(at) as entries:
+                for entry in entries:
+                    if not DRAFT.match(entry.name):
+                        yield entry.name
+        except (FileNotFoundError, NotADirectoryError):
+            return
+    else:
+        for info in store.get_file_info(fs.FileSelector(at, allow_not_found=True)):
+            if not DRAFT.match(info.base_name):
+                yield info.base_name
+
+
+def _cuts(names: Iterable[str], per_range: int) -> list[str]:
+    """Names at which a folder is cut into ranges of about `per_range`, from a sample of bounded size."""
+    sample: list[tuple[int, str]] = []  # the names of smallest hash, the largest of these on top
+    count = 0
+    for name in names:
+        count += 1
+        rank = -int.from_bytes(hashlib.blake2b(name.encode("utf-8", "surrogateescape"), digest_size=7).digest())
+        if len(sample) < RANGE_SAMPLE:
+            heappush(sample, (rank, name))
+        elif rank > sample[0][0]:
+            heapreplace(sample, (rank, name))
+    ranges = min(-(-count // per_range), len(sample))
+    ordered = sorted(name for _, name in sample)
+    return sorted({ordered[i * len(ordered) // ranges] for i in range(1, ranges)})
+
+
+def pages(store, base: str, folder: str, low: str, high: str | None, page: int = PAGE) -> Iterator[list[str]]:
+    """The names of a folder from `low` on and before `high`, at most `page` at a time."""
+    names = (name for name in _names(store, base, folder) if low <= name and (high is None or name < high))
+    while some := list(islice(names, page)):
+        yield some
+
+
+def _entries(store, base: str, folder: str, names: list[str]) -> pd.DataFrame:
+    """What the store knows of these names; those that have gone meanwhile are left out."""
+    from pyarrow import fs
+
+    infos = store.get_file_info([f"{base}/{folder}/{name}".replace("//", "/") for name in names]) if names else []
+    kinds = fs.FileType
+    return _shaped([(f"{folder}/{n}".lstrip("/"), i.size, i.mtime, i.type == kinds.Directory, None, None) for n, i in zip(names, infos) if i.type != kinds.NotFound])
+
+
+def _shaped(rows: list[tuple]) -> pd.DataFrame:
+    found = pd.DataFrame(rows, columns=["key", "size", "last_modified", "folder", "low", "high"])
+    return found.astype({"size": "Int64", "folder": bool}).assign(last_modified=pd.to_datetime(found["last_modified"], utc=True))
+
+
 def open_root(root: str):
     """File system and base path of a root, as pyarrow knows them."""
     from pyarrow import fs

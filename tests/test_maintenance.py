@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import random
 from decimal import Decimal
 
 import pytest
@@ -174,3 +175,58 @@ def test_the_log_says_what_is_done(spark, table, tmp_path):
     log = str(tmp_path / "log")
     first = mt.logged(spark, log, "compact", table, TODAY, lambda: mt.compact(spark, table, TODAY, log=log))
     assert len(first) > 50 and mt.compact(spark, table, TODAY, log=log) == []
+
+
+def overlapping(folder, column, low, high):
+    """(row groups that may hold a value of the band, all row groups) of a folder of Parquet files, by their statistics."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    held = total = 0
+    for name in glob.glob(f"{folder}/month=*/*.parquet"):
+        data = pq.ParquetFile(name).metadata
+        at = data.schema.names.index(column)
+        for i in range(data.num_row_groups):
+            stats = data.row_group(i).column(at).statistics
+            total += 1
+            held += stats.min <= high and stats.max >= low
+    return held, total
+
+
+def test_clustered_chunks_skip_row_groups(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(dt.date(2024, 1 + i % 2, 1 + i // 2 % 28), i, rng.randrange(10**6), rng.random()) for i in range(6000)] + [(dt.date(2024, 1, 1), -1, None, None)]
+    df = spark.createDataFrame(rows, "date date, id int, volume bigint, close double")
+    path = str(tmp_path / "t")
+    df.repartitionByRange(8, "date").write.mode("overwrite").parquet(str(tmp_path / "plain"))
+    mt.write_chunked(df, path)
+    flat = overlapping(path, "volume", 400_000, 420_000)
+    assert flat[0] == flat[1]
+    assert mt.cluster(spark, path, ["date", "volume", "close"], rows_per_file=100) == [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
+    for column, low, high in (("volume", 400_000, 420_000), ("close", 0.5, 0.52), ("date", dt.date(2024, 1, 5), dt.date(2024, 1, 6))):
+        held, total = overlapping(path, column, low, high)
+        assert total >= 50 and held < 0.5 * total, (column, held, total)
+    band = mt.read_chunked(spark, path).where("volume BETWEEN 400000 AND 420000")
+    assert "GreaterThanOrEqual(volume,400000)" in plan_text(band)
+    assert sorted(r.id for r in band.collect()) == sorted(i for _, i, v, _ in rows if v is not None and 400_000 <= v <= 420_000)
+    assert sorted(map(repr, mt.read_chunked(spark, path).select(*df.columns).collect())) == sorted(map(repr, df.collect()))
+    # Some months only, a column of one value, and months that are not there.
+    assert mt.cluster(spark, path, ["volume"], [dt.date(2024, 2, 1), dt.date(1999, 1, 1)]) == [dt.date(2024, 2, 1)]
+    assert mt.read_chunked(spark, path).count() == len(rows)
+    assert mt.cluster(spark, str(tmp_path / "none"), ["volume"]) == []
+
+
+def test_interleaved_bits():
+    import pyspark.sql.functions as F
+
+    def plain(ranks, bits):
+        return sum((r >> bit & 1) << (bit * len(ranks) + i) for bit in range(bits) for i, r in enumerate(ranks))
+
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    rng = random.Random(1)
+    rows = [(rng.randrange(256), rng.randrange(256), rng.randrange(256)) for _ in range(200)]
+    got = spark.createDataFrame(rows, "a int, b int, c int").select("a", "b", "c", mt.interleaved([F.col(x) for x in "abc"]).alias("k")).collect()
+    assert all(r.k == plain((r.a, r.b, r.c), 8) for r in got)

@@ -436,3 +436,24 @@ def test_listing_is_complete(spark, tmp_path):
     assert {r.key for r in list_objects(spark, root, "deep/er").collect()} == {"deep/er/_x/file", "deep/er.png"}
     assert list_objects(spark, str(tmp_path / "none")).count() == 0
     assert qualified_root(spark, root).startswith("file:/")
+
+
+def test_a_flat_folder_is_listed_in_ranges(spark, tmp_path):
+    """400 keys of one folder and some below it, in pages of 16 and ranges of 50: several tasks, and nothing lost or twice."""
+    from hydrolens.sources import objects as ob
+
+    root = str(tmp_path / "store")
+    keys = [f"images/{i * 7919 % 1000:03d}_ü{i}.png" for i in range(400)] + [f"images/sub/{i}" for i in range(40)] + ["images/_x", "images/.y", "other"]
+    write_objects(spark.createDataFrame([(k, k.encode()) for k in keys], "key string, content binary"), root)
+    got = list_objects(spark, root, page=16, per_range=50)
+    assert sorted((r.key, r["size"]) for r in got.collect()) == sorted((k, len(k.encode())) for k in keys)
+    assert sorted(r.key for r in list_objects(spark, root, "images/0", page=16, per_range=50).collect()) == sorted(k for k in keys if k.startswith("images/0"))
+    store, base = ob.open_root(root)
+    names = sorted(os.listdir(f"{root}/images"))
+    cuts = ob._cuts(iter(names), 50)
+    assert 6 <= len(cuts) <= 8
+    parts = [list(ob.pages(store, base, "images", low, high, 16)) for low, high in zip(["", *cuts], [*cuts, None])]
+    assert all(len(page) <= 16 for part in parts for page in part) and all(20 <= sum(map(len, part)) <= 110 for part in parts)
+    assert sorted(n for part in parts for page in part for n in page) == names
+    assert ob._cuts(iter(["a"] * 3), 2) == [] or ob._cuts(iter(["a"] * 3), 2) == ["a"]
+    assert list(ob._names(store, base, "images/_x")) == [] and list(ob._names(store, base, "none")) == []
