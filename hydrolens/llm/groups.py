@@ -103,12 +103,12 @@ def bucket_groups(entries: DataFrame, check: Callable[[DataFrame], DataFrame], k
     width = most + 1
     cell, anywhere = F.col("d0").cast("int") / width, F.sequence(F.lit(-1), F.lit(MOST_DISTANCE // width + 1))
     cell = F.floor(cell).cast("int")
-    # Members of unknown distance stand in all cells.
+    # A pair meets in the cell of its farther member; members of unknown distance stand in all cells.
     one = rest.withColumn("cell", F.explode(F.when(F.col("d0").isNull(), anywhere).otherwise(F.array(cell))))
-    two = rest.withColumn("cell", F.explode(F.when(F.col("d0").isNull(), anywhere).otherwise(F.array(cell - 1, cell, cell + 1))))
+    two = rest.withColumn("cell", F.explode(F.when(F.col("d0").isNull(), anywhere).otherwise(F.array(cell, cell + 1))))
     two = two.select("key", "cell", F.col("rep").alias("other"), F.col("component").alias("group"), *[F.col(f"d{i}").alias(f"e{i}") for i in range(LEADERS)])
     near = " AND ".join(f"coalesce(abs(d{i} - e{i}) <= {most}, true)" for i in range(LEADERS))
-    both = one.alias("one").join(two.alias("two"), F.expr(f"one.key = two.key AND one.cell = two.cell AND rep < other AND component <> `group` AND {near}"))
+    both = one.alias("one").join(two.alias("two"), F.expr(f"one.key = two.key AND one.cell = two.cell AND rep <> other AND component <> `group` AND {near}"))
     pairs = _pairs(both.select("rep", "other")).join(tested.select("a", "b"), ["a", "b"], "left_anti")
     more = keep(check(pairs), "more-pairs").where("linked").select("a", "b")
     if more.limit(1).count():  # each group stands for its links
