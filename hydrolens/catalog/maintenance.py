@@ -51,6 +51,42 @@ def _(spark, sf):
     return mt.refreshed_rollup(stale, base, latest(base, "date"))
 
 
+def _rollup_sql(volume: str) -> str:
+    return f"""SELECT {MONTH} AS month, count(*) AS trading_days, round(avg(close), 8) AS avg_close_price, round(CAST(max(high) AS DOUBLE), 8) AS month_high,
+  round(CAST(min(low) AS DOUBLE), 8) AS month_low, CAST(sum({volume}) AS BIGINT) AS total_volume,
+  round(({LAST} - {FIRST}) / nullif({FIRST}, 0) * 100, 8) AS monthly_return_pct FROM stock GROUP BY 1"""
+
+
+@register(
+    "corrected_rollup",
+    _rollup_sql("CASE WHEN date_trunc('month', date) = (SELECT date_trunc('month', max(date)) - INTERVAL '5 months' FROM stock) THEN volume + 1000 ELSE volume END"),
+    ("stock",),
+)
+def _(spark, sf):
+    """A correction five months back, upserted and then found by the refresh, which reads that month only."""
+    path, rollup, changes = (_fresh_path(spark, label) for label in ("prices", "rollup", "changes"))
+    prices = stage(fx.stock(spark, sf), "prices")
+    mt.write_chunked(prices, path)
+    monthly_rollup(prices).write.parquet(rollup)
+    newest = prices.agg(F.max("date")).first()[0]
+    month = F.add_months(F.trunc(F.lit(newest), "MM"), -5)
+    fixed = prices.where(F.trunc("date", "MM") == month).withColumns({"volume": F.col("volume") + 1000, "at": F.lit(1)})
+    mt.upsert_table(spark, path, fixed, ["date"], ["at"], changes=changes)
+    mt.refresh_changed(spark, path, rollup, changes, str(newest))
+    return spark.read.parquet(rollup)
+
+
+@register("live_rollup", _rollup_sql("volume"), ("stock",))
+def _(spark, sf):
+    """A stored rollup that ends a year before the table, read together with the months after it."""
+    path, rollup = _fresh_path(spark, "prices"), _fresh_path(spark, "rollup")
+    prices = stage(fx.stock(spark, sf), "prices")
+    mt.write_chunked(prices, path)
+    end = prices.agg(F.add_months(F.trunc(F.max("date"), "MM"), -12)).first()[0]
+    monthly_rollup(prices.where(F.col("date") < F.lit(end))).write.parquet(rollup)
+    return mt.live_rollup(spark, path, rollup)
+
+
 @register(
     "retained_prices",
     f"""SELECT date, {OHLC}, volume FROM stock

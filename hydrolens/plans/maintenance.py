@@ -110,8 +110,13 @@ def _replace_chunks(df: DataFrame, path: str, **options) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: list[str], time: str = "date") -> list[date]:
-    """Upsert into a chunked table, rewriting only the months the updates touch. A table that is not there yet is begun."""
+def upsert_table(
+    spark: SparkSession, path: str, updates: DataFrame, keys: list[str], sequence: list[str], time: str = "date", changes: str | None = None
+) -> list[date]:
+    """Upsert into a chunked table, rewriting only the months the updates touch. A table that is not there yet is begun.
+
+    With `changes`, a folder, the months are noted there before they change, for `refresh_changed`.
+    """
     if time not in keys:
         raise ValueError("the key must contain the time column, which decides the chunk")
     recover(spark, path)
@@ -119,6 +124,8 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: list[
         fresh = keep(updates.withColumn(MONTH, _month(time)), "updates")
         months = sorted(r[MONTH] for r in fresh.select(MONTH).distinct().collect())
         if months:
+            if changes:
+                spark.createDataFrame([(m,) for m in months], f"{MONTH} date").coalesce(1).write.mode("append").parquet(changes)
             touched = _chunk_schema(spark, path).where(F.col(MONTH).isin(months)) if chunks(spark, path) else fresh.limit(0)
             _replace_chunks(_by_chunk(upsert_rows(touched, fresh, [*keys, MONTH], sequence), F.col(time)), path)
     return months
@@ -207,6 +214,45 @@ def refresh_rollup(spark: SparkSession, base: DataFrame, path: str, as_of: Momen
         fresh.coalesce(1).write.mode("overwrite").parquet(path)
 
 
+def refresh_changed(spark: SparkSession, path: str, rollup: str, changes: str, as_of: Moment, start: str | None = None, end: str = "1 day") -> list[date]:
+    """Recompute the stored rollup of just the months noted in `changes`, however old; returns them.
+
+    Only the chunks of those months are read. Months that are not over by `as_of - end`, or begin before `as_of - start`
+    if that is given, stay noted for a later run. Notes are removed last and by file, so those of upserts that come meanwhile
+    stay, and a run that dies is repeated.
+    """
+    notes = [f"{changes}/{name}" for name in _names(spark, changes) if name.endswith(".parquet")]
+    if not notes:
+        return []
+    noted = spark.read.schema(f"{MONTH} date").parquet(*notes).distinct()
+    over = closed_before(F.col(MONTH), as_of, end)
+    inside = over if start is None else over & (F.col(MONTH).cast("timestamp_ntz") >= ago(as_of, start, T.TimestampNTZType()))
+    marked = noted.withColumn("due", inside).collect()
+    months = sorted(r[MONTH] for r in marked if r.due)
+    if months:
+        base = _chunk_schema(spark, path).where(F.col(MONTH).isin(months)).drop(MONTH)
+        stored = spark.read.parquet(rollup)
+        fresh = monthly_rollup(base).select(*stored.columns)
+        with staging(spark) as keep:
+            keep(stored.where(~F.col(MONTH).isin(months)).unionByName(fresh), "rollup").coalesce(1).write.mode("overwrite").parquet(rollup)
+    later = [(r[MONTH],) for r in marked if not r.due]
+    if later:
+        spark.createDataFrame(later, f"{MONTH} date").coalesce(1).write.mode("append").parquet(changes)
+    for note in notes:
+        delete_path(spark, note)
+    spark.catalog.refreshByPath(changes)
+    return months
+
+
+def live_rollup(spark: SparkSession, path: str, rollup: str) -> DataFrame:
+    """The stored rollup, and the months after its last one worked out from the table: only their chunks are read."""
+    stored = spark.read.parquet(rollup)
+    mark = stored.agg(F.max(MONTH)).first()[0]
+    base = _chunk_schema(spark, path)
+    fresh = monthly_rollup((base if mark is None else base.where(F.col(MONTH) > F.lit(mark))).drop(MONTH))
+    return stored.unionByName(fresh.select(*stored.columns))
+
+
 # --- retention, compaction ---------------------------------------------------------------------
 
 
