@@ -55,7 +55,6 @@ def _small_star(pairs: DataFrame) -> DataFrame:
 
 
 LEADERS = 2
-MOST_DISTANCE = 256
 
 
 def members(rows: DataFrame, classes: DataFrame, by: str, keep: Callable[[DataFrame, str], DataFrame] = stage) -> tuple[DataFrame, DataFrame]:
@@ -77,8 +76,8 @@ def bucket_groups(entries: DataFrame, check: Callable[[DataFrame], DataFrame], k
     known beforehand (`a`, `b`); `keep` stores what several passes read. A bucket never makes all its pairs at once. First
     its members are checked against `LEADERS` of them, the first in as many hash orders, and links merge groups. Pairs of
     a bucket that then still are in different groups can only be linked if their distances from each leader differ by
-    `most` at most (triangle inequality); these are found by cells of the first distance and checked one by one, so no
-    linked pair of a bucket is lost.
+    `most` at most (triangle inequality); only these come out of the join and are checked one by one, so no linked pair
+    of a bucket is lost.
     """
     orders = [F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), F.col("rep").alias("other"))).alias(f"first{i}") for i in range(LEADERS)]
     dealt = entries.repartition("key")
@@ -100,15 +99,9 @@ def bucket_groups(entries: DataFrame, check: Callable[[DataFrame], DataFrame], k
         rest = rest.join(tested.select("a", "b", F.col("d").alias(f"d{i}")), ["a", "b"], "left")
         rest = rest.withColumn(f"d{i}", F.when(F.col("rep") == leader, 0).otherwise(F.col(f"d{i}"))).drop("a", "b")
     rest = keep(rest.drop("leaders"), "split-buckets")
-    width = most + 1
-    cell, anywhere = F.col("d0").cast("int") / width, F.sequence(F.lit(-1), F.lit(MOST_DISTANCE // width + 1))
-    cell = F.floor(cell).cast("int")
-    # A pair meets in the cell of its farther member; members of unknown distance stand in all cells.
-    one = rest.withColumn("cell", F.explode(F.when(F.col("d0").isNull(), anywhere).otherwise(F.array(cell))))
-    two = rest.withColumn("cell", F.explode(F.when(F.col("d0").isNull(), anywhere).otherwise(F.array(cell, cell + 1))))
-    two = two.select("key", "cell", F.col("rep").alias("other"), F.col("component").alias("group"), *[F.col(f"d{i}").alias(f"e{i}") for i in range(LEADERS)])
+    two = rest.select("key", F.col("rep").alias("other"), F.col("component").alias("group"), *[F.col(f"d{i}").alias(f"e{i}") for i in range(LEADERS)])
     near = " AND ".join(f"coalesce(abs(d{i} - e{i}) <= {most}, true)" for i in range(LEADERS))
-    both = one.alias("one").join(two.alias("two"), F.expr(f"one.key = two.key AND one.cell = two.cell AND rep <> other AND component <> `group` AND {near}"))
+    both = rest.alias("one").join(two.alias("two"), F.expr(f"one.key = two.key AND rep < other AND component <> `group` AND {near}"))
     pairs = _pairs(both.select("rep", "other")).join(tested.select("a", "b"), ["a", "b"], "left_anti")
     more = keep(check(pairs), "more-pairs").where("linked").select("a", "b")
     if more.limit(1).count():  # each group stands for its links
