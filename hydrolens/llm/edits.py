@@ -46,6 +46,7 @@ BASE = 8  # the lowest level: 2^8 steps
 BANDS, WIDTH = 48, 12
 PER_RANGE = 20  # sampled keys for each range
 PAD = 16
+AT_ONCE = 1024  # fingerprints whose band keys are worked out at once
 _DIGITS = np.frombuffer(b"0123456789abcdef.", np.uint8)
 
 
@@ -347,9 +348,11 @@ def components_of(made: DataFrame, least: float = 0.8) -> DataFrame:
 
     def entries_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            reps = batch["rep"].to_numpy()
-            for which, keys in keys_of(batch["fingerprint"].tolist(), batch["n_chars"].to_numpy(), least):
-                yield pd.DataFrame({"key": keys.ravel(), "rep": np.repeat(reps[which], keys.shape[1])})
+            for start in range(0, len(batch), AT_ONCE):
+                part = batch.iloc[start : start + AT_ONCE]
+                reps = part["rep"].to_numpy()
+                for which, keys in keys_of(part["fingerprint"].tolist(), part["n_chars"].to_numpy(), least):
+                    yield pd.DataFrame({"key": keys.ravel(), "rep": np.repeat(reps[which], keys.shape[1])})
 
     with staging(spark) as keep:
         named = made.where("doc_id IS NOT NULL AND n_chars > 0")
