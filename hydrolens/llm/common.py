@@ -14,6 +14,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Texts go to the Python workers in batches of about `most`, however long they are, unless the session names a bound itself.
+
+    A batch lies in the JVM, on the way and in the worker at once, and its buffer doubles as it grows.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, most)
+
+
 def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterable[dict]], schema: str, most: int = 512, taken: int = 512) -> DataFrame:
     """`rows` over each task's rows as dictionaries, in Arrow batches and as a stream.
 
@@ -21,6 +33,7 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterable[dict]], sc
     """
     kind = _parse_datatype_string(schema)
     assert isinstance(kind, StructType)
+    bounded_batches(df.sparkSession)
     arrow = to_arrow_schema(kind, prefers_large_types=False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,6 +24,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from hydrolens.llm.common import bounded_batches
+
 STATISTICS = (
     "log_chars",
     "word_length",
@@ -104,6 +106,7 @@ def with_statistics(docs: DataFrame, text: str = "text", name: str = "statistics
     def vectors(texts: pd.Series) -> pd.Series:
         return pd.Series([statistics(t).tolist() for t in texts])
 
+    bounded_batches(docs.sparkSession)
     return docs.withColumn(name, vectors(F.col(f"`{text}`")))
 
 
