@@ -272,7 +272,7 @@ def plain_links(vectors):
     return {i: (sum(1 for a, _ in linked if a == i), component[i]) for i, *_ in vectors}
 
 
-def test_links_equal_brute_force(spark):
+def test_links_equal_brute_force(spark, monkeypatch):
     pick, rows = np.random.default_rng(11), []
     for lab in range(3):
         for centre in pick.normal(size=(12, 16)):
@@ -284,16 +284,32 @@ def test_links_equal_brute_force(spark):
     got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.with_links(df).collect()}
     assert got == plain_links(exact)
     assert embeddings.with_links(df.limit(0)).count() == 0
+    monkeypatch.setattr(embeddings, "CELL", 8)  # many cells, and more blocks than one in each
+    monkeypatch.setattr(embeddings, "BLOCK", 3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.with_links(df).collect()}
+    assert got == plain_links(exact)
     again = embeddings.with_links(df.union(df.where("vec_id = 0")).union(df.where("vec_id = 1").withColumn("vec_id", F.lit(None).cast("long")))).collect()
     assert len(again) == len(rows) + 2 and [r.kept for r in again if r.vec_id is None] == [True]
 
 
 def test_long_labels_are_told_apart(spark):
     rows = [(i, [1.0, 2.0], "x" * 70 + end) for i, end in enumerate("aab")]
-    keys = {r.vec_id: r.key for r in embeddings.unit_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")).collect()}
+    keys = {r.vec_id: r.key for r in embeddings.usable_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")).collect()}
     assert keys[0] == keys[1] != keys[2]
 
 
+def test_linked_vectors_meet_in_a_cell():
+    pick = np.random.default_rng(4)
+    base = pick.normal(size=(300, 16))
+    points = np.concatenate([base, base + pick.normal(size=base.shape) * 0.05, base + pick.normal(size=base.shape) * 0.15])
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    homes, goes = embeddings.nearest_cells(points, points[pick.permutation(len(points))[:60]])
+    linked = np.argwhere(np.triu(points @ points.T >= embeddings.LEAST, 1))
+    apart = [(i, j) for i, j in linked if homes[i] != homes[j]]
+    assert len(apart) > 20 and all(homes[j] in goes[i] or homes[i] in goes[j] for i, j in apart)
+    assert np.mean([len(g) for g in goes]) < 30
+
+
 def test_cover_tree_invariants():
     pick = np.random.default_rng(2)
     points = np.concatenate([c + pick.normal(size=(20, 8)) * 0.05 for c in pick.normal(size=(10, 8))])
