@@ -23,6 +23,7 @@ from hydrolens.session import parallelism, stage as stage_rows
 
 SLICES_PER_BLOCK = 16
 MAX_BLOCKS = 16384
+ONE_TASK_ROWS = 200_000  # an order of no more rows is sorted in one task, which takes less time than cutting it
 MIN_CELLS = 4096
 MIN_SLICE_ROWS = 64
 SAMPLES_PER_SLICE = 20
@@ -140,12 +141,12 @@ def _layout(df: DataFrame, order: list[str], lookback: int, block_rows: int) ->
 
     The first order column is laid on an even grid, which costs a little arithmetic per row. Grid
     cells that hold too many rows (a busy hour, a third of the rows at one moment) are cut further
-    at boundaries sampled from the whole key.
+    at boundaries sampled from the whole key. A small order is one block and takes no more than the count.
     """
     position = position_of(df, order[0])
     ends = [F.min(position), F.max(position)] if position is not None else [F.lit(None), F.lit(None)]
     rows, low, high = df.agg(F.count("*"), *ends).first()
-    if rows == 0:
+    if rows <= min(ONE_TASK_ROWS, block_rows):
         return Layout(F.lit(0), [[0]], [0])
     blocks = min(MAX_BLOCKS, max(parallelism(df.sparkSession), -(-rows // block_rows)))
     cells = max(MIN_CELLS, blocks * SLICES_PER_BLOCK) if low is not None else 1

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
-from hydrolens.operators.ordered import assign_targets, dense_index, ordered_window, with_lookback
+from hydrolens.operators.ordered import _layout, assign_targets, dense_index, ordered_window, with_lookback
 from tests.conftest import plan_text
 
 
@@ -130,3 +130,9 @@ def test_lookback_prefix(spark):
     low = F.lit("2024-02-10").cast("date")
     got = sorted(r.id for r in with_lookback(df, "d", low, low, 29).collect())
     assert got == list(range(11, 41))
+
+
+def test_a_small_order_is_one_block(spark):
+    df = rows(spark, 300, hot=0.3, nulls=3)
+    assert _layout(df, ["ts", "id"], 49, 300).blocks == 1 < _layout(df, ["ts", "id"], 49, 299).blocks
+    check(spark, df, 300)
