@@ -54,13 +54,17 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def _named_share(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     A local master without the setting gets a fresh folder; a cluster without it is an error,
     since a machine-local path would be lost with its executor.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = _named_share(spark)
     if path:
         return path
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
@@ -70,6 +74,18 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as the cluster resolves it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
+def is_shared(spark: SparkSession, path: str) -> bool:
+    """Whether a path lies in the folder that is named as shared (`shared_dir`)."""
+    shared = _named_share(spark)
+    return bool(shared) and f"{qualified_path(spark, path)}/".startswith(f"{qualified_path(spark, shared)}/")
+
+
 def stage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hydrolens.functions.text import media_type
-from hydrolens.session import parallelism, stage
+from hydrolens.session import is_shared, parallelism, qualified_path, stage
 
 IO_THREADS = 16
 PAGE = 10_000  # names a task holds while it lists
@@ -28,10 +28,12 @@ DRAFT = re.compile(r"^\.[0-9a-f]{32}\.part$")
 
 
 def qualified_root(spark: SparkSession, root: str) -> str:
-    """The root with its scheme, as the cluster resolves it; a machine-local root is an error on a cluster."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))
-    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    if full.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+    """The root with its scheme, as the cluster resolves it; a machine-local root is an error on a cluster.
+
+    A folder of the file system below the one all executors share, as a mounted one, is no such root.
+    """
+    full = qualified_path(spark, root)
+    if full.startswith("file:") and not spark.sparkContext.master.startswith("local") and not is_shared(spark, full):
         raise ValueError(f"{full} is local to each machine; use a store that all executors reach")
     return full
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from hydrolens.functions import raster
 from hydrolens.operators import scoring
 from hydrolens.plans import monitoring as m
+from hydrolens.session import shared_dir, stage_path
 from hydrolens.sources.fixtures import predictions
 from hydrolens.sources.messages import normalise_messages, read_messages, stream_messages
 from hydrolens.sources.objects import list_objects, qualified_root, write_objects
@@ -457,3 +458,15 @@ def test_a_flat_folder_is_listed_in_ranges(spark, tmp_path):
     assert sorted(n for part in parts for page in part for n in page) == names
     assert ob._cuts(iter(["a"] * 3), 2) == [] or ob._cuts(iter(["a"] * 3), 2) == ["a"]
     assert list(ob._names(store, base, "images/_x")) == [] and list(ob._names(store, base, "none")) == []
+
+
+def test_a_mounted_root_on_a_cluster(spark, monkeypatch):
+    """Files below the shared folder are reached by every executor; others of the file system are not."""
+    shared, root = shared_dir(spark), stage_path(spark, "store")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://somewhere:7077")
+    assert qualified_root(spark, f"{root}/a/") == qualified_root(spark, root) + "/a"
+    for other in (f"{shared}-not", f"{root}/../../../own", "/tmp"):
+        with pytest.raises(ValueError, match="local to each machine"):
+            qualified_root(spark, other)
+    assert write_objects(spark.createDataFrame([("a/b", b"x")], "key string, content binary"), root) == 1
+    assert [r.key for r in list_objects(spark, root).collect()] == ["a/b"]
