@@ -9,18 +9,19 @@ HOT_ROWS = 1_000_000
 IP_BLOCK = 65536
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "left", hot_rows: int = HOT_ROWS) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "left", hot_rows: int = HOT_ROWS, counts: DataFrame | None = None) -> DataFrame:
     """Left or inner join on one key, where `right` holds each key at most once.
 
     The most frequent left keys are found first: at most HOT_KEYS of them, each with `hot_rows`
     rows or more. Their right rows, one per key, are broadcast and their left rows never shuffle.
     Every other key holds less than 1/HOT_KEYS of the rows, or less than `hot_rows`, and takes the
     ordinary join, where adaptive execution splits what still is skewed. Rows without a key cannot match and stay in place too.
+    A caller that has counted the left keys gives them as `counts` (key, `_n`).
     """
     if how not in ("left", "inner"):
         raise ValueError(f"not a lookup join: {how}")
-    counts = left.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n"))
-    top = counts.where(F.col("_n") >= hot_rows).orderBy(F.desc("_n")).limit(HOT_KEYS)
+    counts = left.groupBy(on).agg(F.count("*").alias("_n")) if counts is None else counts
+    top = counts.where(F.col(on).isNotNull()).where(F.col("_n") >= hot_rows).orderBy(F.desc("_n")).limit(HOT_KEYS)
     hot_keys = [row[0] for row in top.select(on).collect()]
     if not hot_keys:
         return left.join(right, on, how)

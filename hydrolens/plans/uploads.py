@@ -20,6 +20,7 @@ from hydrolens.functions.text import (
     uploaded_name,
 )
 from hydrolens.operators.lookup import locate_numbers, locate_prefixes, lookup_join
+from hydrolens.session import stage
 
 MB = 1024 * 1024
 
@@ -63,14 +64,15 @@ def enrich_location(uploads: DataFrame, ranges: DataFrame, networks: DataFrame |
     """Add ip, country, region, city, lat, lon from the client's address.
 
     IPv4 addresses, also those inside an IPv6 address, are found in `ranges` (`ip_from`, `ip_to`), other IPv6 addresses
-    in `networks` (`cidr`), where the longest prefix wins. Distinct addresses are resolved once; the result is joined back
-    as a lookup, so an address with a large share of the traffic costs no more than any other.
+    in `networks` (`cidr`), where the longest prefix wins. Distinct addresses are counted, staged and resolved once; the result
+    is joined back as a lookup, so an address with a large share of the traffic costs no more than any other.
     """
     rows = uploads.withColumn("_address", client_ip(F.col("x_forwarded_for"), F.col("client_host")))
-    found = resolve_addresses(rows.select("_address").distinct(), ranges, "_address", networks)
+    counts = stage(rows.groupBy("_address").agg(F.count("*").alias("_n")), "addresses")
+    found = resolve_addresses(counts.select("_address"), ranges, "_address", networks)
     # A client without any address finds nothing and is unknown.
     filled = [F.coalesce(c, F.lit(v)).alias(c) for c, v in {"ip": UNKNOWN_IP, **UNKNOWN}.items()]
-    return lookup_join(rows, found, "_address").select(*uploads.columns, *filled)
+    return lookup_join(rows, found, "_address", counts=counts).select(*uploads.columns, *filled)
 
 
 def parsed_networks(networks: DataFrame) -> DataFrame:
@@ -87,6 +89,8 @@ def resolve_addresses(addresses: DataFrame, ranges: DataFrame, address: str, net
     numbered = numbered.withColumn("_number", number)
     local = is_local_ip(F.col(address)) | F.coalesce(is_local_number(F.col("_number")), F.lit(False))
     numbered = numbered.withColumn("_local", local).withColumn("_number", F.when(~F.col("_local"), F.col("_number")))
+    # Parsed once: conditions on what an address holds would otherwise be moved below and parse the address of every row again.
+    numbered = stage(numbered, "numbered")
     located = locate_numbers(numbered, ranges, "_number", list(UNKNOWN))
     if networks is not None:
         six = numbered.where("NOT _local AND _number IS NULL AND high IS NOT NULL").select(address, "high", "low")

@@ -111,7 +111,9 @@ def mixed_ips(spark: SparkSession, folder: str) -> DataFrame:
         F.format_string("::ffff:192.168.0.%d", host),
         F.when(user % 2 == 0, F.format_string("fe80::%x%%eth0", host)).otherwise("1:2:3"),
     ]
-    address = F.element_at(F.array(*spelt), (turn + 1).cast("int"))
+    address = F.when(turn == 0, spelt[0])
+    for at, spelling in enumerate(spelt[1:], 1):  # only the one in turn is made
+        address = address.when(turn == at, spelling)
     return table(spark, folder, "events").select("event_id", address.alias("x_forwarded_for"), F.lit("::1").alias("client_host"))
 
 

@@ -280,3 +280,28 @@ def test_mock_rows(spark):
     ).first()
     assert 10 <= r[0] < 10.5 and 89.5 < r[1] <= 90 and r[2] >= 0.5 and r[3] <= 0.9 and r[4] == 50 and r[5] == 500 and r[6] == 3 and r[7] == 0
     assert df.repartition(3).orderBy("timestamp").collect() == mock_predictions(spark, 5000, seed=4).orderBy("timestamp").collect()
+
+
+def test_addresses_are_parsed_once(spark, monkeypatch):
+    """Many rows of few addresses: what reads an address is planned over the staged distinct ones, with equal results."""
+    spelt = ["20.0.0.9", "::ffff:20.0.0.9", "2001:db8::5", "fe80::1%eth0", "junk", None]
+    uploads = spark.range(600).select("id", F.get(F.array(*map(F.lit, spelt)), (F.col("id") % 6).cast("int")).alias("x_forwarded_for"), F.lit(None).cast("string").alias("client_host"))
+    low = int(ipaddress.ip_address("20.0.0.0"))
+    shape = "country string, region string, city string, lat double, lon double"
+    ranges = spark.createDataFrame([(low, low + 255, "A", "R", "C", 1.5, 2.5)], f"ip_from bigint, ip_to bigint, {shape}")
+    networks = spark.createDataFrame([("2001:db8::/32", "B", None, "D", None, 3.5)], f"cidr string, {shape}")
+    staged = []
+
+    def stage(df, label):
+        staged.append((label, df))
+        return u_stage(df, label)
+
+    u_stage = u.stage
+    monkeypatch.setattr(u, "stage", stage)
+    found = u.enrich_location(uploads, ranges, networks)
+    assert [label for label, _ in staged] == ["addresses", "numbered"]
+    assert sorted(r._n for r in staged[0][1].collect()) == [100] * 6 and staged[1][1].count() == 6
+    assert plan_text(found).count("Range (") == 1  # the uploads are read by the join alone
+    want = {"20.0.0.9": "A", "::ffff:20.0.0.9": "A", "2001:db8::5": "B", "fe80::1%eth0": "Unknown", "junk": "Unknown", None: "Unknown"}
+    got = found.groupBy("x_forwarded_for", "country").count().collect()
+    assert {r.x_forwarded_for: (r.country, r["count"]) for r in got} == {k: (v, 100) for k, v in want.items()}
