@@ -237,7 +237,9 @@ MESSAGE_ROWS = (
 
 
 def _messages(spark, sf):
-    rows = fx.upload_log(spark, sf).join(_located(spark, sf).select("event_id", "lat", "lon"), "event_id")
+    # Both sides have a row for each upload: neither is to be broadcast, however small its files are.
+    located = _located(spark, sf).select("event_id", "lat", "lon").hint("merge")
+    rows = fx.upload_log(spark, sf).join(located, "event_id")
     return u.build_messages(rows)
 
 
