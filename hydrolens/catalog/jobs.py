@@ -10,7 +10,7 @@ from hydrolens.catalog.uploads import MESSAGE_ROWS, _messages
 from hydrolens.functions.time import latest
 from hydrolens.operators.scoring import pixel_scorer
 from hydrolens.plans import maintenance as mt
-from hydrolens.session import stage_path
+from hydrolens.session import stage, stage_path
 from hydrolens.sources import fixtures as fx
 from hydrolens.sources.messages import normalise_messages, parse_messages, read_messages, write_messages
 from hydrolens.sources.objects import fetch_objects, list_objects, write_objects
@@ -18,9 +18,17 @@ from hydrolens.sources.publish import folder_messages
 from hydrolens.streaming import jobs
 
 
-def _stream(spark, folder):
+def _stream(spark, folder, files=4):
     """Files of JSON lines as a stream of several batches."""
-    return read_messages(spark, {"format": "text", "path": folder, "options": {"maxFilesPerTrigger": "4"}})
+    return read_messages(spark, {"format": "text", "path": folder, "options": {"maxFilesPerTrigger": str(files)}})
+
+
+BATCHES = 8
+
+
+def _files_a_batch(spark, folder, batches=BATCHES, least=4):
+    """Files for each of at most `batches` batches: every batch has tasks for all partitions of the state, however little it holds."""
+    return max(least, -(-len(spark.read.text(folder).inputFiles()) // batches))
 
 
 def _doc_name():
@@ -83,7 +91,7 @@ def _(spark, sf):
     root = stage_path(spark, "repeated")
     sent = _messages(spark, sf).drop("key").crossJoin(spark.range(3).withColumnRenamed("id", "message_id"))
     sent.select(F.to_json(F.struct("*"))).write.text(f"{root}/messages")
-    stream = normalise_messages(_stream(spark, f"{root}/messages"))
+    stream = normalise_messages(_stream(spark, f"{root}/messages", _files_a_batch(spark, f"{root}/messages")))
     unique = jobs.without_repeats(stream, "1 hour").select("filename", "image_link", "date")
     jobs.append_stream(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
@@ -102,7 +110,8 @@ def _(spark, sf):
     docs = fx.table(spark, sf, "documents").where("text IS NOT NULL")
     sent = docs.select(camera.alias("filename"), payload.alias("image"), F.lit("2024-01-01T00:00:00").alias("date"), F.explode(F.array(F.lit(1), F.lit(2))).alias("message_id"))
     sent.select(F.to_json(F.struct("*"))).write.text(f"{root}/messages")
-    unique = jobs.without_repeats(normalise_messages(_stream(spark, f"{root}/messages")), "1 hour")
+    stream = normalise_messages(_stream(spark, f"{root}/messages", _files_a_batch(spark, f"{root}/messages")))
+    unique = jobs.without_repeats(stream, "1 hour")
     jobs.append_stream(unique.select("filename", F.sha2("content", 256).alias("picture")), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
@@ -154,12 +163,14 @@ def _(spark, sf):
 def _(spark, sf):
     """Upload messages that arrive newest first, day by day and each twice, through the stream's dedup: none is lost for being late."""
     root = stage_path(spark, "late")
-    sent = _messages(spark, sf).drop("key").crossJoin(spark.range(2).withColumnRenamed("id", "message_id"))  # two constant rows
+    messages = stage(_messages(spark, sf).drop("key"), "messages")
+    sent = messages.crossJoin(spark.range(2).withColumnRenamed("id", "message_id"))  # two constant rows
     days = sorted((r[0] for r in sent.select(F.substring("date", 1, 10)).distinct().collect()), reverse=True)
     for part, day in enumerate((days[: len(days) // 3], days[len(days) // 3 : 2 * len(days) // 3], days[2 * len(days) // 3 :])):
         rows = sent.where(F.substring("date", 1, 10).isin(day))
-        rows.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("append").text(f"{root}/messages/{part}")
-    stream = read_messages(spark, {"format": "text", "path": f"{root}/messages/*", "options": {"maxFilesPerTrigger": "1"}})
+        rows.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(f"{root}/messages/{part}")
+    # The files of one part in each batch, the oldest files, which hold the newest days, first.
+    stream = _stream(spark, f"{root}/messages/*", _files_a_batch(spark, f"{root}/messages/*", batches=3, least=1))
     unique = jobs.without_repeats(normalise_messages(stream), "1 hour").select("filename", "image_link", "date")
     jobs.append_stream(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")

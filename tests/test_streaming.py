@@ -10,6 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from hydrolens.catalog import jobs as catalog_jobs, queries, uploads as catalog_uploads
 from hydrolens.functions import raster
 from hydrolens.operators import scoring
 from hydrolens.plans import monitoring as m
@@ -18,7 +19,7 @@ from hydrolens.sources.fixtures import predictions
 from hydrolens.sources.messages import normalise_messages, read_messages, stream_messages
 from hydrolens.sources.objects import list_objects, qualified_root, write_objects
 from hydrolens.streaming import jobs, silence
-from tests.conftest import write_png
+from tests.conftest import plan_text, write_png
 
 
 def put_lines(folder, name, messages):
@@ -470,3 +471,66 @@ def test_a_mounted_root_on_a_cluster(spark, monkeypatch):
             qualified_root(spark, other)
     assert write_objects(spark.createDataFrame([("a/b", b"x")], "key string, content binary"), root) == 1
     assert [r.key for r in list_objects(spark, root).collect()] == ["a/b"]
+
+
+@pytest.fixture
+def events(spark, tmp_path):
+    """A folder with 600 events in twelve files, of four days, and the nations that uploads come from."""
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 576).cast("timestamp_ntz")
+    rows = spark.range(0, 600, 1, 12).select(
+        F.col("id").alias("event_id"), at.alias("ts"), (F.col("id") % 50).alias("user_id"), F.lit("view").alias("event_type"), F.lit(2.0).alias("value"), F.lit('{"k": 5}').alias("props")
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(0, "N", 0), (1, "M", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    return str(tmp_path)
+
+
+def batches(checkpoint):
+    return len([n for n in os.listdir(f"{checkpoint}/offsets") if n.isdigit()])
+
+
+def data_files(folder):
+    return [n for _, _, names in os.walk(folder) for n in names if n.startswith("part-")]
+
+
+def test_late_messages_are_written_by_several_tasks(spark, events, monkeypatch):
+    """Messages in several files a part, yet three batches (and those that only move the watermark)."""
+    monkeypatch.setattr(catalog_jobs, "_messages", lambda s, f: plain(s, f).repartition(12))
+    plain, held, append = catalog_uploads._messages, [], jobs.append_stream
+    monkeypatch.setattr(jobs, "append_stream", lambda df, path, log: held.append(log) or append(df, path, log))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        got = queries()["late_messages"](spark, events).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(got) == len(set(got)) == 600
+    root = held[0].removeprefix("file:").rpartition("/")[0]
+    assert len(data_files(f"{root}/messages")) > 6 and batches(f"{root}/checkpoint") <= 4
+
+
+def test_uploads_are_not_broadcast(spark, events):
+    assert "SortMergeJoin [event_id" in plan_text(catalog_uploads._messages(spark, events))
+
+
+def test_batches_do_not_grow_with_files(spark, tmp_path):
+    spark.range(0, 80, 1, 40).select(F.col("id").cast("string")).write.text(f"{tmp_path}/in/x")
+    assert catalog_jobs._files_a_batch(spark, f"{tmp_path}/in/*") == 5
+    assert catalog_jobs._files_a_batch(spark, f"{tmp_path}/in/x", batches=3, least=1) == 14
+    spark.range(0, 8, 1, 2).select(F.col("id").cast("string")).write.text(f"{tmp_path}/few")
+    assert catalog_jobs._files_a_batch(spark, f"{tmp_path}/few") == 4
+
+
+def test_live_buckets_in_three_batches(spark, events, monkeypatch):
+    """Events in many files: each bucket is still changed by several batches, of which there are not more for that."""
+    held, live = [], jobs.live_buckets
+    monkeypatch.setattr(jobs, "live_buckets", lambda preds, path, log, *more: held.append(log) or live(preds, path, log, *more))
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")  # a task for each file
+    try:
+        rows = queries()["stream_live_buckets"](spark, events).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sum(r.images for r in rows) == 600
+    assert 3 <= batches(held[0].removeprefix("file:")) <= 4
