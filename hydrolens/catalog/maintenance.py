@@ -204,7 +204,8 @@ def _(spark, sf):
     events = fx.table(spark, sf, "events")
     for part in range(3):
         events.where(F.col("event_id") % 3 == part).write.parquet(f"{root}/events/{part}")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/events/*")
+    files = len(spark.read.schema(events.schema).parquet(f"{root}/events/*").inputFiles())
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", str(max(1, -(-files // 3)))).parquet(f"{root}/events/*")
     preds = fx.predictions_from(stream).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     jobs.live_buckets(preds, f"{root}/table", f"{root}/checkpoint", "5 minutes", "60 days").awaitTermination()
     rows = jobs.read_live_buckets(spark, f"{root}/table").drop("query", "batch_id")
