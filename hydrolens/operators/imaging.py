@@ -7,6 +7,8 @@ usual only makes a batch of fewer rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -20,6 +22,8 @@ BYTES = T.ArrayType(T.ShortType())
 LIVE_SIZE = (512, 512)
 BATCH_SIZE = (384, 384)
 
+PART_BYTES = 4_000_000
+
 
 def _rgb(image: pd.DataFrame) -> list[np.ndarray | None]:
     """Decoded rows as RGB arrays, None for a missing row or one that did not decode."""
@@ -32,15 +36,24 @@ def _grid(flat, height: int, width: int, dtype) -> np.ndarray:
     return np.asarray(flat, dtype).reshape(height, width)
 
 
+def part_rows(size: tuple[int, int], most: int = PART_BYTES) -> int:
+    """Rows whose RGB tensors of a size take about `most` bytes."""
+    return max(1, most // (12 * size[0] * size[1]))
+
+
 def preprocess(images: DataFrame, size=BATCH_SIZE, mean=raster.MEAN, std=raster.STD, name: str = "tensor") -> DataFrame:
-    """Add the model input: resized, RGB, scaled to 0..1 and normalised; flat, row by row."""
+    """Add the model input: resized, RGB, scaled to 0..1 and normalised; flat, row by row.
+
+    A batch of small pictures may hold far larger tensors, so these leave in parts of about PART_BYTES.
+    """
+    most = part_rows(size)
 
     @F.pandas_udf(FLOATS)
-    def prepare(image: pd.DataFrame) -> pd.Series:
-        return pd.Series(
-            [None if x is None else raster.normalise(raster.resize(x, *size), mean, std).ravel() for x in _rgb(image)],
-            dtype=object,
-        )
+    def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for batch in batches:
+            for start in range(0, len(batch), most):
+                images = _rgb(batch[start : start + most])
+                yield pd.Series([None if x is None else raster.normalise(raster.resize(x, *size), mean, std).ravel() for x in images], dtype=object)
 
     return images.withColumn(name, prepare("image"))
 
