@@ -13,7 +13,7 @@ from hydrolens.catalog.registry import register
 from hydrolens.functions import pixels as px, raster
 from hydrolens.operators import imaging, scoring
 from hydrolens.plans import scoring as s
-from hydrolens.session import stage_path
+from hydrolens.session import stage, stage_path
 from hydrolens.sources import fixtures as fx
 from hydrolens.sources.images import attach_truth
 from hydrolens.sources.messages import read_messages
@@ -467,7 +467,9 @@ def _(spark, sf):
 def _(spark, sf):
     """A pixel model fitted on the training part, chosen by Dice on the validation part."""
     pairs = imaging.preprocess(_pairs(spark, sf).where("truth_mask IS NOT NULL"), size=(8, 8))
-    parts = s.split_dataset(pairs.select("key", "tensor", "truth_mask"), "key")
+    # The pictures are prepared once; the split, the fits and the test then read them.
+    pairs = stage(pairs.select("key", "tensor", "truth_mask"), "pairs")
+    parts = s.split_dataset(pairs, "key")
     best = scoring.fit_pixel_scorer(parts.where("part = 'train'"), parts.where("part = 'validation'"), "key", [0.01, 0.1])
     tested = scoring.score_pixels(parts.where("part = 'test'"), best["weights"], best["bias"])
     return s.evaluation_summary(s.evaluate_images(tested)).withColumn("reg", F.lit(best["reg"]))

@@ -11,7 +11,7 @@ from hydrolens.functions import pixels as px, raster
 from hydrolens.operators import imaging, scoring
 from hydrolens.plans import scoring as s
 from hydrolens.sources import images as im, objects as ob
-from tests.conftest import write_png
+from tests.conftest import plan_text, write_png
 
 
 def decode(png):
@@ -335,3 +335,30 @@ def test_folder_scoring(spark, tmp_path):
     assert decode((tmp_path / "out" / "dark_mask.png").read_bytes()).shape == (6, 4)
     mask = decode((tmp_path / "out" / "half_mask.png").read_bytes())
     assert np.array_equal(mask, (half[:, :, 0] > 100) * 255)
+
+
+def test_tensors_leave_in_parts(spark, monkeypatch):
+    """Many small pictures in one batch: parts of bounded size, every row with its own tensor, broken ones without."""
+    assert imaging.part_rows((512, 512)) == 1 and imaging.part_rows((16, 16)) == 1302
+    monkeypatch.setattr(imaging, "part_rows", lambda size: 7)
+    data = F.expr("repeat(char(65 + cast(id % 20 as int)), 12)").cast("binary")
+    height = F.when(F.col("id") % 10 == 3, -1).otherwise(2)
+    rows = spark.range(0, 100, 1, 2).select("id", F.struct(height.alias("height"), F.lit(2).alias("width"), F.lit(3).alias("nChannels"), data.alias("data")).alias("image"))
+    got = imaging.preprocess(rows, (2, 2)).collect()
+    assert len(got) == 100
+    for r in got:
+        want = None if r.id % 10 == 3 else raster.normalise(np.full((2, 2, 3), 65 + r.id % 20, np.uint8)).ravel()
+        assert r.tensor is None if want is None else np.array_equal(np.float32(r.tensor), want)
+
+
+def test_fitted_scorer_prepares_pictures_once(spark, tmp_path, monkeypatch):
+    from hydrolens.catalog import images as catalog_images, queries
+
+    staged, plain = [], catalog_images.stage
+    monkeypatch.setattr(catalog_images, "stage", lambda df, label: staged.append((label, df.columns)) or plain(df, label))
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.normal(size=64)]) for i in range(30)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = queries()["fitted_scorer"](spark, str(tmp_path))
+    assert staged == [("pairs", ["key", "tensor", "truth_mask"])]
+    assert out.first().images > 0 and "vec_id" not in plan_text(out)
