@@ -90,10 +90,11 @@ def _(spark, sf):
     """Upload messages, each sent three times, through the stream's dedup."""
     root = stage_path(spark, "repeated")
     sent = _messages(spark, sf).drop("key").crossJoin(spark.range(3).withColumnRenamed("id", "message_id"))
-    sent.select(F.to_json(F.struct("*"))).write.text(f"{root}/messages")
+    sent.select(F.to_json(F.struct("*"))).write.text(f"{root}/messages", compression="gzip")
     stream = normalise_messages(_stream(spark, f"{root}/messages", _files_a_batch(spark, f"{root}/messages")))
     unique = jobs.without_repeats(stream, "1 hour").select("filename", "image_link", "date")
-    jobs.append_stream(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    with jobs.state_on_disk(spark):
+        jobs.append_stream(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 
@@ -112,7 +113,8 @@ def _(spark, sf):
     sent.select(F.to_json(F.struct("*"))).write.text(f"{root}/messages")
     stream = normalise_messages(_stream(spark, f"{root}/messages", _files_a_batch(spark, f"{root}/messages")))
     unique = jobs.without_repeats(stream, "1 hour")
-    jobs.append_stream(unique.select("filename", F.sha2("content", 256).alias("picture")), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    with jobs.state_on_disk(spark):
+        jobs.append_stream(unique.select("filename", F.sha2("content", 256).alias("picture")), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 
@@ -172,7 +174,8 @@ def _(spark, sf):
     # The files of one part in each batch, the oldest files, which hold the newest days, first.
     stream = _stream(spark, f"{root}/messages/*", _files_a_batch(spark, f"{root}/messages/*", batches=3, least=1))
     unique = jobs.without_repeats(normalise_messages(stream), "1 hour").select("filename", "image_link", "date")
-    jobs.append_stream(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    with jobs.state_on_disk(spark):
+        jobs.append_stream(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 

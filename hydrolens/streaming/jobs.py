@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -75,20 +75,50 @@ def upsert_stream(df: DataFrame, path: str, checkpoint: str, keys: list[str], ti
     return writer.trigger(**(trigger or ONCE)).start()
 
 
+# Keys of the state lie in files of the executors; all stores of one executor share this much memory.
+DISK_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",  # else another lookup for each new key
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started here keep their state on disk, for state that grows with the rows, as that of `without_repeats`.
+
+    Spark's default keeps all keys in the executors' heap. A query takes its settings when it starts; one that goes on
+    from an older checkpoint keeps the kind of store that is noted there.
+    """
+    before = {name: spark.conf.get(name, None) for name in DISK_STATE}
+    try:
+        for name, value in DISK_STATE.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def without_repeats(messages: DataFrame, horizon: str = "1 hour") -> DataFrame:
     """Drop messages the producer sent again: same file name, date, link and picture within the horizon.
 
     Inline pictures are told apart by a digest of their bytes, so two pictures that a camera sends under one name in
     one second both stay; the state holds digests and no pictures. The horizon counts from arrival, so a message that comes late is never dropped for that. Records
     with an error all stay. In two steps, so that one message sent very often is thinned out in
-    many tasks before its last copies meet in one.
+    as many tasks as read it, up to DEDUP_LANES, before its last copies meet in one; copies that are read
+    together take one entry of the first state. Both states have every message of the horizon, so the query
+    is to be started within `state_on_disk`.
     """
     same = ["filename", "date", "image_link", "_picture", "_bad"]
     spread = messages.withColumns(
         {
             "_picture": F.sha2("content", 256),
             "_bad": F.when(F.col("error").isNotNull(), F.col("source_id")),
-            "_lane": F.pmod(F.xxhash64("source_id"), F.lit(DEDUP_LANES)),
+            "_lane": F.pmod(F.spark_partition_id(), F.lit(DEDUP_LANES)),
             "_arrival": F.current_timestamp(),  # of the batch; a replayed batch keeps it
         }
     )
@@ -164,7 +194,8 @@ def run_scoring(messages: DataFrame, conf: Scoring, checkpoint: str):
     """message -> image -> score -> four artefact objects and one result row per message."""
     rows = normalise_messages(messages)
     rows = without_repeats(rows, conf.horizon) if conf.horizon else rows
-    return each_batch(rows, lambda batch, batch_id: score_batch(batch, batch_id, conf), checkpoint, conf.trigger)
+    with state_on_disk(rows.sparkSession) if conf.horizon else nullcontext():
+        return each_batch(rows, lambda batch, batch_id: score_batch(batch, batch_id, conf), checkpoint, conf.trigger)
 
 
 def score_batch(batch: DataFrame, batch_id: int, conf: Scoring) -> None:

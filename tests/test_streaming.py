@@ -534,3 +534,35 @@ def test_live_buckets_in_three_batches(spark, events, monkeypatch):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sum(r.images for r in rows) == 600
     assert 3 <= batches(held[0].removeprefix("file:")) <= 4
+
+
+def state_files(checkpoint):
+    return {os.path.splitext(n)[1] for folder, _, names in os.walk(f"{checkpoint}/state") for n in names if not n.startswith(".") and "_metadata" not in folder} - {".crc"}
+
+
+def test_state_of_repeats_is_on_disk(spark, events, tmp_path, conf, monkeypatch):
+    """No key of the dedup is held in the heap, and the session's own streams stay as they were set."""
+    held, append = [], jobs.append_stream
+    monkeypatch.setattr(jobs, "append_stream", lambda df, path, log: held.append(log) or append(df, path, log))
+    before = {name: spark.conf.get(name, None) for name in jobs.DISK_STATE}
+    for name in ("deduplicated_messages", "late_messages"):
+        got = queries()[name](spark, events).collect()
+        assert len(got) == len(set(got)) == 600
+    from dataclasses import replace
+
+    put_lines(str(tmp_path / "in"), "a.json", [inline("x.png", 250), inline("x.png", 250)])
+    results, _ = run(spark, tmp_path, replace(conf, horizon="1 hour"))
+    assert results.count() == 1
+    logs = [log.removeprefix("file:") for log in held] + [str(tmp_path / "check")]
+    assert [{".zip"} <= state_files(log) and ".delta" not in state_files(log) for log in logs] == [True] * 3
+    assert {name: spark.conf.get(name, None) for name in jobs.DISK_STATE} == before
+
+
+def test_copies_read_together_take_one_entry(spark, tmp_path):
+    put_lines(str(tmp_path / "in"), "a.json", [{**linked("a", "k"), "message_id": i} for i in range(200)])
+    unique = jobs.without_repeats(normalise_messages(read_messages(spark, source(str(tmp_path / "in")))))
+    with jobs.state_on_disk(spark):
+        query = jobs.append_stream(unique.select("filename"), str(tmp_path / "out"), str(tmp_path / "check"))
+    query.awaitTermination()
+    kept = [op.numRowsUpdated for p in query.recentProgress for op in p.stateOperators]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1 and sum(kept) == 2
