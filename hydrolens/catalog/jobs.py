@@ -10,7 +10,7 @@ from hydrolens.catalog.uploads import MESSAGE_ROWS, _messages
 from hydrolens.functions.time import latest
 from hydrolens.operators.scoring import pixel_scorer
 from hydrolens.plans import maintenance as mt
-from hydrolens.session import stage, stage_path
+from hydrolens.session import parallelism, stage, stage_path
 from hydrolens.sources import fixtures as fx
 from hydrolens.sources.messages import normalise_messages, parse_messages, read_messages, write_messages
 from hydrolens.sources.objects import fetch_objects, list_objects, write_objects
@@ -31,6 +31,11 @@ def _files_a_batch(spark, folder, batches=BATCHES, least=4):
     return max(least, -(-len(spark.read.text(folder).inputFiles()) // batches))
 
 
+def _state_partitions(spark):
+    """Four for each core, and no more than the session's shuffles have."""
+    return min(4 * parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _doc_name():
     return F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".png"))
 
@@ -93,7 +98,7 @@ def _(spark, sf):
     sent.select(F.to_json(F.struct("*"))).write.text(f"{root}/messages", compression="gzip")
     stream = normalise_messages(_stream(spark, f"{root}/messages", _files_a_batch(spark, f"{root}/messages")))
     unique = jobs.without_repeats(stream, "1 hour").select("filename", "image_link", "date")
-    with jobs.state_on_disk(spark):
+    with jobs.state_on_disk(spark, _state_partitions(spark)):
         jobs.append_stream(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
@@ -113,7 +118,7 @@ def _(spark, sf):
     sent.select(F.to_json(F.struct("*"))).write.text(f"{root}/messages")
     stream = normalise_messages(_stream(spark, f"{root}/messages", _files_a_batch(spark, f"{root}/messages")))
     unique = jobs.without_repeats(stream, "1 hour")
-    with jobs.state_on_disk(spark):
+    with jobs.state_on_disk(spark, _state_partitions(spark)):
         jobs.append_stream(unique.select("filename", F.sha2("content", 256).alias("picture")), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
@@ -174,7 +179,7 @@ def _(spark, sf):
     # The files of one part in each batch, the oldest files, which hold the newest days, first.
     stream = _stream(spark, f"{root}/messages/*", _files_a_batch(spark, f"{root}/messages/*", batches=3, least=1))
     unique = jobs.without_repeats(normalise_messages(stream), "1 hour").select("filename", "image_link", "date")
-    with jobs.state_on_disk(spark):
+    with jobs.state_on_disk(spark, _state_partitions(spark)):
         jobs.append_stream(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
 

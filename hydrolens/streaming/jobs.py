@@ -87,15 +87,18 @@ DISK_STATE = {
 
 
 @contextmanager
-def state_on_disk(spark: SparkSession) -> Iterator[None]:
+def state_on_disk(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Queries started here keep their state on disk, for state that grows with the rows, as that of `without_repeats`.
 
     Spark's default keeps all keys in the executors' heap. A query takes its settings when it starts; one that goes on
-    from an older checkpoint keeps the kind of store that is noted there.
+    from an older checkpoint keeps the kind of store and the partitions that are noted there. Every partition of the state
+    is a store with files and memory of its own, however little it holds, and a store on disk may be large: `partitions`
+    sets their number, which otherwise is that of the session's shuffles.
     """
-    before = {name: spark.conf.get(name, None) for name in DISK_STATE}
+    settings = DISK_STATE | ({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})
+    before = {name: spark.conf.get(name, None) for name in settings}
     try:
-        for name, value in DISK_STATE.items():
+        for name, value in settings.items():
             spark.conf.set(name, value)
         yield
     finally:

@@ -566,3 +566,17 @@ def test_copies_read_together_take_one_entry(spark, tmp_path):
     query.awaitTermination()
     kept = [op.numRowsUpdated for p in query.recentProgress for op in p.stateOperators]
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1 and sum(kept) == 2
+
+
+def test_state_has_no_more_stores_than_cores_use(spark, events, monkeypatch):
+    held, append = [], jobs.append_stream
+    monkeypatch.setattr(jobs, "append_stream", lambda df, path, log: held.append(log) or append(df, path, log))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        assert queries()["deduplicated_messages"](spark, events).count() == 600
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stores = [n for n in os.listdir(f"{held[0].removeprefix('file:')}/state/0") if n.isdigit()]
+    assert len(stores) == 32
